@@ -162,7 +162,7 @@ def clean(
     """The whole cleaning rule set over a typed raw catalogue (L3).
 
     Null drop → year/month text → text normalisation → 13 columns → defaults →
-    outlier removal. In row mode the plan is one scan and one projection/filter
+    outlier removal (skipped with ``outlier_mode="none"``). In row mode the plan is one scan and one projection/filter
     span (no shuffle); the writer adds the only exchange.
     """
     if "year" not in df.columns or "month" not in df.columns:
@@ -172,4 +172,6 @@ def clean(
     out = normalise_text(out, status_allow)
     out = out.select(*S.CLEAN_COLUMNS)
     out = fill_defaults(out)
+    if outlier_mode == "none":
+        return out
     return remove_outliers(out, rules, mode=outlier_mode, key=key)

@@ -40,8 +40,9 @@ def metrics_at_grains(
 ) -> DataFrame:
     """Several grouping grains in one scan and one shuffle (GROUPING SETS).
 
-    Adds ``grain`` = the ``grouping_id()`` bit mask, so a NULL key of an absent
-    grain is told apart from a NULL key value.
+    Adds ``grain`` = the ``grouping_id()`` bit mask over the key columns in order
+    of first appearance in ``grains`` (a set bit = column absent from the row's
+    grain), so a NULL key of an absent grain is told apart from a NULL value.
     """
     cols = []
     for g in grains:

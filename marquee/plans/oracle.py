@@ -38,6 +38,8 @@ cleaned AS (
 )"""
 
 GENRE_LIST = "('economy', 'small', 'medium', 'promo', 'standard', 'na')"
+DENY_LIST = "('economy', 'small', 'medium', 'promo', 'standard', 'large', 'na', '')"
+NAME_PATTERN = r"^[a-zA-Z]+(\.[a-zA-Z]+)*$"
 
 GENRE_CTE = CLEAN_CTE + f""",
 genre_rows AS (
@@ -46,17 +48,229 @@ genre_rows AS (
   WHERE trim(t.tok) IN {GENRE_LIST}
 )"""
 
-METRICS = """count(id) AS total_movies,
+COMPANY_CTE = CLEAN_CTE + f""",
+company_tokens AS (
+  SELECT c.id, c.year, c.release_date, trim(lower(t.tok)) AS pc
+  FROM cleaned c CROSS JOIN unnest(string_split(c.production_companies, ', ')) AS t(tok)
+),
+company_rows AS (
+  SELECT * FROM company_tokens
+  WHERE pc IS NOT NULL AND pc NOT IN {DENY_LIST} AND length(pc) > 5 AND regexp_matches(pc, '{NAME_PATTERN}')
+)"""
+
+CORR = """CASE WHEN isnan(corr(CAST(budget AS DOUBLE), CAST(revenue AS DOUBLE))) THEN NULL
+            ELSE round(corr(CAST(budget AS DOUBLE), CAST(revenue AS DOUBLE)), 6) END"""
+
+METRICS = f"""count(id) AS total_movies,
        CAST(sum(budget) AS DOUBLE) AS total_budget,
        CAST(sum(revenue) AS DOUBLE) AS total_revenue,
-       CASE WHEN isnan(corr(CAST(budget AS DOUBLE), CAST(revenue AS DOUBLE))) THEN NULL
-            ELSE round(corr(CAST(budget AS DOUBLE), CAST(revenue AS DOUBLE)), 6) END AS budget_revenue_correlation"""
+       {CORR} AS budget_revenue_correlation"""
+
+OUTLIER_FLAGS = """coalesce(runtime > 300 OR runtime < 0, false) AS r,
+       coalesce(vote_average > 40 OR vote_average < 0, false) AS v,
+       coalesce(budget < 0 OR revenue < 0, false) AS m"""
 
 
 def w(cte: str, body: str) -> str:
     return f"WITH {cte}\n{body}"
 
 
+def _nulls(cols: list[str], src: str) -> str:
+    inner = ", ".join(f'count(*) FILTER (WHERE "{c}" IS NULL) AS "{c}"' for c in cols)
+    on = ", ".join(f'"{c}"' for c in cols)
+    return f"UNPIVOT (SELECT {inner} FROM {src}) ON {on} INTO NAME column_name VALUE nulls"
+
+
+def _distinct(cols: list[str], src: str) -> str:
+    inner = ", ".join(
+        f'count(DISTINCT "{c}") + coalesce(max(CASE WHEN "{c}" IS NULL THEN 1 ELSE 0 END), 0) AS "{c}"' for c in cols
+    )
+    on = ", ".join(f'"{c}"' for c in cols)
+    return (
+        f"UNPIVOT (SELECT count(*) AS rows, {inner} FROM {src}) ON {on} "
+        "INTO NAME column_name VALUE distinct_values"
+    )
+
+
+def _growth(src: str, value: str) -> str:
+    prior = f"coalesce(sum({value}) OVER (ORDER BY year ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)"
+    return (
+        f"SELECT year, {value}, CAST({prior} AS BIGINT) AS prev_yr_pc_count, "
+        f"CAST({value} + {prior} AS BIGINT) AS pc_yoy_growth_count FROM ({src})"
+    )
+
+
+def _cumulative(measure: str, yearly: str, cumulative: str) -> str:
+    return w(CLEAN_CTE, f"""SELECT year, CAST(sum({measure}) AS DOUBLE) AS {yearly},
+       CAST(sum(sum({measure})) OVER (ORDER BY year ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS DOUBLE)
+         AS {cumulative}
+FROM cleaned GROUP BY year""")
+
+
+RAW_COLS = ["id", "title", "vote_average", "vote_count", "status", "release_date", "revenue", "runtime", "budget",
+            "genres", "production_companies"]
+CLEAN_TYPES = [("id", "bigint"), ("status", "string"), ("genres", "string"), ("release_date", "date"),
+               ("runtime", "int"), ("year", "string"), ("month", "string"), ("budget", "decimal(18,2)"),
+               ("revenue", "decimal(18,2)"), ("vote_count", "int"), ("vote_average", "double"), ("title", "string"),
+               ("production_companies", "string")]
+DISTINCT_COLS = ["status", "genres", "production_companies", "release_date"]
+
 SQL: dict[str, str] = {}
 
+# ---- B: parsing
+SQL["typed_projection"] = w(ORACLE_CTE, """SELECT id, status, CAST(release_date AS VARCHAR) AS release_date,
+       CAST(year(release_date) AS BIGINT) AS year, CAST(month(release_date) AS BIGINT) AS month,
+       CAST(year(release_date) AS VARCHAR) AS year_text, lpad(CAST(month(release_date) AS VARCHAR), 2, '0') AS month_text,
+       CAST(runtime AS DOUBLE) AS runtime, CAST(budget AS DOUBLE) AS budget, CAST(revenue AS DOUBLE) AS revenue,
+       CAST(vote_count AS DOUBLE) AS vote_count, vote_average, title
+FROM cat""")
+
+SQL["malformed_values"] = w(ORACLE_CTE, """UNPIVOT (
+  SELECT count(*) FILTER (WHERE TRY_CAST(CAST(id AS VARCHAR) AS BIGINT) IS NULL) AS id,
+         count(*) FILTER (WHERE TRY_CAST(CAST(release_date AS VARCHAR) AS DATE) IS NULL) AS release_date,
+         count(*) FILTER (WHERE TRY_CAST(CAST(runtime AS VARCHAR) AS INTEGER) IS NULL) AS runtime,
+         count(*) FILTER (WHERE TRY_CAST(title AS INTEGER) IS NULL) AS title,
+         count(*) FILTER (WHERE TRY_CAST(status AS DATE) IS NULL) AS status,
+         count(*) FILTER (WHERE TRY_CAST(genres AS DOUBLE) IS NULL) AS genres
+  FROM cat
+) ON id, release_date, runtime, title, status, genres INTO NAME column_name VALUE nulls""")
+
+# ---- C: filters, nulls
+SQL["drop_incomplete"] = w(ORACLE_CTE, """SELECT id, status, CAST(release_date AS VARCHAR) AS release_date,
+       CAST(budget AS DOUBLE) AS budget, CAST(revenue AS DOUBLE) AS revenue
+FROM cat WHERE release_date IS NOT NULL AND revenue IS NOT NULL AND budget IS NOT NULL""")
+
+SQL["fill_defaults"] = w(ORACLE_CTE, """SELECT id, coalesce(genres, 'NA') AS genres, coalesce(title, '') AS title,
+       coalesce(production_companies, 'NA') AS production_companies
+FROM cat""")
+
+SQL["status_normalised"] = w(ORACLE_CTE, """SELECT CASE WHEN lower(trim(status)) IN ('f', 'o') THEN trim(status)
+            ELSE 'Others' END AS status, count(*) AS titles
+FROM cat GROUP BY 1""")
+
+SQL["strip_text"] = f"""SELECT doc_id, length(g) AS genre_text_length, md5(g) AS genre_text_md5,
+       length(c) AS company_text_length, md5(c) AS company_text_md5
+FROM (SELECT doc_id, regexp_replace(text, '[^a-zA-Z{WS},]', '', 'g') AS g,
+             regexp_replace(text, '[^a-zA-Z{WS},.]', '', 'g') AS c
+      FROM documents)"""
+
+# ---- outliers
+SQL["outlier_by_row"] = w(CLEAN_CTE, "SELECT id, year, month FROM cleaned")
+
+SQL["outlier_by_key"] = w(CLEAN_CTE, f""", flagged AS (SELECT *, {OUTLIER_FLAGS} FROM clean1)
+SELECT id, year, month FROM flagged f
+WHERE NOT (r OR v OR m)
+  AND NOT EXISTS (SELECT 1 FROM flagged b WHERE b.id = f.id AND (b.r OR b.v OR b.m))""".replace(
+    "WITH ", "WITH ", 1)).replace(")\n, flagged", "),\nflagged")
+
+SQL["outlier_counts"] = w(CLEAN_CTE, f"""SELECT count(*) AS rows_in,
+       count(*) FILTER (WHERE r) AS runtime_outliers,
+       count(*) FILTER (WHERE NOT r AND v) AS vote_average_outliers,
+       count(*) FILTER (WHERE NOT r AND NOT v AND m) AS money_outliers,
+       count(*) FILTER (WHERE NOT r AND NOT v AND NOT m) AS rows_kept
+FROM (SELECT {OUTLIER_FLAGS} FROM clean1)""")
+
+SQL["zero_measures"] = """SELECT l_returnflag, count(*) AS rows,
+       count(*) FILTER (WHERE l_discount = 0 AND l_tax = 0) AS both_zero
+FROM lineitem GROUP BY l_returnflag"""
+
+SQL["genre_zero_measures"] = w(GENRE_CTE, """SELECT count(*) AS rows,
+       count(*) FILTER (WHERE budget = 0 AND revenue = 0) AS both_zero
+FROM genre_rows""")
+
+# ---- I/O
+SQL["incremental_new_rows"] = w(ORACLE_CTE, """SELECT id, status, CAST(release_date AS VARCHAR) AS release_date
+FROM cat WHERE id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = cat.id)""")
+
+SQL["ingest_roundtrip"] = w(CLEAN_CTE, """SELECT month, count(*) AS titles, CAST(sum(revenue) AS DOUBLE) AS total_revenue
+FROM cleaned GROUP BY month""")
+
+SQL["ingest_stream"] = "SELECT event_id, event_type, value FROM events"
+
+SQL["csv_roundtrip"] = """SELECT doc_id, length(text) AS text_length, md5(text) AS text_md5, lang, source
+FROM documents"""
+
+SQL["external_table"] = w(CLEAN_CTE, """SELECT month, count(*) AS titles, CAST(sum(revenue) AS DOUBLE) AS total_revenue,
+       CAST(sum(budget) AS DOUBLE) AS total_budget
+FROM cleaned GROUP BY month""")
+
+# ---- profile
+_types = ", ".join(f"('{c}', '{t}', {i})" for i, (c, t) in enumerate(CLEAN_TYPES))
+SQL["schema_profile"] = w(CLEAN_CTE, f"""SELECT n.column_name, t.data_type, n.nulls, CAST(t.position AS BIGINT) AS position
+FROM ({_nulls([c for c, _ in CLEAN_TYPES], "cleaned")}) n
+JOIN (VALUES {_types}) AS t(column_name, data_type, position) USING (column_name)""")
+
+SQL["null_profile"] = w(ORACLE_CTE, _nulls(RAW_COLS, "cat"))
+SQL["distinct_profile"] = w(ORACLE_CTE, _distinct(DISTINCT_COLS, "cat"))
+SQL["distinct_profile_clean"] = w(CLEAN_CTE, _distinct(DISTINCT_COLS, "cleaned"))
+SQL["key_max"] = w(ORACLE_CTE, "SELECT count(*) AS rows, max(TRY_CAST(CAST(id AS VARCHAR) AS BIGINT)) AS max_id FROM cat")
+
+# ---- genres
 SQL["genre_year"] = w(GENRE_CTE, f"SELECT year, genres, {METRICS} FROM genre_rows GROUP BY year, genres")
+SQL["genre_month"] = w(GENRE_CTE, f"SELECT month, genres, {METRICS} FROM genre_rows GROUP BY month, genres")
+SQL["genre_total"] = w(GENRE_CTE, f"SELECT genres, {METRICS} FROM genre_rows GROUP BY genres")
+SQL["genre_grouping_sets"] = w(GENRE_CTE, f"""SELECT GROUPING_ID(year, genres, month) AS grain, year, month, genres, {METRICS}
+FROM genre_rows GROUP BY GROUPING SETS ((year, genres), (month, genres), (genres))""")
+SQL["genre_view"] = w(GENRE_CTE, f"""SELECT CAST(year(release_date) AS BIGINT) AS release_year,
+       CAST(month(release_date) AS BIGINT) AS release_month, genres AS genre, count(*) AS movie_count,
+       CAST(sum(budget) AS DOUBLE) AS total_budget_by_genre, CAST(sum(revenue) AS DOUBLE) AS total_revenue_by_genre,
+       CAST(sum(vote_count) AS BIGINT) AS total_votes_by_genre, {CORR} AS budget_revenue_correlation
+FROM genre_rows GROUP BY 1, 2, 3""")
+SQL["genre_top5"] = w(GENRE_CTE, f"""SELECT year, genres, {METRICS} FROM genre_rows GROUP BY year, genres
+ORDER BY total_movies DESC, year, genres LIMIT 5""")
+SQL["genre_month_top5"] = w(GENRE_CTE, f"""SELECT month, genres, {METRICS} FROM genre_rows GROUP BY month, genres
+ORDER BY total_movies DESC, month, genres LIMIT 5""")
+SQL["genre_sample"] = w(GENRE_CTE, """SELECT id, genres, year, CAST(budget AS DOUBLE) AS budget, CAST(revenue AS DOUBLE) AS revenue
+FROM genre_rows WHERE genres = 'promo' ORDER BY id LIMIT 5""")
+SQL["budget_by_year_genre"] = w(GENRE_CTE, """SELECT year, genres, CAST(sum(budget) AS DOUBLE) AS total_budget
+FROM genre_rows GROUP BY year, genres""")
+SQL["releases_per_year"] = w(CLEAN_CTE, "SELECT year, count(*) AS releases FROM cleaned GROUP BY year")
+
+# ---- companies
+SQL["company_filter"] = w(COMPANY_CTE, "SELECT id, pc FROM company_rows")
+SQL["company_frequency"] = w(COMPANY_CTE, "SELECT pc, count(*) AS count FROM company_rows GROUP BY pc")
+SQL["company_frequent_count"] = w(COMPANY_CTE, """SELECT count(*) AS groups, count(*) FILTER (WHERE count > 5) AS groups_over_5
+FROM (SELECT pc, count(*) AS count FROM company_rows GROUP BY pc)""")
+SQL["company_debut"] = w(COMPANY_CTE, """SELECT year, count(*) AS debuts
+FROM (SELECT pc, min(year) AS year FROM company_rows GROUP BY pc) GROUP BY year""")
+SQL["company_growth"] = w(COMPANY_CTE, _growth(
+    "SELECT year, count(*) AS pc_distinct FROM (SELECT pc, min(year) AS year FROM company_rows GROUP BY pc) GROUP BY year",
+    "pc_distinct"))
+SQL["company_string_growth"] = w(CLEAN_CTE, _growth(
+    """SELECT year, count(*) AS pc_count_by_year FROM (
+         SELECT lower(production_companies) AS e, min(year) AS year FROM cleaned
+         WHERE lower(production_companies) <> 'na' GROUP BY 1) GROUP BY year""",
+    "pc_count_by_year"))
+SQL["title_growth"] = w(CLEAN_CTE, _growth(
+    """SELECT year, count(*) AS pc_count_by_year FROM (
+         SELECT lower(title) AS e, min(year) AS year FROM cleaned
+         WHERE lower(title) <> 'na' GROUP BY 1) GROUP BY year""",
+    "pc_count_by_year"))
+SQL["company_cumulative_view"] = w(COMPANY_CTE, """SELECT release_year, pc_distinct_count,
+       CAST(sum(pc_distinct_count) OVER (ORDER BY release_year ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT)
+         AS pc_cumm_count
+FROM (SELECT release_year, count(*) AS pc_distinct_count
+      FROM (SELECT pc, min(CAST(year(release_date) AS BIGINT)) AS release_year FROM company_rows GROUP BY pc)
+      GROUP BY release_year)""")
+SQL["companies_per_year"] = w(CLEAN_CTE, _growth(
+    "SELECT year, count(DISTINCT production_companies) AS prod_companies_count FROM cleaned GROUP BY year",
+    "prod_companies_count"))
+SQL["cumulative_budget"] = _cumulative("budget", "yearly_budget", "yoy_budget")
+SQL["cumulative_revenue"] = _cumulative("revenue", "yearly_revenue", "yoy_revenue")
+
+# ---- top-k, views, whole rule set
+SQL["longest_values"] = """SELECT doc_id, length(text) AS length FROM documents
+ORDER BY length DESC, doc_id LIMIT 10"""
+SQL["longest_genres"] = w(CLEAN_CTE, """SELECT id, genres, length(genres) AS genres_len FROM cleaned
+ORDER BY genres_len DESC, id LIMIT 10""")
+SQL["longest_companies"] = w(CLEAN_CTE, """SELECT id, production_companies, length(production_companies) AS pc_len
+FROM cleaned ORDER BY pc_len DESC, id LIMIT 10""")
+SQL["release_view"] = w(CLEAN_CTE, """SELECT id, CAST(revenue AS DOUBLE) AS revenue, CAST(release_date AS VARCHAR) AS release_date,
+       year AS release_year, month AS release_month, CAST(budget AS DOUBLE) AS budget, status, vote_average,
+       CAST(vote_count AS BIGINT) AS vote_count
+FROM cleaned WHERE release_date IS NOT NULL""")
+SQL["cleaned_catalogue"] = w(CLEAN_CTE, """SELECT id, status, genres, CAST(release_date AS VARCHAR) AS release_date,
+       CAST(runtime AS BIGINT) AS runtime, year, month, CAST(budget AS DOUBLE) AS budget,
+       CAST(revenue AS DOUBLE) AS revenue, CAST(vote_count AS BIGINT) AS vote_count, vote_average, title,
+       production_companies
+FROM cleaned""")

@@ -54,7 +54,7 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_name")
     lines = li.join(part, li.l_partkey == part.p_partkey, "left")
     return lines.groupBy("l_orderkey").agg(
-        F.sum(F.col("l_extendedprice").cast(S.MONEY)).alias("revenue"),
+        F.sum(F.col("l_extendedprice").cast(S.MONEY)).cast(S.MONEY).alias("revenue"),
         F.sum("l_quantity").cast("int").alias("runtime"),
         F.count(F.lit(1)).cast("int").alias("vote_count"),
         F.avg("l_quantity").alias("vote_average"),
