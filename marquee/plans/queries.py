@@ -214,7 +214,7 @@ def csv_roundtrip(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     path = scratch_path(spark, "csv")
     files.write_csv(docs, path)
-    back = files.read_csv_as_text(spark, path, ["doc_id", "text", "lang", "source"])
+    back = files.read_csv_as_text(spark, path, ["doc_id", "text", "lang", "source"], null_value=files.NULL_MARKER)
     back = parse_columns(back, {"doc_id": T.LongType()})
     return back.select(
         "doc_id", F.length("text").alias("text_length"), F.md5("text").alias("text_md5"), "lang", "source"

@@ -16,6 +16,10 @@ CSV_READ_OPTIONS = {
     "encoding": "UTF-8",
 }
 
+#: NULL marker of CSV files we write ourselves, so that NULL and empty text
+#: survive a round trip as two different values.
+NULL_MARKER = "\\N"
+
 CSV_WRITE_OPTIONS = {
     "header": "true",
     "quote": '"',
@@ -24,31 +28,42 @@ CSV_WRITE_OPTIONS = {
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
     "encoding": "UTF-8",
+    "nullValue": NULL_MARKER,
 }
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType, corrupt_column: str | None = None) -> DataFrame:
+def read_csv(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    corrupt_column: str | None = None,
+    null_value: str | None = None,
+) -> DataFrame:
     """CSV with a declared schema (A1). No inference pass over the data.
 
     ``multiLine`` makes each file one task (a record may span lines), so at scale
     the source should arrive as many files. With ``corrupt_column`` set (and
     present in ``schema`` as a string field), malformed lines land there
-    instead of failing the job.
+    instead of failing the job. ``null_value`` defaults to Spark's (an empty
+    field is NULL); pass ``NULL_MARKER`` for files written by ``write_csv``.
     """
     reader = spark.read.schema(schema).options(**CSV_READ_OPTIONS)
+    if null_value is not None:
+        reader = reader.option("nullValue", null_value)
     if corrupt_column:
         reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
     return reader.csv(path)
 
 
-def read_csv_as_text(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+def read_csv_as_text(spark: SparkSession, path: str, columns: list[str], null_value: str | None = None) -> DataFrame:
     """CSV with every named column as text (A2): the declared all-string schema."""
     schema = T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
-    return read_csv(spark, path, schema)
+    return read_csv(spark, path, schema, null_value=null_value)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """CSV that ``read_csv`` reads back unchanged (quotes doubled, white space kept)."""
+    """CSV that ``read_csv(..., null_value=NULL_MARKER)`` reads back unchanged
+    (quotes doubled, white space kept, NULL and empty text kept apart)."""
     df.write.mode(mode).options(**CSV_WRITE_OPTIONS).csv(path)
 
 
