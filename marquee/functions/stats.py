@@ -37,6 +37,17 @@ def distinct_with_null(c: str | Column) -> Column:
     return F.count_distinct(col) + F.coalesce(F.max(col.isNull().cast("int")), F.lit(0))
 
 
+def to_cents(c: str | Column) -> Column:
+    """Money as whole cents (``long``): exact for amounts with two decimals, and
+    summed in codegen'd 64-bit arithmetic instead of a BigDecimal buffer."""
+    return F.round(_c(c).cast("double") * 100).cast("long")
+
+
+def from_cents(c: str | Column, precision: int = 18) -> Column:
+    """Whole cents back to ``decimal(precision, 2)`` (exact division)."""
+    return (_c(c).cast(f"decimal({precision},0)") / F.lit(100)).cast(f"decimal({precision},2)")
+
+
 def money_to_double(c: str | Column) -> Column:
     """Exact decimal result presented as double."""
     return _c(c).cast("double")

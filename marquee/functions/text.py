@@ -13,7 +13,14 @@ def _c(c: str | Column) -> Column:
 
 
 def strip_chars(c: str | Column, pattern: str) -> Column:
-    """Remove every character matched by ``pattern`` (Java regex); NULL stays NULL."""
+    """Remove every character matched by ``pattern`` (Java regex); NULL stays NULL.
+
+    A single character class is applied to maximal runs (possessive ``++``):
+    removing each run is the same as removing each character, with one
+    replacement per run instead of one per character.
+    """
+    if pattern.startswith("[") and pattern.endswith("]"):
+        pattern = pattern + "++"
     return F.regexp_replace(_c(c), pattern, "")
 
 

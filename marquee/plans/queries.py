@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from marquee import schema as S
 from marquee.operators import growth, incremental, metrics, profile, tokens, topk
 from marquee.operators.cleaning import drop_incomplete, fill_defaults, format_partitions, outlier_counts, parse_columns
-from marquee.functions.text import normalise_category, strip_company_text, strip_genre_text
+from marquee.functions.text import normalise_category, strip_company_text
 from marquee.plans import catalogue as cat
 from marquee.plans.ingest import clean_zone, ingest, prepare_batch, read_clean_zone
 from marquee.session import scratch_path
@@ -124,8 +124,10 @@ def status_normalised(spark, sf_dir):
 def strip_text(spark, sf_dir):
     """Genre and company character stripping over whole document texts."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    g = strip_genre_text("text")
     c = strip_company_text("text")
+    # The genre class is the company class without the dot, so the genre text
+    # is the company text with dots removed: one regex pass over each text.
+    g = F.translate(c, ".", "")
     return docs.select(
         "doc_id",
         F.length(g).alias("genre_text_length"), F.md5(g).alias("genre_text_md5"),

@@ -10,7 +10,7 @@ status                 ``orders.o_orderstatus`` (F, O, P)
 release_date           ``orders.o_orderdate`` as date
 title                  ``customer.c_name`` (inner join on custkey)
 budget                 ``customer.c_acctbal`` as decimal(18,2) (has negatives)
-revenue                per order: sum of ``l_extendedprice`` as decimal(18,2); NULL without items
+revenue                per order: sum of ``l_extendedprice`` in cents, as decimal(18,2); NULL without items
 runtime                per order: ``int(sum(l_quantity))``
 vote_count             per order: number of line items
 vote_average           per order: ``avg(l_quantity)``
@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee import schema as S
+from marquee.functions.stats import from_cents, to_cents
 from marquee.sources.tables import table
 
 #: Statuses of the order data that count as known (P maps to "Others").
@@ -63,7 +64,7 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     lines = li.join(part, li.l_partkey == part.p_partkey, "left")
     return lines.groupBy("l_orderkey").agg(
-        F.sum(F.col("l_extendedprice").cast(S.MONEY)).cast(S.MONEY).alias("revenue"),
+        from_cents(F.sum(to_cents("l_extendedprice"))).alias("revenue"),
         F.sum("l_quantity").cast("int").alias("runtime"),
         F.count(F.lit(1)).cast("int").alias("vote_count"),
         F.avg("l_quantity").alias("vote_average"),
