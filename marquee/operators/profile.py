@@ -52,6 +52,33 @@ def distinct_profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     )
 
 
+def column_report(df: DataFrame, distinct_cols: Sequence[str] = ()) -> DataFrame:
+    """(column_name, position, data_type, nulls, distinct_values, rows) in one aggregate over one scan (L4).
+
+    ``distinct_values`` counts NULL as a value and is NULL for columns not in
+    ``distinct_cols``.
+    """
+    cols = df.columns
+    aggs = [F.count(F.lit(1)).alias("_rows")]
+    aggs += [F.count_if(F.col(c).isNull()).alias(f"_n{i}") for i, c in enumerate(cols)]
+    aggs += [distinct_with_null(c).alias(f"_d{i}") for i, c in enumerate(cols) if c in distinct_cols]
+    one = df.agg(*aggs)
+    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    entries = [
+        F.struct(
+            F.lit(c).alias("column_name"),
+            F.lit(i).cast("bigint").alias("position"),
+            F.lit(types[c]).alias("data_type"),
+            F.col(f"_n{i}").alias("nulls"),
+            (F.col(f"_d{i}") if c in distinct_cols else F.lit(None).cast("bigint")).alias("distinct_values"),
+        )
+        for i, c in enumerate(cols)
+    ]
+    return one.select(F.col("_rows").alias("rows"), F.explode(F.array(*entries)).alias("e")).select(
+        "e.column_name", "e.position", "e.data_type", "e.nulls", "e.distinct_values", "rows"
+    )
+
+
 def key_max(df: DataFrame, key: str = "id") -> DataFrame:
     """Row count and the largest key, compared as a number (F1, F2)."""
     return df.agg(

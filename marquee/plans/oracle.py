@@ -114,6 +114,22 @@ CLEAN_TYPES = [("id", "bigint"), ("status", "string"), ("genres", "string"), ("r
                ("revenue", "decimal(18,2)"), ("vote_count", "int"), ("vote_average", "double"), ("title", "string"),
                ("production_companies", "string")]
 DISTINCT_COLS = ["status", "genres", "production_companies", "release_date"]
+RAW_TYPES = [("id", "bigint"), ("title", "string"), ("vote_average", "double"), ("vote_count", "int"),
+             ("status", "string"), ("release_date", "date"), ("revenue", "decimal(18,2)"), ("runtime", "int"),
+             ("budget", "decimal(18,2)"), ("genres", "string"), ("production_companies", "string")]
+REPORT_DISTINCT = ["status", "genres", "production_companies"]
+
+
+def _report(stage: str, src: str, types: list[tuple[str, str]]) -> str:
+    vals = ", ".join(f"('{c}', '{t}', {i})" for i, (c, t) in enumerate(types))
+    nulls = _nulls([c for c, _ in types], src)
+    dist = _distinct(REPORT_DISTINCT, src)
+    return f"""SELECT '{stage}' AS stage, n.column_name, CAST(t.position AS BIGINT) AS position, t.data_type, n.nulls,
+       CAST(d.distinct_values AS DOUBLE) AS distinct_values, r.rows
+FROM ({nulls}) n
+JOIN (VALUES {vals}) AS t(column_name, data_type, position) USING (column_name)
+LEFT JOIN ({dist}) d USING (column_name)
+CROSS JOIN (SELECT count(*) AS rows FROM {src}) r"""
 
 SQL: dict[str, str] = {}
 
@@ -274,3 +290,5 @@ SQL["cleaned_catalogue"] = w(CLEAN_CTE, """SELECT id, status, genres, CAST(relea
        CAST(revenue AS DOUBLE) AS revenue, CAST(vote_count AS BIGINT) AS vote_count, vote_average, title,
        production_companies
 FROM cleaned""")
+
+SQL["quality_report"] = w(CLEAN_CTE, _report("raw", "cat", RAW_TYPES) + "\nUNION ALL\n" + _report("cleaned", "cleaned", CLEAN_TYPES))

@@ -18,6 +18,7 @@ from marquee import schema as S
 from marquee.operators import growth, incremental, metrics, profile, tokens, topk
 from marquee.operators.cleaning import drop_incomplete, fill_defaults, format_partitions, outlier_counts, parse_columns
 from marquee.functions.text import normalise_category, strip_company_text
+from marquee.plans import analyses
 from marquee.plans import catalogue as cat
 from marquee.plans.ingest import clean_zone, ingest, prepare_batch, read_clean_zone
 from marquee.session import scratch_path
@@ -182,8 +183,13 @@ def incremental_new_rows(spark, sf_dir):
 
 @register("ingest_roundtrip")
 def ingest_roundtrip(spark, sf_dir):
-    """CSV-shaped batch → raw zone by year (run twice) → filtered zone by month → read back."""
-    batch = prepare_batch(tc.catalogue_text(spark, sf_dir))
+    """Catalogue CSV → typed batch → raw zone by year (run twice) → filtered zone by month → read back
+    (A1, A2, B1-B3, L2, E1, A3-A6, L1, L3)."""
+    text = tc.catalogue_text(spark, sf_dir)
+    csv_path = scratch_path(spark, "catalogue-csv")
+    files.write_csv(text, csv_path)
+    source = files.read_csv_as_text(spark, csv_path, text.columns, null_value=files.NULL_MARKER)
+    batch = prepare_batch(source)
     raw_schema = batch.schema
     raw_path, out_path = scratch_path(spark, "raw"), scratch_path(spark, "filtered")
     ingest(spark, batch, raw_path, raw_schema)
@@ -277,26 +283,26 @@ def key_max(spark, sf_dir):
 @register("genre_year")
 def genre_year(spark, sf_dir):
     """Genre metrics per (year, genre)."""
-    return metrics.grouped_metrics(_genres(spark, sf_dir), ["year", "genres"])
+    return analyses.genre_metrics(cat.cleaned(spark, sf_dir), "year", tc.ORDER_GENRE_ALLOW)
 
 
 @register("genre_month")
 def genre_month(spark, sf_dir):
     """Genre metrics per (month, genre)."""
-    return metrics.grouped_metrics(_genres(spark, sf_dir), ["month", "genres"])
+    return analyses.genre_metrics(cat.cleaned(spark, sf_dir), "month", tc.ORDER_GENRE_ALLOW)
 
 
 @register("genre_total")
 def genre_total(spark, sf_dir):
     """Genre metrics per genre, ordered by budget, revenue, correlation."""
-    out = metrics.grouped_metrics(_genres(spark, sf_dir), ["genres"])
+    out = analyses.genre_metrics(cat.cleaned(spark, sf_dir), "total", tc.ORDER_GENRE_ALLOW)
     return out.orderBy(F.desc("total_budget"), F.desc("total_revenue"), F.desc("budget_revenue_correlation"))
 
 
 @register("genre_grouping_sets")
 def genre_grouping_sets(spark, sf_dir):
     """Genre metrics at (year, genre), (month, genre) and (genre) in one scan and one shuffle."""
-    return metrics.metrics_at_grains(_genres(spark, sf_dir), [["year", "genres"], ["month", "genres"], ["genres"]])
+    return analyses.genre_metrics_all_grains(cat.cleaned(spark, sf_dir), tc.ORDER_GENRE_ALLOW)
 
 
 @register("genre_view")
@@ -336,7 +342,7 @@ def budget_by_year_genre(spark, sf_dir):
 @register("releases_per_year")
 def releases_per_year(spark, sf_dir):
     """Dashboard: titles released per year."""
-    return cat.cleaned(spark, sf_dir).groupBy("year").agg(F.count(F.lit(1)).alias("releases"))
+    return analyses.releases_per_year(cat.cleaned(spark, sf_dir))
 
 
 # ------------------------------------------------------------------ companies, W1-W3
@@ -369,26 +375,20 @@ def company_debut(spark, sf_dir):
 @register("company_growth")
 def company_growth(spark, sf_dir):
     """New companies per year, all earlier years, and the running total."""
-    d = growth.debut_counts(_companies(spark, sf_dir), "pc", "year", as_="pc_distinct")
-    return growth.growth_frame(d, "year", "pc_distinct").orderBy(F.desc("year"))
-
-
-def _whole_string_growth(df: DataFrame, entity: str) -> DataFrame:
-    e = df.withColumn(entity, F.lower(entity)).filter(F.col(entity) != "na")
-    d = growth.debut_counts(e, entity, "year", as_="pc_count_by_year")
-    return growth.growth_frame(d, "year", "pc_count_by_year")
+    out = analyses.company_debut_growth(cat.cleaned(spark, sf_dir), tc.ORDER_COMPANY_DENY)
+    return out.orderBy(F.desc("year"))
 
 
 @register("company_string_growth")
 def company_string_growth(spark, sf_dir):
     """Debut growth of whole company strings, "na" excluded."""
-    return _whole_string_growth(cat.cleaned(spark, sf_dir), "production_companies")
+    return analyses.entity_debut_growth(cat.cleaned(spark, sf_dir), "production_companies")
 
 
 @register("title_growth")
 def title_growth(spark, sf_dir):
     """Debut growth with the title (customer) as entity."""
-    return _whole_string_growth(cat.cleaned(spark, sf_dir), "title")
+    return analyses.entity_debut_growth(cat.cleaned(spark, sf_dir), "title")
 
 
 @register("company_cumulative_view")
@@ -401,20 +401,26 @@ def company_cumulative_view(spark, sf_dir):
 @register("companies_per_year")
 def companies_per_year(spark, sf_dir):
     """Distinct company strings per year and their running totals."""
-    d = growth.distinct_per_group(cat.cleaned(spark, sf_dir), "year", "production_companies", "prod_companies_count")
-    return growth.growth_frame(d, "year", "prod_companies_count").orderBy("year")
+    return analyses.companies_per_year(cat.cleaned(spark, sf_dir)).orderBy("year")
 
 
 @register("cumulative_budget")
 def cumulative_budget(spark, sf_dir):
     """Budget per year and over all earlier years."""
-    return growth.yearly_cumulative(cat.cleaned(spark, sf_dir), "year", "budget", "yearly_budget", "yoy_budget")
+    return analyses.cumulative_money(cat.cleaned(spark, sf_dir), "budget")
 
 
 @register("cumulative_revenue")
 def cumulative_revenue(spark, sf_dir):
     """Revenue per year and over all earlier years."""
-    return growth.yearly_cumulative(cat.cleaned(spark, sf_dir), "year", "revenue", "yearly_revenue", "yoy_revenue")
+    return analyses.cumulative_money(cat.cleaned(spark, sf_dir), "revenue")
+
+
+@register("quality_report")
+def quality_report(spark, sf_dir):
+    """Types, NULLs, distinct values and rows of every column, raw and cleaned."""
+    rep = analyses.quality_report(cat.raw(spark, sf_dir), cat.cleaned(spark, sf_dir))
+    return rep.withColumn("distinct_values", F.col("distinct_values").cast("double"))
 
 
 # ------------------------------------------------------------------ H5, views, whole rule set
