@@ -234,7 +234,7 @@ def external_table(spark, sf_dir):
     """Filtered zone registered as an external table partitioned by month, partitions recovered."""
     path = scratch_path(spark, "ext")
     sinks.write_partitioned(cat.cleaned(spark, sf_dir), path, "month", mode="overwrite")
-    name = "movie_ratings_data_" + path.rsplit("-", 1)[-1]
+    name = "catalogue_data_" + path.rsplit("-", 1)[-1]
     t = catalog.create_external_table(spark, name, path)
     return t.groupBy("month").agg(
         F.count(F.lit(1)).alias("titles"), F.sum("revenue").alias("total_revenue"), F.sum("budget").alias("total_budget")
@@ -465,7 +465,7 @@ def _views(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     import uuid
 
     suffix = uuid.uuid4().hex[:8]
-    src = f"movie_ratings_data_{suffix}"
+    src = f"catalogue_data_{suffix}"
     cat.cleaned(spark, sf_dir).createOrReplaceTempView(src)
     names = catalog.create_views(spark, src, tc.ORDER_GENRE_ALLOW, tc.ORDER_COMPANY_DENY, prefix=f"v{suffix}_")
     keys = ["release", "genre", "company"]

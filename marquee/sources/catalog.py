@@ -101,12 +101,16 @@ def create_views(
     deny: list[str] = S.COMPANY_DENY,
     prefix: str = "",
 ) -> dict[str, str]:
-    """Create the release, genre and company-growth views over table ``src``."""
+    """Create the release, genre and company-growth views over table ``src``.
+
+    Returns {view name: SQL body}, in that order: ``{prefix}catalogue_releases``,
+    ``{prefix}catalogue_by_genre``, ``{prefix}company_cumulative``.
+    """
     pattern = S.COMPANY_NAME_PATTERN.replace("\\", "\\\\")
     views = {
-        f"{prefix}movie_ratings_filtered": RELEASE_VIEW.format(src=src),
-        f"{prefix}movie_info_by_genre": GENRE_VIEW.format(src=src, genres=_quote_list(genres)),
-        f"{prefix}pc_cumulative_data": COMPANY_VIEW.format(
+        f"{prefix}catalogue_releases": RELEASE_VIEW.format(src=src),
+        f"{prefix}catalogue_by_genre": GENRE_VIEW.format(src=src, genres=_quote_list(genres)),
+        f"{prefix}company_cumulative": COMPANY_VIEW.format(
             src=src, deny=_quote_list(deny), min_len=S.COMPANY_MIN_LENGTH, pattern=pattern
         ),
     }
