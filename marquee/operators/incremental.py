@@ -19,18 +19,40 @@ def dedupe_on_key(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(key).agg(best).select(key, *[F.col(f"_row.{c}").alias(c) for c in others]).select(*df.columns)
 
 
-def new_rows(batch: DataFrame, existing: DataFrame, key: str = "id", dedupe: bool = True) -> DataFrame:
+def new_rows(
+    batch: DataFrame,
+    existing: DataFrame,
+    key: str = "id",
+    dedupe: bool = True,
+    key_range: tuple | None = None,
+) -> DataFrame:
     """Rows of ``batch`` whose key is not yet in ``existing`` (left anti equi-join).
 
     NULL keys are excluded (they can never match, so they would be appended on
     every run); see ``null_key_rows``. ``existing`` is reduced to its distinct
     keys first, which also keeps a repeated sink key from skewing the join.
+    ``key_range`` = (lowest, highest) key of the batch restricts the sink read to
+    that range; the filter reaches the Parquet scan, and over key-sorted files
+    (``write_partitioned(sort_key=...)``) it skips every row group outside it.
+    Keys outside the batch's range cannot match, so the result is unchanged.
     """
     b = batch.filter(F.col(key).isNotNull())
     if dedupe:
         b = dedupe_on_key(b, key)
-    keys = existing.select(key).where(F.col(key).isNotNull()).distinct()
-    return b.join(keys, on=key, how="left_anti")
+    keys = existing.select(key).where(F.col(key).isNotNull())
+    if key_range is not None:
+        lo, hi = key_range
+        if lo is None:  # empty batch: nothing can match
+            keys = keys.where(F.lit(False))
+        else:
+            keys = keys.where(F.col(key).between(F.lit(lo), F.lit(hi)))
+    return b.join(keys.distinct(), on=key, how="left_anti")
+
+
+def key_bounds(batch: DataFrame, key: str = "id") -> tuple:
+    """(lowest, highest) key of a batch: one small aggregate, one row to the driver."""
+    r = batch.agg(F.min(key).alias("lo"), F.max(key).alias("hi")).first()
+    return (r["lo"], r["hi"])
 
 
 def null_key_rows(batch: DataFrame, key: str = "id") -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import types as T
 
 from marquee import schema as S
 from marquee.operators.cleaning import add_calendar, clean, parse_columns
-from marquee.operators.incremental import new_rows
+from marquee.operators.incremental import key_bounds, new_rows
 from marquee.sources.files import read_parquet_or_empty
 from marquee.sources.sinks import write_partitioned
 
@@ -27,19 +28,27 @@ def ingest(
     sink_schema: T.StructType,
     key: str = "id",
     partition_col: str = "year",
+    prune_by_key_range: bool = True,
 ) -> dict:
     """Append the batch's unseen keys to the raw zone, partitioned by ``partition_col`` (L2).
 
-    One write job; the counts come from ``observe`` on the same job instead of
-    the reference's extra count/max scans. A NULL ``year`` lands in the default
-    partition and reads back as NULL. Re-running after a failure is harmless:
-    keys that made it into the sink are filtered out by the anti-join.
+    The counts come from ``observe`` on the write job instead of extra count/max
+    scans. A NULL ``year`` lands in the default partition and reads back as
+    NULL. Re-running after a failure is harmless: keys that made it into the
+    sink are filtered out by the anti-join.
+
+    At scale the sink is far larger than a batch. Files are written sorted by
+    key, and with ``prune_by_key_range`` the sink read is limited to the
+    batch's key range (one small aggregate over the batch first), so the
+    anti-join reads the row groups that can match instead of every key ever
+    stored.
     """
     existing = read_parquet_or_empty(spark, sink_path, sink_schema)
-    new = new_rows(batch, existing, key).select(*sink_schema.fieldNames())
-    obs = Observation("ingest")
+    bounds = key_bounds(batch, key) if prune_by_key_range else None
+    new = new_rows(batch, existing, key, key_range=bounds).select(*sink_schema.fieldNames())
+    obs = Observation(f"ingest-{uuid.uuid4().hex[:12]}")
     new = new.observe(obs, F.count(F.lit(1)).alias("new_rows"), F.max(key).alias("max_id"))
-    write_partitioned(new, sink_path, partition_col, mode="append")
+    write_partitioned(new, sink_path, partition_col, mode="append", sort_key=key)
     return _observed(obs)
 
 

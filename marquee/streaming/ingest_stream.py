@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from marquee.operators.incremental import new_rows
+from marquee.operators.incremental import key_bounds, new_rows
 from marquee.sources.files import CSV_READ_OPTIONS, read_parquet_or_empty
 from marquee.sources.sinks import write_partitioned
 
@@ -52,8 +52,8 @@ def ingest_stream(
 
     def append_new(batch: DataFrame, epoch_id: int) -> None:
         existing = read_parquet_or_empty(batch.sparkSession, sink_path, schema)
-        fresh = new_rows(batch, existing, key).select(*schema.fieldNames())
-        write_partitioned(fresh, sink_path, partition_col, mode="append")
+        fresh = new_rows(batch, existing, key, key_range=key_bounds(batch, key)).select(*schema.fieldNames())
+        write_partitioned(fresh, sink_path, partition_col, mode="append", sort_key=key)
 
     q = (
         stream.writeStream.foreachBatch(append_new)

@@ -130,3 +130,20 @@ def test_external_table_and_views(spark, scratch):
     assert genre == {(2020, "drama"): 1, (2020, "comedy"): 1, (2021, "drama"): 1}
     growth = [tuple(r) for r in spark.table("t_company_cumulative").orderBy("release_year").collect()]
     assert growth == [(2020, 1, 1), (2021, 1, 2)]
+
+
+def test_sink_read_is_limited_to_the_batch_key_range(spark, scratch):
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("p", T.StringType())])
+    sink = scratch("range-sink")
+    spark.createDataFrame([(i, "a") for i in range(100)], schema).write.parquet(sink)
+    batch = spark.createDataFrame([(50, "x"), (150, "y"), (None, "z")], schema)
+    from marquee.operators.incremental import key_bounds
+
+    bounds = key_bounds(batch.filter("id is not null"))
+    assert bounds == (50, 150)
+    out = new_rows(batch, files.read_parquet_or_empty(spark, sink, schema), key_range=bounds)
+    assert [r.id for r in out.collect()] == [150]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(id,50)" in plan and "LessThanOrEqual(id,150)" in plan
+    empty = new_rows(batch.filter("id is null"), spark.createDataFrame([], schema), key_range=(None, None))
+    assert empty.count() == 0
