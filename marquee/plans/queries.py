@@ -456,7 +456,7 @@ def release_view(spark, sf_dir):
 
 @register("cleaned_catalogue")
 def cleaned_catalogue(spark, sf_dir):
-    """Every cleaning rule at once, row mode: one scan, no join (L3)."""
+    """Every cleaning rule at once, row mode: no join or shuffle beyond the catalogue derivation (L3)."""
     return cat.cleaned(spark, sf_dir)
 
 

@@ -78,6 +78,13 @@ def _missing(e: Exception) -> bool:
     return name == "PATH_NOT_FOUND" or "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists, asked of the Hadoop file system that serves it (HDFS, S3A, local...)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+
+
 def read_parquet_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Parquet zone with a declared schema; a missing zone reads as an empty table (A3, A4).
 
@@ -86,9 +93,11 @@ def read_parquet_or_empty(spark: SparkSession, path: str, schema: T.StructType)
     an empty sink and everything re-appended. The declared schema also keeps
     partition values typed as declared (``month=01`` stays text ``01``).
     """
+    if not path_exists(spark, path):
+        return empty_table(spark, schema)
     try:
         return spark.read.schema(schema).parquet(path)
-    except AnalysisException as e:
+    except AnalysisException as e:  # removed between the check and the read
         if _missing(e):
             return empty_table(spark, schema)
         raise
