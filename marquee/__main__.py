@@ -18,6 +18,7 @@ import json
 from pyspark.sql import SparkSession
 
 from marquee import schema as S
+from marquee.operators import profile
 from marquee.plans import analyses
 from marquee.plans.ingest import clean_zone, ingest, prepare_batch, read_clean_zone
 from marquee.session import ADAPTIVE_CONF, ensure_checkpoint_dir, local_session
@@ -54,6 +55,7 @@ def main(argv: list[str] | None = None) -> None:
     p = sub.add_parser("report", help="write the analyses of the filtered zone as parquet tables")
     p.add_argument("--filtered", required=True)
     p.add_argument("--out", required=True)
+    p.add_argument("--months", nargs="*", help="only these two-digit month partitions")
     a = ap.parse_args(argv)
 
     spark = _session(a.local)
@@ -68,7 +70,7 @@ def main(argv: list[str] | None = None) -> None:
     elif a.cmd == "transform":
         clean_zone(spark, a.raw, raw_schema, a.filtered, outlier_mode=a.outlier_mode)
     elif a.cmd == "report":
-        cleaned = read_clean_zone(spark, a.filtered)
+        cleaned = read_clean_zone(spark, a.filtered, months=a.months or None)
         outputs = {
             "genre_metrics": analyses.genre_metrics_all_grains(cleaned),
             "company_growth": analyses.company_debut_growth(cleaned),
@@ -76,7 +78,7 @@ def main(argv: list[str] | None = None) -> None:
             "cumulative_budget": analyses.cumulative_money(cleaned, "budget"),
             "cumulative_revenue": analyses.cumulative_money(cleaned, "revenue"),
             "releases_per_year": analyses.releases_per_year(cleaned),
-            "quality": analyses.quality_report(cleaned, cleaned).filter("stage = 'cleaned'"),
+            "quality": profile.column_report(cleaned, ["status", "genres", "production_companies"]),
         }
         for name, df in outputs.items():
             df.write.mode("overwrite").parquet(f"{a.out.rstrip('/')}/{name}")

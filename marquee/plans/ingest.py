@@ -77,6 +77,19 @@ def clean_zone(
     write_partitioned(cleaned, out_path, "month", mode="overwrite")
 
 
-def read_clean_zone(spark: SparkSession, path: str) -> DataFrame:
-    """The filtered zone with its declared schema (``month`` stays two-digit text)."""
-    return read_parquet_or_empty(spark, path, S.CLEAN_SCHEMA).select(*S.CLEAN_COLUMNS)
+def read_clean_zone(
+    spark: SparkSession, path: str, months: list[str] | None = None, years: list[str] | None = None
+) -> DataFrame:
+    """The filtered zone with its declared schema (``month`` stays two-digit text).
+
+    ``months`` filters on the partition column itself, so Spark lists and reads
+    only those partition folders (``PartitionFilters``); a filter written on
+    ``month(release_date)`` instead would scan every partition. ``years`` is a
+    data filter pushed to the Parquet reader (row-group statistics).
+    """
+    df = read_parquet_or_empty(spark, path, S.CLEAN_SCHEMA)
+    if months is not None:
+        df = df.filter(F.col("month").isin(months))
+    if years is not None:
+        df = df.filter(F.col("year").isin(years))
+    return df.select(*S.CLEAN_COLUMNS)

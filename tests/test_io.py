@@ -95,6 +95,10 @@ def test_ingest_is_idempotent_and_clean_zone_roundtrips(spark, scratch):
     cleaned = read_clean_zone(spark, out)
     assert sorted(r.id for r in cleaned.collect()) == [1, 4]
     assert {r.month for r in cleaned.collect()} == {"01", "02"}
+    feb = read_clean_zone(spark, out, months=["02"])
+    assert [r.id for r in feb.collect()] == [4]
+    plan = feb._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(month" in plan and "month#" in plan
 
 
 def test_stream_ingest_twice_appends_once(spark, scratch):
