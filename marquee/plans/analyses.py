@@ -33,10 +33,19 @@ def company_debut_growth(cleaned: DataFrame, deny: list[str] = S.COMPANY_DENY) -
     return growth.growth_frame(d, "year", "pc_distinct")
 
 
+def entity_debut_counts(
+    cleaned: DataFrame, entity: str = "production_companies", exclude: str | None = None
+) -> DataFrame:
+    """New whole-text entities (lower-cased) per debut year, optionally without one value."""
+    e = cleaned.withColumn(entity, F.lower(entity))
+    if exclude is not None:
+        e = e.filter(F.col(entity) != exclude)
+    return growth.debut_counts(e, entity, "year", as_="pc_count_by_year")
+
+
 def entity_debut_growth(cleaned: DataFrame, entity: str = "production_companies", exclude: str = "na") -> DataFrame:
-    """Debut growth of a whole-text entity, lower-cased, one value excluded (NB variant of L6)."""
-    e = cleaned.withColumn(entity, F.lower(entity)).filter(F.col(entity) != exclude)
-    d = growth.debut_counts(e, entity, "year", as_="pc_count_by_year")
+    """Debut growth of a whole-text entity, lower-cased, one value excluded (L6 whole-text variant)."""
+    d = entity_debut_counts(cleaned, entity, exclude)
     return growth.growth_frame(d, "year", "pc_count_by_year")
 
 

@@ -292,3 +292,6 @@ SQL["cleaned_catalogue"] = w(CLEAN_CTE, """SELECT id, status, genres, CAST(relea
 FROM cleaned""")
 
 SQL["quality_report"] = w(CLEAN_CTE, _report("raw", "cat", RAW_TYPES) + "\nUNION ALL\n" + _report("cleaned", "cleaned", CLEAN_TYPES))
+
+SQL["company_string_debut"] = w(CLEAN_CTE, """SELECT year, count(*) AS pc_count_by_year FROM (
+  SELECT lower(production_companies) AS e, min(year) AS year FROM cleaned GROUP BY 1) GROUP BY year""")

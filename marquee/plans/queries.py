@@ -385,6 +385,13 @@ def company_string_growth(spark, sf_dir):
     return analyses.entity_debut_growth(cat.cleaned(spark, sf_dir), "production_companies")
 
 
+@register("company_string_debut")
+def company_string_debut(spark, sf_dir):
+    """Whole company strings per debut year, "na" included, most first."""
+    out = analyses.entity_debut_counts(cat.cleaned(spark, sf_dir), "production_companies")
+    return out.orderBy(F.desc("pc_count_by_year"), "year")
+
+
 @register("title_growth")
 def title_growth(spark, sf_dir):
     """Debut growth with the title (customer) as entity."""
