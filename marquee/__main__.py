@@ -48,6 +48,8 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--source", required=True)
     p.add_argument("--raw", required=True)
     p.add_argument("--checkpoint", required=True)
+    p.add_argument("--max-files-per-trigger", type=int, default=None,
+                   help="bound each micro-batch (a first backfill of many files then runs as several batches)")
     p = sub.add_parser("transform", help="clean the raw zone into the filtered zone")
     p.add_argument("--raw", required=True)
     p.add_argument("--filtered", required=True)
@@ -64,7 +66,8 @@ def main(argv: list[str] | None = None) -> None:
         batch = prepare_batch(files.read_csv(spark, a.source, S.RAW_TEXT_SCHEMA))
         print(json.dumps(ingest(spark, batch, a.raw, raw_schema)))
     elif a.cmd == "stream":
-        stream = prepare_batch(source_stream(spark, a.source, S.RAW_TEXT_SCHEMA, fmt="csv"))
+        stream = prepare_batch(source_stream(spark, a.source, S.RAW_TEXT_SCHEMA, fmt="csv",
+                                             max_files_per_trigger=a.max_files_per_trigger))
         n = ingest_stream(spark, stream, a.raw, a.checkpoint, "id", "year", raw_schema)
         print(json.dumps({"micro_batches": n}))
     elif a.cmd == "transform":

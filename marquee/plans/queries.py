@@ -16,8 +16,8 @@ from pyspark.sql import types as T
 
 from marquee import schema as S
 from marquee.operators import growth, incremental, metrics, profile, tokens, topk
-from marquee.operators.cleaning import drop_incomplete, fill_defaults, format_partitions, outlier_counts, parse_columns
-from marquee.functions.text import normalise_category, strip_company_text
+from marquee.operators.cleaning import drop_incomplete, fill_defaults, outlier_counts, parse_columns
+from marquee.functions.text import normalise_category, pad_month, strip_company_text
 from marquee.plans import analyses
 from marquee.plans import catalogue as cat
 from marquee.plans.ingest import clean_zone, ingest, prepare_batch, read_clean_zone
@@ -73,10 +73,7 @@ def _companies(spark, sf_dir) -> DataFrame:
 def typed_projection(spark, sf_dir):
     """Catalogue as text → typed columns, calendar parts, year/month text."""
     typed = prepare_batch(tc.catalogue_text(spark, sf_dir))
-    out = format_partitions(
-        typed.withColumns({"year_text": F.col("year"), "month_text": F.col("month")})
-        .withColumnsRenamed({"year": "year_int", "month": "month_int", "year_text": "year", "month_text": "month"})
-    ).withColumnsRenamed({"year": "year_text", "month": "month_text", "year_int": "year", "month_int": "month"})
+    out = typed.withColumns({"year_text": F.col("year").cast("string"), "month_text": pad_month("month")})
     return out.select(
         "id", "status", "release_date", "year", "month", "year_text", "month_text",
         F.col("runtime").cast("double").alias("runtime"), "budget", "revenue",
