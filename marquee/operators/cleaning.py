@@ -151,6 +151,41 @@ def outlier_counts(df: DataFrame, rules: Mapping[str, Column] | None = None) ->
 # ---------------------------------------------------------------- L3
 
 
+def cleaned_columns(df: DataFrame, status_allow: list[str] = S.STATUS_ALLOW) -> dict[str, Column]:
+    """The 13 cleaned columns as expressions over one typed raw row.
+
+    Equal, column by column, to ``format_partitions`` → ``normalise_text`` →
+    ``fill_defaults`` applied in sequence; as plain expressions they can be
+    evaluated next to the raw columns in one projection (see ``profile_cleaning``).
+    """
+    has_calendar = "year" in df.columns and "month" in df.columns
+    year = F.col("year") if has_calendar else F.year("release_date")
+    month = F.col("month") if has_calendar else F.month("release_date")
+    cols = {
+        "id": F.col("id"),
+        "status": normalise_category("status", status_allow),
+        "genres": strip_genre_text("genres"),
+        "release_date": F.col("release_date"),
+        "runtime": F.col("runtime"),
+        "year": year.cast("string"),
+        "month": pad_month(month),
+        "budget": F.col("budget"),
+        "revenue": F.col("revenue"),
+        "vote_count": F.col("vote_count"),
+        "vote_average": F.col("vote_average"),
+        "title": F.col("title"),
+        "production_companies": F.trim(F.lower(strip_company_text("production_companies"))),
+    }
+    for c, v in S.FILL_DEFAULTS.items():
+        cols[c] = F.coalesce(cols[c], F.lit(v))
+    return cols
+
+
+def keep_row(rules: Mapping[str, Column] | None = None) -> Column:
+    """True for a cleaned row that no outlier rule flags (row mode)."""
+    return ~_any(rules if rules is not None else outlier_rules())
+
+
 def clean(
     df: DataFrame,
     status_allow: list[str] = S.STATUS_ALLOW,
@@ -162,16 +197,12 @@ def clean(
     """The whole cleaning rule set over a typed raw catalogue (L3).
 
     Null drop → year/month text → text normalisation → 13 columns → defaults →
-    outlier removal (skipped with ``outlier_mode="none"``). In row mode the plan is one scan and one projection/filter
-    span (no shuffle); the writer adds the only exchange.
+    outlier removal (skipped with ``outlier_mode="none"``). In row mode it is one
+    filter and one projection over the scan (no shuffle); the writer adds the
+    only exchange.
     """
-    if "year" not in df.columns or "month" not in df.columns:
-        df = add_calendar(df)
-    out = drop_incomplete(df, required)
-    out = format_partitions(out)
-    out = normalise_text(out, status_allow)
-    out = out.select(*S.CLEAN_COLUMNS)
-    out = fill_defaults(out)
+    cols = cleaned_columns(df, status_allow)
+    out = drop_incomplete(df, required).select([cols[c].alias(c) for c in S.CLEAN_COLUMNS])
     if outlier_mode == "none":
         return out
     return remove_outliers(out, rules, mode=outlier_mode, key=key)

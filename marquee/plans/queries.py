@@ -422,8 +422,8 @@ def cumulative_revenue(spark, sf_dir):
 
 @register("quality_report")
 def quality_report(spark, sf_dir):
-    """Types, NULLs, distinct values and rows of every column, raw and cleaned."""
-    rep = analyses.quality_report(cat.raw(spark, sf_dir), cat.cleaned(spark, sf_dir))
+    """Types, NULLs, distinct values and rows of every column, raw and cleaned, one scan."""
+    rep = analyses.quality_report(cat.raw(spark, sf_dir), tc.ORDER_STATUS_ALLOW, cat.order_rules())
     return rep.withColumn("distinct_values", F.col("distinct_values").cast("double"))
 
 
