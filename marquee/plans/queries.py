@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marquee import schema as S
 from marquee.operators import growth, incremental, metrics, profile, tokens, topk
 from marquee.operators.cleaning import drop_incomplete, fill_defaults, outlier_counts, parse_columns
 from marquee.functions.text import normalise_category, pad_month, strip_company_text

@@ -1,6 +1,5 @@
 """Scalar expressions on hand-made edge rows."""
 
-from pyspark.sql import functions as F
 
 from marquee import schema as S
 from marquee.functions import (

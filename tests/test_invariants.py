@@ -42,7 +42,6 @@ def test_last_running_total_is_grand_total(spark):
 
 def test_cli_jobs_end_to_end(spark, scratch):
     from marquee.__main__ import main
-    from marquee.sources import files
 
     src = scratch("cli-src")
     text = tc.catalogue_text(spark, SF)

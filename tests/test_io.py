@@ -4,7 +4,6 @@ import datetime as dt
 import os
 
 import pytest
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 

@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marquee.operators import growth, incremental, metrics, tokens
+from marquee.operators import growth, incremental, metrics
 from marquee.operators.cleaning import remove_outliers
 from marquee.plans import analyses
 from marquee.sources import files

@@ -3,7 +3,6 @@
 import math
 
 import pandas as pd
-from pyspark.sql import functions as F
 
 from marquee.functions import distinct_with_null, null_count, safe_corr
 
