@@ -31,10 +31,18 @@ def null_count(c: str | Column) -> Column:
     return F.count_if(_c(c).isNull())
 
 
-def distinct_with_null(c: str | Column) -> Column:
-    """``select(c).distinct().count()`` semantics (NULL counts as one value) in one aggregate."""
+def distinct_with_null(c: str | Column, approx: bool = False, rsd: float = 0.01) -> Column:
+    """``select(c).distinct().count()`` semantics (NULL counts as one value) in one aggregate.
+
+    Exact by default: Spark expands the rows once per distinct column and
+    de-duplicates (column, value) pairs before counting. ``approx=True`` uses
+    HyperLogLog++ (``approx_count_distinct``, relative error ``rsd``): one pass,
+    no expansion, a fixed-size sketch per group, for profiles over very large
+    high-cardinality text columns where an estimate is enough.
+    """
     col = _c(c)
-    return F.count_distinct(col) + F.coalesce(F.max(col.isNull().cast("int")), F.lit(0))
+    distinct = F.approx_count_distinct(col, rsd) if approx else F.count_distinct(col)
+    return distinct + F.coalesce(F.max(col.isNull().cast("int")), F.lit(0))
 
 
 def to_cents(c: str | Column) -> Column:

@@ -36,9 +36,13 @@ def debut_counts(df: DataFrame, entity: str, year: str = "year", as_: str = "deb
     return d.groupBy(year).agg(F.count(F.lit(1)).alias(as_))
 
 
-def distinct_per_group(df: DataFrame, key: str, col: str, as_: str) -> DataFrame:
-    """``count(distinct col)`` per key (F9); Spark plans it as two partial aggregations."""
-    return df.groupBy(key).agg(F.count_distinct(col).alias(as_))
+def distinct_per_group(df: DataFrame, key: str, col: str, as_: str, approx: bool = False) -> DataFrame:
+    """``count(distinct col)`` per key (F9); Spark plans it as two partial aggregations.
+
+    ``approx=True`` counts with HyperLogLog++ instead (one aggregation, fixed-size sketches).
+    """
+    agg = F.approx_count_distinct(col, 0.01) if approx else F.count_distinct(col)
+    return df.groupBy(key).agg(agg.alias(as_))
 
 
 def _ordered(order_col: str) -> Window:

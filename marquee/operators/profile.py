@@ -39,20 +39,20 @@ def schema_profile(df: DataFrame) -> DataFrame:
     )
 
 
-def distinct_profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+def distinct_profile(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFrame:
     """Row count and, per column, distinct values with NULL counted as one (F1, F3), in one aggregate.
 
     Spark expands the rows once per distinct column (one Expand, one shuffle),
     and de-duplicates (column, value) map-side first, so a value held by a
     third of the rows costs one row per map task.
     """
-    one = df.agg(F.count(F.lit(1)).alias("rows"), *[distinct_with_null(c).alias(c) for c in cols])
+    one = df.agg(F.count(F.lit(1)).alias("rows"), *[distinct_with_null(c, approx).alias(c) for c in cols])
     return one.select("rows", F.posexplode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("distinct_values")) for c in cols])).alias("pos", "s")).select(
         "rows", "s.column_name", "s.distinct_values"
     )
 
 
-def column_report(df: DataFrame, distinct_cols: Sequence[str] = ()) -> DataFrame:
+def column_report(df: DataFrame, distinct_cols: Sequence[str] = (), approx: bool = False) -> DataFrame:
     """(column_name, position, data_type, nulls, distinct_values, rows) in one aggregate over one scan (L4).
 
     ``distinct_values`` counts NULL as a value and is NULL for columns not in
@@ -61,7 +61,7 @@ def column_report(df: DataFrame, distinct_cols: Sequence[str] = ()) -> DataFrame
     cols = df.columns
     aggs = [F.count(F.lit(1)).alias("_rows")]
     aggs += [F.count_if(F.col(c).isNull()).alias(f"_n{i}") for i, c in enumerate(cols)]
-    aggs += [distinct_with_null(c).alias(f"_d{i}") for i, c in enumerate(cols) if c in distinct_cols]
+    aggs += [distinct_with_null(c, approx).alias(f"_d{i}") for i, c in enumerate(cols) if c in distinct_cols]
     one = df.agg(*aggs)
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     entries = [

@@ -50,3 +50,16 @@ def test_key_max_is_numeric(spark):
     df = spark.createDataFrame([("9",), ("10",), ("zz",)], "id string")
     r = profile.key_max(df).collect()[0]
     assert (r.rows, r.max_id) == (3, 10)
+
+
+def test_approximate_distinct_counts_are_close_and_single_pass(spark):
+    df = spark.range(0, 20000).select((F.col("id") % 5000).cast("string").alias("v"), (F.col("id") % 7).alias("k"))
+    exact = {r.column_name: r.distinct_values for r in profile.distinct_profile(df, ["v", "k"]).collect()}
+    approx_df = profile.distinct_profile(df, ["v", "k"], approx=True)
+    approx = {r.column_name: r.distinct_values for r in approx_df.collect()}
+    assert exact == {"v": 5000, "k": 7}
+    assert abs(approx["v"] - 5000) <= 5000 * 0.05 and approx["k"] == 7
+    assert "Expand" not in approx_df._jdf.queryExecution().executedPlan().toString()
+    per = {r.k: r.n for r in growth.distinct_per_group(df, "k", "v", "n", approx=True).collect()}
+    ex = {r.k: r.n for r in growth.distinct_per_group(df, "k", "v", "n").collect()}
+    assert set(per) == set(ex) and all(abs(per[k] - ex[k]) <= ex[k] * 0.05 for k in ex)
