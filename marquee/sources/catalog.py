@@ -30,6 +30,9 @@ def create_external_table(
 
 
 # Spark SQL of the three views. ``{src}`` is the table over the cleaned zone.
+# Tokens are normalised and filtered inside the array before ``explode`` (as in
+# ``operators.tokens``): a filter on the generated column cannot be pushed below
+# the Generate node, so rejected tokens would otherwise become rows first.
 RELEASE_VIEW = """
 SELECT id, revenue, release_date, year AS release_year, month AS release_month,
        budget, status, vote_average, vote_count
@@ -45,13 +48,14 @@ SELECT release_year, release_month, genre, count(*) AS movie_count,
 FROM (
   SELECT id, revenue, budget, vote_count, release_date,
          year(release_date) AS release_year, month(release_date) AS release_month,
-         lower(trim(genre)) AS genre,
+         genre,
          CASE WHEN revenue IS NOT NULL THEN CAST(budget AS DOUBLE) END AS b,
          CASE WHEN budget IS NOT NULL THEN CAST(revenue AS DOUBLE) END AS r
   FROM {src}
-  LATERAL VIEW explode(split(genres, ', ')) t AS genre
+  LATERAL VIEW explode(
+    filter(transform(split(genres, ', '), g -> lower(trim(g))), g -> g IN ({genres}))
+  ) t AS genre
 )
-WHERE genre IN ({genres})
 GROUP BY release_year, release_month, genre
 """
 
@@ -59,14 +63,13 @@ COMPANY_VIEW = """
 WITH pc_filtered AS (
   SELECT production_company, min(release_year) AS release_year
   FROM (
-    SELECT year(release_date) AS release_year, lower(trim(pc)) AS production_company
+    SELECT year(release_date) AS release_year, production_company
     FROM {src}
-    LATERAL VIEW explode(split(production_companies, ', ')) t AS pc
+    LATERAL VIEW explode(
+      filter(transform(split(production_companies, ', '), pc -> lower(trim(pc))),
+             pc -> pc IS NOT NULL AND pc NOT IN ({deny}) AND length(pc) > {min_len} AND pc RLIKE '{pattern}')
+    ) t AS production_company
   )
-  WHERE production_company IS NOT NULL
-    AND production_company NOT IN ({deny})
-    AND length(production_company) > {min_len}
-    AND production_company RLIKE '{pattern}'
   GROUP BY production_company
 ),
 pc_yearly_agg AS (
