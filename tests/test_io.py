@@ -150,3 +150,22 @@ def test_sink_read_is_limited_to_the_batch_key_range(spark, scratch):
     assert "GreaterThanOrEqual(id,50)" in plan and "LessThanOrEqual(id,150)" in plan
     empty = new_rows(batch.filter("id is null"), spark.createDataFrame([], schema), key_range=(None, None))
     assert empty.count() == 0
+
+
+def test_partitioned_write_is_clustered_and_key_sorted(spark, scratch):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from marquee.sources.sinks import write_partitioned
+
+    df = spark.range(0, 5000).select((F.col("id") * 7919 % 5000).alias("id"), (F.col("id") % 3).cast("string").alias("p"))
+    out = scratch("sorted")
+    write_partitioned(df.repartition(6), out, "p", mode="overwrite", sort_key="id")
+    local_out = local(out)
+    for part in ("0", "1", "2"):
+        parquet_files = glob.glob(f"{local_out}/p={part}/*.parquet")
+        assert len(parquet_files) == 1  # small data: one file per partition value
+        ids = pq.read_table(parquet_files[0]).column("id").to_pylist()
+        assert ids == sorted(ids)
+    assert spark.read.parquet(out).count() == 5000

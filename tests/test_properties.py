@@ -84,3 +84,18 @@ def test_new_rows_match_set_semantics(spark, batch, existing):
 def test_distinct_with_null_matches_set(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "v string")
     assert df.agg(distinct_with_null("v").alias("d")).collect()[0].d == len(set(values))
+
+
+@SETTINGS
+@given(st.lists(st.integers(-10**13, 10**13), min_size=1, max_size=40))
+def test_cents_round_trip_is_exact_for_two_decimal_money(spark, cents):
+    from decimal import Decimal
+
+    from pyspark.sql import functions as F
+
+    from marquee.functions.stats import from_cents, to_cents
+
+    df = spark.createDataFrame([(c / 100.0,) for c in cents], "x double")
+    got = df.agg(from_cents(F.sum(to_cents("x"))).alias("s")).collect()[0].s
+    assert got == sum(Decimal(c) for c in cents) / 100
+    assert got == df.agg(F.sum(F.col("x").cast("decimal(18,2)")).alias("s")).collect()[0].s
