@@ -46,12 +46,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     survives executor loss; it is only read here. Where it is unset (a bare
     local test session) a fresh folder is made, as tests need one.
     """
-    sc = spark.sparkContext
-    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect sessions have no SparkContext
+        sc = None
+    path = spark.conf.get("spark.checkpoint.dir", None) or (sc.getCheckpointDir() if sc else None)
     if not path:
         path = tempfile.mkdtemp(prefix="marquee-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    if not sc.getCheckpointDir():
+    if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(path)
     return path
 

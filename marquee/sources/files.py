@@ -79,10 +79,17 @@ def _missing(e: Exception) -> bool:
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether ``path`` exists, asked of the Hadoop file system that serves it (HDFS, S3A, local...)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+    """Whether ``path`` exists, asked of the Hadoop file system that serves it (HDFS, S3A, local...).
+
+    Without JVM access (Spark Connect) the answer is "maybe" (True) and the
+    caller's read decides, handling PATH_NOT_FOUND itself.
+    """
+    try:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+    except Exception:  # noqa: BLE001
+        return True
 
 
 def read_parquet_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
