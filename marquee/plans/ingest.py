@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from marquee import schema as S
 from marquee.operators.cleaning import add_calendar, clean, parse_columns
 from marquee.operators.incremental import key_bounds, new_rows
-from marquee.sources.files import read_parquet_or_empty
+from marquee.sources.files import path_exists, read_parquet_or_empty
 from marquee.sources.sinks import write_partitioned
 
 
@@ -43,8 +43,10 @@ def ingest(
     anti-join reads the row groups that can match instead of every key ever
     stored.
     """
+    sink_exists = path_exists(spark, sink_path)
     existing = read_parquet_or_empty(spark, sink_path, sink_schema)
-    bounds = key_bounds(batch, key) if prune_by_key_range else None
+    # bounds cost one pass over the batch; pointless when there is no sink yet (first run, backfill)
+    bounds = key_bounds(batch, key) if prune_by_key_range and sink_exists else None
     new = new_rows(batch, existing, key, key_range=bounds).select(*sink_schema.fieldNames())
     obs = Observation(f"ingest-{uuid.uuid4().hex[:12]}")
     new = new.observe(obs, F.count(F.lit(1)).alias("new_rows"), F.max(key).alias("max_id"))
