@@ -60,7 +60,7 @@ GROUP BY release_year, release_month, genre
 """
 
 COMPANY_VIEW = """
-WITH pc_filtered AS (
+WITH company_first_year AS (
   SELECT production_company, min(release_year) AS release_year
   FROM (
     SELECT year(release_date) AS release_year, production_company
@@ -72,18 +72,18 @@ WITH pc_filtered AS (
   )
   GROUP BY production_company
 ),
-pc_yearly_agg AS (
+debuts_per_year AS (
   SELECT release_year, count(*) AS pc_distinct_count
-  FROM pc_filtered
+  FROM company_first_year
   GROUP BY release_year
 ),
-pc_cumulative AS (
+with_running_total AS (
   SELECT release_year, pc_distinct_count,
          sum(pc_distinct_count) OVER (ORDER BY release_year ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
            AS pc_cumm_count
-  FROM pc_yearly_agg
+  FROM debuts_per_year
 )
-SELECT release_year, pc_distinct_count, pc_cumm_count FROM pc_cumulative
+SELECT release_year, pc_distinct_count, pc_cumm_count FROM with_running_total
 """
 
 
