@@ -19,10 +19,9 @@ from pyspark.sql import SparkSession
 
 from marquee import schema as S
 from marquee.operators import profile
-from marquee.plans import analyses
-from marquee.plans.ingest import clean_zone, ingest, prepare_batch, read_clean_zone
+from marquee.plans import analyses, jobs
+from marquee.plans.ingest import prepare_batch, read_clean_zone
 from marquee.session import ADAPTIVE_CONF, ensure_checkpoint_dir, local_session
-from marquee.sources import files
 from marquee.streaming.ingest_stream import ingest_stream, source_stream
 
 
@@ -63,15 +62,14 @@ def main(argv: list[str] | None = None) -> None:
     spark = _session(a.local)
     raw_schema = S.raw_typed_schema()
     if a.cmd == "ingest":
-        batch = prepare_batch(files.read_csv(spark, a.source, S.RAW_TEXT_SCHEMA))
-        print(json.dumps(ingest(spark, batch, a.raw, raw_schema)))
+        print(json.dumps(jobs.process_raw_data(spark, a.source, a.raw)))
     elif a.cmd == "stream":
         stream = prepare_batch(source_stream(spark, a.source, S.RAW_TEXT_SCHEMA, fmt="csv",
                                              max_files_per_trigger=a.max_files_per_trigger))
         n = ingest_stream(spark, stream, a.raw, a.checkpoint, "id", "year", raw_schema)
         print(json.dumps({"micro_batches": n}))
     elif a.cmd == "transform":
-        clean_zone(spark, a.raw, raw_schema, a.filtered, outlier_mode=a.outlier_mode)
+        jobs.transform_data(spark, a.raw, a.filtered, outlier_mode=a.outlier_mode)
     elif a.cmd == "report":
         cleaned = read_clean_zone(spark, a.filtered, months=a.months or None)
         outputs = {

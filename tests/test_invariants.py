@@ -63,3 +63,14 @@ def test_cli_jobs_end_to_end(spark, scratch):
     assert spark.read.parquet(flt).filter("status <> 'Others'").count() == 0
     assert spark.read.parquet(f"{rep}/releases_per_year").agg(F.sum("releases")).collect()[0][0] == \
         spark.read.parquet(flt).count()
+
+
+def test_eda_entries_run(spark):
+    from marquee.operators.cleaning import clean
+    from marquee.plans.jobs import eda
+
+    raw = cat.raw(spark, SF)
+    report = eda(raw, clean(raw, status_allow=tc.ORDER_STATUS_ALLOW, outlier_mode="none"))
+    for name, df in report.items():
+        df.write.format("noop").mode("overwrite").save()
+    assert report["outlier_counts"].first().rows_in == cat.cleaned(spark, SF, "none").count()
