@@ -98,20 +98,28 @@ def main() -> None:
     args = sys.argv[1:]
     names = sorted(QUERIES) if "--all" in args else [a for a in args if not a.startswith("--")] or HEADLINE
     spark = local_session(cpus, shuffle_partitions=max(8, 2 * cpus), app="marquee-bench")
-    times = {}
+    times, errors = {}, {}
     for n in names:
-        run(spark, n, sf_dir)  # warm-up
-        times[n] = round(min(run(spark, n, sf_dir) for _ in range(2)), 3)
-    zone = zone_bench(spark, sf_dir) if "--no-zone" not in args else {}
+        try:
+            run(spark, n, sf_dir)  # warm-up
+            times[n] = round(min(run(spark, n, sf_dir) for _ in range(2)), 3)
+        except Exception as e:  # noqa: BLE001 - record and keep going: one failure must not hide the rest
+            times[n] = None
+            errors[n] = f"{type(e).__name__}: {str(e)[:300]}"
+    try:
+        zone = zone_bench(spark, sf_dir) if "--no-zone" not in args else {}
+    except Exception as e:  # noqa: BLE001
+        zone = {"error": f"{type(e).__name__}: {str(e)[:300]}"}
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
         "metric": "total_sec",
-        "value": round(sum(times.values()), 3),
+        "value": round(sum(t for t in times.values() if t is not None), 3),
         "unit": "sec",
         "queries": times,
         "sf": float(m.group(1)) if m else sf_dir,
         "cpus": cpus,
         "zone": zone,
+        **({"errors": errors} if errors else {}),
     }))
     spark.stop()
 
