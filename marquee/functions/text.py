@@ -15,13 +15,19 @@ def _c(c: str | Column) -> Column:
 def strip_chars(c: str | Column, pattern: str) -> Column:
     """Remove every character matched by ``pattern`` (Java regex); NULL stays NULL.
 
-    A single character class is applied to maximal runs (possessive ``++``):
-    removing each run is the same as removing each character, with one
-    replacement per run instead of one per character.
+    For a negated class ``[^...]`` (the strip rules) the text is rebuilt from
+    the maximal runs of the *kept* class instead: concatenating every run of
+    kept characters equals deleting every other character, and extracting runs
+    costs about half of replacing them (no per-match append/replace step).
+    Any other single class is removed run by run (possessive ``++``).
     """
+    col = _c(c)
+    if pattern.startswith("[^") and pattern.endswith("]") and "[" not in pattern[2:-1]:
+        kept = "[" + pattern[2:] + "++"
+        return F.array_join(F.regexp_extract_all(col, F.lit(kept), 0), "")
     if pattern.startswith("[") and pattern.endswith("]"):
         pattern = pattern + "++"
-    return F.regexp_replace(_c(c), pattern, "")
+    return F.regexp_replace(col, pattern, "")
 
 
 def strip_genre_text(c: str | Column) -> Column:
