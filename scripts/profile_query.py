@@ -4,6 +4,8 @@
 
 Runs each query twice with the ``noop`` sink and an event log in a fresh
 scratch folder, then prints (stage id, tasks, ms, name) for the second run.
+A local development tool: it builds its own ``local[8]`` session and keeps the
+event log in a machine-local temporary folder, which is not for cluster use.
 """
 
 from __future__ import annotations
