@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from marquee.llm import exact_dedup
+from marquee.llm import exact_dedup, quality_rules
 
 QUERIES = {
+    "op4_quality_rules": quality_rules.op4_quality_rules,
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
 }
 
 SQL = {
+    "op4_quality_rules": quality_rules.SQL,
     "op8_exact_dedup": exact_dedup.SQL,
 }
