@@ -19,7 +19,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm.scratch import documents
+from marquee.llm.scratch import documents, written
 from marquee.sources.tables import table
 
 #: Rule → grid of candidate cutoffs (a document is rejected where the measure is above the cutoff).
@@ -33,6 +33,8 @@ RISK = 0.01
 #: Chance that any selected cutoff breaks its bound.
 DELTA = 0.05
 MIN_WORDS = 50
+#: Rows of the cutoffs table up to which it is broadcast; beyond, it is joined by shuffle.
+BROADCAST_STRATA = 10_000
 #: Low bits of a sort key that hold a word position (texts up to 16 million words).
 _POSITION_BITS = 24
 _MASK = (1 << _POSITION_BITS) - 1
@@ -158,33 +160,33 @@ def quality_rules(
     the base rule; a null stratum is a stratum of its own; with no labelled rows
     (or too few) no cutoff is selected and only the base rule rejects; labels
     given twice for a document count once (the lowest); an empty table gives an
-    empty result. The selected cutoffs (at most one per stratum and rule) are
-    joined by stratum; strata are few, so Spark broadcasts them by size.
+    empty result. Texts are read and measured once; the narrow measures are
+    written to the shared folder, and labels and cutoffs join those.
     """
-    m = measures(docs, id_col, text_col, stratum_col)
+    m = written(measures(docs, id_col, text_col, stratum_col), "quality-measures")
+    return verdicts(m, selected_cutoffs(m, labels, label_id, label_col, risk, delta)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def selected_cutoffs(measured: DataFrame, labels: DataFrame, label_id: str = "doc_id", label_col: str = "quality",
+                     risk: float = RISK, delta: float = DELTA) -> DataFrame:
+    """(stratum, cut: map of rule to cutoff) from the measured rows that have a label; only narrow rows are joined."""
     lab = labels.select(F.col(f"`{label_id}`").alias("doc_id"), F.col(f"`{label_col}`").alias("good"))
     lab = lab.where("doc_id is not null").groupBy("doc_id").agg(F.min("good").alias("good"))
-    # the labelled rows are measured on their own: the join runs on raw text of labelled rows only
-    sub = docs.join(lab.withColumnsRenamed({"doc_id": "_label_id", "good": "_label_good"}),
-                    F.col(f"`{id_col}`") == F.col("_label_id"), "inner")
-    evidence = measures_with(sub, id_col, text_col, stratum_col, "_label_good")
-    chosen = cutoffs(evidence, risk=risk, delta=delta).groupBy("stratum").agg(
+    chosen = cutoffs(measured.join(lab, "doc_id"), risk=risk, delta=delta).groupBy("stratum").agg(
         F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("cut"))
+    return written(chosen, "quality-cutoffs")
+
+
+def verdicts(measured: DataFrame, chosen: DataFrame) -> DataFrame:
+    """``measured`` plus ``kept``. The cutoffs are broadcast only up to ``BROADCAST_STRATA`` rows, counted first."""
     above = [F.coalesce(F.col(r) > F.col("cut")[r], F.lit(False)) for r in RULES]
     rejected = above[0]
     for a in above[1:]:
         rejected = rejected | a
-    return m.join(chosen, "stratum", "left").select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        (~F.col("base_failed") & ~rejected).alias("kept"))
-
-
-def measures_with(docs: DataFrame, id_col: str, text_col: str, stratum_col: str | None, good: str) -> DataFrame:
-    """``measures`` of labelled rows, carrying their label as ``good``."""
-    keyed = docs.select(
-        F.struct(F.col(f"`{id_col}`").alias("id"), F.col(good).alias("good")).alias("doc_id"), F.col(f"`{text_col}`").alias("text"),
-        (F.col(f"`{stratum_col}`") if stratum_col else F.lit(None).cast("string")).alias("stratum"))
-    return measures(keyed, "doc_id", "text", "stratum").withColumn("good", F.col("doc_id.good"))
+    small = chosen.limit(BROADCAST_STRATA + 1).count() <= BROADCAST_STRATA
+    joined = measured.join(F.broadcast(chosen) if small else chosen, "stratum", "left")
+    return joined.withColumn("kept", ~F.col("base_failed") & ~rejected).drop("cut")
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
