@@ -39,7 +39,7 @@ MAX_EPOCHS = 3
 BLOCK_WORDS = 65_536
 MIN_BLOCKS = 512
 #: Rows of one source ranked by one window partition, about.
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 2_000
 SHARDS = 64
 
 
