@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from marquee.llm import bpe_automaton, exact_dedup, mixing, quality_rules
+from marquee.llm import bpe_automaton, exact_dedup, mixing, ngram_join, quality_rules
 
 QUERIES = {
+    "op1_ngram_join": ngram_join.op1_ngram_join,
     "op9_bpe_automaton": bpe_automaton.op9_bpe_automaton,
     "op10_mix_sources": mixing.op10_mix_sources,
     "op4_quality_rules": quality_rules.op4_quality_rules,
@@ -12,6 +13,7 @@ QUERIES = {
 }
 
 SQL = {
+    "op1_ngram_join": ngram_join.SQL,
     "op4_quality_rules": quality_rules.SQL,
     "op8_exact_dedup": exact_dedup.SQL,
 }
