@@ -16,7 +16,8 @@ shingles is 0.8 or more. The join is exact.
 3. Index lists. A prefix shingle's list holds the sets that have it, with size
    and position. Equal sets are one class. A list is cut into blocks by size,
    and a block is skipped where no size in it can reach 0.8; an entry is skipped
-   where the positions leave too few shingles to share.
+   where the positions leave too few shingles to share, or where the parity
+   bitmaps of two sets differ in more bits than two linked sets can.
 4. Set relations. A list's pivots are compared with all its members. A set
    found similar to a pivot takes over the pivot's answers: both are one
    component, and no other pair inside it needs comparing. Only lists that still
@@ -42,7 +43,7 @@ from marquee.llm.components import components
 from marquee.llm.scratch import documents, id_and_text, written
 
 #: Text of one group of documents whose shingles travel together, and its most documents.
-GROUP_BYTES = 4 << 20
+GROUP_BYTES = 2 << 20
 GROUP_ROWS = 4096
 #: Shingles in this many documents of a group are sent once for the group.
 COMMON = 8
@@ -52,7 +53,7 @@ PIVOTS = 2
 
 _SENT = "bucket int, grp long, h binary, cnt binary, common_h binary, common_n binary, docs binary"
 _BACK = "grp long, row binary, h binary, df binary, common_h binary, common_df binary, docs binary"
-_SETS = "doc_id long, n_shingles long, node binary, unique_shingles long, prefix array<bigint>, shingles binary"
+_SETS = "doc_id long, n_shingles long, node binary, unique_shingles long, prefix array<bigint>, bitmap array<bigint>, shingles binary"
 
 
 def _pack(h: np.ndarray) -> bytes:
@@ -220,16 +221,23 @@ def _assemble(table: pa.Table) -> pa.Table:
     bounds = np.searchsorted(row, np.arange(len(docs) + 1))
     unique = n - np.diff(bounds)
     need = n - (8 * n + 9) // 10 + 1  # prefix length
-    prefix, sets = [], []
+    prefix, bitmaps, sets = [], [], []
     for i in range(len(docs)):
         able = n[i] > 0 and unique[i] < need[i]
         own = h[bounds[i] : bounds[i + 1]] if able else None
         prefix.append(own[: need[i] - unique[i]].view(np.int64) if able else None)
+        bitmaps.append(_parities(own) if able else None)
         sets.append(np.sort(own).tobytes() if able else None)
     return pa.Table.from_arrays(
         [docs.column("id"), pa.array(n, pa.int64()), docs.column("node"), pa.array(unique, pa.int64()),
-         pa.array(prefix, pa.list_(pa.int64())), pa.array(sets, pa.binary())],
-        names=["doc_id", "n_shingles", "node", "unique_shingles", "prefix", "shingles"])
+         pa.array(prefix, pa.list_(pa.int64())), pa.array(bitmaps, pa.list_(pa.int64())), pa.array(sets, pa.binary())],
+        names=["doc_id", "n_shingles", "node", "unique_shingles", "prefix", "bitmap", "shingles"])
+
+
+def _parities(h: np.ndarray) -> np.ndarray:
+    """Parity of the number of shingles in each of 256 bins, as four 64-bit words."""
+    bins = (tn.mix(h) & np.uint64(255)).astype(np.int64)
+    return np.packbits((np.bincount(bins, minlength=256) & 1).astype(np.uint8)).view(np.int64)
 
 
 def shingle_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5) -> DataFrame:
@@ -260,41 +268,51 @@ def verified(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return seen.select("a", "b", (1 - F.col("shared") / union).alias("distance"), (100 * F.col("shared") >= 80 * union).alias("link"))
 
 
-def _fits(n1, n2, i1, i2):
-    """Sizes within 0.8, and after positions i1 and i2 enough shingles left to share (both counted from 0)."""
-    least = F.ceil((n1 + n2) * 4 / F.lit(9) - 1e-9)  # shared >= 0.8 / 1.8 of the sizes' sum
-    return (10 * F.least(n1, n2) >= 8 * F.greatest(n1, n2)) & (1 + F.least(n1 - i1, n2 - i2) - 1 >= least)
+def _fits(x, y):
+    """Whether two entries of a list (structs n, u, at, bits) can link.
+
+    Sizes within 0.8; after their positions enough shingles left to share; and no
+    more shingles in one set alone than a link allows, (n1 + n2) / 9: those found
+    in no other set, and one at least per bin whose parities differ.
+    """
+    total = x["n"] + y["n"]
+    least = F.ceil(total * 4 / F.lit(9) - 1e-9)  # shared >= 0.8 / 1.8 of the sizes' sum
+    apart = x["u"] + y["u"]
+    for k in range(4):
+        apart = apart + F.bit_count(x["bits"][k].bitwiseXOR(y["bits"][k]))
+    return ((10 * F.least(x["n"], y["n"]) >= 8 * F.greatest(x["n"], y["n"]))
+            & (F.least(x["n"] - x["at"], y["n"] - y["at"]) >= least) & (9 * apart <= total))
 
 
 def links(classes: DataFrame, pivots: int = PIVOTS) -> DataFrame:
     """(node, comp) of the classes that link with another class (steps 3 and 4)."""
     posts = written(classes.select(
-        "node", F.col("n_shingles").alias("n"), "unique_shingles", F.posexplode("prefix").alias("_k", "token")).select(
-        "node", "n", "token", (F.col("unique_shingles") + F.col("_k")).alias("at")), "postings")
-    chosen = [F.min(F.struct(F.xxhash64(F.lit(r), "token", "node"), F.struct("node", "n", "at"))).alias(f"p{r}") for r in range(pivots)]
+        "node", "n_shingles", "unique_shingles", "bitmap", F.posexplode("prefix").alias("_k", "token")).select(
+        "node", "token", F.struct(F.col("n_shingles").alias("n"), F.col("unique_shingles").alias("u"),
+                                  (F.col("unique_shingles") + F.col("_k")).alias("at"), F.col("bitmap").alias("bits")).alias("e")), "postings")
+    chosen = [F.min(F.struct(F.xxhash64(F.lit(r), "token", "node"), F.struct("node", "e"))).alias(f"p{r}") for r in range(pivots)]
     heads = posts.groupBy("token").agg(F.count(F.lit(1)).alias("length"), *chosen).where("length > 1").select(
         "token", F.array_distinct(F.array(*[F.col(f"p{r}.col2") for r in range(pivots)])).alias("pivots"))
     stars = posts.join(heads, "token").withColumn("p", F.explode("pivots")).where(
-        (F.col("p.node") != F.col("node")) & _fits(F.col("p.n"), F.col("n"), F.col("p.at"), F.col("at")))
-    left, right = F.struct(F.col("p.node").alias("x"), F.col("p.n").alias("n")), F.struct(F.col("node").alias("x"), "n")
+        (F.col("p.node") != F.col("node")) & _fits(F.col("p.e"), F.col("e")))
+    left, right = F.struct(F.col("p.node").alias("x"), F.col("p.e.n").alias("n")), F.struct(F.col("node").alias("x"), F.col("e.n").alias("n"))
     pairs = stars.select(F.least(left, right).alias("l"), F.greatest(left, right).alias("r")).distinct().select(
         F.col("l.x").alias("a"), F.col("r.x").alias("b"), F.col("l.n").alias("na"), F.col("r.n").alias("nb"))
     compared = written(verified(pairs, classes), "compared")
     first = components(compared.where("link"))
     # lists that still span several components
-    own = posts.join(first, "node", "left").select("node", "n", "token", "at", F.coalesce("comp", "node").alias("comp"))
+    own = posts.join(first, "node", "left").select("node", "token", "e", F.coalesce("comp", "node").alias("comp"))
     mixed = own.groupBy("token").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi")).where("_lo <> _hi").select("token")
     # one list joins itself by size block: a block meets itself and the next larger one only
-    block = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.25)) + 1e-9)
+    block = F.floor(F.log(F.col("e.n").cast("double")) / F.log(F.lit(1.25)) + 1e-9)
     open_lists = written(own.join(mixed, "token").withColumn("block", block), "open-lists")
     small = open_lists.withColumn("block", F.explode(F.array(F.col("block"), F.col("block") + 1))).select(
-        "token", "block", F.col("node").alias("a"), F.col("n").alias("na"), F.col("at").alias("ia"), F.col("comp").alias("ca"))
-    large = open_lists.select("token", "block", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("at").alias("ib"),
-                              F.col("comp").alias("cb"))
-    ordered = (F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b")))
+        "token", "block", F.col("node").alias("a"), F.col("e").alias("ea"), F.col("comp").alias("ca"))
+    large = open_lists.select("token", "block", F.col("node").alias("b"), F.col("e").alias("eb"), F.col("comp").alias("cb"))
+    na, nb = F.col("ea.n"), F.col("eb.n")
     met = small.join(large, ["token", "block"]).where(
-        (F.col("ca") != F.col("cb")) & ordered & _fits(F.col("na"), F.col("nb"), F.col("ia"), F.col("ib")))
-    rest = met.select("a", "b", "na", "nb").distinct()
+        (F.col("ca") != F.col("cb")) & ((na < nb) | ((na == nb) & (F.col("a") < F.col("b")))) & _fits(F.col("ea"), F.col("eb")))
+    rest = met.select("a", "b", na.alias("na"), nb.alias("nb")).distinct()
     done = compared.select(F.least("a", "b").alias("_a"), F.greatest("a", "b").alias("_b"))
     rest = written(rest.join(done, (F.least("a", "b") == F.col("_a")) & (F.greatest("a", "b") == F.col("_b")), "left_anti"), "rest")
     late = written(verified(_by_triangle(rest, compared), classes).where("link"), "late-links")
@@ -328,7 +346,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     able = sets.where("shingles is not null")
     classes = written(able.groupBy("node").agg(
         F.first("n_shingles").alias("n_shingles"), F.first("unique_shingles").alias("unique_shingles"),
-        F.first("prefix").alias("prefix"), F.first("shingles").alias("shingles")), "classes")
+        F.first("prefix").alias("prefix"), F.first("bitmap").alias("bitmap"), F.first("shingles").alias("shingles")), "classes")
     comps = links(classes)
     labelled = able.select("doc_id", "n_shingles", "node").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     smallest = labelled.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
