@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from marquee.llm import bpe_automaton, exact_dedup, mixing, ngram_join, quality_rules
+from marquee.llm import bpe_automaton, chat_format, exact_dedup, mixing, ngram_join, quality_rules, toxicity
 
 QUERIES = {
+    "op5_chat_format": chat_format.op5_chat_format,
+    "op6_toxicity": toxicity.op6_toxicity,
     "op1_ngram_join": ngram_join.op1_ngram_join,
     "op9_bpe_automaton": bpe_automaton.op9_bpe_automaton,
     "op10_mix_sources": mixing.op10_mix_sources,

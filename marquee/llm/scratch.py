@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,8 +22,26 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package wherever they start: it is added to the session once, as ``--py-files`` does."""
+    sc = spark.sparkContext
+    if getattr(sc, "_marquee_shipped", False):
+        return
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    path = os.path.join(tempfile.mkdtemp(prefix="marquee-"), "marquee_package.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(os.path.join(root, "marquee")):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(path)
+    sc._marquee_shipped = True
+
+
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """The driver's ``documents`` table (all columns, or those named)."""
+    ship_package(spark)
     docs = table(spark, sf_dir, "documents")
     return docs.select(*columns) if columns else docs
 

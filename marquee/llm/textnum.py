@@ -83,13 +83,11 @@ def chunks(offsets: np.ndarray, most: int = CHUNK_BYTES, rows: int = 1 << 15) ->
         lo = hi
 
 
-def words(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash of every word, its start byte, words before each row): ``[^\\x20\\x09-\\x0D]+``, never across rows."""
-    if lower:
-        data = _LOWER[data]
+def spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(start, end) bytes of every word ``[^\\x20\\x09-\\x0D]+``, never across rows."""
     n = len(data)
     if not n:
-        return np.zeros(0, U64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     solid = ~_SPACE[data]
     first = np.zeros(n + 1, dtype=bool)  # a text begins here
     first[offsets] = True
@@ -97,7 +95,16 @@ def words(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tuple[np
     begins[1:] &= ~solid[:-1] | first[1:n]
     ends = solid.copy()
     ends[:-1] &= ~solid[1:] | first[1:n]
-    start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
+    return np.flatnonzero(begins), np.flatnonzero(ends) + 1
+
+
+def words(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash of every word, its start byte, words before each row)."""
+    if lower:
+        data = _LOWER[data]
+    start, end = spans(data, offsets)
+    if not len(start):
+        return np.zeros(0, U64), start, np.zeros(len(offsets), np.int64)
     return range_hash(prefix(data), start, end), start, np.searchsorted(start, offsets)
 
 
