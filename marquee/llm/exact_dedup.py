@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from marquee.llm.scratch import documents, id_and_text
+from marquee.llm.scratch import documents, id_and_text, written
 
 #: Digests the sketch may name, hence the bound on the broadcast winners (about 100 bytes each).
 HEAVY_ITEMS = 1024
@@ -53,8 +53,7 @@ def exact_dedup(
     the edges: null texts equal empty texts; a null ``doc_id`` loses to any other
     and is kept only where its whole group is null; rows that repeat the winning
     ``doc_id`` with the same text are all marked kept, because an identical row
-    cannot be told from its copy (``keep_first`` drops such repeats from a
-    table); an empty input gives an empty result; other columns are ignored.
+    cannot be told from its copy (``keep_first`` keeps all of those); an empty input gives an empty result; other columns are ignored.
     """
     rows = digests(docs, id_col, text_col)
     heavy = heavy_winners(rows, heavy_items)
@@ -70,6 +69,24 @@ def exact_dedup(
     )
 
 
+def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", heavy_items: int = HEAVY_ITEMS) -> DataFrame:
+    """``docs`` with one row of each group of equal texts, same columns.
+
+    The table loses the rows that are not winners, by an anti-join on digest and
+    id: a (digest, id) pair is a key of its own, so a hot text is no hot key. Rows
+    that repeat a winner's id and text all stay.
+    """
+    ids, digest = F.col(f"`{id_col}`"), F.sha2(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")), 256)
+    decided = exact_dedup(docs, id_col, text_col, heavy_items).where(~F.col("kept") | (F.col("group_size") > 1))
+    copies = written(decided.select("doc_id", "keep_id", "text_sha256"), "copies").distinct()
+    # only members of groups of two or more are looked up; all other rows pass by
+    losers = copies.where(~F.col("doc_id").eqNullSafe(F.col("keep_id"))).select(
+        F.col("doc_id").alias("_dedup_id"), F.col("text_sha256").alias("_dedup_digest"))
+    left = docs.withColumn("_dedup_sha", digest)
+    kept = left.join(losers, (F.col("_dedup_sha") == F.col("_dedup_digest")) & ids.eqNullSafe(F.col("_dedup_id")), "left_anti")
+    return kept.drop("_dedup_sha")
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir, "doc_id", "text"))
 

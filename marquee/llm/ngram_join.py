@@ -354,6 +354,12 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return labelled.join(smallest, "comp").select("doc_id", "n_shingles", "component_id").unionByName(alone)
 
 
+def keep_smallest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each component, the smallest id's, same columns (rows without an id stay)."""
+    joined = ngram_join(docs, id_col, text_col).where("doc_id <> component_id").select(F.col("doc_id").alias("_near_id")).distinct()
+    return docs.join(written(joined, "near-copies"), F.col(f"`{id_col}`") == F.col("_near_id"), "left_anti")
+
+
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join(documents(spark, sf_dir, "doc_id", "text"))
 

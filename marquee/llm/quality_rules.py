@@ -82,8 +82,13 @@ def repeat_words(words: Column) -> Column:
     return count(words)
 
 
-def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str | None = "lang") -> DataFrame:
-    """One row per document: the base measures, ``base_failed`` and the rules' measures, all in the scan."""
+def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str | None = "lang",
+             carry: Column | None = None) -> DataFrame:
+    """One row per document: the base measures, ``base_failed`` and the rules' measures, all in the scan.
+
+    ``carry`` rides along as a column of that name (the whole row, for a filter).
+    """
+    also = [carry.alias("carry")] if carry is not None else []
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     stratum = F.coalesce(F.col(f"`{stratum_col}`").cast("string"), F.lit("")) if stratum_col else F.lit("")
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
@@ -94,7 +99,7 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", st
                         repeat_words(w).alias("n_repeat_words"))
 
     d = docs.select(
-        F.col(f"`{id_col}`").alias("doc_id"),
+        *also, F.col(f"`{id_col}`").alias("doc_id"),
         stratum.alias("stratum"),
         let(word_array(text), base).alias("m"),
         (F.length(text) - F.length(F.regexp_replace(text, r"[#*$%&|<>]++", ""))).cast("long").alias("n_symbols"),
@@ -102,7 +107,7 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", st
     )
     n, chars, rep = F.col("m.n_words"), F.col("m.word_chars"), F.col("m.n_repeat_words")
     return d.select(
-        "doc_id", "stratum", n.alias("n_words"), chars.alias("word_chars"), "n_symbols", "n_dup_lines",
+        *(["carry"] if also else []), "doc_id", "stratum", n.alias("n_words"), chars.alias("word_chars"), "n_symbols", "n_dup_lines",
         rep.alias("n_repeat_words"), ((n < MIN_WORDS) | (100 * rep > 50 * n)).alias("base_failed"),
         F.coalesce(F.try_divide("n_symbols", chars), F.lit(0.0)).alias("symbols_per_char"),
         F.coalesce(F.try_divide(rep, n), F.lit(0.0)).alias("repeat_share"),
@@ -189,6 +194,15 @@ def verdicts(measured: DataFrame, chosen: DataFrame) -> DataFrame:
     return joined.withColumn("kept", ~F.col("base_failed") & ~rejected).drop("cut")
 
 
+def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str | None = "lang") -> DataFrame:
+    """``docs`` without the rejected rows, same columns. Texts are never shuffled: only the cutoffs are joined, by stratum."""
+    m = written(measures(docs, id_col, text_col, stratum_col), "quality-measures")
+    chosen = selected_cutoffs(m, labels)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    judged = verdicts(measures(docs, id_col, text_col, stratum_col, carry=row), chosen)
+    return judged.where("kept").select("carry.*")
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(documents(spark, sf_dir, "doc_id", "text", "lang"), table(spark, sf_dir, "labels"))
 

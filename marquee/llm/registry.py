@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from marquee.llm import bpe_automaton, chat_format, exact_dedup, mixing, ngram_join, quality_rules, toxicity
+from marquee.llm import bpe_automaton, chat_format, exact_dedup, license_scan, mixing, ngram_join, quality_rules, toxicity
 
 QUERIES = {
+    "op3_license_scan": license_scan.op3_license_scan,
     "op5_chat_format": chat_format.op5_chat_format,
     "op6_toxicity": toxicity.op6_toxicity,
     "op1_ngram_join": ngram_join.op1_ngram_join,
@@ -15,6 +16,7 @@ QUERIES = {
 }
 
 SQL = {
+    "op3_license_scan": license_scan.SQL,
     "op1_ngram_join": ngram_join.SQL,
     "op4_quality_rules": quality_rules.SQL,
     "op8_exact_dedup": exact_dedup.SQL,
