@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from marquee.llm import bpe_automaton, chat_format, exact_dedup, license_scan, mixing, ngram_join, quality_rules, toxicity
+from marquee.llm import bpe_automaton, chat_format, exact_dedup, license_scan, mixing, ngram_join, quality_rules, repeats, toxicity
 
 QUERIES = {
+    "op2_suffix_dedup": repeats.op2_suffix_dedup,
     "op3_license_scan": license_scan.op3_license_scan,
     "op5_chat_format": chat_format.op5_chat_format,
     "op6_toxicity": toxicity.op6_toxicity,
