@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from marquee.llm import bpe_automaton, chat_format, exact_dedup, license_scan, mixing, ngram_join, quality_rules, repeats, toxicity
+from marquee.llm import bpe_automaton, chat_format, exact_dedup, license_scan, masked_lm, mixing, ngram_join, quality_rules, repeats, toxicity
 
 QUERIES = {
+    "op7_masked_lm": masked_lm.op7_masked_lm,
     "op2_suffix_dedup": repeats.op2_suffix_dedup,
     "op3_license_scan": license_scan.op3_license_scan,
     "op5_chat_format": chat_format.op5_chat_format,
