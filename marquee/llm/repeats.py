@@ -190,18 +190,21 @@ _BLOCKS = "k1 long, k2 long, at int, first int, last int, block int, shared long
 
 def repeated_windows(rows: DataFrame) -> DataFrame:
     """(k1, k2, start, stop): byte intervals covered by repeated windows. ``rows`` as ``keyed`` gives them."""
-    samples = written(rows.select("k1", "k2", "text").where(F.octet_length("text") >= LENGTH).mapInArrow(_sample, _SAMPLES), "samples")
-    runs = samples.groupBy("gram", "run").agg(
+    texts = rows.select("k1", "k2", "text").where(F.octet_length("text") >= LENGTH)
+    samples = texts.mapInArrow(_sample, _SAMPLES)
+    # grams that occur twice or more; all other samples leave here, eight bytes each
+    again = samples.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram")
+    live = written(samples.join(again, "gram", "left_semi"), "samples")
+    runs = live.groupBy("gram", "run").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("k1", "k2", "at", "first", "last")).alias("one"))
-    runs = written(runs, "runs")
     several = runs.groupBy("gram").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("gram")
-    whole = samples.join(runs.where("n > 1").select("gram", "run"), ["gram", "run"]).select(
+    whole = live.join(runs.where("n > 1").select("gram", "run"), ["gram", "run"]).select(
         "k1", "k2", F.col("first").alias("start"), (F.col("last") + LENGTH).alias("stop"))
     # one of each run of a gram that has several runs: its bytes are cut out of its text once
     left = runs.join(several, "gram").select("one.k1", "one.k2", F.struct("one.at", "one.first", "one.last", "gram", "run").alias("r"))
     per_text = left.groupBy("k1", "k2").agg(F.collect_list("r").alias("runs"))  # bounded by the text's length
-    texts = rows.select("k1", "k2", "text").join(per_text, ["k1", "k2"]).dropDuplicates(["k1", "k2"])
-    edges = written(texts.mapInArrow(_cut, _EDGES), "edges")
+    cut = texts.join(per_text, ["k1", "k2"]).dropDuplicates(["k1", "k2"])
+    edges = written(cut.mapInArrow(_cut, _EDGES), "edges")
     found = [whole]
     asked = edges.withColumns({"from": F.lit(0), "to": F.lit(LENGTH)})
     for width in (BLOCK, 1):
