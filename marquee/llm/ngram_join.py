@@ -235,9 +235,9 @@ def _assemble(table: pa.Table) -> pa.Table:
 
 
 def _parities(h: np.ndarray) -> np.ndarray:
-    """Parity of the number of shingles in each of 256 bins, as four 64-bit words."""
-    bins = (tn.mix(h) & np.uint64(255)).astype(np.int64)
-    return np.packbits((np.bincount(bins, minlength=256) & 1).astype(np.uint8)).view(np.int64)
+    """Parity of the number of shingles in each of 128 bins, as two 64-bit words."""
+    bins = (tn.mix(h) & np.uint64(127)).astype(np.int64)
+    return np.packbits((np.bincount(bins, minlength=128) & 1).astype(np.uint8)).view(np.int64)
 
 
 def shingle_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5) -> DataFrame:
@@ -278,7 +278,7 @@ def _fits(x, y):
     total = x["n"] + y["n"]
     least = F.ceil(total * 4 / F.lit(9) - 1e-9)  # shared >= 0.8 / 1.8 of the sizes' sum
     apart = x["u"] + y["u"]
-    for k in range(4):
+    for k in range(2):
         apart = apart + F.bit_count(x["bits"][k].bitwiseXOR(y["bits"][k]))
     return ((10 * F.least(x["n"], y["n"]) >= 8 * F.greatest(x["n"], y["n"]))
             & (F.least(x["n"] - x["at"], y["n"] - y["at"]) >= least) & (9 * apart <= total))
@@ -286,10 +286,10 @@ def _fits(x, y):
 
 def links(classes: DataFrame, pivots: int = PIVOTS) -> DataFrame:
     """(node, comp) of the classes that link with another class (steps 3 and 4)."""
-    posts = written(classes.select(
+    posts = classes.select(
         "node", "n_shingles", "unique_shingles", "bitmap", F.posexplode("prefix").alias("_k", "token")).select(
         "node", "token", F.struct(F.col("n_shingles").alias("n"), F.col("unique_shingles").alias("u"),
-                                  (F.col("unique_shingles") + F.col("_k")).alias("at"), F.col("bitmap").alias("bits")).alias("e")), "postings")
+                                  (F.col("unique_shingles") + F.col("_k")).alias("at"), F.col("bitmap").alias("bits")).alias("e"))
     chosen = [F.min(F.struct(F.xxhash64(F.lit(r), "token", "node"), F.struct("node", "e"))).alias(f"p{r}") for r in range(pivots)]
     heads = posts.groupBy("token").agg(F.count(F.lit(1)).alias("length"), *chosen).where("length > 1").select(
         "token", F.array_distinct(F.array(*[F.col(f"p{r}.col2") for r in range(pivots)])).alias("pivots"))
