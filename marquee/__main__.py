@@ -21,7 +21,7 @@ from marquee import schema as S
 from marquee.operators import profile
 from marquee.plans import analyses, jobs
 from marquee.plans.ingest import prepare_batch, read_clean_zone
-from marquee.session import ADAPTIVE_CONF, ensure_checkpoint_dir, local_session
+from marquee.session import ADAPTIVE_CONF, local_session
 from marquee.streaming.ingest_stream import ingest_stream, source_stream
 
 
@@ -31,9 +31,7 @@ def _session(local: bool) -> SparkSession:
     b = SparkSession.builder.appName("marquee")
     for k, v in ADAPTIVE_CONF.items():
         b = b.config(k, v)
-    spark = b.getOrCreate()
-    ensure_checkpoint_dir(spark)
-    return spark
+    return b.getOrCreate()
 
 
 def main(argv: list[str] | None = None) -> None:

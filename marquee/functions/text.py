@@ -13,31 +13,33 @@ def _c(c: str | Column) -> Column:
 
 
 def strip_chars(c: str | Column, pattern: str) -> Column:
-    """Remove every character matched by ``pattern`` (Java regex); NULL stays NULL.
+    """Remove every match of ``pattern`` (any Java regex); NULL stays NULL."""
+    return F.regexp_replace(_c(c), pattern, "")
 
-    For a negated class ``[^...]`` (the strip rules) the text is rebuilt from
-    the maximal runs of the *kept* class instead: concatenating every run of
-    kept characters equals deleting every other character, and extracting runs
-    costs about half of replacing them (no per-match append/replace step).
-    Any other single class is removed run by run (possessive ``++``).
+
+def keep_chars(c: str | Column, kept: str) -> Column:
+    """Keep only the characters of the class ``[kept]``; NULL stays NULL.
+
+    The text is rebuilt from the maximal runs of kept characters: that equals
+    deleting every other character, and extracting runs costs about half of
+    replacing the others (no append step per match).
     """
-    col = _c(c)
-    if pattern.startswith("[^") and pattern.endswith("]") and "[" not in pattern[2:-1]:
-        kept = "[" + pattern[2:] + "++"
-        return F.array_join(F.regexp_extract_all(col, F.lit(kept), 0), "")
-    if pattern.startswith("[") and pattern.endswith("]"):
-        pattern = pattern + "++"
-    return F.regexp_replace(col, pattern, "")
+    return F.array_join(F.regexp_extract_all(_c(c), F.lit(f"[{kept}]++"), 0), "")
+
+
+def _kept(strip_pattern: str) -> str:
+    """The class kept by a strip rule ``[^...]`` of the fixed values."""
+    return strip_pattern.removeprefix("[^").removesuffix("]")
 
 
 def strip_genre_text(c: str | Column) -> Column:
     """Keep ASCII letters, white space and commas."""
-    return strip_chars(c, S.GENRE_STRIP_PATTERN)
+    return keep_chars(c, _kept(S.GENRE_STRIP_PATTERN))
 
 
 def strip_company_text(c: str | Column) -> Column:
     """Keep ASCII letters, white space, commas and dots."""
-    return strip_chars(c, S.COMPANY_STRIP_PATTERN)
+    return keep_chars(c, _kept(S.COMPANY_STRIP_PATTERN))
 
 
 def normalise_category(c: str | Column, allowed: list[str] = S.STATUS_ALLOW, other: str = S.OTHER_STATUS) -> Column:

@@ -49,6 +49,15 @@ def new_rows(
     return b.join(keys.distinct(), on=key, how="left_anti")
 
 
+def batch_counts(batch: DataFrame, key: str = "id") -> dict:
+    """Rows, rows without a key, repeats of a key, and the key range of a batch: one aggregate, one row to the driver."""
+    r = batch.agg(
+        F.count(F.lit(1)).alias("rows_read"), F.count_if(F.col(key).isNull()).alias("rejected_null_key"),
+        F.count_distinct(key).alias("keys"), F.min(key).alias("lo"), F.max(key).alias("hi")).first()
+    return {"rows_read": r["rows_read"], "rejected_null_key": r["rejected_null_key"],
+            "duplicate_in_batch": r["rows_read"] - r["rejected_null_key"] - r["keys"], "lo": r["lo"], "hi": r["hi"]}
+
+
 def key_bounds(batch: DataFrame, key: str = "id") -> tuple:
     """(lowest, highest) key of a batch: one small aggregate, one row to the driver."""
     r = batch.agg(F.min(key).alias("lo"), F.max(key).alias("hi")).first()

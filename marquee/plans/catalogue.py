@@ -1,44 +1,22 @@
-"""The cleaned catalogue over the driver tables: the input of every analysis.
-
-The derived plans are built once per (session, folder, mode) and shared by the
-queries, as a user holding ``cleaned = ...`` would: a DataFrame is an immutable
-lazy plan, so sharing it caches no data, only the driver-side work of building
-the expression tree (about a thousand JVM calls for the derivation and rules).
-"""
+"""The cleaned catalogue over the driver tables: the input of every analysis."""
 
 from __future__ import annotations
 
-import weakref
-
 from pyspark.sql import DataFrame, SparkSession
 
 from marquee.operators.cleaning import clean, outlier_rules
 from marquee.sources import tpch_catalogue as tc
 
-_PLANS: "weakref.WeakKeyDictionary[SparkSession, dict]" = weakref.WeakKeyDictionary()
-
-
-def _memo(spark: SparkSession, key: tuple, build) -> DataFrame:
-    plans = _PLANS.setdefault(spark, {})
-    if key not in plans:
-        plans[key] = build()
-    return plans[key]
-
 
 def order_rules():
     """Outlier rules for the derived catalogue (vote bound adapted to quantities)."""
     return outlier_rules(vote_average=tc.ORDER_VOTE_BOUNDS)
 
 
-def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _memo(spark, ("raw", sf_dir), lambda: tc.catalogue(spark, sf_dir))
+def raw(spark: SparkSession, sf_dir: str, with_tokens: bool = True) -> DataFrame:
+    return tc.catalogue(spark, sf_dir, with_tokens)
 
 
-def cleaned(spark: SparkSession, sf_dir: str, outlier_mode: str = "row") -> DataFrame:
-    """Typed raw catalogue → all cleaning rules (L3), lazily."""
-    return _memo(
-        spark,
-        ("cleaned", sf_dir, outlier_mode),
-        lambda: clean(raw(spark, sf_dir), status_allow=tc.ORDER_STATUS_ALLOW, rules=order_rules(),
-                      outlier_mode=outlier_mode),
-    )
+def cleaned(spark: SparkSession, sf_dir: str, outlier_mode: str = "row", with_tokens: bool = True) -> DataFrame:
+    """Typed raw catalogue → all cleaning rules (L3), lazily; without tokens for analyses of measures only."""
+    return clean(raw(spark, sf_dir, with_tokens), status_allow=tc.ORDER_STATUS_ALLOW, rules=order_rules(), outlier_mode=outlier_mode)

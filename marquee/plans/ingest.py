@@ -5,14 +5,15 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marquee import schema as S
 from marquee.operators.cleaning import add_calendar, clean, parse_columns
-from marquee.operators.incremental import key_bounds, new_rows
-from marquee.sources.files import path_exists, read_parquet_or_empty
+from marquee.operators.incremental import batch_counts, new_rows, null_key_rows
+from marquee.sources.files import path_exists, read_parquet_or_empty, require_path
 from marquee.sources.sinks import write_partitioned
 
 
@@ -29,39 +30,46 @@ def ingest(
     key: str = "id",
     partition_col: str = "year",
     prune_by_key_range: bool = True,
+    rejects_path: str | None = None,
 ) -> dict:
     """Append the batch's unseen keys to the raw zone, partitioned by ``partition_col`` (L2).
 
-    The counts come from ``observe`` on the write job instead of extra count/max
-    scans. A NULL ``year`` lands in the default partition and reads back as
-    NULL. Re-running after a failure is harmless: keys that made it into the
-    sink are filtered out by the anti-join.
-
-    At scale the sink is far larger than a batch. Files are written sorted by
-    key, and with ``prune_by_key_range`` the sink read is limited to the
-    batch's key range (one small aggregate over the batch first), so the
-    anti-join reads the row groups that can match instead of every key ever
-    stored.
+    Returns what became of every row: ``rows_read`` = ``rejected_null_key`` (no
+    key, or not a number) + ``duplicate_in_batch`` + ``already_in_sink`` +
+    ``new_rows``, and ``max_id``, the largest key of the batch. Rejected rows are
+    appended to ``rejects_path`` where one is given. A NULL ``year`` lands in the
+    default partition and reads back as NULL. Re-running after a failure is
+    harmless: keys that made it into the sink are filtered out by the anti-join.
+
+    The batch is read once for its counts and once for the write. For increments
+    that cover a part of the sink's keys, ``prune_by_key_range`` limits the sink
+    read to the batch's key range (files are written sorted by key, so the
+    anti-join reads the row groups that can match); switch it off where every
+    delivery is the whole catalogue, whose range prunes nothing.
     """
     sink_exists = path_exists(spark, sink_path)
     existing = read_parquet_or_empty(spark, sink_path, sink_schema)
-    # bounds cost one pass over the batch; pointless when there is no sink yet (first run, backfill)
-    bounds = key_bounds(batch, key) if prune_by_key_range and sink_exists else None
-    new = new_rows(batch, existing, key, key_range=bounds).select(*sink_schema.fieldNames())
+    counts = batch_counts(batch, key)
+    bounds = (counts.pop("lo"), counts.pop("hi"))
+    if rejects_path is not None and counts["rejected_null_key"]:
+        null_key_rows(batch, key).write.mode("append").parquet(rejects_path)
+    new = new_rows(batch, existing, key, key_range=bounds if prune_by_key_range and sink_exists else None)
+    new = new.select(*sink_schema.fieldNames())
     obs = Observation(f"ingest-{uuid.uuid4().hex[:12]}")
-    new = new.observe(obs, F.count(F.lit(1)).alias("new_rows"), F.max(key).alias("max_id"))
-    write_partitioned(new, sink_path, partition_col, mode="append", sort_key=key)
-    return _observed(obs)
+    write_partitioned(new.observe(obs, F.count(F.lit(1)).alias("new_rows")), sink_path, partition_col, mode="append", sort_key=key)
+    appended = _observed(obs)
+    rest = counts["rows_read"] - counts["rejected_null_key"] - counts["duplicate_in_batch"] - appended
+    return {**counts, "already_in_sink": rest, "new_rows": appended, "max_id": bounds[1]}
 
 
-def _observed(obs: Observation) -> dict:
-    """Metrics of the write. When AQE proves the new rows empty at run time it
-    replaces the plan with an empty relation and the observed node never runs;
-    no metrics then means no rows."""
+def _observed(obs: Observation) -> int:
+    """Rows of the write. When AQE proves them empty at run time it replaces the
+    plan with an empty relation and the observed node never runs: no metrics then
+    means no rows. Any other failure rises."""
     try:
-        return dict(obs.get)
-    except Exception:  # noqa: BLE001 - py4j assertion for a never-filled observation
-        return {"new_rows": 0, "max_id": None}
+        return obs.get["new_rows"]
+    except (Py4JJavaError, AssertionError, KeyError):
+        return 0
 
 
 def clean_zone(
@@ -73,7 +81,11 @@ def clean_zone(
     rules: Mapping[str, Column] | None = None,
     outlier_mode: str = "row",
 ) -> None:
-    """Raw zone → every cleaning rule → filtered zone, partitioned by month, overwritten."""
+    """Raw zone → every cleaning rule → filtered zone, partitioned by month, overwritten.
+
+    A missing raw zone raises and leaves the filtered zone as it is.
+    """
+    require_path(spark, raw_path)
     raw = read_parquet_or_empty(spark, raw_path, raw_schema)
     cleaned = clean(raw, status_allow=status_allow, rules=rules, outlier_mode=outlier_mode)
     write_partitioned(cleaned, out_path, "month", mode="overwrite")
@@ -87,8 +99,10 @@ def read_clean_zone(
     ``months`` filters on the partition column itself, so Spark lists and reads
     only those partition folders (``PartitionFilters``); a filter written on
     ``month(release_date)`` instead would scan every partition. ``years`` is a
-    data filter pushed to the Parquet reader (row-group statistics).
+    data filter pushed to the Parquet reader (row-group statistics). A missing
+    zone raises, so a report never overwrites its tables from a wrong path.
     """
+    require_path(spark, path)
     df = read_parquet_or_empty(spark, path, S.CLEAN_SCHEMA)
     if months is not None:
         df = df.filter(F.col("month").isin(months))

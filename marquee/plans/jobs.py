@@ -9,6 +9,8 @@ DataFrames instead of printing; call ``.show()`` on what you need.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marquee import schema as S
 from marquee.operators import metrics, tokens
@@ -18,14 +20,28 @@ from marquee.plans.ingest import clean_zone, ingest, prepare_batch
 from marquee.sources import files
 
 
-def process_raw_data(spark: SparkSession, source: str, raw_output_path: str) -> dict:
+#: Text of a line that does not fit the header.
+CORRUPT = "_corrupt_record"
+
+
+def process_raw_data(
+    spark: SparkSession, source: str, raw_output_path: str, rejects_path: str | None = None, multi_line: bool = True
+) -> dict:
     """Append the source CSV's unseen titles to the raw zone, partitioned by year (L2).
 
-    Returns {"new_rows", "max_id"}: the rows appended and the largest id among
-    them (the original's ``last_processed_id``).
+    Columns are taken by header name; columns the schema does not name are kept
+    as text. Returns the counts of ``plans.ingest.ingest``; ``max_id`` is the
+    largest id of the batch (the original's ``last_processed_id``). Rows without a
+    usable id, and lines that do not fit the header, go to ``rejects_path`` where
+    one is given (the latter with their text in ``_corrupt_record``).
     """
-    batch = prepare_batch(files.read_csv(spark, source, S.RAW_TEXT_SCHEMA))
-    return ingest(spark, batch, raw_output_path, S.raw_typed_schema())
+    schema = T.StructType(S.RAW_TEXT_SCHEMA.fields + [T.StructField(CORRUPT, T.StringType(), True)]) if rejects_path else S.RAW_TEXT_SCHEMA
+    text = files.read_csv(spark, source, schema, corrupt_column=CORRUPT if rejects_path else None, multi_line=multi_line)
+    extra = {c: T.StringType() for c in text.columns if c not in S.RAW_COLUMNS and c != CORRUPT}
+    if rejects_path:
+        # a line that does not fit keeps its text and loses its key, so it is counted and written as a reject
+        text = text.withColumn("id", F.when(F.col(CORRUPT).isNull(), F.col("id")))
+    return ingest(spark, prepare_batch(text), raw_output_path, S.raw_typed_schema(extra), rejects_path=rejects_path)
 
 
 def transform_data(spark: SparkSession, source_path: str, output_path: str, outlier_mode: str = "row") -> None:
@@ -41,6 +57,7 @@ def eda(raw: DataFrame, cleaned_before_outliers: DataFrame) -> dict[str, DataFra
     """
     cleaned = remove_outliers(cleaned_before_outliers)
     genre_rows = tokens.genre_rows(cleaned)
+    companies = tokens.company_rows(cleaned, S.COMPANY_DENY)
     return {
         "quality": analyses.quality_report(raw),
         "outlier_counts": outlier_counts(cleaned_before_outliers),
@@ -48,8 +65,13 @@ def eda(raw: DataFrame, cleaned_before_outliers: DataFrame) -> dict[str, DataFra
         "genre_by_month": analyses.genre_metrics(cleaned, "month"),
         "genre_total": analyses.genre_metrics(cleaned, "total"),
         "genre_zero_money": metrics.count_both_zero(genre_rows, "budget", "revenue"),
+        "company_frequency": metrics.frequency(companies, "pc").orderBy(F.desc("count"), "pc"),
+        "company_frequent_count": metrics.count_groups(companies, "pc", min_count=5),
+        "company_string_debut": analyses.entity_debut_counts(cleaned).orderBy("year"),
+        "company_string_debut_known": analyses.entity_debut_counts(cleaned, exclude="na").orderBy("year"),
         "company_growth": analyses.company_debut_growth(cleaned),
         "companies_per_year": analyses.companies_per_year(cleaned),
         "cumulative_budget": analyses.cumulative_money(cleaned, "budget"),
         "cumulative_revenue": analyses.cumulative_money(cleaned, "revenue"),
+        "releases_per_year": analyses.releases_per_year(cleaned),
     }

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from marquee.operators import growth, incremental, metrics, profile, tokens, topk
 from marquee.operators.cleaning import drop_incomplete, fill_defaults, outlier_counts, parse_columns
-from marquee.functions.text import normalise_category, pad_month, strip_company_text
+from marquee.functions.text import normalise_category, pad_month, strip_company_text, strip_genre_text
 from marquee.plans import analyses
 from marquee.plans import catalogue as cat
 from marquee.plans.ingest import clean_zone, ingest, prepare_batch, read_clean_zone
@@ -71,7 +71,7 @@ def _companies(spark, sf_dir) -> DataFrame:
 @register("typed_projection")
 def typed_projection(spark, sf_dir):
     """Catalogue as text → typed columns, calendar parts, year/month text."""
-    typed = prepare_batch(tc.catalogue_text(spark, sf_dir))
+    typed = prepare_batch(tc.catalogue_text(spark, sf_dir, with_tokens=False))
     out = typed.withColumns({"year_text": F.col("year").cast("string"), "month_text": pad_month("month")})
     return out.select(
         "id", "status", "release_date", "year", "month", "year_text", "month_text",
@@ -99,7 +99,7 @@ def malformed_values(spark, sf_dir):
 @register("drop_incomplete")
 def q_drop_incomplete(spark, sf_dir):
     """Rows with release date, revenue and budget all present."""
-    return drop_incomplete(cat.raw(spark, sf_dir)).select("id", "status", "release_date", "budget", "revenue")
+    return drop_incomplete(cat.raw(spark, sf_dir, with_tokens=False)).select("id", "status", "release_date", "budget", "revenue")
 
 
 @register("fill_defaults")
@@ -122,9 +122,7 @@ def strip_text(spark, sf_dir):
     """Genre and company character stripping over whole document texts."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     c = strip_company_text("text")
-    # The genre class is the company class without the dot, so the genre text
-    # is the company text with dots removed: one regex pass over each text.
-    g = F.translate(c, ".", "")
+    g = strip_genre_text("text")
     return docs.select(
         "doc_id",
         F.length(g).alias("genre_text_length"), F.md5(g).alias("genre_text_md5"),
@@ -138,19 +136,19 @@ def strip_text(spark, sf_dir):
 @register("outlier_by_row")
 def outlier_by_row(spark, sf_dir):
     """Cleaned catalogue with outlier rows removed (C6, E2, E3 row mode)."""
-    return cat.cleaned(spark, sf_dir, "row").select("id", "year", "month")
+    return cat.cleaned(spark, sf_dir, "row", with_tokens=False).select("id", "year", "month")
 
 
 @register("outlier_by_key")
 def outlier_by_key(spark, sf_dir):
     """Cleaned catalogue with every row sharing an outlier's key removed (E2, E3 key mode)."""
-    return cat.cleaned(spark, sf_dir, "key").select("id", "year", "month")
+    return cat.cleaned(spark, sf_dir, "key", with_tokens=False).select("id", "year", "month")
 
 
 @register("outlier_counts")
 def q_outlier_counts(spark, sf_dir):
     """Outliers per rule in sequence, one pass."""
-    return outlier_counts(cat.cleaned(spark, sf_dir, "none"), cat.order_rules())
+    return outlier_counts(cat.cleaned(spark, sf_dir, "none", with_tokens=False), cat.order_rules())
 
 
 @register("zero_measures")
@@ -172,9 +170,9 @@ def genre_zero_measures(spark, sf_dir):
 @register("incremental_new_rows")
 def incremental_new_rows(spark, sf_dir):
     """Catalogue rows whose key is not yet in a sink (here: keys of all line items)."""
-    batch = cat.raw(spark, sf_dir)
+    batch = cat.raw(spark, sf_dir, with_tokens=False).select("id", "status", "release_date")
     existing = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("id"))
-    return incremental.new_rows(batch, existing, "id").select("id", "status", "release_date")
+    return incremental.new_rows(batch, existing, "id")
 
 
 @register("ingest_roundtrip")
@@ -338,7 +336,7 @@ def budget_by_year_genre(spark, sf_dir):
 @register("releases_per_year")
 def releases_per_year(spark, sf_dir):
     """Dashboard: titles released per year."""
-    return analyses.releases_per_year(cat.cleaned(spark, sf_dir))
+    return analyses.releases_per_year(cat.cleaned(spark, sf_dir, with_tokens=False))
 
 
 # ------------------------------------------------------------------ companies, W1-W3
@@ -353,7 +351,7 @@ def company_filter(spark, sf_dir):
 @register("company_frequency")
 def company_frequency(spark, sf_dir):
     """Rows per company token."""
-    return metrics.frequency(_companies(spark, sf_dir), "pc")
+    return metrics.frequency(_companies(spark, sf_dir), "pc").orderBy(F.desc("count"), "pc")
 
 
 @register("company_frequent_count")
@@ -391,7 +389,7 @@ def company_string_debut(spark, sf_dir):
 @register("title_growth")
 def title_growth(spark, sf_dir):
     """Debut growth with the title (customer) as entity."""
-    return analyses.entity_debut_growth(cat.cleaned(spark, sf_dir), "title")
+    return analyses.entity_debut_growth(cat.cleaned(spark, sf_dir, with_tokens=False), "title")
 
 
 @register("company_cumulative_view")
@@ -410,13 +408,13 @@ def companies_per_year(spark, sf_dir):
 @register("cumulative_budget")
 def cumulative_budget(spark, sf_dir):
     """Budget per year and over all earlier years."""
-    return analyses.cumulative_money(cat.cleaned(spark, sf_dir), "budget")
+    return analyses.cumulative_money(cat.cleaned(spark, sf_dir, with_tokens=False), "budget").orderBy("year")
 
 
 @register("cumulative_revenue")
 def cumulative_revenue(spark, sf_dir):
     """Revenue per year and over all earlier years."""
-    return analyses.cumulative_money(cat.cleaned(spark, sf_dir), "revenue")
+    return analyses.cumulative_money(cat.cleaned(spark, sf_dir, with_tokens=False), "revenue").orderBy("year")
 
 
 @register("quality_report")

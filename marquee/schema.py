@@ -107,9 +107,9 @@ CLEAN_SCHEMA = T.StructType([
 
 
 def raw_typed_schema(extra: dict[str, T.DataType] | None = None) -> T.StructType:
-    """Schema of the raw zone: parsed source columns plus ``year``/``month`` ints."""
-    types = dict(RAW_TYPES)
-    types.update(extra or {})
-    fields = [T.StructField(c, types.get(c, T.StringType()), True) for c in RAW_COLUMNS]
+    """Schema of the raw zone: parsed source columns, then ``extra`` ones, then ``year``/``month`` ints."""
+    types = {**RAW_TYPES, **(extra or {})}
+    names = RAW_COLUMNS + [c for c in (extra or {}) if c not in RAW_COLUMNS]
+    fields = [T.StructField(c, types.get(c, T.StringType()), True) for c in names]
     fields += [T.StructField("year", T.IntegerType(), True), T.StructField("month", T.IntegerType(), True)]
     return T.StructType(fields)

@@ -43,8 +43,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the deployment and points at shared storage that
-    survives executor loss; it is only read here. Where it is unset (a bare
-    local test session) a fresh folder is made, as tests need one.
+    survives executor loss; it is only read here. A bare local session, whose
+    executors are one process, gets a fresh folder; any other session without
+    the setting is refused, because executors do not share their own disks.
     """
     try:
         sc = spark.sparkContext
@@ -52,6 +53,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         sc = None
     path = spark.conf.get("spark.checkpoint.dir", None) or (sc.getCheckpointDir() if sc else None)
     if not path:
+        if sc is None or not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="marquee-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if sc is not None and not sc.getCheckpointDir():

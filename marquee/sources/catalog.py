@@ -13,17 +13,25 @@ def _ddl_columns(schema: T.StructType) -> str:
 
 
 def create_external_table(
-    spark: SparkSession, name: str, location: str, schema: T.StructType = S.CLEAN_SCHEMA, partition_col: str = "month"
+    spark: SparkSession, name: str, location: str, schema: T.StructType = S.CLEAN_SCHEMA, partition_col: str = "month",
+    replace: bool = False,
 ) -> DataFrame:
     """Register a Parquet folder partitioned by ``partition_col`` as a table and recover its partitions.
 
-    The table is external (``LOCATION``): dropping it leaves the data. Partitions
+    The table is external (``LOCATION``): dropping it leaves the data. A table of
+    that name is only replaced on request, and only if it is external. Partitions
     written by another job are only visible after ``MSCK REPAIR TABLE``.
     """
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    if spark.catalog.tableExists(name):
+        if not replace:
+            raise ValueError(f"table {name} exists")
+        if spark.catalog.getTable(name).tableType != "EXTERNAL":
+            raise ValueError(f"{name} is no external table: replacing it would delete its data")
+        spark.sql(f"DROP TABLE {name}")
+    place = location.replace("\\", "\\\\").replace("'", "\\'")
     spark.sql(
         f"CREATE TABLE {name} ({_ddl_columns(schema)}) USING parquet "
-        f"PARTITIONED BY (`{partition_col}`) LOCATION '{location}'"
+        f"PARTITIONED BY (`{partition_col}`) LOCATION '{place}'"
     )
     spark.sql(f"MSCK REPAIR TABLE {name}")
     return spark.table(name)

@@ -38,27 +38,45 @@ def read_csv(
     schema: T.StructType,
     corrupt_column: str | None = None,
     null_value: str | None = None,
+    multi_line: bool = True,
 ) -> DataFrame:
-    """CSV with a declared schema (A1). No inference pass over the data.
-
-    ``multiLine`` makes each file one task (a record may span lines), so at scale
-    the source should arrive as many files. With ``corrupt_column`` set (and
-    present in ``schema`` as a string field), malformed lines land there
-    instead of failing the job. ``null_value`` defaults to Spark's (an empty
-    field is NULL); pass ``NULL_MARKER`` for files written by ``write_csv``.
+    """CSV with declared types, columns taken by header name (A1). No inference pass over the data.
+
+    The header's order decides which field is which column: columns of
+    ``schema`` come first, in its order; columns it does not name follow as text;
+    a column it names that the file lacks raises. A file whose header differs
+    from the first one's fails instead of being read by position. With
+    ``multi_line`` a record may span lines and each file is one task; switch it
+    off for large files without line breaks in fields. With ``corrupt_column``,
+    malformed lines (too short, too long, broken quotes) keep their text there.
+    ``null_value`` defaults to Spark's (an empty field is NULL); pass
+    ``NULL_MARKER`` for files written by ``write_csv``.
     """
-    reader = spark.read.schema(schema).options(**CSV_READ_OPTIONS)
+    options = {**CSV_READ_OPTIONS, "multiLine": str(multi_line).lower(), "enforceSchema": "false"}
+    header = spark.read.options(**{**options, "mode": "PERMISSIVE", "inferSchema": "false"}).csv(path).columns
+    missing = [f.name for f in schema.fields if f.name not in header and f.name != corrupt_column]
+    if missing:
+        raise ValueError(f"{path} lacks the columns {missing}")
+    known = {f.name: f.dataType for f in schema.fields}
+    fields = [T.StructField(c, known.get(c, T.StringType()), True) for c in header]
+    if corrupt_column:
+        fields.append(T.StructField(corrupt_column, T.StringType(), True))
+    reader = spark.read.schema(T.StructType(fields)).options(**options)
     if null_value is not None:
         reader = reader.option("nullValue", null_value)
     if corrupt_column:
         reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
-    return reader.csv(path)
+    wanted = [f.name for f in schema.fields if f.name != corrupt_column]
+    extra = [c for c in header if c not in known]
+    return reader.csv(path).select(*[f"`{c}`" for c in [*wanted, *extra, *([corrupt_column] if corrupt_column else [])]])
 
 
-def read_csv_as_text(spark: SparkSession, path: str, columns: list[str], null_value: str | None = None) -> DataFrame:
+def read_csv_as_text(
+    spark: SparkSession, path: str, columns: list[str], null_value: str | None = None, multi_line: bool = True
+) -> DataFrame:
     """CSV with every named column as text (A2): the declared all-string schema."""
     schema = T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
-    return read_csv(spark, path, schema, null_value=null_value)
+    return read_csv(spark, path, schema, null_value=null_value, multi_line=multi_line).select(*[f"`{c}`" for c in columns])
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -92,6 +110,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
         return True
 
 
+def require_path(spark: SparkSession, path: str) -> None:
+    """Raise where ``path`` holds nothing: a job that overwrites its output must not take a wrong path for an empty source."""
+    if not path_exists(spark, path):
+        raise FileNotFoundError(f"no source at {path}: nothing was written")
+
+
 def read_parquet_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Parquet zone with a declared schema; a missing zone reads as an empty table (A3, A4).
 

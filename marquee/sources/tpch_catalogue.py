@@ -49,7 +49,7 @@ def _sorted_joined(c) -> F.Column:
     return F.array_join(F.sort_array(F.collect_set(c)), S.TOKEN_SEPARATOR)
 
 
-def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_lines(spark: SparkSession, sf_dir: str, with_tokens: bool = True) -> DataFrame:
     """Per-order measures and token lists from ``lineitem`` ⋈ ``part``.
 
     Token text is derived on the ``part`` side (one row per part, not per line)
@@ -58,26 +58,35 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     items is reduced before the shuffle; its token sets are bounded by the
     distinct values in the order.
     """
+    measures = [
+        from_cents(F.sum(to_cents("l_extendedprice"))).alias("revenue"),
+        F.sum("l_quantity").cast("int").alias("runtime"),
+        F.count(F.lit(1)).cast("int").alias("vote_count"),
+        F.avg("l_quantity").alias("vote_average"),
+    ]
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_extendedprice", "l_quantity")
+    if not with_tokens:  # a left join without a declared unique key is never dropped, so it is not written
+        none = F.lit(None).cast("string")
+        return li.groupBy("l_orderkey").agg(*measures).withColumns({"genres": none, "production_companies": none})
     part = table(spark, sf_dir, "part").select(
         "p_partkey", "p_type", F.translate("p_name", " ", ".").alias("p_company")
     )
     lines = li.join(part, li.l_partkey == part.p_partkey, "left")
     return lines.groupBy("l_orderkey").agg(
-        from_cents(F.sum(to_cents("l_extendedprice"))).alias("revenue"),
-        F.sum("l_quantity").cast("int").alias("runtime"),
-        F.count(F.lit(1)).cast("int").alias("vote_count"),
-        F.avg("l_quantity").alias("vote_average"),
+        *measures,
         _sorted_joined(F.col("p_type")).alias("genres"),
         _sorted_joined(F.col("p_company")).alias("production_companies"),
     )
 
 
-def catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Typed raw catalogue (the columns of the cleaned zone's source, before cleaning)."""
+def catalogue(spark: SparkSession, sf_dir: str, with_tokens: bool = True) -> DataFrame:
+    """Typed raw catalogue (the columns of the cleaned zone's source, before cleaning).
+
+    ``with_tokens=False`` leaves genres and companies NULL and reads no ``part``.
+    """
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
-    per_order = order_lines(spark, sf_dir)
+    per_order = order_lines(spark, sf_dir, with_tokens)
     joined = (
         orders.join(cust, orders.o_custkey == cust.c_custkey, "inner")
         .join(per_order, orders.o_orderkey == per_order.l_orderkey, "left")
@@ -97,9 +106,9 @@ def catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def catalogue_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+def catalogue_text(spark: SparkSession, sf_dir: str, with_tokens: bool = True) -> DataFrame:
     """The catalogue as a CSV would deliver it: every column text (dates as ISO text)."""
-    cat = catalogue(spark, sf_dir)
+    cat = catalogue(spark, sf_dir, with_tokens)
     return cat.select([F.col(c).cast("string").alias(c) for c in cat.columns])
 
 

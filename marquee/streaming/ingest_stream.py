@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from marquee.operators.incremental import key_bounds, new_rows
-from marquee.sources.files import CSV_READ_OPTIONS, read_parquet_or_empty
+from marquee.sources.files import CSV_READ_OPTIONS, path_exists, read_parquet_or_empty
 from marquee.sources.sinks import write_partitioned
 
 
@@ -46,13 +46,22 @@ def ingest_stream(
     key: str,
     partition_col: str,
     sink_schema: T.StructType | None = None,
+    prune_by_key_range: bool = False,
 ) -> int:
-    """Run the stream to the end of the currently available input; return the number of micro-batches."""
+    """Run the stream to the end of the currently available input; return the number of micro-batches.
+
+    ``prune_by_key_range`` reads each micro-batch once more for its key range, to
+    limit the sink read; worth it where the sink is much larger than a batch.
+    """
     schema = sink_schema or stream.schema
+    batches: set[int] = set()  # a stream keeps only its last hundred progress entries
 
     def append_new(batch: DataFrame, epoch_id: int) -> None:
-        existing = read_parquet_or_empty(batch.sparkSession, sink_path, schema)
-        fresh = new_rows(batch, existing, key, key_range=key_bounds(batch, key)).select(*schema.fieldNames())
+        batches.add(epoch_id)
+        session = batch.sparkSession
+        existing = read_parquet_or_empty(session, sink_path, schema)
+        bounds = key_bounds(batch, key) if prune_by_key_range and path_exists(session, sink_path) else None
+        fresh = new_rows(batch, existing, key, key_range=bounds).select(*schema.fieldNames())
         write_partitioned(fresh, sink_path, partition_col, mode="append", sort_key=key)
 
     q = (
@@ -64,4 +73,4 @@ def ingest_stream(
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
-    return len(q.recentProgress)
+    return len(batches)

