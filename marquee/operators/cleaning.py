@@ -6,7 +6,7 @@ them shuffles except ``remove_outliers(mode="key")``, which needs a join.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -158,13 +158,14 @@ def cleaned_columns(df: DataFrame, status_allow: list[str] = S.STATUS_ALLOW) ->
     ``fill_defaults`` applied in sequence; as plain expressions they can be
     evaluated next to the raw columns in one projection (see ``profile_cleaning``).
     """
+    text = clean_values(status_allow)
     has_calendar = "year" in df.columns and "month" in df.columns
     year = F.col("year") if has_calendar else F.year("release_date")
     month = F.col("month") if has_calendar else F.month("release_date")
     cols = {
         "id": F.col("id"),
-        "status": normalise_category("status", status_allow),
-        "genres": strip_genre_text("genres"),
+        "status": text["status"](F.col("status")),
+        "genres": text["genres"](F.col("genres")),
         "release_date": F.col("release_date"),
         "runtime": F.col("runtime"),
         "year": year.cast("string"),
@@ -174,13 +175,22 @@ def cleaned_columns(df: DataFrame, status_allow: list[str] = S.STATUS_ALLOW) ->
         "vote_count": F.col("vote_count"),
         "vote_average": F.col("vote_average"),
         "title": F.col("title"),
-        "production_companies": F.trim(F.lower(strip_company_text("production_companies"))),
+        "production_companies": text["production_companies"](F.col("production_companies")),
     }
     for c, v in S.FILL_DEFAULTS.items():
         cols[c] = F.coalesce(cols[c], F.lit(v))
     return cols
 
 
+def clean_values(status_allow: list[str] = S.STATUS_ALLOW) -> dict[str, Callable[[Column], Column]]:
+    """The text rules of the cleaning step by column: raw value → cleaned value, before defaults."""
+    return {
+        "status": lambda c: normalise_category(c, status_allow),
+        "genres": strip_genre_text,
+        "production_companies": lambda c: F.trim(F.lower(strip_company_text(c))),
+    }
+
+
 def keep_row(rules: Mapping[str, Column] | None = None) -> Column:
     """True for a cleaned row that no outlier rule flags (row mode)."""
     return ~_any(rules if rules is not None else outlier_rules())

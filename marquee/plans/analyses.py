@@ -12,9 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee import schema as S
-from marquee.functions.stats import distinct_with_null
 from marquee.operators import growth, metrics, tokens
-from marquee.operators.cleaning import DEFAULT_REQUIRED, cleaned_columns, keep_row, not_null
+from marquee.operators.cleaning import DEFAULT_REQUIRED, clean_values, cleaned_columns, keep_row, not_null
 
 GRAINS = {"year": ["year", "genres"], "month": ["month", "genres"], "total": ["genres"]}
 
@@ -72,17 +71,15 @@ def quality_report(
     status_allow: list[str] = S.STATUS_ALLOW,
     rules: Mapping[str, Column] | None = None,
     required: Sequence[str] = DEFAULT_REQUIRED,
-    distinct_cols: Sequence[str] = ("status", "genres", "production_companies"),
-    approx: bool = False,
+    distinct_cols: Sequence[str] = ("status", "genres", "production_companies", "release_date"),
 ) -> DataFrame:
-    """Per column: type, NULLs and distinct values (NULL counted), plus row count, of the raw
-    catalogue and of its cleaned form (row-mode rules), in ONE scan (L4, F1, F3, F4, A12).
-
-    Row-mode cleaning is a per-row filter plus projection, so each raw row is
-    projected once into its raw columns, its cleaned columns and a keep flag,
-    and one aggregate computes both stages (cleaned statistics count only kept
-    rows). The reference runs one job per column per stage. ``approx=True``
-    estimates the distinct counts with HyperLogLog++ (no per-column expansion).
+    """Per stage and column: type, NULLs, distinct values (NULL counted) and rows.
+
+    Stages: ``raw``, ``cleaned`` (every rule but outlier removal) and ``kept``
+    (row-mode outliers removed). NULLs and rows of all three come from one
+    aggregate. Distinct values are grouped to (column, raw value) first, so the
+    text rules run once per distinct value and no row is expanded once per
+    distinct count.
     """
     cols = cleaned_columns(raw, status_allow)
     raw_cols = raw.columns
@@ -92,33 +89,37 @@ def quality_report(
         not_null(required).alias("_complete"),
     )
     staged = staged.withColumn("_keep", F.col("_complete") & keep_row(rules))
-    keep = F.col("_keep")
-    aggs = [F.count(F.lit(1)).alias("_raw_rows"), F.count_if(keep).alias("_clean_rows")]
-    for i, c in enumerate(raw_cols):
-        aggs.append(F.count_if(F.col(f"_r{i}").isNull()).alias(f"_rn{i}"))
-        if c in distinct_cols:
-            aggs.append(distinct_with_null(f"_r{i}", approx).alias(f"_rd{i}"))
-    for j, c in enumerate(S.CLEAN_COLUMNS):
-        aggs.append(F.count_if(keep & F.col(c).isNull()).alias(f"_cn{j}"))
-        if c in distinct_cols:
-            kept = F.when(keep, F.col(c))
-            null_seen = F.coalesce(F.max(F.when(keep, F.col(c).isNull().cast("int"))), F.lit(0))
-            counted = F.approx_count_distinct(kept, 0.01) if approx else F.count_distinct(kept)
-            aggs.append((counted + null_seen).alias(f"_cd{j}"))
+    flags = {"cleaned": F.col("_complete"), "kept": F.col("_keep")}
+    aggs = [F.count(F.lit(1)).alias("_rows_raw"), *[F.count_if(f).alias(f"_rows_{s}") for s, f in flags.items()]]
+    aggs += [F.count_if(F.col(f"_r{i}").isNull()).alias(f"_raw{i}") for i in range(len(raw_cols))]
+    aggs += [F.count_if(f & F.col(c).isNull()).alias(f"_{s}{j}") for s, f in flags.items() for j, c in enumerate(S.CLEAN_COLUMNS)]
     one = staged.agg(*aggs)
-    raw_types = {f.name: f.dataType.simpleString() for f in raw.schema.fields}
-    clean_types = {c: staged.schema[c].dataType.simpleString() for c in S.CLEAN_COLUMNS}
-
-    def entry(stage, name, pos, dtype, nulls, distinct, rows):
-        return F.struct(
-            F.lit(stage).alias("stage"), F.lit(name).alias("column_name"), F.lit(pos).cast("bigint").alias("position"),
-            F.lit(dtype).alias("data_type"), F.col(nulls).alias("nulls"),
-            (F.col(distinct) if distinct else F.lit(None).cast("bigint")).alias("distinct_values"),
-            F.col(rows).alias("rows"),
-        )
-
-    entries = [entry("raw", c, i, raw_types[c], f"_rn{i}", f"_rd{i}" if c in distinct_cols else None, "_raw_rows")
-               for i, c in enumerate(raw_cols)]
-    entries += [entry("cleaned", c, j, clean_types[c], f"_cn{j}", f"_cd{j}" if c in distinct_cols else None,
-                      "_clean_rows") for j, c in enumerate(S.CLEAN_COLUMNS)]
-    return one.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+    raw_types = [(f.name, f.dataType.simpleString()) for f in raw.schema.fields]
+    clean_types = [(c, staged.schema[c].dataType.simpleString()) for c in S.CLEAN_COLUMNS]
+    entries = [
+        F.struct(F.lit(stage).alias("stage"), F.lit(name).alias("column_name"), F.lit(pos).cast("bigint").alias("position"),
+                 F.lit(kind).alias("data_type"), F.col(f"_{stage}{pos}").alias("nulls"), F.col(f"_rows_{stage}").alias("rows"))
+        for stage, types in (("raw", raw_types), ("cleaned", clean_types), ("kept", clean_types))
+        for pos, (name, kind) in enumerate(types)
+    ]
+    counts = one.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+    distinct = _distinct_by_stage(staged, {c: f"_r{raw_cols.index(c)}" for c in distinct_cols}, status_allow)
+    return counts.join(distinct, ["stage", "column_name"], "left").select(
+        "stage", "column_name", "position", "data_type", "nulls", "distinct_values", "rows")
+
+
+def _distinct_by_stage(staged: DataFrame, source: Mapping[str, str], status_allow: list[str]) -> DataFrame:
+    """(stage, column_name, distinct_values) of the raw columns ``source`` and their cleaned values."""
+    pairs = F.array(*[F.struct(F.lit(n).alias("column_name"), F.col(c).cast("string").alias("v")) for n, c in source.items()])
+    values = staged.select(F.explode(pairs).alias("p"), "_complete", "_keep").groupBy("p.column_name", "p.v").agg(
+        F.max("_complete").alias("_complete"), F.max("_keep").alias("_keep"))
+    clean_v = F.col("v")
+    for name, rule in clean_values(status_allow).items():
+        default = S.FILL_DEFAULTS.get(name)
+        ruled = rule(F.col("v")) if default is None else F.coalesce(rule(F.col("v")), F.lit(default))
+        clean_v = F.when(F.col("column_name") == name, ruled).otherwise(clean_v)
+    per_value = values.withColumn("v", clean_v).groupBy("column_name", "v").agg(
+        F.count(F.lit(1)).alias("_raw"), F.max("_complete").alias("_complete"), F.max("_keep").alias("_keep"))
+    found = per_value.groupBy("column_name").agg(
+        F.sum("_raw").alias("raw"), F.count_if("_complete").alias("cleaned"), F.count_if("_keep").alias("kept"))
+    return found.unpivot("column_name", ["raw", "cleaned", "kept"], "stage", "distinct_values")

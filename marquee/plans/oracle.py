@@ -100,6 +100,13 @@ def _growth(src: str, value: str) -> str:
     )
 
 
+def _debuts(src: str, entity: str, as_: str, where: str = "") -> str:
+    """Distinct entities per year among the rows of each entity's first year, in the rank form."""
+    return f"""SELECT year, count(DISTINCT e) AS {as_} FROM (
+  SELECT {entity} AS e, year, dense_rank() OVER (PARTITION BY {entity} ORDER BY year) AS place FROM {src} {where})
+WHERE place = 1 AND e IS NOT NULL GROUP BY year"""
+
+
 def _cumulative(measure: str, yearly: str, cumulative: str) -> str:
     return w(CLEAN_CTE, f"""SELECT year, CAST(sum({measure}) AS DOUBLE) AS {yearly},
        CAST(sum(sum({measure})) OVER (ORDER BY year ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS DOUBLE)
@@ -117,7 +124,7 @@ DISTINCT_COLS = ["status", "genres", "production_companies", "release_date"]
 RAW_TYPES = [("id", "bigint"), ("title", "string"), ("vote_average", "double"), ("vote_count", "int"),
              ("status", "string"), ("release_date", "date"), ("revenue", "decimal(18,2)"), ("runtime", "int"),
              ("budget", "decimal(18,2)"), ("genres", "string"), ("production_companies", "string")]
-REPORT_DISTINCT = ["status", "genres", "production_companies"]
+REPORT_DISTINCT = ["status", "genres", "production_companies", "release_date"]
 
 
 def _report(stage: str, src: str, types: list[tuple[str, str]]) -> str:
@@ -151,6 +158,9 @@ SQL["malformed_values"] = w(ORACLE_CTE, """UNPIVOT (
   FROM cat
 ) ON id, release_date, runtime, title, status, genres INTO NAME column_name VALUE nulls""")
 
+SQL["numeric_text"] = """SELECT event_id, CAST(trunc(value) AS BIGINT) AS as_int, CAST(trunc(value) AS BIGINT) AS as_bigint
+FROM events"""
+
 # ---- C: filters, nulls
 SQL["drop_incomplete"] = w(ORACLE_CTE, """SELECT id, status, CAST(release_date AS VARCHAR) AS release_date,
        CAST(budget AS DOUBLE) AS budget, CAST(revenue AS DOUBLE) AS revenue
@@ -179,6 +189,9 @@ WHERE NOT (r OR v OR m)
   AND NOT EXISTS (SELECT 1 FROM flagged b WHERE b.id = f.id AND (b.r OR b.v OR b.m))""".replace(
     "WITH ", "WITH ", 1)).replace(")\n, flagged", "),\nflagged")
 
+SQL["outlier_by_title"] = w(CLEAN_CTE, """SELECT id, title FROM cleaned
+WHERE title NOT IN (SELECT title FROM clean1 WHERE id NOT IN (SELECT id FROM cleaned))""")
+
 SQL["outlier_counts"] = w(CLEAN_CTE, f"""SELECT count(*) AS rows_in,
        count(*) FILTER (WHERE r) AS runtime_outliers,
        count(*) FILTER (WHERE NOT r AND v) AS vote_average_outliers,
@@ -201,6 +214,13 @@ FROM cat WHERE id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l
 SQL["ingest_roundtrip"] = w(CLEAN_CTE, """SELECT month, count(*) AS titles, CAST(sum(revenue) AS DOUBLE) AS total_revenue
 FROM cleaned GROUP BY month""")
 
+SQL["ingest_counts"] = """WITH c AS (
+  SELECT count(*) AS n, count(*) FILTER (WHERE turn % 3 = 2) AS bad, count(DISTINCT conv_id) FILTER (WHERE turn % 3 <> 2) AS keys,
+         max(conv_id) FILTER (WHERE turn % 3 <> 2) AS top FROM conversations)
+SELECT r AS run, n AS rows_read, bad AS rejected_null_key, n - bad - keys AS duplicate_in_batch,
+       CASE r WHEN 0 THEN 0 ELSE keys END AS already_in_sink, CASE r WHEN 0 THEN keys ELSE 0 END AS new_rows, top AS max_id
+FROM c, range(2) t(r)"""
+
 SQL["ingest_stream"] = "SELECT event_id, event_type, value FROM events"
 
 SQL["csv_roundtrip"] = """SELECT doc_id, length(text) AS text_length, md5(text) AS text_md5, lang, source
@@ -232,6 +252,7 @@ SQL["genre_view"] = w(GENRE_CTE, f"""SELECT CAST(year(release_date) AS BIGINT) A
        CAST(sum(budget) AS DOUBLE) AS total_budget_by_genre, CAST(sum(revenue) AS DOUBLE) AS total_revenue_by_genre,
        CAST(sum(vote_count) AS BIGINT) AS total_votes_by_genre, {CORR} AS budget_revenue_correlation
 FROM genre_rows GROUP BY 1, 2, 3""")
+SQL["table_views"] = SQL["genre_view"]
 SQL["genre_top5"] = w(GENRE_CTE, f"""SELECT year, genres, {METRICS} FROM genre_rows GROUP BY year, genres
 ORDER BY total_movies DESC, year, genres LIMIT 5""")
 SQL["genre_month_top5"] = w(GENRE_CTE, f"""SELECT month, genres, {METRICS} FROM genre_rows GROUP BY month, genres
@@ -242,32 +263,34 @@ SQL["budget_by_year_genre"] = w(GENRE_CTE, """SELECT year, genres, CAST(sum(budg
 FROM genre_rows GROUP BY year, genres""")
 SQL["releases_per_year"] = w(CLEAN_CTE, "SELECT year, count(*) AS releases FROM cleaned GROUP BY year")
 
+# ---- words of free text
+WORD_CTE = f"""texts AS (SELECT 'documents' AS src, text FROM documents UNION ALL SELECT 'conversations', text FROM conversations),
+words AS (
+  SELECT src, trim(t.tok) AS pc
+  FROM texts CROSS JOIN unnest(string_split(lower(translate(text, chr(10) || chr(9) || chr(13), '   ')), ' ')) AS t(tok)
+  WHERE trim(t.tok) NOT IN ('license', 'version', 'public', '') AND length(trim(t.tok)) > 5
+    AND regexp_matches(trim(t.tok), '{NAME_PATTERN}'))"""
+SQL["word_filter"] = w(WORD_CTE, "SELECT src, count(*) AS words, CAST(sum(length(pc)) AS BIGINT) AS letters FROM words GROUP BY src")
+SQL["word_frequency"] = w(WORD_CTE, "SELECT pc, count(*) AS count FROM words GROUP BY pc HAVING count(*) > 5")
+SQL["word_groups"] = w(WORD_CTE, """SELECT count(*) AS groups, count(*) FILTER (WHERE count > 5) AS groups_over_5
+FROM (SELECT pc, count(*) AS count FROM words GROUP BY pc)""")
+
 # ---- companies
 SQL["company_filter"] = w(COMPANY_CTE, "SELECT id, pc FROM company_rows")
 SQL["company_frequency"] = w(COMPANY_CTE, "SELECT pc, count(*) AS count FROM company_rows GROUP BY pc")
 SQL["company_frequent_count"] = w(COMPANY_CTE, """SELECT count(*) AS groups, count(*) FILTER (WHERE count > 5) AS groups_over_5
 FROM (SELECT pc, count(*) AS count FROM company_rows GROUP BY pc)""")
-SQL["company_debut"] = w(COMPANY_CTE, """SELECT year, count(*) AS debuts
-FROM (SELECT pc, min(year) AS year FROM company_rows GROUP BY pc) GROUP BY year""")
-SQL["company_growth"] = w(COMPANY_CTE, _growth(
-    "SELECT year, count(*) AS pc_distinct FROM (SELECT pc, min(year) AS year FROM company_rows GROUP BY pc) GROUP BY year",
-    "pc_distinct"))
+SQL["company_debut"] = w(COMPANY_CTE, _debuts("company_rows", "pc", "debuts"))
+SQL["company_growth"] = w(COMPANY_CTE, _growth(_debuts("company_rows", "pc", "pc_distinct"), "pc_distinct"))
 SQL["company_string_growth"] = w(CLEAN_CTE, _growth(
-    """SELECT year, count(*) AS pc_count_by_year FROM (
-         SELECT lower(production_companies) AS e, min(year) AS year FROM cleaned
-         WHERE lower(production_companies) <> 'na' GROUP BY 1) GROUP BY year""",
-    "pc_count_by_year"))
+    _debuts("cleaned", "lower(production_companies)", "pc_count_by_year", "WHERE lower(production_companies) <> 'na'"), "pc_count_by_year"))
 SQL["title_growth"] = w(CLEAN_CTE, _growth(
-    """SELECT year, count(*) AS pc_count_by_year FROM (
-         SELECT lower(title) AS e, min(year) AS year FROM cleaned
-         WHERE lower(title) <> 'na' GROUP BY 1) GROUP BY year""",
-    "pc_count_by_year"))
-SQL["company_cumulative_view"] = w(COMPANY_CTE, """SELECT release_year, pc_distinct_count,
-       CAST(sum(pc_distinct_count) OVER (ORDER BY release_year ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT)
-         AS pc_cumm_count
-FROM (SELECT release_year, count(*) AS pc_distinct_count
-      FROM (SELECT pc, min(CAST(year(release_date) AS BIGINT)) AS release_year FROM company_rows GROUP BY pc)
-      GROUP BY release_year)""")
+    _debuts("cleaned", "lower(title)", "pc_count_by_year", "WHERE lower(title) <> 'na'"), "pc_count_by_year"))
+_CUMULATIVE_VIEW = """SELECT CAST(year AS BIGINT) AS release_year, pc_distinct_count,
+       CAST(sum(pc_distinct_count) OVER (ORDER BY year ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS pc_cumm_count
+FROM ({})"""
+SQL["company_cumulative_view"] = w(COMPANY_CTE, _CUMULATIVE_VIEW.format(_debuts("company_rows", "pc", "pc_distinct_count")))
+SQL["title_cumulative_view"] = w(CLEAN_CTE, _CUMULATIVE_VIEW.format(_debuts("cleaned", "title", "pc_distinct_count")))
 SQL["companies_per_year"] = w(CLEAN_CTE, _growth(
     "SELECT year, count(DISTINCT production_companies) AS prod_companies_count FROM cleaned GROUP BY year",
     "prod_companies_count"))
@@ -291,7 +314,7 @@ SQL["cleaned_catalogue"] = w(CLEAN_CTE, """SELECT id, status, genres, CAST(relea
        production_companies
 FROM cleaned""")
 
-SQL["quality_report"] = w(CLEAN_CTE, _report("raw", "cat", RAW_TYPES) + "\nUNION ALL\n" + _report("cleaned", "cleaned", CLEAN_TYPES))
+SQL["quality_report"] = w(CLEAN_CTE, _report("raw", "cat", RAW_TYPES) + "\nUNION ALL\n" + _report("cleaned", "clean1", CLEAN_TYPES)
+                          + "\nUNION ALL\n" + _report("kept", "cleaned", CLEAN_TYPES))
 
-SQL["company_string_debut"] = w(CLEAN_CTE, """SELECT year, count(*) AS pc_count_by_year FROM (
-  SELECT lower(production_companies) AS e, min(year) AS year FROM cleaned GROUP BY 1) GROUP BY year""")
+SQL["company_string_debut"] = w(CLEAN_CTE, _debuts("cleaned", "lower(production_companies)", "pc_count_by_year"))

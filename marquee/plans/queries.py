@@ -10,12 +10,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marquee.operators import growth, incremental, metrics, profile, tokens, topk
-from marquee.operators.cleaning import drop_incomplete, fill_defaults, outlier_counts, parse_columns
+from marquee.operators.cleaning import clean, drop_incomplete, fill_defaults, outlier_counts, parse_columns
+from marquee.functions.parse import parse_as
 from marquee.functions.text import normalise_category, pad_month, strip_company_text, strip_genre_text
 from marquee.plans import analyses
 from marquee.plans import catalogue as cat
@@ -93,6 +94,13 @@ def malformed_values(spark, sf_dir):
     return profile.null_profile(parsed)
 
 
+@register("numeric_text")
+def numeric_text(spark, sf_dir):
+    """Event values delivered as text ("37.9") read as whole numbers, cut towards zero (B1)."""
+    ev = table(spark, sf_dir, "events").select("event_id", F.col("value").cast("string").alias("t"))
+    return ev.select("event_id", parse_as("t", T.IntegerType()).alias("as_int"), parse_as("t", T.LongType()).alias("as_bigint"))
+
+
 # ------------------------------------------------------------------ C: filters, nulls
 
 
@@ -145,6 +153,14 @@ def outlier_by_key(spark, sf_dir):
     return cat.cleaned(spark, sf_dir, "key", with_tokens=False).select("id", "year", "month")
 
 
+@register("outlier_by_title")
+def outlier_by_title(spark, sf_dir):
+    """Every row whose title has an outlier row anywhere removed: keys shared by many rows (E2, E3 key mode)."""
+    raw = cat.raw(spark, sf_dir, with_tokens=False)
+    kept = clean(raw, status_allow=tc.ORDER_STATUS_ALLOW, rules=cat.order_rules(), outlier_mode="key", key="title")
+    return kept.select("id", "title")
+
+
 @register("outlier_counts")
 def q_outlier_counts(spark, sf_dir):
     """Outliers per rule in sequence, one pass."""
@@ -193,6 +209,19 @@ def ingest_roundtrip(spark, sf_dir):
     return zone.groupBy("month").agg(F.count(F.lit(1)).alias("titles"), F.sum("revenue").alias("total_revenue"))
 
 
+@register("ingest_counts")
+def ingest_counts(spark, sf_dir):
+    """What became of every row of a batch, twice over: repeated, decimal and malformed keys."""
+    ending = F.element_at(F.array(F.lit(""), F.lit(".0"), F.lit("?")), (F.col("turn") % 3 + 1).cast("int"))
+    delivered = table(spark, sf_dir, "conversations").select(
+        F.concat(F.col("conv_id").cast("string"), ending).alias("conv_id"), "turn", "role", "text")
+    batch = parse_columns(delivered, {"conv_id": T.LongType()})
+    sink = scratch_path(spark, "conversations")
+    runs = [ingest(spark, batch, sink, batch.schema, key="conv_id", partition_col="role") for _ in range(2)]
+    names = ["rows_read", "rejected_null_key", "duplicate_in_batch", "already_in_sink", "new_rows", "max_id"]
+    return spark.createDataFrame([(k, *[r[n] for n in names]) for k, r in enumerate(runs)], ", ".join(f"{n} long" for n in ["run", *names]))
+
+
 EVENT_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
     T.StructField("user_id", T.LongType()), T.StructField("event_type", T.StringType()),
@@ -212,11 +241,11 @@ def q_ingest_stream(spark, sf_dir):
 
 @register("csv_roundtrip")
 def csv_roundtrip(spark, sf_dir):
-    """Documents (quotes, commas, line breaks) → CSV → read back as text with a declared schema (A1, A2, A4)."""
+    """Documents (quotes, commas, line breaks) → CSV → read back as text, columns by name in another order (A1, A2, A4)."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     path = scratch_path(spark, "csv")
     files.write_csv(docs, path)
-    back = files.read_csv_as_text(spark, path, ["doc_id", "text", "lang", "source"], null_value=files.NULL_MARKER)
+    back = files.read_csv_as_text(spark, path, ["source", "text", "doc_id", "lang"], null_value=files.NULL_MARKER)
     back = parse_columns(back, {"doc_id": T.LongType()})
     return back.select(
         "doc_id", F.length("text").alias("text_length"), F.md5("text").alias("text_md5"), "lang", "source"
@@ -235,6 +264,20 @@ def external_table(spark, sf_dir):
     )
 
 
+@register("table_views")
+def table_views(spark, sf_dir):
+    """Zone written, registered as an external table, persistent views over it; the genre view answers from the table
+    (A6, A7, A8, F6). Table and views stay in the catalogue, under names of this call: partitions are listed when it runs."""
+    path = scratch_path(spark, "view-zone")
+    sinks.write_partitioned(cat.cleaned(spark, sf_dir), path, "month", mode="overwrite")
+    suffix = path.rsplit("-", 1)[-1]
+    name = f"catalogue_data_{suffix}"
+    catalog.create_external_table(spark, name, path)
+    views = list(catalog.create_views(
+        spark, name, tc.ORDER_GENRE_ALLOW, tc.ORDER_COMPANY_DENY, prefix=f"z{suffix}_", persistent=True))
+    return spark.table(views[1])
+
+
 # ------------------------------------------------------------------ F1-F4, A12: profile
 
 
@@ -339,6 +382,38 @@ def releases_per_year(spark, sf_dir):
     return analyses.releases_per_year(cat.cleaned(spark, sf_dir, with_tokens=False))
 
 
+# ------------------------------------------------------------------ words of free text: short, denied, malformed and rare tokens occur
+
+#: Words denied over the free texts.
+WORD_DENY = ["license", "version", "public", ""]
+
+
+def _words(spark, sf_dir) -> DataFrame:
+    """One row per valid word of every document and conversation turn, line breaks taken as spaces."""
+    docs = table(spark, sf_dir, "documents").select(F.lit("documents").alias("src"), "text")
+    said = table(spark, sf_dir, "conversations").select(F.lit("conversations").alias("src"), "text")
+    texts = docs.unionByName(said).withColumn("text", F.translate("text", "\n\t\r", "   "))
+    return tokens.explode_tokens(texts, "text", "pc", keep=tokens.company_token(WORD_DENY), sep=" ")
+
+
+@register("word_filter")
+def word_filter(spark, sf_dir):
+    """Words left per table when denied, short and malformed ones go."""
+    return _words(spark, sf_dir).groupBy("src").agg(F.count(F.lit(1)).alias("words"), F.sum(F.length("pc")).alias("letters"))
+
+
+@register("word_frequency")
+def word_frequency(spark, sf_dir):
+    """Words seen more than five times, most frequent first."""
+    return metrics.frequency(_words(spark, sf_dir), "pc", min_count=5).orderBy(F.desc("count"), "pc")
+
+
+@register("word_groups")
+def word_groups(spark, sf_dir):
+    """Number of different words, and of those seen more than five times."""
+    return metrics.count_groups(_words(spark, sf_dir), "pc", min_count=5)
+
+
 # ------------------------------------------------------------------ companies, W1-W3
 
 
@@ -399,6 +474,13 @@ def company_cumulative_view(spark, sf_dir):
     return spark.sql(f"SELECT * FROM {views['company']}")
 
 
+@register("title_cumulative_view")
+def title_cumulative_view(spark, sf_dir):
+    """The company growth view over names that debut in many years: an inclusive sum of several rows."""
+    views = _views(spark, sf_dir, named=F.translate("title", "#0123456789", ".abcdefghij"))
+    return spark.sql(f"SELECT * FROM {views['company']}")
+
+
 @register("companies_per_year")
 def companies_per_year(spark, sf_dir):
     """Distinct company strings per year and their running totals."""
@@ -419,7 +501,7 @@ def cumulative_revenue(spark, sf_dir):
 
 @register("quality_report")
 def quality_report(spark, sf_dir):
-    """Types, NULLs, distinct values and rows of every column, raw and cleaned, one scan."""
+    """Types, NULLs, distinct values and rows of every column: raw, cleaned, and without outliers."""
     rep = analyses.quality_report(cat.raw(spark, sf_dir), tc.ORDER_STATUS_ALLOW, cat.order_rules())
     return rep.withColumn("distinct_values", F.col("distinct_values").cast("double"))
 
@@ -461,13 +543,14 @@ def cleaned_catalogue(spark, sf_dir):
     return cat.cleaned(spark, sf_dir)
 
 
-def _views(spark: SparkSession, sf_dir: str) -> dict[str, str]:
-    """Register the cleaned catalogue and the three views under names unique to this call."""
+def _views(spark: SparkSession, sf_dir: str, named: Column | None = None) -> dict[str, str]:
+    """Register the cleaned catalogue (companies replaced by ``named``) and the three views under names unique to this call."""
     import uuid
 
     suffix = uuid.uuid4().hex[:8]
     src = f"catalogue_data_{suffix}"
-    cat.cleaned(spark, sf_dir).createOrReplaceTempView(src)
+    zone = cat.cleaned(spark, sf_dir) if named is None else cat.cleaned(spark, sf_dir, with_tokens=False).withColumn("production_companies", named)
+    zone.createOrReplaceTempView(src)
     names = catalog.create_views(spark, src, tc.ORDER_GENRE_ALLOW, tc.ORDER_COMPANY_DENY, prefix=f"v{suffix}_")
     keys = ["release", "genre", "company"]
     return dict(zip(keys, names))

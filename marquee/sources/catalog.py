@@ -84,14 +84,10 @@ debuts_per_year AS (
   SELECT release_year, count(*) AS pc_distinct_count
   FROM company_first_year
   GROUP BY release_year
-),
-with_running_total AS (
-  SELECT release_year, pc_distinct_count,
-         sum(pc_distinct_count) OVER (ORDER BY release_year ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
-           AS pc_cumm_count
-  FROM debuts_per_year
 )
-SELECT release_year, pc_distinct_count, pc_cumm_count FROM with_running_total
+SELECT release_year, pc_distinct_count,
+       sum(pc_distinct_count) OVER (ORDER BY release_year ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS pc_cumm_count
+FROM debuts_per_year
 """
 
 
@@ -111,11 +107,13 @@ def create_views(
     genres: list[str] = S.GENRE_ALLOW,
     deny: list[str] = S.COMPANY_DENY,
     prefix: str = "",
+    persistent: bool = False,
 ) -> dict[str, str]:
     """Create the release, genre and company-growth views over table ``src``.
 
     Returns {view name: SQL body}, in that order: ``{prefix}catalogue_releases``,
-    ``{prefix}catalogue_by_genre``, ``{prefix}company_cumulative``.
+    ``{prefix}catalogue_by_genre``, ``{prefix}company_cumulative``. ``persistent``
+    views stay in the catalogue after the session and need ``src`` to be a table.
     """
     pattern = S.COMPANY_NAME_PATTERN.replace("\\", "\\\\")
     views = {
@@ -125,6 +123,7 @@ def create_views(
             src=src, deny=_quote_list(deny), min_len=S.COMPANY_MIN_LENGTH, pattern=pattern
         ),
     }
+    kind = "VIEW" if persistent else "TEMPORARY VIEW"
     for name, body in views.items():
-        spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {name} AS {body}")
+        spark.sql(f"CREATE OR REPLACE {kind} {name} AS {body}")
     return views
