@@ -349,7 +349,8 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.first("prefix").alias("prefix"), F.first("bitmap").alias("bitmap"), F.first("shingles").alias("shingles")), "classes")
     comps = links(classes)
     labelled = able.select("doc_id", "n_shingles", "node").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    smallest = labelled.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
+    # written, so that the join below reads two plain exchanges and a component of a third of all rows can be split
+    smallest = written(labelled.groupBy("comp").agg(F.min("doc_id").alias("component_id")), "smallest-ids")
     alone = sets.where("shingles is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return labelled.join(smallest, "comp").select("doc_id", "n_shingles", "component_id").unionByName(alone)
 
