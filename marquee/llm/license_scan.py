@@ -1,8 +1,8 @@
 """License scan (native DataFrame operators only).
 
 Templates are retrieved for overlapping windows of a text by MinHash bands, then
-verified exactly. A window is reduced to its 5-word shingles that occur in any
-template (a fixed, small vocabulary; other shingles can match nothing), so a
+verified exactly. A window is reduced to its 5-word shingles (a shorter
+notice is one shingle of all its words) that occur in any template (a fixed, small vocabulary; other shingles can match nothing), so a
 window that holds a template to 0.8 has a similarity to it of at least
 ``0.8 / (1 + others)``; alone in its window that is 0.8. With ``BANDS`` bands of
 one row the chance to miss a pair of similarity s is ``(1 - s) ** BANDS``: 4e-23
@@ -22,6 +22,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marquee.llm.license_texts import NOTICES
 from marquee.llm.quality_rules import let, word_array
 from marquee.llm.scratch import documents, written
 
@@ -36,6 +37,8 @@ TEMPLATES = {
     "mpl-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
     "all-rights-reserved": "All rights reserved. No part of this work may be reproduced without permission.",
 }
+#: All that ``op3_license_scan`` looks for. ``SQL`` knows ``TEMPLATES`` only.
+KNOWN = TEMPLATES | NOTICES
 WINDOW = 64
 BANDS = 32
 SHINGLE = 5
@@ -44,56 +47,71 @@ CONTAINMENT = 0.8
 
 
 def _pieces(templates: dict[str, str]) -> list[tuple[str, int, list[str]]]:
-    """(template, piece, words): templates of more than half a window are cut into pieces that overlap by the shingle."""
+    """(template, piece, words): templates of more than half a window are cut into pieces of half a window; the last ends with the text."""
     out = []
     step = WINDOW // 2
     for name in sorted(templates):
         w = re.findall(r"[^\x20\x09-\x0D]+", templates[name].lower())
-        starts = range(0, max(1, len(w) - SHINGLE + 1), step)
+        starts = [*range(0, len(w) - step, step), max(0, len(w) - step)]
         out += [(name, k, w[a : a + step]) for k, a in enumerate(starts)]
     return out
 
 
 def _template_shingles(spark: SparkSession, templates: dict[str, str]) -> DataFrame:
-    """(template, piece, size, h): the distinct shingle hashes of every piece. As small as the templates given."""
-    rows = [(n, k, w) for n, k, w in _pieces(templates) if len(w) >= SHINGLE]
-    df = spark.createDataFrame(rows, "template string, piece int, words array<string>")
-    hashed = df.select("template", "piece", let(_word_hashes(F.col("words")), _shingle_hashes).alias("hs"))
-    return hashed.select("template", "piece", F.size(F.array_distinct("hs")).alias("size"), F.explode(F.array_distinct("hs")).alias("h"))
+    """(template, piece, width, size, h): the distinct shingle hashes of every piece. As small as the templates given.
+
+    A notice of fewer than ``SHINGLE`` words is one shingle of all its words, as wide as it is long.
+    """
+    rows = [(n, k, min(len(w), SHINGLE), w) for n, k, w in _pieces(templates) if w]
+    df = spark.createDataFrame(rows, "template string, piece int, width int, words array<string>")
+    of_width = lambda n: F.when(F.col("width") == n, let(_word_hashes(F.col("words")), lambda h: _shingle_hashes(h, n)))
+    by_width = F.coalesce(*[of_width(n) for n in range(1, SHINGLE + 1)])
+    hashed = df.select("template", "piece", "width", F.array_distinct(by_width).alias("hs"))
+    return hashed.select("template", "piece", "width", F.size("hs").alias("size"), F.explode("hs").alias("h"))
 
 
 def _word_hashes(words: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def _shingle_hashes(h: Column) -> Column:
-    return F.when(F.size(h) >= SHINGLE, F.transform(
-        F.sequence(F.lit(0), F.size(h) - SHINGLE), lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(SHINGLE)])))
+def _shingle_hashes(h: Column, width: int = SHINGLE) -> Column:
+    return F.when(F.size(h) >= width, F.transform(
+        F.sequence(F.lit(0), F.size(h) - width), lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(width)])))
+
+
+def _hits(h: Column, width: int, vocabulary: list[int]) -> Column:
+    """(at, width, h) of every shingle of ``width`` words that is in the vocabulary; empty for a text too short."""
+    known = let(_shingle_hashes(h, width), lambda s: F.filter(
+        F.transform(s, lambda x, i: F.struct(i.alias("at"), F.lit(width).alias("width"), x.alias("h"))), lambda x: x["h"].isin(vocabulary)))
+    return F.coalesce(known, F.array().cast("array<struct<at:int,width:int,h:bigint>>"))
 
 
-def license_scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def license_scan(docs: DataFrame, templates: dict[str, str] = KNOWN, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, template, containment, n_windows: one row per document and template found.
 
     ``containment`` is the largest share of one piece's shingles in one window;
     a template of several pieces is found by any of them. Words are lower-cased.
-    Edges: null and empty texts, and texts of fewer than five words, match
-    nothing; templates of fewer than five words are left out; rows that repeat
-    an id count as one document; an empty table or no template gives an empty
-    result; other columns are ignored.
+    Edges: null and empty texts match nothing; a template of fewer than five
+    words is found where all its words follow each other; rows that repeat an id
+    count as one document; an empty table or no template (or one without words)
+    gives an empty result; other columns are ignored.
     """
     spark = docs.sparkSession
     known = _template_shingles(spark, templates)
-    vocabulary = [r["h"] for r in known.select("h").distinct().collect()]  # bounded by the templates given
+    vocabulary: dict[int, list[int]] = {}  # by width; bounded by the templates given
+    for r in known.select("width", "h").distinct().collect():
+        vocabulary.setdefault(r["width"], []).append(r["h"])
+    if not vocabulary:
+        vocabulary[SHINGLE] = []
     text = F.lower(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
     # every shingle of every whole text, filtered in the scan; a hit keeps its word position
-    hits = let(_word_hashes(word_array(text)), lambda h: let(_shingle_hashes(h), lambda s: F.filter(
-        F.transform(s, lambda x, i: F.struct(i.alias("at"), x.alias("h"))), lambda x: x["h"].isin(vocabulary))))
+    hits = let(_word_hashes(word_array(text)), lambda h: F.concat(*[_hits(h, n, vocabulary[n]) for n in sorted(vocabulary)]))
     found = written(docs.select(F.col(f"`{id_col}`").alias("doc_id"), hits.alias("hits")).where(F.size("hits") > 0).select(
-        "doc_id", F.explode("hits").alias("hit")).select("doc_id", "hit.at", "hit.h"), "license-shingles")
+        "doc_id", F.explode("hits").alias("hit")).select("doc_id", "hit.at", "hit.width", "hit.h"), "license-shingles")
     half = WINDOW // 2
     last = F.floor(F.col("at") / half)
-    windows = found.select("doc_id", F.explode(F.array(last - 1, last)).alias("window"), "at", "h").where(
-        (F.col("window") >= 0) & (F.col("at") + SHINGLE <= F.col("window") * half + WINDOW))
+    windows = found.select("doc_id", F.explode(F.array(last - 1, last)).alias("window"), "at", "width", "h").where(
+        (F.col("window") >= 0) & (F.col("at") + F.col("width") <= F.col("window") * half + WINDOW))
     sets = windows.groupBy("doc_id", "window").agg(F.collect_set("h").alias("hs"))  # at most WINDOW values
     pieces = known.groupBy("template", "piece", "size").agg(F.collect_set("h").alias("hs"))
     near = _bands(sets, "doc_id", "window").join(_bands(pieces, "template", "piece", "size"), ["band", "low"]).select(

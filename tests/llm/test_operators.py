@@ -148,6 +148,26 @@ def test_license_scan_edges(docs, empty):
     assert license_scan.license_scan(empty).count() == 0
 
 
+def test_license_scan_finds_bare_notices(spark):
+    """Against a search of the documents that shares nothing with the templates' shingles or the SQL."""
+    import pyarrow.parquet as pq
+
+    sf = SF.replace("sf0.001", "sf0.01")
+    found = license_scan.license_scan(table(spark, sf, "documents")).where("template = 'all-rights-reserved-line'")
+    texts = pq.read_table(f"{sf}/documents.parquet", columns=["doc_id", "text"]).to_pylist()
+    want = {r["doc_id"] for r in texts if re.search(r"(^|\s)all\s+rights\s+reserved\.(\s|$)", r["text"] or "", re.I)}
+    assert want and {r.doc_id for r in found.collect()} == want
+    rows = [(1, "All rights reserved."), (2, "all rights"), (3, "x " * 62 + "ALL\nrights reserved. y"), (4, "all rights not reserved.")]
+    rows += [(10 + k, f"{LONG} {license_scan.NOTICES[n]} {LONG}") for k, n in enumerate(("isc-text", "gpl-2.0-notice"))]
+    got = license_scan.license_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    pairs = {(r.doc_id, r.template) for r in got}
+    assert {(1, "all-rights-reserved-line"), (3, "all-rights-reserved-line"), (10, "isc-text"), (11, "gpl-2.0-notice")} <= pairs
+    assert not {2, 4} & {d for d, _ in pairs}
+    short = license_scan.license_scan(spark.createDataFrame(rows, "doc_id long, text string"), {"short": "rights", "none": " "})
+    assert {r.doc_id for r in short.collect()} == {1, 2, 3, 4}
+    assert license_scan.license_scan(spark.createDataFrame(rows, "doc_id long, text string"), {}).count() == 0
+
+
 def test_chat_format(spark):
     rows = [(1, 1, "assistant", "### x </turn>"), (1, 0, "user", r"\### \\</turn> é"), (2, None, None, None), (None, 0, "assistant", "\n"),
             (1, 2, "assistant", "b"), (1, 2, "assistant", "b")]
