@@ -9,9 +9,9 @@ second: two small softmaxes instead of one over all codes, and the probabilities
 of all codes still add up to one.
 
 Training is numpy inside Spark tasks, over the whole corpus: every task counts its
-words and trains a copy of the network on each ``STRIDE``-th word of its texts, and
-the copies are averaged by Spark, weighted by words, for ``ROUNDS`` rounds. What is
-gathered grows with the number of tasks, the network has a fixed size, and a
+words and trains a copy of the network on its texts, and the copies are averaged by
+Spark, weighted by words. Every word is a target once: each of the ``rounds`` rounds
+takes the words of its own offset, that many apart. What is gathered grows with the number of tasks, the network has a fixed size, and a
 retried task repeats its own steps exactly.
 """
 
@@ -32,7 +32,7 @@ DIGIT = 64
 CODES = DIGIT * DIGIT
 WIDTH = 16
 SIDE = 2
-STRIDE = 8
+#: Rounds of training, and the distance of one round's words: together the rounds visit every word.
 ROUNDS = 2
 BATCH = 512
 RATE = 0.15
@@ -90,12 +90,18 @@ def _log_softmax(x: np.ndarray) -> np.ndarray:
     return x - np.log(np.exp(x).sum(1, keepdims=True))
 
 
-def forward(net: dict, ctx: np.ndarray, code: np.ndarray):
+def _softmax(x: np.ndarray) -> np.ndarray:
+    x = np.exp(x - x.max(1, keepdims=True))
+    x /= x.sum(1, keepdims=True)
+    return x
+
+
+def forward(net: dict, ctx: np.ndarray, code: np.ndarray, squash=_log_softmax):
     """(embedded neighbours, hidden 1, hidden 2, log-probabilities of both digits)."""
     e = net["words"][ctx]
     h = np.einsum("bpd,pd->bd", e, net["gates"])
     h2 = h + net["first"][code // DIGIT]
-    return e, h, h2, _log_softmax(h @ net["out1"] + net["bias1"]), _log_softmax(h2 @ net["out2"] + net["bias2"])
+    return e, h, h2, squash(h @ net["out1"] + net["bias1"]), squash(h2 @ net["out2"] + net["bias2"])
 
 
 def log_probability(net: dict, ctx: np.ndarray, code: np.ndarray) -> np.ndarray:
@@ -107,19 +113,21 @@ def log_probability(net: dict, ctx: np.ndarray, code: np.ndarray) -> np.ndarray:
 
 def step(net: dict, seen: dict, ctx: np.ndarray, code: np.ndarray, rate: float = RATE) -> None:
     """One AdaGrad step on a batch of masked words, in place."""
-    e, h, h2, l1, l2 = forward(net, ctx, code)
+    e, h, h2, g1, g2 = forward(net, ctx, code, _softmax)
     i, n = np.arange(len(code)), np.float32(len(code))
-    g1, g2 = np.exp(l1), np.exp(l2)
     g1[i, code // DIGIT] -= 1
     g2[i, code % DIGIT] -= 1
     g1, g2 = g1 / n, g2 / n
     d2 = g2 @ net["out2"].T
     d1 = g1 @ net["out1"].T + d2
-    first = np.zeros_like(net["first"])
-    np.add.at(first, code // DIGIT, d2)
-    at, place = np.unique(ctx, return_inverse=True)
-    words = np.zeros((len(at), WIDTH), np.float32)
-    np.add.at(words, place.reshape(-1), (d1[:, None, :] * net["gates"]).reshape(-1, WIDTH))
+    digit = np.zeros((DIGIT, len(code)), np.float32)
+    digit[code // DIGIT, i] = 1
+    first = digit @ d2
+    near = ctx.reshape(-1)
+    order = np.argsort(near, kind="stable")
+    starts = np.flatnonzero(np.diff(near[order], prepend=-1))
+    at = near[order[starts]]
+    words = np.add.reduceat((d1[:, None, :] * net["gates"]).reshape(-1, WIDTH)[order], starts, axis=0)
     grads = {"out1": h.T @ g1, "bias1": g1.sum(0), "out2": h2.T @ g2, "bias2": g2.sum(0), "first": first,
              "gates": np.einsum("bpd,bd->pd", e, d1)}
     for k, g in grads.items():
@@ -177,7 +185,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _sent(counts / counts.sum(), int(counts.sum()))
 
 
-def _train(values: np.ndarray, turn: int):
+def _train(values: np.ndarray, turn: int, rounds: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = shaped(values)
         seen = {k: np.zeros_like(v) for k, v in net.items()}
@@ -186,8 +194,8 @@ def _train(values: np.ndarray, turn: int):
         for batch in batches:
             for code, bounds in _word_pieces(batch):
                 words += len(code)
-                # the stride covers all texts; the offset moves from round to round, the order is mixed
-                at = rng.permutation(np.arange(turn % STRIDE, len(code), STRIDE))
+                # the rounds' offsets together are all words; the order is mixed
+                at = rng.permutation(np.arange(turn, len(code), rounds))
                 for a in range(0, len(at), BATCH):
                     some = at[a : a + BATCH]
                     step(net, seen, contexts(code, bounds, some), code[some])
@@ -207,7 +215,7 @@ def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS) -> dict
     net["bias1"] = np.log(table.sum(1) + 1e-6).astype(np.float32)
     net["bias2"] = np.log(table.sum(0) + 1e-6).astype(np.float32)
     for turn in range(rounds):
-        net = shaped(_average(texts.mapInArrow(_train(flat(net), turn), _SENT)))
+        net = shaped(_average(texts.mapInArrow(_train(flat(net), turn, rounds), _SENT)))
     return net
 
 

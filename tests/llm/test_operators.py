@@ -216,6 +216,36 @@ def test_masked_lm(spark, docs, empty):
     assert masked_lm.masked_lm_scores(empty).count() == 0
 
 
+def test_masked_lm_trains_on_every_word(monkeypatch):
+    import types
+
+    import pyarrow as pa
+
+    monkeypatch.setattr(masked_lm, "TaskContext", types.SimpleNamespace(get=lambda: types.SimpleNamespace(partitionId=lambda: 0)))
+    trained = Counter()
+    monkeypatch.setattr(masked_lm, "step", lambda net, seen, ctx, code: trained.update(code.tolist()))
+    texts, data = [LONG, "one", "", " ".join(f"x{k}" for k in range(9001))], Counter()
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+
+    def collect(frame):
+        return np.concatenate([np.frombuffer(r, "<f4") for b in frame for r in b.column("sums").to_pylist()])
+
+    class Texts:
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, run, _):
+            return run(iter([batch]))
+
+    monkeypatch.setattr(masked_lm, "id_and_text", lambda *_: Texts())
+    monkeypatch.setattr(masked_lm, "_average", collect)
+    masked_lm.train(None)
+    for t in texts:
+        b = t.encode()
+        data.update(masked_lm.codes_of(np.frombuffer(b, np.uint8), np.array([0, len(b)]))[0].tolist())
+    assert trained == data
+
+
 def test_bpe_matches_the_library(spark, docs, empty):
     from tokenizers import Tokenizer
 
