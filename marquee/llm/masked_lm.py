@@ -8,11 +8,19 @@ and predicts the first digit, then, with the first digit's embedding added, the
 second: two small softmaxes instead of one over all codes, and the probabilities
 of all codes still add up to one.
 
-Training is numpy inside Spark tasks, over the whole corpus: every task counts its
-words and trains a copy of the network on its texts, and the copies are averaged by
+Words that share a code are told apart by the corpus's word counts: a table of every
+different word, made and kept by Spark, gives each word its share of its code, and
+``log P(word | code)`` is added to the network's ``log P(code | both sides)``. Of a
+code's occurrences one more is set aside for all words the table lacks. Words that
+make up ``2**-FREQUENT_BITS`` of the corpus or more (so there are at most
+``2**FREQUENT_BITS``) are sent to the tasks; all others are joined by shuffle, and
+none of those is a hot key.
+
+Training is numpy inside Spark tasks, over the whole corpus: every task trains a copy of the network on its texts, and the copies are averaged by
 Spark, weighted by words. Every word is a target once: each of the ``rounds`` rounds
-takes the words of its own offset, that many apart. What is gathered grows with the number of tasks, the network has a fixed size, and a
-retried task repeats its own steps exactly.
+takes the words of its own offset, that many apart. The word table grows with the
+corpus's vocabulary, the averaged copies with the number of tasks; the network has a
+fixed size, and a retried task repeats its own steps exactly.
 """
 
 from __future__ import annotations
@@ -26,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.llm import textnum as tn
-from marquee.llm.scratch import documents, id_and_text
+from marquee.llm.scratch import documents, id_and_text, written
 
 DIGIT = 64
 CODES = DIGIT * DIGIT
@@ -39,6 +47,11 @@ RATE = 0.15
 #: Floats of one row of a sent network, and first-level sums of the average.
 _SLICE = 4096
 _FAN = 64
+FREQUENT_BITS = 17
+#: Words that a task counts before it hands on what it has.
+_COUNTED = 1 << 22
+#: Logarithms are added up as whole multiples of this, so that their order does not matter.
+_GRAIN = 1e-9
 #: Words scored at once.
 _BLOCK = 1 << 14
 _PLACES = [k for k in range(-SIDE, SIDE + 1) if k]
@@ -71,7 +84,11 @@ def shaped(values: np.ndarray) -> dict[str, np.ndarray]:
 def codes_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(code of every word, words before each row)."""
     h, _, bounds = tn.words(data, offsets)
-    return (h & np.uint64(CODES - 1)).astype(np.int64), bounds
+    return _codes(h.view(np.int64)), bounds
+
+
+def _codes(h: np.ndarray) -> np.ndarray:
+    return h & (CODES - 1)
 
 
 def contexts(code: np.ndarray, bounds: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -138,9 +155,11 @@ def step(net: dict, seen: dict, ctx: np.ndarray, code: np.ndarray, rate: float =
 
 
 def _word_pieces(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(64-bit hash of every word, words before each row) of about a megabyte of text each."""
     data, offsets = tn.texts_of(batch.column("text"))
     for lo, hi in tn.chunks(offsets):
-        yield codes_of(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
+        h, _, bounds = tn.words(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
+        yield h.view(np.int64), bounds
 
 
 def _sent(values: np.ndarray, words: int) -> pa.RecordBatch:
@@ -177,12 +196,40 @@ def _average(sent: DataFrame) -> np.ndarray | None:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts = np.zeros(CODES, np.int64)
+    def counted() -> pa.RecordBatch:
+        h, n = np.unique(np.concatenate(held), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(n, pa.int64())], names=["h", "n"])
+
+    held, size = [], 0
     for batch in batches:
-        for code, _ in _word_pieces(batch):
-            counts += np.bincount(code, minlength=CODES)
-    if counts.sum():
-        yield _sent(counts / counts.sum(), int(counts.sum()))
+        for h, _ in _word_pieces(batch):
+            held.append(h)
+            size += len(h)
+            if size >= _COUNTED:
+                yield counted()
+                held, size = [], 0
+    if size:
+        yield counted()
+
+
+def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """(h, n): hash and number of every different word of all texts. Written; it grows with the vocabulary."""
+    texts = id_and_text(docs, text_col, text_col).select("text")
+    return written(texts.mapInArrow(_count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")), "word-counts")
+
+
+def code_totals(words: DataFrame) -> np.ndarray:
+    """Words of the corpus by code."""
+    out = np.zeros(CODES, np.int64)
+    for r in words.groupBy(F.col("h").bitwiseAND(F.lit(CODES - 1)).alias("code")).agg(F.sum("n").alias("n")).collect():
+        out[r["code"]] = r["n"]
+    return out
+
+
+def _frequent(words: DataFrame, totals: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, count) of the words that make up ``2**-FREQUENT_BITS`` of the corpus or more, by hash; bounded."""
+    rows = sorted(words.where(F.col("n") >= max(1, -(-int(totals.sum()) >> FREQUENT_BITS))).select("h", "n").collect())
+    return np.array([r["h"] for r in rows], np.int64), np.array([r["n"] for r in rows], np.int64)
 
 
 def _train(values: np.ndarray, turn: int, rounds: int):
@@ -192,7 +239,8 @@ def _train(values: np.ndarray, turn: int, rounds: int):
         rng = np.random.default_rng([turn, TaskContext.get().partitionId()])
         words = 0
         for batch in batches:
-            for code, bounds in _word_pieces(batch):
+            for h, bounds in _word_pieces(batch):
+                code = _codes(h)
                 words += len(code)
                 # the rounds' offsets together are all words; the order is mixed
                 at = rng.permutation(np.arange(turn, len(code), rounds))
@@ -204,14 +252,14 @@ def _train(values: np.ndarray, turn: int, rounds: int):
     return run
 
 
-def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS) -> dict[str, np.ndarray]:
+def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, totals: np.ndarray | None = None) -> dict[str, np.ndarray]:
     """The network fitted on all texts. Its first biases are the corpus's own digit frequencies."""
     texts = id_and_text(docs, text_col, text_col).select("text")
     net = start()
-    share = _average(texts.mapInArrow(_count, _SENT))
-    if share is None:
+    totals = code_totals(word_counts(docs, text_col)) if totals is None else totals
+    if not totals.sum():
         return net
-    table = share.reshape(DIGIT, DIGIT)
+    table = (totals / totals.sum()).reshape(DIGIT, DIGIT)
     net["bias1"] = np.log(table.sum(1) + 1e-6).astype(np.float32)
     net["bias2"] = np.log(table.sum(0) + 1e-6).astype(np.float32)
     for turn in range(rounds):
@@ -219,37 +267,71 @@ def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS) -> dict
     return net
 
 
-def _score(values: np.ndarray):
+def _score(values: np.ndarray, totals: np.ndarray, often: np.ndarray, counts: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = shaped(values)
+        # one more occurrence of every code stands for the words that the table lacks
+        whole, share = np.log(totals + 1.0), np.log(counts)
+        row = TaskContext.get().partitionId() << 40
         for batch in batches:
-            n, total = [], []
-            for code, bounds in _word_pieces(batch):
+            n, total, sizes, rare, times = [], [], [], [], []
+            for h, bounds in _word_pieces(batch):
+                code = _codes(h)
                 logs = np.zeros(len(code) + 1)
                 for a in range(0, len(code), _BLOCK):
                     at = np.arange(a, min(len(code), a + _BLOCK))
                     logs[at + 1] = log_probability(net, contexts(code, bounds, at), code[at])
+                logs[1:] -= whole[code]
+                place = np.searchsorted(often, h)
+                known = np.zeros(len(h), bool)
+                known[place < len(often)] = often[place[place < len(often)]] == h[place < len(often)]
+                logs[1:][known] += share[place[known]]
                 n.append(np.diff(bounds))
                 # added up text by text, so that a text scores the same wherever it stands
                 total += [float(logs[bounds[k] + 1 : bounds[k + 1] + 1].sum()) for k in range(len(bounds) - 1)]
-            words = np.concatenate(n) if n else np.zeros(0, np.int64)
+                left = np.flatnonzero(~known)
+                text = np.searchsorted(bounds, left, side="right") - 1
+                order = np.lexsort((h[left], text))
+                left, text = h[left][order], text[order]
+                first = np.flatnonzero((np.diff(left, prepend=0) != 0) | (np.diff(text, prepend=-1) != 0))
+                rare.append(left[first])
+                times.append(np.diff(first, append=len(left)))
+                sizes.append(np.bincount(text[first], minlength=len(bounds) - 1))
+            whole_of = lambda x: np.concatenate(x) if x else np.zeros(0, np.int64)
+            ends = pa.array(np.concatenate([[0], np.cumsum(whole_of(sizes))]), pa.int32())
+            lists = [pa.ListArray.from_arrays(ends, pa.array(whole_of(x), pa.int64())) for x in (rare, times)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(words, pa.int64()), pa.array(total, pa.float64())], names=["doc_id", "n_words", "log_likelihood"])
+                [pa.array(range(row, row + batch.num_rows), pa.int64()), batch.column("doc_id"), pa.array(whole_of(n), pa.int64()),
+                 pa.array(total, pa.float64()), *lists], names=["row", "doc_id", "n_words", "logs", "rare", "times"])
+            row += batch.num_rows
     return run
 
 
-def masked_lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", net: dict | None = None) -> DataFrame:
-    """doc_id, n_words, log_likelihood (summed), mean_log_likelihood: one row per input row, in one pass without a shuffle.
+def masked_lm_scores(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", net: dict | None = None, words: DataFrame | None = None,
+) -> DataFrame:
+    """doc_id, n_words, log_likelihood (summed), mean_log_likelihood: one row per input row.
 
+    ``words`` is the word table (``word_counts``), by default that of ``docs``. Texts
+    are read once more; only hashes of words that are not frequent are shuffled.
     Edges: null, empty and wordless texts have 0 words, a sum of 0 and a null
     mean; ids may repeat or be null; an empty table gives an empty result (and an
     untrained network); other columns are ignored.
     """
-    net = train(docs, text_col) if net is None else net
+    words = word_counts(docs, text_col) if words is None else words
+    totals = code_totals(words)
+    net = train(docs, text_col, totals=totals) if net is None else net
     d = id_and_text(docs, id_col, text_col)
-    scored = d.mapInArrow(_score(flat(net)), f"doc_id {d.schema['doc_id'].dataType.simpleString()}, n_words long, log_likelihood double")
-    return scored.select("doc_id", "n_words", F.round("log_likelihood", 3).alias("log_likelihood"),
-                         F.round(F.try_divide("log_likelihood", "n_words"), 5).alias("mean_log_likelihood"))
+    schema = f"row long, doc_id {d.schema['doc_id'].dataType.simpleString()}, n_words long, logs double, rare array<long>, times array<long>"
+    scored = written(d.mapInArrow(_score(flat(net), totals, *_frequent(words, totals)), schema), "masked-scores")
+    rare = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("row", F.col("x.rare").alias("h"), F.col("x.times").alias("times"))
+    # a word that the table lacks adds log 1
+    shares = rare.join(words, "h").select("row", (F.col("times") * F.round(F.log("n") / _GRAIN).cast("long")).alias("add"))
+    added = shares.groupBy("row").agg(F.sum("add").alias("add"))
+    whole = scored.select("row", "doc_id", "n_words", "logs").join(added, "row", "left").withColumn(
+        "log_likelihood", F.col("logs") + F.coalesce(F.col("add"), F.lit(0)) * _GRAIN)
+    return whole.select("doc_id", "n_words", F.round("log_likelihood", 3).alias("log_likelihood"),
+                        F.round(F.try_divide("log_likelihood", "n_words"), 5).alias("mean_log_likelihood"))
 
 
 def op7_masked_lm(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -239,13 +239,44 @@ def test_masked_lm_trains_on_every_word(monkeypatch):
 
     monkeypatch.setattr(masked_lm, "id_and_text", lambda *_: Texts())
     monkeypatch.setattr(masked_lm, "_average", collect)
-    masked_lm.train(None)
+    masked_lm.train(None, totals=np.ones(masked_lm.CODES, np.int64))
     for t in texts:
         b = t.encode()
         data.update(masked_lm.codes_of(np.frombuffer(b, np.uint8), np.array([0, len(b)]))[0].tolist())
     assert trained == data
 
 
+def test_masked_lm_tells_words_of_one_code_apart(spark, monkeypatch):
+    def code(w):
+        b = w.encode()
+        return masked_lm.codes_of(np.frombuffer(b, np.uint8), np.array([0, len(b)]))[0][0]
+
+    names, of = [f"q{k}" for k in range(12)], {}
+    for k in range(200_000):
+        of.setdefault(code(f"j{k}"), f"j{k}")
+        if all(code(w) in of for w in names) and k > 50_000:
+            break
+    prose = [" ".join(names[(i + k) % 12] for k in range(200)) for i in range(150)]
+    junk = " ".join(of[code(w)] for w in prose[0].split())
+    texts = spark.createDataFrame(list(enumerate([*prose, junk, None])), "doc_id long, text string")
+    net, words = masked_lm.train(texts), masked_lm.word_counts(texts)
+    counts = Counter(w for t in (*prose, junk) for w in t.split())
+    assert sorted(r.n for r in words.collect()) == sorted(counts.values())
+    want = {}
+    for bits in (masked_lm.FREQUENT_BITS, 4):  # all words sent, then the junk words joined by shuffle
+        monkeypatch.setattr(masked_lm, "FREQUENT_BITS", bits)
+        got = {r.doc_id: r for r in masked_lm.masked_lm_scores(texts, net=net, words=words).collect()}
+        assert len(got) == 152 and got[151].n_words == 0
+        # same codes, so the network alone scores both alike; the difference is that of the words' counts
+        differs = sum(np.log(counts[a] / counts[b]) for a, b in zip(prose[0].split(), junk.split(), strict=True))
+        assert abs(got[0].log_likelihood - got[150].log_likelihood - differs) < 0.01
+        want[bits] = [got[k].log_likelihood for k in range(152)]
+    a, b = want.values()
+    assert np.allclose(a, b, atol=0.01)
+    gone = masked_lm.masked_lm_scores(spark.createDataFrame([(1, "neverseen")], "doc_id long, text string"), net=net, words=words).first()
+    assert gone.n_words == 1 and gone.log_likelihood < 0
+
+
 def test_bpe_matches_the_library(spark, docs, empty):
     from tokenizers import Tokenizer
 
