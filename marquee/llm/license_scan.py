@@ -1,12 +1,12 @@
 """License scan (native DataFrame operators only).
 
-Templates are retrieved for overlapping windows of a text by MinHash bands, then
+Templates are retrieved for overlapping windows of a text by MinHash minima, then
 verified exactly. A window is reduced to its 5-word shingles (a shorter
-notice is one shingle of all its words) that occur in any template (a fixed, small vocabulary; other shingles can match nothing), so a
-window that holds a template to 0.8 has a similarity to it of at least
-``0.8 / (1 + others)``; alone in its window that is 0.8. With ``BANDS`` bands of
-one row the chance to miss a pair of similarity s is ``(1 - s) ** BANDS``: 4e-23
-at 0.8, and below 1e-4 down to 0.25. Windows overlap by half, and templates
+notice is one shingle of all its words) that occur in any template (a fixed, small
+vocabulary; other shingles can match nothing). A piece of a template is retrieved
+for every window that holds one of its selected shingles: those lowest under a
+hash, one more than a window may lack at a containment of ``CONTAINMENT``. So each
+window that holds a piece to that share retrieves it, whatever else stands there. Windows overlap by half, and templates
 longer than half a window are cut into pieces, so every template lies whole in
 some window. Verification counts the shingles of the template that the window
 holds; nothing is estimated in the result.
@@ -40,7 +40,6 @@ TEMPLATES = {
 #: All that ``op3_license_scan`` looks for. ``SQL`` knows ``TEMPLATES`` only.
 KNOWN = TEMPLATES | NOTICES
 WINDOW = 64
-BANDS = 32
 SHINGLE = 5
 #: Share of a template's shingles that a window must hold.
 CONTAINMENT = 0.8
@@ -114,7 +113,7 @@ def license_scan(docs: DataFrame, templates: dict[str, str] = KNOWN, id_col: str
         (F.col("window") >= 0) & (F.col("at") + F.col("width") <= F.col("window") * half + WINDOW))
     sets = windows.groupBy("doc_id", "window").agg(F.collect_set("h").alias("hs"))  # at most WINDOW values
     pieces = known.groupBy("template", "piece", "size").agg(F.collect_set("h").alias("hs"))
-    near = _bands(sets, "doc_id", "window").join(_bands(pieces, "template", "piece", "size"), ["band", "low"]).select(
+    near = windows.select("doc_id", "window", "h").join(F.broadcast(_minima(pieces)), "h").select(
         "doc_id", "window", "template", "piece", "size").distinct()
     held = near.join(sets, (near["doc_id"].eqNullSafe(sets["doc_id"])) & (near["window"] == sets["window"])).join(
         pieces.withColumnRenamed("hs", "ts"), ["template", "piece", "size"]).select(
@@ -123,10 +122,13 @@ def license_scan(docs: DataFrame, templates: dict[str, str] = KNOWN, id_col: str
         F.max(F.col("shared") / F.col("size")).alias("containment"), F.count_distinct("window").alias("n_windows"))
 
 
-def _bands(sets: DataFrame, *keys: str) -> DataFrame:
-    """One row per band: the smallest value of the set under the band's hash."""
-    lows = F.array(*[F.array_min(F.transform("hs", lambda h, b=b: F.xxhash64(h, F.lit(b)))) for b in range(BANDS)])
-    return sets.select(*keys, F.posexplode(lows).alias("band", "low"))
+def _minima(pieces: DataFrame) -> DataFrame:
+    """(template, piece, size, h): the selected shingles of every piece; as small as the templates."""
+    ordered = F.array_sort(F.transform("hs", lambda h: F.struct(F.xxhash64(h).alias("order"), h.alias("h"))))
+    # a containing window lacks at most size - ceil(share * size); rounding can only select more
+    selected = F.col("size") - F.ceil(F.lit(CONTAINMENT) * F.col("size") - F.lit(1e-9)) + 1
+    return pieces.select("template", "piece", "size", F.explode(F.slice(ordered, F.lit(1), selected.cast("int"))).alias("low")).select(
+        "template", "piece", "size", F.col("low.h").alias("h"))
 
 
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

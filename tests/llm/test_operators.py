@@ -168,6 +168,21 @@ def test_license_scan_finds_bare_notices(spark):
     assert license_scan.license_scan(spark.createDataFrame(rows, "doc_id long, text string"), {}).count() == 0
 
 
+def test_license_scan_finds_every_notice_beside_others(spark):
+    """Every pair and triple of short notices in one window, and every whole text, alone and with a fifth of its words changed."""
+    from itertools import combinations
+
+    known = license_scan.TEMPLATES
+    sets = [c for n in (1, 2, 3) for c in combinations(sorted(known), n)] + [(n,) for n in license_scan.NOTICES]
+    rows = [(k, "word before " + " and then ".join(license_scan.KNOWN[n] for n in c) + " words behind") for k, c in enumerate(sets)]
+    got = {(r.doc_id, r.template) for r in license_scan.license_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {(k, n) for k, c in enumerate(sets) for n in c} <= got
+    base = [f"t{k}" for k in range(24)]  # 20 shingles; one changed inner end word loses one to four of them
+    near = [" ".join([*base[:-cut], *["other"] * cut]) for cut in range(1, 7)] + [" ".join([*["other"] * cut, *base[cut:]]) for cut in range(1, 7)]
+    found = license_scan.license_scan(spark.createDataFrame(list(enumerate(near)), "doc_id long, text string"), {"t": " ".join(base)})
+    assert {r.doc_id for r in found.collect()} == {k for k in range(12) if k % 6 < 4}
+
+
 def test_chat_format(spark):
     rows = [(1, 1, "assistant", "### x </turn>"), (1, 0, "user", r"\### \\</turn> é"), (2, None, None, None), (None, 0, "assistant", "\n"),
             (1, 2, "assistant", "b"), (1, 2, "assistant", "b")]
