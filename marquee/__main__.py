@@ -41,6 +41,7 @@ def main(argv: list[str] | None = None) -> None:
     p = sub.add_parser("ingest", help="append unseen titles from the source CSV to the raw zone")
     p.add_argument("--source", required=True)
     p.add_argument("--raw", required=True)
+    p.add_argument("--rejects", default=None, help="folder for rows without a usable id and lines that do not fit the header")
     p = sub.add_parser("stream", help="same as ingest, as an availableNow stream over arriving CSV files")
     p.add_argument("--source", required=True)
     p.add_argument("--raw", required=True)
@@ -60,7 +61,7 @@ def main(argv: list[str] | None = None) -> None:
     spark = _session(a.local)
     raw_schema = S.raw_typed_schema()
     if a.cmd == "ingest":
-        print(json.dumps(jobs.process_raw_data(spark, a.source, a.raw)))
+        print(json.dumps(jobs.process_raw_data(spark, a.source, a.raw, rejects_path=a.rejects)))
     elif a.cmd == "stream":
         stream = prepare_batch(source_stream(spark, a.source, S.RAW_TEXT_SCHEMA, fmt="csv",
                                              max_files_per_trigger=a.max_files_per_trigger))

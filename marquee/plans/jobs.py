@@ -32,15 +32,15 @@ def process_raw_data(
     Columns are taken by header name; columns the schema does not name are kept
     as text. Returns the counts of ``plans.ingest.ingest``; ``max_id`` is the
     largest id of the batch (the original's ``last_processed_id``). Rows without a
-    usable id, and lines that do not fit the header, go to ``rejects_path`` where
-    one is given (the latter with their text in ``_corrupt_record``).
+    usable id, and lines that do not fit the header, are counted as rejects; they
+    go to ``rejects_path`` where one is given (the latter with their text in
+    ``_corrupt_record``).
     """
-    schema = T.StructType(S.RAW_TEXT_SCHEMA.fields + [T.StructField(CORRUPT, T.StringType(), True)]) if rejects_path else S.RAW_TEXT_SCHEMA
-    text = files.read_csv(spark, source, schema, corrupt_column=CORRUPT if rejects_path else None, multi_line=multi_line)
+    schema = T.StructType(S.RAW_TEXT_SCHEMA.fields + [T.StructField(CORRUPT, T.StringType(), True)])
+    text = files.read_csv(spark, source, schema, corrupt_column=CORRUPT, multi_line=multi_line)
     extra = {c: T.StringType() for c in text.columns if c not in S.RAW_COLUMNS and c != CORRUPT}
-    if rejects_path:
-        # a line that does not fit keeps its text and loses its key, so it is counted and written as a reject
-        text = text.withColumn("id", F.when(F.col(CORRUPT).isNull(), F.col("id")))
+    # a line that does not fit keeps its text and loses its key, so it is counted and written as a reject
+    text = text.withColumn("id", F.when(F.col(CORRUPT).isNull(), F.col("id")))
     return ingest(spark, prepare_batch(text), raw_output_path, S.raw_typed_schema(extra), rejects_path=rejects_path)
 
 

@@ -214,3 +214,25 @@ def test_ingest_keeps_rejects(spark, scratch):
     got = ingest(spark, batch, sink, batch.schema, rejects_path=bad)
     assert got == {"rows_read": 3, "rejected_null_key": 1, "duplicate_in_batch": 1, "already_in_sink": 0, "new_rows": 1, "max_id": 1}
     assert [r.year for r in spark.read.parquet(bad).collect()] == ["c"]
+
+
+def test_lines_that_do_not_fit_are_rejects_without_a_rejects_path(spark, tmp_path, monkeypatch, capsys):
+    import json
+
+    from marquee import __main__ as cli
+    from marquee import schema as schemas
+    from marquee.plans import jobs
+
+    names = list(schemas.RAW_COLUMNS)
+    line = lambda k: ",".join(str(k) if c == "id" else "" for c in names)
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text("\n".join([",".join(names), line(1), line(2), "3,short", line(4) + ",surplus"]) + "\n")
+    want = {"rows_read": 4, "rejected_null_key": 2, "new_rows": 2}
+    got = jobs.process_raw_data(spark, str(tmp_path / "in"), str(tmp_path / "raw"))
+    assert want.items() <= got.items()
+    assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "raw")).collect()) == [1, 2]
+    monkeypatch.setattr(cli, "_session", lambda local: spark)
+    cli.main(["ingest", "--source", str(tmp_path / "in"), "--raw", str(tmp_path / "raw2"), "--rejects", str(tmp_path / "bad")])
+    assert want.items() <= json.loads(capsys.readouterr().out.strip().splitlines()[-1]).items()
+    kept = spark.read.parquet(str(tmp_path / "bad")).collect()
+    assert sorted(r["_corrupt_record"] for r in kept) == sorted(["3,short", line(4) + ",surplus"])
