@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from marquee.llm import bpe_automaton, chat_format, exact_dedup, license_scan, masked_lm, mixing, ngram_join, quality_rules, repeats, toxicity
+from marquee.llm import (
+    bpe_automaton, chat_format, exact_dedup, license_scan, masked_lm, merkle, mixing, ngram_join, quality_rules, repeats, toxicity)
 
 QUERIES = {
     "op7_masked_lm": masked_lm.op7_masked_lm,
@@ -15,6 +16,7 @@ QUERIES = {
     "op10_mix_sources": mixing.op10_mix_sources,
     "op4_quality_rules": quality_rules.op4_quality_rules,
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
+    "op13_merkle_manifest": merkle.op13_merkle_manifest,
 }
 
 SQL = {
@@ -22,4 +24,5 @@ SQL = {
     "op1_ngram_join": ngram_join.SQL,
     "op4_quality_rules": quality_rules.SQL,
     "op8_exact_dedup": exact_dedup.SQL,
+    "op13_merkle_manifest": merkle.SQL,
 }
