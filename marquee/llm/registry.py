@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from marquee.llm import (
-    bpe_automaton, chat_format, exact_dedup, license_scan, masked_lm, merkle, mixing, ngram_join, quality_rules, repeats, toxicity)
+    bpe_automaton, chat_format, exact_dedup, license_scan, masked_lm, merkle, mixing, ngram_join, preference, quality_rules, repeats, toxicity)
 
 QUERIES = {
     "op7_masked_lm": masked_lm.op7_masked_lm,
@@ -16,6 +16,7 @@ QUERIES = {
     "op10_mix_sources": mixing.op10_mix_sources,
     "op4_quality_rules": quality_rules.op4_quality_rules,
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
+    "op11_preference_quality": preference.op11_preference_quality,
     "op13_merkle_manifest": merkle.op13_merkle_manifest,
 }
 
