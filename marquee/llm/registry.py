@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from marquee.llm import (
-    bpe_automaton, chat_format, exact_dedup, license_scan, masked_lm, merkle, mixing, ngram_join, preference, quality_rules, repeats, toxicity)
+    bpe_automaton, chat_format, collocations, exact_dedup, license_scan, masked_lm, merkle, mixing, ngram_join, preference, quality_rules, repeats,
+    toxicity)
 
 QUERIES = {
     "op7_masked_lm": masked_lm.op7_masked_lm,
@@ -17,6 +18,7 @@ QUERIES = {
     "op4_quality_rules": quality_rules.op4_quality_rules,
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
     "op11_preference_quality": preference.op11_preference_quality,
+    "op12_phrase_collocations": collocations.op12_phrase_collocations,
     "op13_merkle_manifest": merkle.op13_merkle_manifest,
 }
 
@@ -25,5 +27,6 @@ SQL = {
     "op1_ngram_join": ngram_join.SQL,
     "op4_quality_rules": quality_rules.SQL,
     "op8_exact_dedup": exact_dedup.SQL,
+    "op12_phrase_collocations": collocations.SQL,
     "op13_merkle_manifest": merkle.SQL,
 }

@@ -14,11 +14,11 @@ from marquee.session import scratch_path
 from marquee.sources.tables import table
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet under ``spark.checkpoint.dir`` and read back with its own schema."""
+def written(df: DataFrame, name: str, *folders: str) -> DataFrame:
+    """``df`` written as Parquet under ``spark.checkpoint.dir`` and read back with its own schema; ``folders`` are partition columns."""
     spark = df.sparkSession
     path = scratch_path(spark, f"{name}-{uuid.uuid4().hex[:8]}")
-    df.write.parquet(path)
+    df.write.partitionBy(*folders).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
