@@ -17,12 +17,11 @@ import json
 
 from pyspark.sql import SparkSession
 
-from marquee import schema as S
 from marquee.operators import profile
 from marquee.plans import analyses, jobs
-from marquee.plans.ingest import prepare_batch, read_clean_zone
+from marquee.plans.ingest import read_clean_zone
 from marquee.session import ADAPTIVE_CONF, local_session
-from marquee.streaming.ingest_stream import ingest_stream, source_stream
+from marquee.streaming.csv_stream import ingest_csv_stream
 
 
 def _session(local: bool) -> SparkSession:
@@ -42,7 +41,14 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--source", required=True)
     p.add_argument("--raw", required=True)
     p.add_argument("--rejects", default=None, help="folder for rows without a usable id and lines that do not fit the header")
+    p.add_argument("--single-line", action="store_true", help="no field holds a line break: large files are split over tasks")
+    p.add_argument("--state", default=None, help="folder of the load log; needs --load-id")
+    p.add_argument("--load-id", default=None, help="name of this load: repeated under it, it is recognised and not counted twice")
     p = sub.add_parser("stream", help="same as ingest, as an availableNow stream over arriving CSV files")
+    p.add_argument("--rejects", default=None)
+    p.add_argument("--single-line", action="store_true")
+    p.add_argument("--state", default=None, help="folder of the load log (default: beside the checkpoint)")
+    p.add_argument("--glob", default=None, help="only file names of this pattern")
     p.add_argument("--source", required=True)
     p.add_argument("--raw", required=True)
     p.add_argument("--checkpoint", required=True)
@@ -59,14 +65,13 @@ def main(argv: list[str] | None = None) -> None:
     a = ap.parse_args(argv)
 
     spark = _session(a.local)
-    raw_schema = S.raw_typed_schema()
     if a.cmd == "ingest":
-        print(json.dumps(jobs.process_raw_data(spark, a.source, a.raw, rejects_path=a.rejects)))
+        print(json.dumps(jobs.process_raw_data(
+            spark, a.source, a.raw, rejects_path=a.rejects, multi_line=not a.single_line, state_path=a.state, load_id=a.load_id)))
     elif a.cmd == "stream":
-        stream = prepare_batch(source_stream(spark, a.source, S.RAW_TEXT_SCHEMA, fmt="csv",
-                                             max_files_per_trigger=a.max_files_per_trigger))
-        n = ingest_stream(spark, stream, a.raw, a.checkpoint, "id", "year", raw_schema)
-        print(json.dumps({"micro_batches": n}))
+        print(json.dumps(ingest_csv_stream(
+            spark, a.source, a.raw, a.checkpoint, a.state or f"{a.checkpoint.rstrip('/')}-loads", rejects_path=a.rejects,
+            multi_line=not a.single_line, glob=a.glob, max_files_per_trigger=a.max_files_per_trigger)))
     elif a.cmd == "transform":
         jobs.transform_data(spark, a.raw, a.filtered, outlier_mode=a.outlier_mode)
     elif a.cmd == "report":

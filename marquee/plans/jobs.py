@@ -8,6 +8,8 @@ DataFrames instead of printing; call ``.show()`` on what you need.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,7 +19,7 @@ from marquee.operators import metrics, tokens
 from marquee.operators.cleaning import outlier_counts, remove_outliers
 from marquee.plans import analyses
 from marquee.plans.ingest import clean_zone, ingest, prepare_batch
-from marquee.sources import files
+from marquee.sources import files, load_log
 
 
 #: Text of a line that does not fit the header.
@@ -25,23 +27,44 @@ CORRUPT = "_corrupt_record"
 
 
 def process_raw_data(
-    spark: SparkSession, source: str, raw_output_path: str, rejects_path: str | None = None, multi_line: bool = True
+    spark: SparkSession, source: str, raw_output_path: str, rejects_path: str | None = None, multi_line: bool = True,
+    state_path: str | None = None, load_id: str | None = None,
 ) -> dict:
     """Append the source CSV's unseen titles to the raw zone, partitioned by year (L2).
 
-    Columns are taken by header name; columns the schema does not name are kept
-    as text. Returns the counts of ``plans.ingest.ingest``; ``max_id`` is the
+    Columns are taken by each file's own header; columns the schema does not name
+    are kept as text. Returns the counts of ``plans.ingest.ingest``; ``max_id`` is the
     largest id of the batch (the original's ``last_processed_id``). Rows without a
     usable id, and lines that do not fit the header, are counted as rejects; they
     go to ``rejects_path`` where one is given (the latter with their text in
-    ``_corrupt_record``).
+    ``_corrupt_record``). With ``state_path`` and ``load_id`` the load is logged
+    there and a repeated run of it is recognised (A9).
+    """
+    return load_csv_files(spark, files.listed_files(spark, source), raw_output_path, rejects_path, multi_line, state_path, load_id)
+
+
+def load_csv_files(
+    spark: SparkSession, paths: list[str], raw_output_path: str, rejects_path: str | None = None, multi_line: bool = True,
+    state_path: str | None = None, load_id: str | None = None, columns: T.StructType = S.RAW_TEXT_SCHEMA,
+    types: Mapping[str, T.DataType] = S.RAW_TYPES, key: str = "id", partition_col: str = "year",
+    prepare: Callable[[DataFrame, Mapping[str, T.DataType]], DataFrame] = prepare_batch,
+) -> dict:
+    """Load some CSV files as one batch: what ``process_raw_data`` does with a folder and the stream with a micro-batch.
+
+    ``columns`` are read as text and parsed to ``types`` by ``prepare``; the
+    defaults are the catalogue's.
     """
-    schema = T.StructType(S.RAW_TEXT_SCHEMA.fields + [T.StructField(CORRUPT, T.StringType(), True)])
-    text = files.read_csv(spark, source, schema, corrupt_column=CORRUPT, multi_line=multi_line)
-    extra = {c: T.StringType() for c in text.columns if c not in S.RAW_COLUMNS and c != CORRUPT}
+    schema = T.StructType(columns.fields + [T.StructField(CORRUPT, T.StringType(), True)])
+    text = files.read_csv_files(spark, paths, schema, corrupt_column=CORRUPT, multi_line=multi_line)
     # a line that does not fit keeps its text and loses its key, so it is counted and written as a reject
-    text = text.withColumn("id", F.when(F.col(CORRUPT).isNull(), F.col("id")))
-    return ingest(spark, prepare_batch(text), raw_output_path, S.raw_typed_schema(extra), rejects_path=rejects_path)
+    text = text.withColumn(key, F.when(F.col(CORRUPT).isNull(), F.col(key)))
+    batch = prepare(text, types)
+    known = [c for c in batch.columns if c != CORRUPT]
+    named = [c for c in columns.fieldNames()]
+    ordered = [*named, *[c for c in known if c not in named]]  # columns that the schema does not name follow
+    sink_schema = T.StructType([T.StructField(c, batch.schema[c].dataType, True) for c in ordered])
+    log = load_log.LoadLog(spark, state_path) if state_path is not None else None
+    return ingest(spark, batch, raw_output_path, sink_schema, key, partition_col, rejects_path=rejects_path, log=log, load_id=load_id)
 
 
 def transform_data(spark: SparkSession, source_path: str, output_path: str, outlier_mode: str = "row") -> None:

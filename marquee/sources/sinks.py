@@ -20,19 +20,21 @@ def rebalanced(df: DataFrame, partition_col: str) -> DataFrame:
 def write_partitioned(
     df: DataFrame, path: str, partition_col: str, mode: str = "append", sort_key: str | None = None
 ) -> None:
-    """Parquet partitioned by ``partition_col``; ``append`` (A5) or static ``overwrite``.
+    """Parquet partitioned by ``partition_col``; ``append`` (A5), static ``overwrite`` (A6), or ``dynamic``:
+    an overwrite of only those partitions that ``df`` has rows of.
 
     With ``sort_key`` every file is sorted by that column (a per-task sort, no
     extra shuffle), so Parquet row-group min/max statistics on the key are
     tight and a later key-range filter skips most row groups.
 
-    Both modes are safe to re-run after a failure: the file commit protocol
+    All modes are safe to re-run after a failure: the file commit protocol
     publishes a job's files only when the job succeeds, and ingest only appends
     new keys.
     """
-    if mode not in ("append", "overwrite"):
-        raise ValueError("mode must be 'append' or 'overwrite'")
+    if mode not in ("append", "overwrite", "dynamic"):
+        raise ValueError("mode must be 'append', 'overwrite' or 'dynamic'")
     out = rebalanced(df, partition_col)
     if sort_key is not None:
         out = out.sortWithinPartitions(partition_col, sort_key)
-    out.write.mode(mode).partitionBy(partition_col).parquet(path)
+    kind = "dynamic" if mode == "dynamic" else "static"
+    out.write.mode("append" if mode == "append" else "overwrite").option("partitionOverwriteMode", kind).partitionBy(partition_col).parquet(path)
