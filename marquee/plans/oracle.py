@@ -223,6 +223,43 @@ FROM c, range(2) t(r)"""
 
 SQL["ingest_stream"] = "SELECT event_id, event_type, value FROM events"
 
+SQL["csv_stream"] = """WITH c AS (
+  SELECT conv_id * 100000 + turn AS key, turn, turn % 3 AS part, turn % 3 = 2 AND conv_id % 5 = 0 AS bad, length(coalesce(text, '')) AS chars
+  FROM conversations),
+good AS (SELECT key, any_value(turn) AS turn, any_value(chars) AS chars FROM c WHERE NOT bad GROUP BY key),
+sink AS (SELECT count(*) AS sink_rows, CAST(sum(chars) AS BIGINT) AS sink_chars, CAST(sum(turn) AS BIGINT) AS sink_turns FROM good),
+loads AS (
+  SELECT part AS run, count(*) AS rows_read, count(*) FILTER (WHERE bad) AS rejected_null_key, count(DISTINCT key) FILTER (WHERE NOT bad) AS keys,
+         max(key) FILTER (WHERE NOT bad) AS max_id FROM c GROUP BY part
+  UNION ALL
+  SELECT 3, count(*), count(*) FILTER (WHERE bad), count(DISTINCT key) FILTER (WHERE NOT bad), max(key) FILTER (WHERE NOT bad) FROM c)
+SELECT run, rows_read, rejected_null_key, rows_read - rejected_null_key - keys AS duplicate_in_batch,
+       CASE run WHEN 3 THEN keys ELSE 0 END AS already_in_sink, CASE run WHEN 3 THEN 0 ELSE keys END AS new_rows, max_id,
+       sink_rows, sink_chars, sink_turns, (SELECT 2 * count(*) FROM c WHERE bad) AS reject_lines
+FROM loads, sink"""
+
+SQL["ingest_state"] = """WITH e AS (
+  SELECT event_id, event_id % 3 AS r, user_id % 7 = 0 AS twice FROM events),
+l AS (
+  SELECT '1' AS load_id, count(*) AS rows_read, 0 AS rejected_null_key, 0 AS duplicate_in_batch, 0 AS already_in_sink, count(*) AS new_rows,
+         max(event_id) AS max_id FROM e WHERE r = 0
+  UNION ALL SELECT '2', count(*), 0, 0, count(*) FILTER (WHERE r = 0), count(*) FILTER (WHERE r = 2), max(event_id) FROM e WHERE r <> 1
+  UNION ALL SELECT '3', count(*) + count(*) FILTER (WHERE twice), 0, count(*) FILTER (WHERE twice), count(*) FILTER (WHERE r <> 1),
+         count(*) FILTER (WHERE r = 1), max(event_id) FROM e)
+SELECT l.*, (SELECT count(*) FROM events) AS sink_rows FROM l"""
+
+SQL["incremental_clean"] = w(CLEAN_CTE, """SELECT month, count(*) AS titles, CAST(sum(revenue) AS DOUBLE) AS total_revenue,
+       CAST(sum(length(genres)) AS BIGINT) AS genre_chars, month IN ('02', '11') AS rewritten
+FROM cleaned WHERE id % 3 <> 0 OR month IN ('02', '11') GROUP BY month""")
+
+SQL["bucketed_ingest"] = w(ORACLE_CTE, """SELECT r AS run,
+       CASE r WHEN 0 THEN count(*) FILTER (WHERE id % 4 <> 0) ELSE count(*) + count(*) FILTER (WHERE id % 5 = 0) END AS rows_read,
+       0 AS rejected_null_key, CASE r WHEN 0 THEN 0 ELSE count(*) FILTER (WHERE id % 5 = 0) END AS duplicate_in_batch,
+       CASE r WHEN 0 THEN 0 ELSE count(*) FILTER (WHERE id % 4 <> 0) END AS already_in_sink,
+       CASE r WHEN 0 THEN count(*) FILTER (WHERE id % 4 <> 0) ELSE count(*) FILTER (WHERE id % 4 = 0) END AS new_rows,
+       CASE r WHEN 0 THEN max(id) FILTER (WHERE id % 4 <> 0) ELSE max(id) END AS max_id, CAST(sum(budget) AS DOUBLE) AS sink_budget
+FROM cat, range(2) t(r) GROUP BY r""")
+
 SQL["csv_roundtrip"] = """SELECT doc_id, length(text) AS text_length, md5(text) AS text_md5, lang, source
 FROM documents"""
 
@@ -318,3 +355,11 @@ SQL["quality_report"] = w(CLEAN_CTE, _report("raw", "cat", RAW_TYPES) + "\nUNION
                           + "\nUNION ALL\n" + _report("kept", "cleaned", CLEAN_TYPES))
 
 SQL["company_string_debut"] = w(CLEAN_CTE, _debuts("cleaned", "lower(production_companies)", "pc_count_by_year"))
+
+# ---- zones that grow load by load: the plain form over all rows
+SQL["debut_state"] = SQL["company_growth"]
+SQL["title_debut_state"] = SQL["title_growth"]
+SQL["genre_state"] = SQL["genre_year"]
+SQL["sketch_profile"] = w(ORACLE_CTE, " UNION ALL ".join(
+    f"""SELECT '{c}' AS column_name, count(*) AS rows, count(*) FILTER (WHERE {c} IS NULL) AS nulls,
+       count(DISTINCT {c}) + max(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS exact_values, true AS within_error FROM cat""" for c in DISTINCT_COLS))

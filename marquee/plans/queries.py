@@ -554,3 +554,6 @@ def _views(spark: SparkSession, sf_dir: str, named: Column | None = None) -> dic
     names = catalog.create_views(spark, src, tc.ORDER_GENRE_ALLOW, tc.ORDER_COMPANY_DENY, prefix=f"v{suffix}_")
     keys = ["release", "genre", "company"]
     return dict(zip(keys, names))
+
+
+import marquee.plans.growing  # noqa: E402, F401 - registers its queries
