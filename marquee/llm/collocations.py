@@ -43,7 +43,7 @@ LONGEST = 4
 TOP = 2_000
 #: A phrase is part of a longer one if that one has this share of its occurrences.
 CONTAINED = (80, 100)
-SHARDS = 3
+SHARDS = 2
 #: Text counted at once in a task; longer texts are cut at white space, with the phrases over the cut counted once.
 CHUNK_BYTES = 4 << 20
 #: Phrases written out at once.
@@ -276,9 +276,9 @@ def phrase_counts(docs: DataFrame, lang_col: str = "lang", text_col: str = "text
             _scan(now, old, step < shards, chunk), "key string, cnt long").withColumn("since", F.lit(step))
         counters = (rows if state is None else rows.unionByName(state)).groupBy("key").agg(
             F.sum("cnt").alias("cnt"), F.min("since").alias("since"))
-        counters = written(counters, "phrase-counters")
-        over = (F.col("since") <= step - shards + 1)  # counted for one full cycle
-        finished.append(counters.where(over & frequent).select("key", "cnt"))
+        over = F.col("since") <= step - shards + 1  # counted for one full cycle
+        counters = written(counters.where(~over | frequent), "phrase-counters")
+        finished.append(counters.where(over).select("key", "cnt"))
         state = counters.where(~over)
         marked = _marked(counters.where((F.col("cnt") >= least) & (phrase != "") & (F.size(F.split(phrase, " ")) < LONGEST)), history[-1])
         history = [*history, marked][-(shards + 1):]
