@@ -37,7 +37,7 @@ TEMPLATES = {
     "mpl-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
     "all-rights-reserved": "All rights reserved. No part of this work may be reproduced without permission.",
 }
-#: All that ``op3_license_scan`` looks for. ``SQL`` knows ``TEMPLATES`` only.
+#: All that ``op3_license_scan`` looks for.
 KNOWN = TEMPLATES | NOTICES
 WINDOW = 64
 SHINGLE = 5
@@ -135,24 +135,26 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(documents(spark, sf_dir, "doc_id", "text"))
 
 
-def _sql() -> str:
-    rows = ", ".join(f"('{n}', {k}, ['" + "', '".join(x.replace("'", "''") for x in w) + "'])"
-                     for n, k, w in _pieces(TEMPLATES) if len(w) >= SHINGLE)
+def _sql(templates: dict[str, str] = KNOWN) -> str:
+    """The whole scan: every notice at its own width, pieces of long ones, half-overlapping windows, no retrieval step."""
+    rows = ", ".join(f"('{n}', {k}, ['" + "', '".join(x.replace("'", "''") for x in w) + "'])" for n, k, w in _pieces(templates) if w)
     half = WINDOW // 2
     return f"""
-WITH t AS (
-  SELECT DISTINCT name, piece, array_to_string(w[i:i + 4], ' ') AS s
-  FROM (SELECT name, piece, w, unnest(range(1, len(w) - 3)) AS i FROM (VALUES {rows}) v(name, piece, w))),
+WITH p AS (SELECT name, piece, w, least(len(w), {SHINGLE}) AS width FROM (VALUES {rows}) v(name, piece, w)),
+t AS (
+  SELECT DISTINCT name, piece, width, array_to_string(w[i:i + width - 1], ' ') AS s
+  FROM (SELECT *, unnest(range(1, len(w) - width + 2)) AS i FROM p)),
 size AS (SELECT name, piece, count(*) AS size FROM t GROUP BY ALL),
 w AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
 s AS (
-  SELECT doc_id, i - 1 AS pos, array_to_string(w[i:i + 4], ' ') AS s
-  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM w WHERE len(w) >= 5)),
+  SELECT doc_id, width, i - 1 AS pos, array_to_string(w[i:i + width - 1], ' ') AS s
+  FROM (SELECT doc_id, width, w, unnest(range(1, len(w) - width + 2)) AS i
+        FROM w, (SELECT DISTINCT width FROM t) WHERE len(w) >= width)),
 hit AS (
-  SELECT doc_id, (pos // {half}) - k AS win, pos, s FROM s, (VALUES (0), (1)) x(k) WHERE s IN (SELECT s FROM t)),
+  SELECT doc_id, (pos // {half}) - k AS win, pos, width, s FROM s, (VALUES (0), (1)) x(k) WHERE s IN (SELECT s FROM t)),
 held AS (
-  SELECT doc_id, win, name, piece, count(DISTINCT hit.s) AS shared FROM hit JOIN t ON hit.s = t.s
-  WHERE win >= 0 AND pos + 5 <= win * {half} + {WINDOW} GROUP BY ALL)
+  SELECT doc_id, win, name, piece, count(DISTINCT hit.s) AS shared FROM hit JOIN t ON hit.s = t.s AND hit.width = t.width
+  WHERE win >= 0 AND pos + hit.width <= win * {half} + {WINDOW} GROUP BY ALL)
 SELECT doc_id, name AS template, max(shared / size) AS containment, count(DISTINCT win) AS n_windows
 FROM held JOIN size USING (name, piece) WHERE shared >= {CONTAINMENT} * size GROUP BY ALL
 """
