@@ -32,8 +32,8 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mixture takes it."""
-    return mixing.mixed_rows(docs, written(mixing.mix(docs), "mixture"))
+    """Every document as often as the mixture takes it, dealt to shards by the splitting tree and shuffled in them."""
+    return mixing.mixed_rows(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

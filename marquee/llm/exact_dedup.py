@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from marquee.llm.bitmap import bitmap, split
 from marquee.llm.scratch import documents, id_and_text, written
 
 #: Digests the sketch may name, hence the bound on the broadcast winners (about 100 bytes each).
@@ -73,18 +74,20 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """``docs`` with one row of each group of equal texts, same columns.
 
     The table loses the rows that are not winners, by an anti-join on digest and
-    id: a (digest, id) pair is a key of its own, so a hot text is no hot key. Rows
-    that repeat a winner's id and text all stay.
+    id: a (digest, id) pair is a key of its own, so a hot text is no hot key. Only
+    rows whose id a bitmap of the losers' ids may hold reach that join; the texts
+    of all others never leave the scan. Rows that repeat a winner's id and text
+    all stay.
     """
     ids, digest = F.col(f"`{id_col}`"), F.sha2(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")), 256)
-    decided = exact_dedup(docs, id_col, text_col, heavy_items).where(~F.col("kept") | (F.col("group_size") > 1))
-    copies = written(decided.select("doc_id", "keep_id", "text_sha256"), "copies").distinct()
-    # only members of groups of two or more are looked up; all other rows pass by
-    losers = copies.where(~F.col("doc_id").eqNullSafe(F.col("keep_id"))).select(
-        F.col("doc_id").alias("_dedup_id"), F.col("text_sha256").alias("_dedup_digest"))
-    left = docs.withColumn("_dedup_sha", digest)
-    kept = left.join(losers, (F.col("_dedup_sha") == F.col("_dedup_digest")) & ids.eqNullSafe(F.col("_dedup_id")), "left_anti")
-    return kept.drop("_dedup_sha")
+    lost = exact_dedup(docs, id_col, text_col, heavy_items).where(~F.col("kept"))
+    losers = written(lost.select(F.col("doc_id").alias("_dedup_id"), F.col("text_sha256").alias("_dedup_digest"),
+                                 F.xxhash64("doc_id").alias("h")), "copies")
+    possible, others = split(docs, F.xxhash64(ids), *bitmap(losers))
+    keys = losers.select("_dedup_id", "_dedup_digest").distinct()
+    left = possible.withColumn("_dedup_sha", digest).join(
+        keys, (F.col("_dedup_sha") == F.col("_dedup_digest")) & ids.eqNullSafe(F.col("_dedup_id")), "left_anti")
+    return others.unionByName(left.drop("_dedup_sha"))
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,12 +13,16 @@
    multivariate-hypergeometric share of its block counts, so every shard gets
    the mix in proportion, quotas add up exactly, and each node depends on the
    seed and its own path alone (a lost task draws the same numbers again).
-4. Placement. A shard's share of a source is a run of consecutive ranks, so
-   draws are disjoint; rows are shuffled inside their shard by hash.
-
-Texts never move for steps 1-3; only (id, source, size) rows do. A source with
-a third of all rows is ranked in many buckets of its permutation, so no task
-holds a whole source.
+4. Placement. A shard's share of a source is a run of consecutive block draws,
+   so draws are disjoint. In the permutation's order a run is an interval of
+   hashes: a document is copied once for every run that its hash falls into, and
+   what the mix takes of it follows from these copies alone. Rows are shuffled
+   inside their shard by hash.
+
+Texts never move for steps 1-3; only (id, source, size) rows do. Step 4 tests a
+row's hash against the runs of its source inside the scan, then moves each copy
+once, to its shard. A source with a third of all rows is ranked in many buckets
+of its permutation, so no task holds a whole source.
 """
 
 from __future__ import annotations
@@ -41,6 +45,13 @@ MIN_BLOCKS = 512
 #: Rows of one source ranked by one window partition, about.
 BUCKET_ROWS = 2_000
 SHARDS = 64
+#: Blocks of one node that are dealt by random draws; beyond, every source is halved exactly and only its odd block is drawn.
+DRAWN_BLOCKS = 10**9 - 1
+#: Sources up to which their runs are broadcast (at most ``SHARDS + MAX_EPOCHS + 1`` intervals each); counted first.
+BROADCAST_SOURCES = 5_000
+#: Text of one task that writes a part of a shard, about.
+PART_BYTES = 64 << 20
+_KEY_ORDER = -(1 << 63)
 
 
 def n_words(text: Column) -> Column:
@@ -49,12 +60,16 @@ def n_words(text: Column) -> Column:
     return solid.cast("long")
 
 
-def sized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """(doc_id, source, size, rank_key): the narrow rows that all further steps use."""
-    return docs.select(
-        F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{source_col}`").cast("string").alias("source"),
-        n_words(F.col(f"`{text_col}`").cast("string")).alias("size"),
-    )
+def permutation_key(row_id: Column, text: Column, seed: int = SEED) -> Column:
+    """A row's place in its source's random permutation: rows ascend by this hash. Equal rows have equal keys."""
+    return F.xxhash64(F.lit(seed), row_id, F.coalesce(text.cast("string"), F.lit("")))
+
+
+def sized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = SEED) -> DataFrame:
+    """(doc_id, source, size, key): the narrow rows that all further steps use."""
+    ids, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
+    return docs.select(ids.alias("doc_id"), F.col(f"`{source_col}`").cast("string").alias("source"), n_words(text.cast("string")).alias("size"),
+                       permutation_key(ids, text, seed).alias("key"))
 
 
 def targets(rows: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epochs: int = MAX_EPOCHS) -> DataFrame:
@@ -86,7 +101,7 @@ def targets(rows: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epochs: i
     return filled.withColumn("target", target).select("source", "n_docs", "source_size", "target")
 
 
-def blocks(rows: DataFrame, goal: DataFrame, seed: int = SEED) -> DataFrame:
+def blocks(rows: DataFrame, goal: DataFrame) -> DataFrame:
     """Every row with its block number along its source's random permutation, and the source's goal.
 
     A running sum per source in two levels: sums of hash buckets (one small row
@@ -96,20 +111,19 @@ def blocks(rows: DataFrame, goal: DataFrame, seed: int = SEED) -> DataFrame:
         F.col("source").alias("_s"), "n_docs", "source_size", "target",
         F.greatest(F.lit(1), F.least(F.lit(BLOCK_WORDS), F.floor(F.col("source_size") / MIN_BLOCKS))).cast("long").alias("block_words"),
         F.greatest(F.lit(1), F.ceil(F.col("n_docs") / BUCKET_ROWS)).cast("long").alias("_buckets"))
-    keyed = rows.withColumn("_key", F.xxhash64(F.lit(seed), "doc_id", "size")).join(
-        plan, F.col("source").eqNullSafe(F.col("_s")), "inner").drop("_s")
-    # non-negative 32 bits of the key, scaled to the bucket count: buckets are ranges of the permutation
-    keyed = keyed.withColumn("_bucket", F.shiftright(
-        F.shiftrightunsigned("_key", 32) * F.col("_buckets"), 32)).withColumn("_order", F.shiftrightunsigned("_key", 32))
+    keyed = rows.join(plan, F.col("source").eqNullSafe(F.col("_s")), "inner").drop("_s")
+    # the key's upper 32 bits as a number that ascends with it, scaled to the bucket count: buckets are ranges of the permutation
+    high = F.shiftrightunsigned(F.col("key").bitwiseXOR(F.lit(_KEY_ORDER)), 32)
+    keyed = keyed.withColumn("_bucket", F.shiftright(high * F.col("_buckets"), 32))
     sums = keyed.groupBy("source", "_bucket").agg(F.sum("size").alias("_sum"))
     ahead = W.partitionBy("source").orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
     offsets = sums.select(F.col("source").alias("_s"), F.col("_bucket").alias("_b"),
                           F.coalesce(F.sum("_sum").over(ahead), F.lit(0)).alias("_offset"))
-    within = W.partitionBy("source", "_bucket").orderBy("_order", "_key", "doc_id", "size").rowsBetween(W.unboundedPreceding, -1)
+    within = W.partitionBy("source", "_bucket").orderBy("key", "doc_id", "size").rowsBetween(W.unboundedPreceding, -1)
     placed = keyed.withColumn("_inside", F.coalesce(F.sum("size").over(within), F.lit(0))).join(
         offsets, F.col("source").eqNullSafe(F.col("_s")) & (F.col("_bucket") == F.col("_b")), "inner")
     return placed.withColumn("block", F.floor((F.col("_offset") + F.col("_inside")) / F.col("block_words")).cast("long")).select(
-        "doc_id", "source", "size", "n_docs", "source_size", "target", "block_words", "block")
+        "doc_id", "source", "size", "key", "n_docs", "source_size", "target", "block_words", "block")
 
 
 def quotas(goal: DataFrame) -> DataFrame:
@@ -128,6 +142,10 @@ def split_node(counts: np.ndarray, left: int, right: int, path: str, seed: int)
     replacement from the sources' counts; the generator is seeded by the path.
     """
     total = int(counts.sum())
+    if total > DRAWN_BLOCKS:  # every source's exact share, rounded down, and the blocks left over by draws
+        low, high = (np.array([int(n) * part // (left + right) for n in counts], np.int64) for part in (left, right))
+        more, rest = split_node(counts - low - high, left, right, path + "+", seed)  # one block a source at most
+        return low + more, high + rest
     take = total * left // (left + right)
     rng = np.random.default_rng(int.from_bytes(hashlib.sha256(f"{seed}:{path}".encode()).digest()[:8], "big"))
     dealt = rng.multivariate_hypergeometric(counts, take, method="marginals") if total else counts
@@ -162,63 +180,111 @@ def split_tree(quota: DataFrame, shards: int = SHARDS, seed: int = SEED) -> Data
     return level.select("source", F.col("lo").alias("shard"), (last - F.col("n")).alias("first"), last.alias("last")).where("last > first")
 
 
-def mix(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-    weights: tuple[int, ...] = (1, 2, 3), max_epochs: int = MAX_EPOCHS, seed: int = SEED,
-) -> DataFrame:
-    """doc_id, size, source_size, target, taken, plus source, block, passes and drawn: one row per input row.
+def runs(placed: DataFrame, quota: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
+    """(_mix_source, _mix_runs): for every source its runs as intervals of permutation keys, by pass and key.
 
-    ``taken`` counts the words that the mix takes of the document: its size in
-    each whole pass and once more if its block is among those drawn. Edges: a
-    null text has size 0; a null source is a source of its own, last in order; a
-    source of size 0 has target 0; rows that are equal in every column are
-    treated alike; an empty table gives an empty result.
+    A run of the splitting tree is cut at the ends of passes; a cut's blocks are
+    consecutive, so its documents are those from its first key on to the first
+    key of the next cut of that pass, the last one's to its own last key. One row
+    per source, with ``shards`` + passes intervals at most.
     """
-    rows = written(sized(docs, id_col, text_col, source_col), "mix-sizes")
-    goal = written(targets(rows, weights, max_epochs), "mix-targets")
-    q = quotas(goal).select(F.col("source").alias("_s"), "passes", "quota")
-    placed = blocks(rows, goal, seed)
-    joined = placed.join(q, F.col("source").eqNullSafe(F.col("_s")), "inner")
-    drawn = F.col("block") < F.col("quota")
-    return joined.select(
-        "doc_id", "size", "source_size", "target",
-        (F.col("size") * (F.col("passes") + drawn.cast("long"))).alias("taken"), "source", "block", "passes", drawn.alias("drawn"))
+    b = F.col("blocks")
+    cuts = split_tree(quota, shards, seed).withColumnsRenamed({"source": "_t"}).join(
+        quota.select("source", "blocks"), F.col("_t").eqNullSafe(F.col("source"))).withColumn(
+        "pass", F.explode(F.sequence(F.floor(F.col("first") / b), F.floor((F.col("last") - 1) / b)))).select(
+        "source", F.struct("pass", F.greatest(F.col("first") - F.col("pass") * b, F.lit(0)).alias("from"),
+                           F.least(F.col("last") - F.col("pass") * b, b).alias("to"), "shard").alias("cut"))
+    per = cuts.groupBy(F.col("source").alias("_c")).agg(F.collect_list("cut").alias("cuts"))
+    # blocks, not documents: their first and last keys
+    ends = placed.join(quota.select(F.col("source").alias("_q"), "blocks"), F.col("source").eqNullSafe(F.col("_q"))).groupBy(
+        "source", F.least("block", F.col("blocks") - 1).alias("block")).agg(F.min("key").alias("lo"), F.max("key").alias("hi"))
+    held = ends.join(per, F.col("source").eqNullSafe(F.col("_c"))).select("source", "block", "lo", "hi", F.explode(F.filter(
+        "cuts", lambda c: (c["from"] <= F.col("block")) & (F.col("block") < c["to"]))).alias("cut"))
+    found = held.groupBy("source", "cut.pass", "cut.shard").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    upto = F.lead("lo").over(W.partitionBy("source", "pass").orderBy("lo"))  # the cuts of a source
+    found = found.withColumn("upto", upto)
+    return found.groupBy(F.col("source").alias("_mix_source")).agg(F.array_sort(F.collect_list(F.struct("pass", "lo", "upto", "hi", "shard"))).alias("_mix_runs"))
+
+
+def drawn_by(key: Column) -> Column:
+    """The runs of a row's source that its permutation key falls into: one for each copy that the mix takes."""
+    return F.filter(F.coalesce(F.col("_mix_runs"), F.array().cast(_RUNS)),
+                    lambda r: (r["lo"] <= key) & F.when(r["upto"].isNull(), key <= r["hi"]).otherwise(key < r["upto"]))
+
+
+_RUNS = "array<struct<pass:bigint,lo:bigint,upto:bigint,hi:bigint,shard:int>>"
+
+
+class Mixture:
+    """A mixture worked out: ``rows`` (placed narrow rows), ``goal`` (one row per source) and ``runs``, all written tables."""
+
+    def __init__(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+                 weights: tuple[int, ...] = (1, 2, 3), max_epochs: int = MAX_EPOCHS, seed: int = SEED, shards: int = SHARDS):
+        self.columns, self.seed, self.shards = (id_col, text_col, source_col), seed, shards
+        rows = written(sized(docs, id_col, text_col, source_col, seed), "mix-sizes")
+        self.goal = written(targets(rows, weights, max_epochs), "mix-targets")
+        self.rows = written(blocks(rows, self.goal), "mix-blocks")
+        self.quota = written(quotas(self.goal), "mix-quotas")
+        self.runs = written(runs(self.rows, self.quota, shards, seed), "mix-runs")
+
+    def with_runs(self, rows: DataFrame, source: Column) -> DataFrame:
+        """``rows`` with the runs of their source. The runs are broadcast only up to a counted number of sources."""
+        small = self.goal.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES
+        return rows.join(F.broadcast(self.runs) if small else self.runs, source.eqNullSafe(F.col("_mix_source")), "left").drop("_mix_source")
+
+    def taken(self) -> DataFrame:
+        """doc_id, size, source_size, target, taken, source, block, passes, drawn, first_shard: one row per input row."""
+        q = self.quota.select(F.col("source").alias("_q"), "passes")
+        rows = self.with_runs(self.rows.join(q, F.col("source").eqNullSafe(F.col("_q"))).drop("_q"), F.col("source"))
+        rows = rows.withColumn("_drawn", drawn_by(F.col("key")))
+        return rows.select(
+            "doc_id", "size", "source_size", "target", (F.col("size") * F.size("_drawn")).alias("taken"), "source", "block", "passes",
+            (F.size("_drawn") > F.col("passes")).alias("drawn"), F.array_min(F.transform("_drawn", lambda r: r["shard"])).alias("first_shard"))
+
+    def copies(self, docs: DataFrame) -> DataFrame:
+        """``docs`` with every row once for each run that draws it, plus ``_mix_shard`` and its place there, ``_mix_place``."""
+        ids, text, source = (F.col(f"`{c}`") for c in self.columns)
+        rows = self.with_runs(docs.withColumn("_mix_key", permutation_key(ids, text, self.seed)), source.cast("string"))
+        rows = rows.withColumn("_mix_run", F.explode(drawn_by(F.col("_mix_key"))))
+        return rows.withColumns({"_mix_shard": F.col("_mix_run.shard"), "_mix_place": F.xxhash64(
+            F.lit(self.seed + 1), "_mix_key", "_mix_run.pass")}).drop("_mix_runs", "_mix_key", "_mix_run")
+
+    def shuffled(self, docs: DataFrame) -> DataFrame:
+        """The mixture's rows (columns of ``docs``), every task a part of one or more shards, shuffled inside it.
+
+        Each copy's text moves once. A shard is dealt to several tasks by its
+        places, so a task's share is bounded whatever a shard's size.
+        """
+        words = self.goal.agg(F.sum("target").alias("n")).first()["n"] or 0
+        parts = max(1, int(-(-words * 8 // PART_BYTES)))
+        deal = F.pmod("_mix_place", F.lit(max(1, 8 * parts // self.shards)))
+        return self.copies(docs).withColumn("_mix_deal", deal).repartition(parts, "_mix_shard", "_mix_deal").sortWithinPartitions(
+            "_mix_shard", "_mix_place").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
-def mixed_rows(docs: DataFrame, mixture: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """``docs`` with every row as often as the mixture takes it (its own columns only).
+def mix(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+    weights: tuple[int, ...] = (1, 2, 3), max_epochs: int = MAX_EPOCHS, seed: int = SEED, shards: int = SHARDS,
+) -> DataFrame:
+    """doc_id, size, source_size, target, taken, plus source, block, passes, drawn and first_shard: one row per input row.
 
-    Joined on the id; rows that share an id take the first mixture row's count.
+    ``taken`` counts the words that the mix takes of the document: its size for
+    every run of the splitting tree that draws it. Edges: a null text has size 0;
+    a null source is a source of its own, last in order; a source of size 0 has
+    target 0 and is drawn by no shard; rows that are equal in id, text and source are
+    treated alike; an empty table gives an empty result; other columns are ignored.
     """
-    times = mixture.groupBy(F.col("doc_id").alias("_mix_id")).agg(
-        F.max(F.col("passes") + F.col("drawn").cast("long")).cast("int").alias("_mix_times"))
-    joined = docs.join(times, F.col(f"`{id_col}`").eqNullSafe(F.col("_mix_id")), "inner")
-    return joined.withColumn("_mix_copy", F.explode(F.expr("array_repeat(0, _mix_times)"))).select(
-        *[joined[f"`{c}`"] for c in docs.columns])
+    return Mixture(docs, id_col, text_col, source_col, weights, max_epochs, seed, shards).taken()
 
 
-def sharded(mixture: DataFrame, quota: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
-    """(shard, position key, doc_id, source, draw): every copy of every document in its output shard.
+def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", shards: int = SHARDS) -> DataFrame:
+    """``docs`` with every row as often as the mixture takes it, dealt to shards and shuffled there; the same columns.
 
-    A copy's draw number is ``pass * blocks + block``; its shard is the run of
-    the splitting tree that holds it. Sort by (shard, key) to write shards in
-    shuffled order.
+    A row's copies follow from its own id, text and source, so rows that share an id are each decided by their own text.
     """
-    tree = split_tree(quota, shards, seed).groupBy(F.col("source").alias("_t")).agg(
-        F.array_sort(F.collect_list(F.struct("last", "shard"))).alias("runs"))
-    q = quota.select(F.col("source").alias("_s"), "blocks").join(tree, F.col("_s").eqNullSafe(F.col("_t")), "inner").drop("_t")
-    copies = mixture.withColumn("pass", F.explode(F.sequence(F.lit(0).cast("long"), F.col("passes")))).where(
-        (F.col("pass") < F.col("passes")) | F.col("drawn"))
-    placed = copies.join(q, F.col("source").eqNullSafe(F.col("_s")), "inner")
-    draw = F.col("pass") * F.col("blocks") + F.least(F.col("block"), F.col("blocks") - 1)
-    shard = F.element_at(F.filter("runs", lambda r: r["last"] > draw), 1)["shard"]
-    return placed.select(shard.alias("shard"), F.xxhash64(F.lit(seed + 1), "doc_id", "pass").alias("key"), "doc_id", "source",
-                         draw.alias("draw"))
+    return Mixture(docs, id_col, text_col, source_col, shards=shards).shuffled(docs)
 
 
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mixture of all documents, each with the shard of its first copy (null where the mix takes none)."""
-    mixture = written(mix(documents(spark, sf_dir, "doc_id", "text", "source")), "mixture")
-    goal = mixture.groupBy("source").agg(F.max("source_size").alias("source_size"), F.max("target").alias("target"))
-    placed = sharded(mixture, written(quotas(goal), "mix-quotas")).groupBy("doc_id").agg(F.min("shard").alias("first_shard"))
-    return mixture.join(placed.withColumnRenamed("doc_id", "_p"), F.col("doc_id").eqNullSafe(F.col("_p")), "left").drop("_p")
+    return mix(documents(spark, sf_dir, "doc_id", "text", "source"))

@@ -39,6 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.llm import textnum as tn
+from marquee.llm.bitmap import bitmap, split
 from marquee.llm.components import components
 from marquee.llm.scratch import documents, id_and_text, written
 
@@ -53,7 +54,7 @@ PIVOTS = 2
 
 _SENT = "bucket int, grp long, h binary, cnt binary, common_h binary, common_n binary, docs binary"
 _BACK = "grp long, row binary, h binary, df binary, common_h binary, common_df binary, docs binary"
-_SETS = "doc_id long, n_shingles long, node binary, unique_shingles long, prefix array<bigint>, bitmap array<bigint>, shingles binary"
+_SETS = "doc_id long, row_key long, n_shingles long, node binary, unique_shingles long, prefix array<bigint>, bitmap array<bigint>, shingles binary"
 
 
 def _pack(h: np.ndarray) -> bytes:
@@ -120,10 +121,10 @@ def _send(top_bits: int, size: int):
                 grp, serial = part << 32 | serial, serial + 1
                 uniq, at, times = np.unique(h, return_inverse=True, return_counts=True)
                 common = times[at] >= COMMON
-                own = pa.array([i.as_py() for i in ids.slice(lo, hi - lo)], pa.int64())
+                own, keys = (pa.array(c.slice(lo, hi - lo).to_pylist(), pa.int64()) for c in (ids, batch.column("row_key")))
                 docs = pa.RecordBatch.from_arrays(
-                    [own, pa.array(n, pa.int64()), pa.array([x.tobytes() for x in node], pa.binary()),
-                     _lists(rows[common], h[common], hi - lo)], names=["id", "n", "node", "common"])
+                    [own, keys, pa.array(n, pa.int64()), pa.array([x.tobytes() for x in node], pa.binary()),
+                     _lists(rows[common], h[common], hi - lo)], names=["id", "key", "n", "node", "common"])
                 sink = pa.BufferOutputStream()
                 with pa.ipc.new_stream(sink, docs.schema) as w:
                     w.write_batch(docs)
@@ -157,11 +158,9 @@ def _buckets(h, rows, common, times, n_rows, grp, bits, docs) -> pa.RecordBatch:
     ca, cz = np.searchsorted(cb, used), np.searchsorted(cb, used, "right")
     out = [[], [], [], [], [], [], []]
     for k, u in enumerate(used.tolist()):
-        counts = np.bincount(rows[a[k] : b[k]], minlength=n_rows).astype("<u2") if b[k] > a[k] else np.zeros(0, "<u2")
-        wide = counts if counts.max(initial=0) < 65535 else None
+        counts = np.bincount(rows[a[k] : b[k]], minlength=n_rows) if b[k] > a[k] else np.zeros(0, np.int64)
         for column, value in zip(out, (
-            u, grp, _pack(h[a[k] : b[k]]), wide.tobytes() if wide is not None else b"w" + np.bincount(
-                rows[a[k] : b[k]], minlength=n_rows).astype("<u4").tobytes(),
+            u, grp, _pack(h[a[k] : b[k]]), _counted(counts),
             _pack(common[ca[k] : cz[k]]), times[ca[k] : cz[k]].astype("<u4").tobytes(), docs if u == home else None), strict=True):
             column.append(value)
     kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 5]
@@ -169,6 +168,11 @@ def _buckets(h, rows, common, times, n_rows, grp, bits, docs) -> pa.RecordBatch:
                                       names=["bucket", "grp", "h", "cnt", "common_h", "common_n", "docs"])
 
 
+def _counted(counts: np.ndarray) -> bytes:
+    """Shingles of every row in two bytes each, or in four behind a mark where one has more than two bytes hold."""
+    return counts.astype("<u2").tobytes() if counts.max(initial=0) < 1 << 16 else b"w" + counts.astype("<u4").tobytes()
+
+
 def _counts(data: bytes) -> np.ndarray:
     return np.frombuffer(data[1:], "<u4") if len(data) % 2 else np.frombuffer(data, "<u2")
 
@@ -229,9 +233,9 @@ def _assemble(table: pa.Table) -> pa.Table:
         bitmaps.append(_parities(own) if able else None)
         sets.append(np.sort(own).tobytes() if able else None)
     return pa.Table.from_arrays(
-        [docs.column("id"), pa.array(n, pa.int64()), docs.column("node"), pa.array(unique, pa.int64()),
+        [docs.column("id"), docs.column("key"), pa.array(n, pa.int64()), docs.column("node"), pa.array(unique, pa.int64()),
          pa.array(prefix, pa.list_(pa.int64())), pa.array(bitmaps, pa.list_(pa.int64())), pa.array(sets, pa.binary())],
-        names=["doc_id", "n_shingles", "node", "unique_shingles", "prefix", "bitmap", "shingles"])
+        names=["doc_id", "row_key", "n_shingles", "node", "unique_shingles", "prefix", "bitmap", "shingles"])
 
 
 def _parities(h: np.ndarray) -> np.ndarray:
@@ -242,7 +246,7 @@ def _parities(h: np.ndarray) -> np.ndarray:
 
 def shingle_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5) -> DataFrame:
     """Steps 1 and 2: one row per document; ``prefix`` and ``shingles`` only where it can link at all."""
-    d = id_and_text(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
+    d = id_and_text(docs, id_col, text_col).select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("row_key"))
     total = d.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     bits = int(min(20, max(8, np.ceil(np.log2(max(1, 1.3 * total / BUCKET_BYTES))))))
     sent = d.mapInArrow(_send(bits, size), _SENT)
@@ -332,9 +336,24 @@ def _by_triangle(rest: DataFrame, compared: DataFrame) -> DataFrame:
     return known.where(~F.coalesce(apart, F.lit(False))).select("a", "b", "na", "nb")
 
 
+def _labelled(docs: DataFrame, id_col: str, text_col: str, size: int) -> tuple[DataFrame, DataFrame]:
+    """(rows that can link, with their component ``comp``; the other rows). ``row_key`` is a hash of a row's text."""
+    sets = written(shingle_sets(docs, id_col, text_col, size), "shingle-sets")
+    able = sets.where("shingles is not null")
+    classes = written(able.groupBy("node").agg(
+        F.first("n_shingles").alias("n_shingles"), F.first("unique_shingles").alias("unique_shingles"),
+        F.first("prefix").alias("prefix"), F.first("bitmap").alias("bitmap"), F.first("shingles").alias("shingles")), "classes")
+    comps = links(classes)
+    labelled = able.select("doc_id", "row_key", "n_shingles", "node").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    return labelled, sets.where("shingles is null")
+
+
 def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5) -> DataFrame:
     """doc_id, n_shingles, component_id: one row per input row.
 
+    Pairs inside a component are not compared once it is known: the result tells
+    what is reachable, not each set's list of partners. Shingles are told apart
+    by 64-bit hashes.
     Edges: a null, empty or wordless text has no shingles, links with nothing and
     is its own component; a text of fewer than ``size`` words is one shingle of
     all of them; equal sets are linked; ids are integers, rows that share an id
@@ -342,23 +361,34 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     if it has none); an empty table gives an empty result; other columns are
     ignored.
     """
-    sets = written(shingle_sets(docs, id_col, text_col, size), "shingle-sets")
-    able = sets.where("shingles is not null")
-    classes = written(able.groupBy("node").agg(
-        F.first("n_shingles").alias("n_shingles"), F.first("unique_shingles").alias("unique_shingles"),
-        F.first("prefix").alias("prefix"), F.first("bitmap").alias("bitmap"), F.first("shingles").alias("shingles")), "classes")
-    comps = links(classes)
-    labelled = able.select("doc_id", "n_shingles", "node").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    labelled, rest = _labelled(docs, id_col, text_col, size)
     # written, so that the join below reads two plain exchanges and a component of a third of all rows can be split
     smallest = written(labelled.groupBy("comp").agg(F.min("doc_id").alias("component_id")), "smallest-ids")
-    alone = sets.where("shingles is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    alone = rest.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return labelled.join(smallest, "comp").select("doc_id", "n_shingles", "component_id").unionByName(alone)
 
 
 def keep_smallest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each component, the smallest id's, same columns (rows without an id stay)."""
-    joined = ngram_join(docs, id_col, text_col).where("doc_id <> component_id").select(F.col("doc_id").alias("_near_id")).distinct()
-    return docs.join(written(joined, "near-copies"), F.col(f"`{id_col}`") == F.col("_near_id"), "left_anti")
+    """``docs`` with one row of each component, same columns.
+
+    The row with the smallest id stays, of several with that id the one whose text
+    hash is smallest; so rows that share an id are decided by their own texts.
+    Rows that repeat the staying one's id and text all stay, and so do rows
+    without an id. The decision is joined by id and text hash, and only for rows
+    that a bitmap of the ids that go may hold; other texts never leave the scan.
+    """
+    labelled, _ = _labelled(docs, id_col, text_col, 5)
+    labelled = labelled.where("doc_id is not null").select("comp", F.struct("doc_id", "row_key").alias("r"))
+    # narrow rows, so a component of a third of them is split like any skewed join
+    first = written(labelled.groupBy("comp").agg(F.min("r").alias("stays")), "smallest-rows")
+    goes = written(labelled.join(first, "comp").where(F.col("r") != F.col("stays")).select(
+        F.col("r.doc_id").alias("_near_id"), F.col("r.row_key").alias("_near_key"), F.xxhash64("r.doc_id").alias("h")), "near-copies")
+    ids = F.col(f"`{id_col}`").cast("long")
+    possible, others = split(docs, F.xxhash64(ids), *bitmap(goes))
+    own = F.xxhash64(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
+    left = possible.withColumn("_near_own", own).join(
+        goes.select("_near_id", "_near_key").distinct(), (ids == F.col("_near_id")) & (F.col("_near_own") == F.col("_near_key")), "left_anti")
+    return others.unionByName(left.drop("_near_own"))
 
 
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,6 +19,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marquee.llm.bitmap import bitmap, split
 from marquee.llm.scratch import documents, written
 from marquee.sources.tables import table
 
@@ -35,9 +36,8 @@ DELTA = 0.05
 MIN_WORDS = 50
 #: Rows of the cutoffs table up to which it is broadcast; beyond, it is joined by shuffle.
 BROADCAST_STRATA = 10_000
-#: Low bits of a sort key that hold a word position (texts up to 16 million words).
+#: Low bits of a sort key that hold a word position; a text of more windows than that is sorted by pairs.
 _POSITION_BITS = 24
-_MASK = (1 << _POSITION_BITS) - 1
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -49,34 +49,47 @@ def word_array(text: Column) -> Column:
     return F.array_remove(F.split(text, r"[\x20\x09-\x0D]+"), "")
 
 
-def repeat_words(words: Column) -> Column:
+def repeat_words(words: Column, position_bits: int = _POSITION_BITS) -> Column:
     """Words lying in a 3-word window that occurs twice or more in the text, the first included.
 
     Windows are hashed to 64 bits; hash and position share a sort key, so equal
     windows become neighbours in one primitive sort, and neighbours are compared
-    by their whole hashes. n log n in the text's length.
+    by their whole hashes. A text of more than ``2**position_bits`` windows sorts
+    (hash, position) pairs instead. n log n in the text's length.
     """
+    mask = (1 << position_bits) - 1
+
     def keys(h: Column) -> Column:
-        return F.sort_array(F.transform(h, lambda x, i: x.bitwiseAND(F.lit(~_MASK)).bitwiseOR(i.cast("long"))))
+        return F.sort_array(F.transform(h, lambda x, i: x.bitwiseAND(F.lit(~mask)).bitwiseOR(i.cast("long"))))
 
     def covered(h: Column) -> Column:
         def same(s: Column, a: Column, b: Column) -> Column:
-            at = lambda j: F.get(h, F.get(s, j).bitwiseAND(F.lit(_MASK)).cast("int"))
+            at = lambda j: F.get(h, F.get(s, j).bitwiseAND(F.lit(mask)).cast("int"))
             return F.coalesce(at(a) == at(b), F.lit(False))
 
         def positions(s: Column) -> Column:
             hit = F.filter(s, lambda x, j: same(s, j, j - 1) | same(s, j, j + 1))
-            return F.transform(hit, lambda x: x.bitwiseAND(F.lit(_MASK)))
+            return F.transform(hit, lambda x: x.bitwiseAND(F.lit(mask)))
 
         spread = let(keys(h), lambda s: F.flatten(F.transform(positions(s), lambda p: F.array(p, p + 1, p + 2))))
         return F.size(F.array_distinct(spread)).cast("long")
 
+    def covered_by_pairs(h: Column) -> Column:
+        def spread(s: Column) -> Column:
+            same = lambda a, b: F.coalesce(F.get(s, a)["h"] == F.get(s, b)["h"], F.lit(False))
+            hit = F.filter(s, lambda x, j: same(j, j - 1) | same(j, j + 1))
+            return F.flatten(F.transform(hit, lambda x: F.array(x["i"], x["i"] + 1, x["i"] + 2)))
+
+        pairs = F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.cast("long").alias("i"))))
+        return F.size(F.array_distinct(let(pairs, spread))).cast("long")
+
     def windows(w: Column) -> Column:
         return F.transform(F.sequence(F.lit(0), F.size(w) - 3),
                            lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)))
 
     def count(w: Column) -> Column:
-        found = let(windows(w), lambda h: F.when(F.size(F.array_distinct(h)) < F.size(h), covered(h)).otherwise(F.lit(0).cast("long")))
+        found = let(windows(w), lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0).cast("long")).when(
+            F.size(h) <= F.lit(mask), covered(h)).otherwise(covered_by_pairs(h)))
         return F.when(F.size(w) >= 3, found).otherwise(F.lit(0).cast("long"))
 
     return count(words)
@@ -195,8 +208,15 @@ def verdicts(measured: DataFrame, chosen: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str | None = "lang") -> DataFrame:
-    """``docs`` without the rejected rows, same columns. Texts are never shuffled: only the cutoffs are joined, by stratum."""
-    m = written(measures(docs, id_col, text_col, stratum_col), "quality-measures")
+    """``docs`` without the rejected rows, same columns. Texts are never shuffled: only the cutoffs are joined, by stratum.
+
+    The cutoffs need the measures of labelled documents alone: a bitmap of their
+    ids lets only those be measured before; then every row is measured once.
+    """
+    labelled = written(labels.select("doc_id").where("doc_id is not null").distinct().select(F.xxhash64(F.col("doc_id").cast(
+        docs.schema[id_col].dataType)).alias("h")), "labelled-ids")
+    possible, _ = split(docs, F.xxhash64(F.col(f"`{id_col}`")), *bitmap(labelled))
+    m = written(measures(possible, id_col, text_col, stratum_col), "quality-measures")
     chosen = selected_cutoffs(m, labels)
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     judged = verdicts(measures(docs, id_col, text_col, stratum_col, carry=row), chosen)
