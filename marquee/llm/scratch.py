@@ -22,9 +22,19 @@ def written(df: DataFrame, name: str, *folders: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of one Arrow batch, at most: a row holds a whole text.
+BATCH_ROWS = 2_000
+
+
 def ship_package(spark: SparkSession) -> None:
-    """Let Python workers import this package wherever they start: it is added to the session once, as ``--py-files`` does."""
+    """Let Python workers import this package wherever they start: it is added to the session once, as ``--py-files`` does.
+
+    Arrow batches are cut to ``BATCH_ROWS`` rows where the session allows more,
+    which bounds what a task holds outside the JVM's heap.
+    """
     sc = spark.sparkContext
+    if not 0 < int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     if getattr(sc, "_marquee_shipped", False):
         return
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
