@@ -45,7 +45,7 @@ TOP = 2_000
 CONTAINED = (80, 100)
 SHARDS = 2
 #: Text counted at once in a task; longer texts are cut at white space, with the phrases over the cut counted once.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 #: Phrases written out at once.
 KEYS = 1 << 16
 #: Bits of the bitmap of phrases that reached the threshold: about one per ``BYTES_PER_BIT`` bytes of text, within these powers of two.
