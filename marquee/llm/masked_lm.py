@@ -42,7 +42,7 @@ WIDTH = 16
 SIDE = 2
 #: Rounds of training, and the distance of one round's words: together the rounds visit every word.
 ROUNDS = 2
-BATCH = 512
+BATCH = 2048
 RATE = 0.15
 #: Floats of one row of a sent network, and first-level sums of the average.
 _SLICE = 4096
@@ -54,7 +54,10 @@ _COUNTED = 1 << 22
 _GRAIN = 1e-9
 #: Words scored at once.
 _BLOCK = 1 << 14
+#: Rows of one matrix product: so small that the numeric library adds no threads of its own, which would only spin beside Spark's tasks.
+_ROWS = 128
 _PLACES = [k for k in range(-SIDE, SIDE + 1) if k]
+_STEPS = np.array(_PLACES)
 
 
 def start(seed: int = 7) -> dict[str, np.ndarray]:
@@ -91,20 +94,38 @@ def _codes(h: np.ndarray) -> np.ndarray:
     return h & (CODES - 1)
 
 
+def _times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``a @ b`` in products of ``_ROWS`` rows."""
+    whole = len(a) // _ROWS * _ROWS
+    if whole == 0:
+        return a @ b
+    out = np.matmul(a[:whole].reshape(-1, _ROWS, a.shape[1]), b).reshape(whole, -1)
+    return out if whole == len(a) else np.concatenate([out, a[whole:] @ b])
+
+
+def _crossed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``a.T @ b`` in products of ``_ROWS`` rows."""
+    whole = len(a) // _ROWS * _ROWS
+    rest = a[whole:].T @ b[whole:]
+    if whole == 0:
+        return rest
+    parts = np.matmul(a[:whole].reshape(-1, _ROWS, a.shape[1]).transpose(0, 2, 1), b[:whole].reshape(-1, _ROWS, b.shape[1]))
+    return parts.sum(0) + rest
+
+
 def contexts(code: np.ndarray, bounds: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Codes of the neighbours of the words ``at``, one column a place; ``CODES`` outside the text."""
-    row = np.searchsorted(bounds, at, side="right") - 1
-    lo, hi = bounds[row], bounds[row + 1]
-    out = np.full((len(at), len(_PLACES)), CODES, np.int64)
-    for j, k in enumerate(_PLACES):
-        inside = (at + k >= lo) & (at + k < hi)
-        out[inside, j] = code[at[inside] + k]
-    return out
+    wide, place = spaced(code, bounds)
+    return wide[place[at][:, None] + _STEPS]
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(1, keepdims=True)
-    return x - np.log(np.exp(x).sum(1, keepdims=True))
+def spaced(code: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(codes with ``SIDE`` times ``CODES`` around every row, place of every word among them)."""
+    row = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    place = np.arange(len(code)) + SIDE * (row + 1)
+    wide = np.full(len(code) + SIDE * len(bounds), CODES, np.int16)
+    wide[place] = code
+    return wide, place
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
@@ -113,19 +134,26 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def forward(net: dict, ctx: np.ndarray, code: np.ndarray, squash=_log_softmax):
-    """(embedded neighbours, hidden 1, hidden 2, log-probabilities of both digits)."""
+def forward(net: dict, ctx: np.ndarray, code: np.ndarray, squash):
+    """(embedded neighbours, hidden 1, hidden 2, both digits' outputs after ``squash``)."""
     e = net["words"][ctx]
     h = np.einsum("bpd,pd->bd", e, net["gates"])
     h2 = h + net["first"][code // DIGIT]
-    return e, h, h2, squash(h @ net["out1"] + net["bias1"]), squash(h2 @ net["out2"] + net["bias2"])
+    return e, h, h2, squash(_times(h, net["out1"]) + net["bias1"]), squash(_times(h2, net["out2"]) + net["bias2"])
 
 
 def log_probability(net: dict, ctx: np.ndarray, code: np.ndarray) -> np.ndarray:
     """Conditional log-probability of every code given its neighbours."""
-    _, _, _, l1, l2 = forward(net, ctx, code)
-    i = np.arange(len(code))
-    return l1[i, code // DIGIT].astype(np.float64) + l2[i, code % DIGIT].astype(np.float64)
+    _, _, _, x1, x2 = forward(net, ctx, code, lambda x: x)
+    return _log_share(x1, code // DIGIT) + _log_share(x2, code % DIGIT)
+
+
+def _log_share(x: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """Logarithm of the chosen one's share of the exponentials of every row."""
+    top = x.max(1)
+    own = x[np.arange(len(x)), chosen] - top
+    x = x - top[:, None]
+    return own.astype(np.float64) - np.log(np.exp(x, out=x).sum(1)).astype(np.float64)
 
 
 def step(net: dict, seen: dict, ctx: np.ndarray, code: np.ndarray, rate: float = RATE) -> None:
@@ -135,17 +163,17 @@ def step(net: dict, seen: dict, ctx: np.ndarray, code: np.ndarray, rate: float =
     g1[i, code // DIGIT] -= 1
     g2[i, code % DIGIT] -= 1
     g1, g2 = g1 / n, g2 / n
-    d2 = g2 @ net["out2"].T
-    d1 = g1 @ net["out1"].T + d2
-    digit = np.zeros((DIGIT, len(code)), np.float32)
-    digit[code // DIGIT, i] = 1
-    first = digit @ d2
+    d2 = _times(g2, net["out2"].T)
+    d1 = _times(g1, net["out1"].T) + d2
+    digit = np.zeros((len(code), DIGIT), np.float32)
+    digit[i, code // DIGIT] = 1
+    first = _crossed(digit, d2)
     near = ctx.reshape(-1)
     order = np.argsort(near, kind="stable")
     starts = np.flatnonzero(np.diff(near[order], prepend=-1))
     at = near[order[starts]]
     words = np.add.reduceat((d1[:, None, :] * net["gates"]).reshape(-1, WIDTH)[order], starts, axis=0)
-    grads = {"out1": h.T @ g1, "bias1": g1.sum(0), "out2": h2.T @ g2, "bias2": g2.sum(0), "first": first,
+    grads = {"out1": _crossed(h, g1), "bias1": g1.sum(0), "out2": _crossed(h2, g2), "bias2": g2.sum(0), "first": first,
              "gates": np.einsum("bpd,bd->pd", e, d1)}
     for k, g in grads.items():
         seen[k] += g * g
@@ -244,9 +272,10 @@ def _train(values: np.ndarray, turn: int, rounds: int):
                 words += len(code)
                 # the rounds' offsets together are all words; the order is mixed
                 at = rng.permutation(np.arange(turn, len(code), rounds))
+                wide, place = spaced(code, bounds)
                 for a in range(0, len(at), BATCH):
                     some = at[a : a + BATCH]
-                    step(net, seen, contexts(code, bounds, some), code[some])
+                    step(net, seen, wide[place[some][:, None] + _STEPS], code[some])
         if words:
             yield _sent(flat(net), words)
     return run
@@ -278,9 +307,10 @@ def _score(values: np.ndarray, totals: np.ndarray, often: np.ndarray, counts: np
             for h, bounds in _word_pieces(batch):
                 code = _codes(h)
                 logs = np.zeros(len(code) + 1)
+                wide, place = spaced(code, bounds)
                 for a in range(0, len(code), _BLOCK):
                     at = np.arange(a, min(len(code), a + _BLOCK))
-                    logs[at + 1] = log_probability(net, contexts(code, bounds, at), code[at])
+                    logs[at + 1] = log_probability(net, wide[place[at][:, None] + _STEPS], code[at])
                 logs[1:] -= whole[code]
                 place = np.searchsorted(often, h)
                 known = np.zeros(len(h), bool)
