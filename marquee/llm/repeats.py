@@ -20,9 +20,11 @@ only sampled suffixes are sorted, and the rest is induced from them:
 4. Removal. Intervals of repeated windows meet their text once more.
 
 Bytes are compared by 64-bit hashes of ranges (prefix sums, see ``textnum``) within
-a gram's group. Every step is an aggregate with map-side partial sums, so a
-passage that a third of all documents share is no hot key, nothing is compared
-pair by pair, and a task holds no more than a piece of text.
+a gram's group. Every count is an aggregate with map-side partial sums. Joins back
+to a gram that a third of all documents share read written tables, whose plain
+exchanges can be split; nothing is compared pair by pair, and a task holds no more
+than a piece of text. Texts without a repeated gram pass by in the scan (a bitmap
+of the others' keys, see ``bitmap``) and are never shuffled.
 """
 
 from __future__ import annotations
@@ -36,6 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.llm import textnum as tn
+from marquee.llm.bitmap import bitmap, split
 from marquee.llm.scratch import documents, id_and_text, written
 
 LENGTH = 400
@@ -191,19 +194,21 @@ _BLOCKS = "k1 long, k2 long, at int, first int, last int, block int, shared long
 def repeated_windows(rows: DataFrame) -> DataFrame:
     """(k1, k2, start, stop): byte intervals covered by repeated windows. ``rows`` as ``keyed`` gives them."""
     texts = rows.select("k1", "k2", "text").where(F.octet_length("text") >= LENGTH)
-    samples = texts.mapInArrow(_sample, _SAMPLES)
-    # grams that occur twice or more; all other samples leave here, eight bytes each
-    again = samples.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram")
-    live = written(samples.join(again, "gram", "left_semi"), "samples")
-    runs = live.groupBy("gram", "run").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("k1", "k2", "at", "first", "last")).alias("one"))
-    several = runs.groupBy("gram").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("gram")
+    samples = written(texts.mapInArrow(_sample, _SAMPLES), "samples")
+    # grams that occur twice or more; all other samples leave here
+    again = written(samples.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram", F.xxhash64("gram").alias("h")), "again")
+    possible, _ = split(samples, F.xxhash64("gram"), *bitmap(again))
+    live = written(possible.join(again.select("gram"), "gram", "left_semi"), "live-samples")
+    runs = written(live.groupBy("gram", "run").agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("k1", "k2", "at", "first", "last")).alias("one")), "runs")
+    several = written(runs.groupBy("gram").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("gram"), "several")
     whole = live.join(runs.where("n > 1").select("gram", "run"), ["gram", "run"]).select(
         "k1", "k2", F.col("first").alias("start"), (F.col("last") + LENGTH).alias("stop"))
     # one of each run of a gram that has several runs: its bytes are cut out of its text once
     left = runs.join(several, "gram").select("one.k1", "one.k2", F.struct("one.at", "one.first", "one.last", "gram", "run").alias("r"))
-    per_text = left.groupBy("k1", "k2").agg(F.collect_list("r").alias("runs"))  # bounded by the text's length
-    cut = texts.join(per_text, ["k1", "k2"]).dropDuplicates(["k1", "k2"])
+    per_text = written(left.groupBy("k1", "k2").agg(F.collect_list("r").alias("runs")).withColumn("h", F.xxhash64("k1")), "runs-by-text")  # bounded by the text's length
+    possible, _ = split(texts, F.xxhash64("k1"), *bitmap(per_text.select("h")))
+    cut = possible.join(per_text.drop("h"), ["k1", "k2"]).dropDuplicates(["k1", "k2"])
     edges = written(cut.mapInArrow(_cut, _EDGES), "edges")
     found = [whole]
     asked = edges.withColumns({"from": F.lit(0), "to": F.lit(LENGTH)})
@@ -257,10 +262,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     empty table gives an empty result; other columns are ignored.
     """
     rows = keyed(docs, id_col, text_col)
-    gone = repeated_windows(rows).groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "stop")).alias("gone"))
+    gone = written(repeated_windows(rows).groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "stop")).alias("gone")).withColumn(
+        "h", F.xxhash64("k1")), "gone")  # bounded by the text's length
+    possible, others = split(rows, F.xxhash64("k1"), *bitmap(gone.select("h")))
     schema = (f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_bytes long, n_removed long, n_spans long, "
               "kept_sha256 string, spans array<int>")
-    return rows.join(gone, ["k1", "k2"], "left").select("doc_id", "text", "gone").mapInArrow(_remove, schema)
+    hit = possible.join(gone.drop("h"), ["k1", "k2"], "left").select("doc_id", "text", "gone")
+    whole = others.select("doc_id", "text", F.lit(None).cast(gone.schema["gone"].dataType).alias("gone"))
+    return hit.mapInArrow(_remove, schema).unionByName(whole.mapInArrow(_remove, schema))
 
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
