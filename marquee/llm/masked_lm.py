@@ -28,6 +28,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -53,7 +54,7 @@ _COUNTED = 1 << 22
 #: Logarithms are added up as whole multiples of this, so that their order does not matter.
 _GRAIN = 1e-9
 #: Words scored at once.
-_BLOCK = 1 << 14
+_BLOCK = 1 << 11
 #: Rows of one matrix product: so small that the numeric library adds no threads of its own, which would only spin beside Spark's tasks.
 _ROWS = 128
 _PLACES = [k for k in range(-SIDE, SIDE + 1) if k]
@@ -128,9 +129,19 @@ def spaced(code: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return wide, place
 
 
+#: Outputs within this distance of zero are exponentiated as they are.
+_SAFE = 60.0
+_ONES = np.ones((DIGIT, 1), np.float32)
+
+
+def _centred(x: np.ndarray) -> np.ndarray:
+    """``x``, or where an exponential could overflow ``x`` less every row's maximum."""
+    return x if not x.size or (x.max() < _SAFE and x.min() > -_SAFE) else x - x.max(1, keepdims=True)
+
+
 def _softmax(x: np.ndarray) -> np.ndarray:
-    x = np.exp(x - x.max(1, keepdims=True))
-    x /= x.sum(1, keepdims=True)
+    x = np.exp(_centred(x))
+    x /= _times(x, _ONES)  # sums of rows
     return x
 
 
@@ -150,10 +161,9 @@ def log_probability(net: dict, ctx: np.ndarray, code: np.ndarray) -> np.ndarray:
 
 def _log_share(x: np.ndarray, chosen: np.ndarray) -> np.ndarray:
     """Logarithm of the chosen one's share of the exponentials of every row."""
-    top = x.max(1)
-    own = x[np.arange(len(x)), chosen] - top
-    x = x - top[:, None]
-    return own.astype(np.float64) - np.log(np.exp(x, out=x).sum(1)).astype(np.float64)
+    x = _centred(x)
+    own = x[np.arange(len(x)), chosen].astype(np.float64)
+    return own - np.log(_times(np.exp(x), _ONES)[:, 0]).astype(np.float64)
 
 
 def step(net: dict, seen: dict, ctx: np.ndarray, code: np.ndarray, rate: float = RATE) -> None:
@@ -302,6 +312,7 @@ def _score(values: np.ndarray, totals: np.ndarray, often: np.ndarray, counts: np
         # one more occurrence of every code stands for the words that the table lacks
         whole, share = np.log(totals + 1.0), np.log(counts)
         row = TaskContext.get().partitionId() << 40
+        index = pd.Index(often)
         for batch in batches:
             n, total, sizes, rare, times = [], [], [], [], []
             for h, bounds in _word_pieces(batch):
@@ -312,10 +323,9 @@ def _score(values: np.ndarray, totals: np.ndarray, often: np.ndarray, counts: np
                     at = np.arange(a, min(len(code), a + _BLOCK))
                     logs[at + 1] = log_probability(net, wide[place[at][:, None] + _STEPS], code[at])
                 logs[1:] -= whole[code]
-                place = np.searchsorted(often, h)
-                known = np.zeros(len(h), bool)
-                known[place < len(often)] = often[place[place < len(often)]] == h[place < len(often)]
-                logs[1:][known] += share[place[known]]
+                at = index.get_indexer(h)
+                known = at >= 0
+                logs[1:][known] += share[at[known]]
                 n.append(np.diff(bounds))
                 # added up text by text, so that a text scores the same wherever it stands
                 total += [float(logs[bounds[k] + 1 : bounds[k + 1] + 1].sum()) for k in range(len(bounds) - 1)]
