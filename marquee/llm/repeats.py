@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 
 from marquee.llm import textnum as tn
 from marquee.llm.bitmap import bitmap, split
+from marquee.llm.passages import shared_passages
 from marquee.llm.scratch import documents, id_and_text, written
 
 LENGTH = 400
@@ -249,28 +250,38 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                            [x for s in spans for x in s]), strict=True):
                 column.append(value)
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.int32())]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *[pa.array(c, k) for c, k in zip(out, kinds, strict=True)]],
-                                         names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"])
+        also = [c for c in batch.schema.names if c not in ("doc_id", "text", "gone")]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), *[pa.array(c, k) for c, k in zip(out, kinds, strict=True)], *[batch.column(c) for c in also]],
+            names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", *also])
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_passages: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans (start, stop, ...): one row per input row.
 
+    ``with_passages`` adds n_passage_words, which tells of passages that may be
+    shorter than ``LENGTH`` bytes and stay in the text: words covered by fifty that
+    another document has too.
     Edges: a null text is empty; texts shorter than ``LENGTH`` bytes lose
     nothing; rows that repeat, id and text alike, are documents of their own and
     repeat each other; a string may overlap its repeat in the same text; an
     empty table gives an empty result; other columns are ignored.
     """
     rows = keyed(docs, id_col, text_col)
-    gone = written(repeated_windows(rows).groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "stop")).alias("gone")).withColumn(
-        "h", F.xxhash64("k1")), "gone")  # bounded by the text's length
+    gone = repeated_windows(rows).groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "stop")).alias("gone"))  # bounded by the text's length
+    if with_passages:
+        gone = gone.join(shared_passages(rows), ["k1", "k2"], "full")
+    gone = written(gone.withColumn("h", F.xxhash64("k1")), "gone")
     possible, others = split(rows, F.xxhash64("k1"), *bitmap(gone.select("h")))
     schema = (f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_bytes long, n_removed long, n_spans long, "
               "kept_sha256 string, spans array<int>")
-    hit = possible.join(gone.drop("h"), ["k1", "k2"], "left").select("doc_id", "text", "gone")
-    whole = others.select("doc_id", "text", F.lit(None).cast(gone.schema["gone"].dataType).alias("gone"))
+    words = [F.coalesce("n_passage_words", F.lit(0)).cast("long").alias("n_passage_words")] if with_passages else []
+    none = [F.lit(0).cast("long").alias("n_passage_words")] if with_passages else []
+    schema += ", n_passage_words long" if with_passages else ""
+    hit = possible.join(gone.drop("h"), ["k1", "k2"], "left").select("doc_id", "text", "gone", *words)
+    whole = others.select("doc_id", "text", F.lit(None).cast(gone.schema["gone"].dataType).alias("gone"), *none)
     return hit.mapInArrow(_remove, schema).unionByName(whole.mapInArrow(_remove, schema))
 
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return remove_repeats(documents(spark, sf_dir, "doc_id", "text")).drop("spans")
+    return remove_repeats(documents(spark, sf_dir, "doc_id", "text"), with_passages=True).drop("spans")
