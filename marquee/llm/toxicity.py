@@ -7,9 +7,12 @@ term it learns a weight for every pair through short factor vectors, so two
 terms that are harmless alone can weigh together.
 
 It is fitted in numpy on a bounded sample of labelled rows (``MAX_ROWS`` a class,
-chosen by a hash of the id). Terms are first screened by how unevenly the classes
-hold them; the others carry no weight. Scoring reads every whole text in one
-pass, without a shuffle; the fitted model has a fixed size.
+chosen by a hash of the id). Terms enter by either of two screens: how unevenly
+the classes hold the term, or how unevenly they hold it close to another word, more
+so than either of the two alone; so words that are harmless by themselves enter
+with their partners, and the machine learns what their pairs weigh. Other terms
+carry no weight. Pairs are counted by Spark. Scoring reads every whole text in
+one pass, without a shuffle; the fitted model has a fixed size.
 """
 
 from __future__ import annotations
@@ -17,12 +20,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.llm import textnum as tn
-from marquee.llm.scratch import documents, id_and_text
+from marquee.llm.scratch import documents, id_and_text, written
 from marquee.sources.tables import table
 
 #: Labelled rows used for fitting, of each class at most.
@@ -30,6 +34,11 @@ MAX_ROWS = 4_000
 #: Hashed term space, terms kept by the screen, factors of a term.
 DIMENSIONS = 1 << 18
 KEPT_TERMS = 2_048
+#: Pairs of words that bring their terms in, and how far apart their words may stand.
+KEPT_PAIRS = 512
+NEAR = 8
+#: Rows of the sample that a screened term or pair occurs in, at least.
+SUPPORT = 3
 FACTORS = 4
 #: First bytes of a word that make terms of their own.
 PREFIXES = (4, 6, 8)
@@ -63,6 +72,51 @@ def _term_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(sets, pa.binary())], names=["label", "terms"])
 
 
+def _near_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(pair, a, b): documents of class 1 and 0 that hold both words less than ``NEAR`` words apart; a pair is two terms, the smaller first."""
+    for batch in batches:
+        data, offsets = tn.texts_of(batch.column("text"))
+        label = batch.column("label").to_numpy()
+        for lo, hi in tn.chunks(offsets, rows=1 << 12):
+            h, _, bounds = tn.words(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
+            term = (h & np.uint64(DIMENSIONS - 1)).astype(np.int64)
+            row = np.repeat(np.arange(hi - lo), np.diff(bounds))
+            found = []
+            for k in range(1, NEAR):
+                x, y = term[:-k], term[k:]
+                use = (row[:-k] == row[k:]) & (x != y)
+                found.append((row[:-k][use] << 36) | (np.minimum(x, y)[use] << 18) | np.maximum(x, y)[use])
+            once = np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
+            toxic = label[lo:hi][once >> 36] == 1
+            pair, at = np.unique(once & ((1 << 36) - 1), return_inverse=True)
+            if len(pair):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(pair), *[pa.array(np.bincount(at, weights=w, minlength=len(pair)).astype(np.int64)) for w in (toxic, ~toxic)]],
+                    names=["pair", "a", "b"])
+
+
+def unevenness(a, b, pos: int, neg: int):
+    """Log odds of occurring in class 1 against class 0 over their standard error; zero below ``SUPPORT`` documents."""
+    pa_, pb = (a + 0.5) / (pos + 1), (b + 0.5) / (neg + 1)
+    z = (np.log(pa_ / (1 - pa_)) - np.log(pb / (1 - pb))) / np.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))
+    return np.where(a + b < SUPPORT, 0, z)
+
+
+def pair_terms(sample: DataFrame, z: np.ndarray, pos: int, neg: int) -> np.ndarray:
+    """Terms of the ``KEPT_PAIRS`` most uneven pairs that tell more than either word alone; only those pairs reach the driver."""
+    counts = sample.mapInArrow(_near_pairs, "pair long, a long, b long").groupBy("pair").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    odds = lambda c, n: F.log((F.col(c) + 0.5) / (n + 0.5 - F.col(c)))
+    uneven = F.abs(odds("a", pos) - odds("b", neg)) / F.sqrt(1 / (F.col("a") + 0.5) + 1 / (F.col("b") + 0.5))
+    pairs = counts.where(F.col("a") + F.col("b") >= SUPPORT).select("pair", uneven.alias("z"))
+    known = np.flatnonzero(z)
+    single = sample.sparkSession.createDataFrame(pd.DataFrame({"term": known, "own": np.abs(z[known])}), "term long, own double")  # DIMENSIONS rows at most
+    for side, name in ((F.shiftright("pair", 18), "first"), (F.col("pair").bitwiseAND(F.lit(DIMENSIONS - 1)), "second")):
+        pairs = pairs.withColumn(name, side).join(F.broadcast(single.withColumnsRenamed({"term": name, "own": f"own_{name}"})), name, "left")
+    alone = F.greatest(F.coalesce("own_first", F.lit(0.0)), F.coalesce("own_second", F.lit(0.0)))
+    top = pairs.where(F.col("z") > alone + 1).orderBy(F.desc("z"), "pair").limit(KEPT_PAIRS).select("first", "second").collect()
+    return np.unique(np.array([t for r in top for t in r], np.int64))
+
+
 def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
     """(label, text) of at most ``max_rows`` labelled documents a class; their ids are the only thing broadcast."""
     lab = labels.where("doc_id is not null and label is not null").groupBy("doc_id").agg(F.max("label").alias("label"))
@@ -76,7 +130,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS)
 def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> dict:
     """The model as plain arrays: kept terms, weights, factors, bias. ``docs``: doc_id, text; ``labels``: doc_id, label (0/1)."""
     counts = {r["label"]: r["n"] for r in labels.where("label is not null").groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    rows = training_rows(docs, labels, max_rows).mapInArrow(_term_sets, "label int, terms binary").collect()
+    sample = written(training_rows(docs, labels, max_rows), "toxic-sample")
+    rows = sample.mapInArrow(_term_sets, "label int, terms binary").collect()
     rows.sort(key=lambda r: (r["label"], r["terms"]))  # the same order on every run
     y = np.array([r["label"] for r in rows], np.float64)
     total = max(1, sum(counts.values()))
@@ -89,11 +144,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> dict:
     pos, neg = (y == 1).sum(), (y == 0).sum()
     a = np.bincount(flat[y[at] == 1], minlength=DIMENSIONS)
     b = np.bincount(flat[y[at] == 0], minlength=DIMENSIONS)
-    pa_, pb = (a + 0.5) / (pos + 1), (b + 0.5) / (neg + 1)
-    # log odds over its standard error; only terms of three documents or more
-    z = (np.log(pa_ / (1 - pa_)) - np.log(pb / (1 - pb))) / np.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))
-    z[(a + b) < 3] = 0
-    kept = np.sort(np.argsort(-np.abs(z), kind="stable")[:KEPT_TERMS])
+    z = unevenness(a, b, pos, neg)
+    kept = np.union1d(np.argsort(-np.abs(z), kind="stable")[:KEPT_TERMS], pair_terms(sample, z, int(pos), int(neg)))
     slot = np.full(DIMENSIONS, -1)
     slot[kept] = np.arange(len(kept))
     use = slot[flat] >= 0
@@ -139,8 +191,9 @@ def _score(model: dict):
             for lo, hi in tn.chunks(offsets):
                 term, row = terms(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
                 s = slot[term]
-                pairs = np.unique(row[s >= 0] * KEPT_TERMS + s[s >= 0])
-                out[lo:hi] = scores(pairs // KEPT_TERMS, pairs % KEPT_TERMS, hi - lo, model["w"], model["v"], model["b"])[0]
+                n = max(1, len(model["terms"]))
+                pairs = np.unique(row[s >= 0] * n + s[s >= 0])
+                out[lo:hi] = scores(pairs // n, pairs % n, hi - lo, model["w"], model["v"], model["b"])[0]
             p = 1 / (1 + np.exp(-np.clip(out, -40, 40)))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(p)], names=["doc_id", "score"])
     return run
