@@ -4,12 +4,12 @@ Every whole text is measured in the scan by built-in expressions, no shuffle.
 Each rule rejects where a measure lies above a cutoff. Cutoffs are not fixed:
 for every stratum, rule and grid value the labelled rows give how many good
 documents the cutoff would wrongly reject, and the exact binomial tail
-``P(Bin(n, risk) <= k)`` is the p-value of "this cutoff's false-rejection rate
-exceeds ``risk``". The lowest cutoff whose p-value passes after a Bonferroni
+``P(Bin(n, share) <= k)`` is the p-value of "this cutoff's false-rejection rate
+exceeds its share", an equal part of ``risk`` for every rule. The lowest cutoff whose p-value passes after a Bonferroni
 correction over all strata, rules and grid values is selected; a stratum with
 too few labelled rows gets no cutoff for that rule and rejects nothing by it.
 With probability ``1 - delta`` every stratum's false rejections stay below
-``risk`` per rule. Only (stratum, rule, cutoff) counts leave the scan.
+``risk``, all rules together. Only (stratum, rule, cutoff) counts leave the scan.
 """
 
 from __future__ import annotations
@@ -29,8 +29,8 @@ RULES = {
     "repeat_share": [0.04, 0.06, 0.08, 0.1, 0.12, 0.15, 0.2, 0.25, 0.3, 0.4],
     "dup_lines_per_word": [0.002, 0.004, 0.006, 0.01, 0.015, 0.02, 0.03, 0.04, 0.05, 0.08],
 }
-#: False rejections allowed among good documents, per rule and stratum.
-RISK = 0.01
+#: False rejections allowed among the good documents of a stratum, by all rules together.
+RISK = 0.03
 #: Chance that any selected cutoff breaks its bound.
 DELTA = 0.05
 MIN_WORDS = 50
@@ -151,9 +151,11 @@ def cutoffs(labelled: DataFrame, rules: dict[str, list[float]] = RULES, risk: fl
 
     ``labelled`` has ``stratum``, a column per rule and ``good_col`` (1 for a
     good document; rows with 0 or null are no evidence about false rejections).
-    One aggregate over the labelled rows, partial in the map tasks; its result
-    has strata x rules x grid rows.
+    Every rule takes an equal share of ``risk``, so the rules together reject at
+    most ``risk`` of a stratum's good documents. One aggregate over the labelled
+    rows, partial in the map tasks; its result has strata x rules x grid rows.
     """
+    risk = risk / len(rules)
     good = labelled.where(F.col(good_col) == 1)
     grid = [(r, c) for r in rules for c in rules[r]]
     counts = good.groupBy("stratum").agg(
@@ -231,6 +233,7 @@ def _sql() -> str:
     import math
 
     grid = ", ".join(f"('{r}', {c}::DOUBLE)" for r in RULES for c in RULES[r])
+    share = RISK / len(RULES)
     n_grid = sum(map(len, RULES.values()))
     pick = "CASE g.rule " + " ".join(f"WHEN '{r}' THEN {r}" for r in RULES) + " END"
     above = " OR ".join(f"coalesce({r} > max(cutoff) FILTER (WHERE rule = '{r}'), false)" for r in RULES)
@@ -261,8 +264,8 @@ counts AS (
          (SELECT count(DISTINCT stratum) FROM good) AS strata
   FROM good, (VALUES {grid}) g(rule, cutoff) GROUP BY ALL),
 tested AS (
-  SELECT *, CASE WHEN k > n * {RISK} THEN 1.0 ELSE (SELECT least(1.0, sum(exp(
-      lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * {math.log(RISK)!r} + (n - i) * {math.log1p(-RISK)!r})))
+  SELECT *, CASE WHEN k > n * {share} THEN 1.0 ELSE (SELECT least(1.0, sum(exp(
+      lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * {math.log(share)!r} + (n - i) * {math.log1p(-share)!r})))
       FROM (SELECT unnest(range(0, k + 1)) AS i)) END AS p FROM counts),
 chosen AS (SELECT stratum, rule, min(cutoff) AS cutoff FROM tested WHERE p <= {DELTA} / (strata * {n_grid}) GROUP BY ALL)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT ({above}) AS kept

@@ -196,3 +196,14 @@ def test_a_node_of_huge_counts_is_split_exactly(counts):
     assert (abs(left - counts / 3) <= 1).all() and abs(left.sum() - counts.sum() / 3) <= 1
     again = mixing.split_node(counts, 1, 2, "r", 20)
     assert (again[0] == left).all()
+
+
+def test_rules_share_the_risk(spark):
+    """A cutoff passes by its own share: with three rules a third of the risk, alone all of it."""
+    rows = [("s", 0.5 if i < 8 else 0.0, 0.0, 0.0, 1) for i in range(1000)]  # eight good documents of a thousand lie above every cutoff
+    df = spark.createDataFrame(rows, "stratum string, " + ", ".join(f"{r} double" for r in quality_rules.RULES) + ", good int")
+    first = next(iter(quality_rules.RULES))
+    alone = quality_rules.cutoffs(df, {first: [0.4]}, risk=0.03)
+    shared = quality_rules.cutoffs(df, {r: [0.4] for r in quality_rules.RULES}, risk=0.03)
+    assert [r["rule"] for r in alone.collect()] == [first]
+    assert first not in {r["rule"] for r in shared.collect()} and shared.count() == 2
