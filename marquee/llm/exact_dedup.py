@@ -56,7 +56,7 @@ def exact_dedup(
     ``doc_id`` with the same text are all marked kept, because an identical row
     cannot be told from its copy (``keep_first`` keeps all of those); an empty input gives an empty result; other columns are ignored.
     """
-    rows = digests(docs, id_col, text_col)
+    rows = written(digests(docs, id_col, text_col), "digests")  # texts are hashed once
     heavy = heavy_winners(rows, heavy_items)
     known = rows.join(F.broadcast(heavy), "text_sha256", "left")
     resolved = known.where(F.col("group_size").isNotNull())
