@@ -322,7 +322,13 @@ def links(classes: DataFrame, pivots: int = PIVOTS) -> DataFrame:
     late = written(verified(_by_triangle(rest, compared), classes).where("link"), "late-links")
     if late.limit(1).count() == 0:
         return first
-    return components(compared.where("link").select("a", "b").unionByName(late.select("a", "b")))
+    # the late links join whole components: only these are followed further
+    ends = late.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    known = written(first.unionByName(ends.join(first, "node", "left_anti").select("node", F.col("node").alias("comp"))), "first-labels")
+    at = lambda side: known.select(F.col("node").alias(side), F.col("comp").alias(f"comp_{side}"))
+    joined = components(late.select("a", "b").join(at("a"), "a").join(at("b"), "b").select(F.col("comp_a").alias("a"), F.col("comp_b").alias("b")))
+    return known.join(joined.select(F.col("node").alias("comp"), F.col("comp").alias("_whole")), "comp", "left").select(
+        "node", F.coalesce("_whole", "comp").alias("comp"))
 
 
 def _by_triangle(rest: DataFrame, compared: DataFrame) -> DataFrame:
