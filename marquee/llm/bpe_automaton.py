@@ -37,8 +37,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from marquee.llm.scratch import documents, id_and_text
 
-#: Runs without white space that a worker remembers (about 250 bytes each); others are encoded anew each time.
-MEMO_WORDS = 600_000
+#: Memory that a worker's remembered runs may take, about, and the longest run that is remembered (characters).
+MEMO_BYTES = 100 << 20
+MEMO_RUN = 256
 _NOTHING = hashlib.sha256(b"").hexdigest()
 _CONTROLS = regex.compile("[\x1c-\x1f]")
 _RUN = regex.compile(r"\S+")
@@ -171,6 +172,7 @@ class WordTokenizer:
         self.special_split = regex.compile("|".join(map(regex.escape, self.special))) if self.special else None
         self.label_id = [self.vocab.get(x) for x in self.automaton.labels]
         self.memo: dict[str, tuple[int, bytes, str]] = {}
+        self.memo_left = MEMO_BYTES
         self.symbol_of = [self.bytes[b] for b in range(256)]
 
     def word(self, word: str) -> tuple[int, bytes, str]:
@@ -188,8 +190,9 @@ class WordTokenizer:
             parts = [self.word(w) for w in self.split.findall(self.normalise(chunk))]
             found = parts[0] if len(parts) == 1 else (
                 sum(p[0] for p in parts), b"".join(p[1] for p in parts), " ".join(p[2] for p in parts))
-            if len(self.memo) < MEMO_WORDS:
+            if self.memo_left > 0 and len(chunk) <= MEMO_RUN:
                 self.memo[chunk] = found
+                self.memo_left -= 300 + 8 * len(chunk)  # the entry's objects and its texts
         return found
 
     def normalise(self, text: str) -> str:
