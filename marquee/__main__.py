@@ -17,10 +17,13 @@ import json
 
 from pyspark.sql import SparkSession
 
+from marquee import schema as S
 from marquee.operators import profile
+from marquee.operators.cleaning import clean, outlier_counts
 from marquee.plans import analyses, jobs
 from marquee.plans.ingest import read_clean_zone
 from marquee.session import ADAPTIVE_CONF, local_session
+from marquee.sources.files import require_path
 from marquee.streaming.csv_stream import ingest_csv_stream
 
 
@@ -58,10 +61,12 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--raw", required=True)
     p.add_argument("--filtered", required=True)
     p.add_argument("--outlier-mode", default="row", choices=["row", "key"])
+    p.add_argument("--loads", nargs="*", help="only the months that these logged loads touched")
     p = sub.add_parser("report", help="write the analyses of the filtered zone as parquet tables")
     p.add_argument("--filtered", required=True)
     p.add_argument("--out", required=True)
     p.add_argument("--months", nargs="*", help="only these two-digit month partitions")
+    p.add_argument("--raw", default=None, help="raw zone: adds the outlier counts and the quality of every column by stage")
     a = ap.parse_args(argv)
 
     spark = _session(a.local)
@@ -73,7 +78,7 @@ def main(argv: list[str] | None = None) -> None:
             spark, a.source, a.raw, a.checkpoint, a.state or f"{a.checkpoint.rstrip('/')}-loads", rejects_path=a.rejects,
             multi_line=not a.single_line, glob=a.glob, max_files_per_trigger=a.max_files_per_trigger)))
     elif a.cmd == "transform":
-        jobs.transform_data(spark, a.raw, a.filtered, outlier_mode=a.outlier_mode)
+        jobs.transform_data(spark, a.raw, a.filtered, outlier_mode=a.outlier_mode, load_ids=a.loads)
     elif a.cmd == "report":
         cleaned = read_clean_zone(spark, a.filtered, months=a.months or None)
         outputs = {
@@ -83,8 +88,14 @@ def main(argv: list[str] | None = None) -> None:
             "cumulative_budget": analyses.cumulative_money(cleaned, "budget"),
             "cumulative_revenue": analyses.cumulative_money(cleaned, "revenue"),
             "releases_per_year": analyses.releases_per_year(cleaned),
+            **analyses.listings(cleaned),
             "quality": profile.column_report(cleaned, ["status", "genres", "production_companies"]),
         }
+        if a.raw:
+            require_path(spark, a.raw)
+            raw = spark.read.schema(S.raw_typed_schema()).parquet(a.raw)
+            outputs["outlier_counts"] = outlier_counts(clean(raw, outlier_mode="none"))
+            outputs["quality_by_stage"] = analyses.quality_report(raw)
         for name, df in outputs.items():
             df.write.mode("overwrite").parquet(f"{a.out.rstrip('/')}/{name}")
 

@@ -55,7 +55,3 @@ def from_cents(c: str | Column, precision: int = 18) -> Column:
     """Whole cents back to ``decimal(precision, 2)`` (exact division)."""
     return (_c(c).cast(f"decimal({precision},0)") / F.lit(100)).cast(f"decimal({precision},2)")
 
-
-def money_to_double(c: str | Column) -> Column:
-    """Exact decimal result presented as double."""
-    return _c(c).cast("double")

@@ -12,11 +12,6 @@ def _c(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def strip_chars(c: str | Column, pattern: str) -> Column:
-    """Remove every match of ``pattern`` (any Java regex); NULL stays NULL."""
-    return F.regexp_replace(_c(c), pattern, "")
-
-
 def keep_chars(c: str | Column, kept: str) -> Column:
     """Keep only the characters of the class ``[kept]``; NULL stays NULL.
 

@@ -34,11 +34,6 @@ def add_calendar(df: DataFrame, date_col: str = "release_date") -> DataFrame:
     return df.withColumns({"year": F.year(date_col), "month": F.month(date_col)})
 
 
-def format_partitions(df: DataFrame) -> DataFrame:
-    """``year`` as text and ``month`` as two-digit text, NULL-safe."""
-    return df.withColumns({"year": F.col("year").cast("string"), "month": pad_month("month")})
-
-
 # ---------------------------------------------------------------- C1-C3
 
 
@@ -61,18 +56,6 @@ def fill_defaults(df: DataFrame, defaults: Mapping[str, object] = S.FILL_DEFAULT
     return df.fillna(present) if present else df
 
 
-# ---------------------------------------------------------------- S1-S5
-
-
-def normalise_text(df: DataFrame, status_allow: list[str] = S.STATUS_ALLOW) -> DataFrame:
-    """Strip genre and company text, normalise status, lower-case and trim companies."""
-    return df.withColumns({
-        "genres": strip_genre_text("genres"),
-        "production_companies": F.trim(F.lower(strip_company_text("production_companies"))),
-        "status": normalise_category("status", status_allow),
-    })
-
-
 # ---------------------------------------------------------------- C6, E2, E3, F12
 
 
@@ -154,9 +137,8 @@ def outlier_counts(df: DataFrame, rules: Mapping[str, Column] | None = None) ->
 def cleaned_columns(df: DataFrame, status_allow: list[str] = S.STATUS_ALLOW) -> dict[str, Column]:
     """The 13 cleaned columns as expressions over one typed raw row.
 
-    Equal, column by column, to ``format_partitions`` → ``normalise_text`` →
-    ``fill_defaults`` applied in sequence; as plain expressions they can be
-    evaluated next to the raw columns in one projection (see ``profile_cleaning``).
+    Plain expressions, so that they can be evaluated next to the raw columns in
+    one projection (as ``analyses.quality_report`` does).
     """
     text = clean_values(status_allow)
     has_calendar = "year" in df.columns and "month" in df.columns

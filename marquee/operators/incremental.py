@@ -6,12 +6,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def dedupe_on_key(df: DataFrame, key: str) -> DataFrame:
+def dedupe_on_key(df: DataFrame, key: str, written: bool = False) -> DataFrame:
     """One row per key, chosen deterministically (the greatest row), so a retried task picks the same row.
 
     An aggregate rather than a window: a key repeated across a third of the
-    batch is reduced map-side instead of landing whole in one task.
+    batch is reduced map-side instead of landing whole in one task. Where ``df``
+    is a ``written`` table the keys are counted first, from their column alone, and
+    only rows of repeated keys pass the aggregate over whole rows; NULL keys go.
     """
+    if written:
+        repeated = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(key)
+        once = df.where(F.col(key).isNotNull()).join(repeated, key, "left_anti")
+        return once.unionByName(dedupe_on_key(df.join(repeated, key, "left_semi"), key)).select(*df.columns)
     others = [c for c in df.columns if c != key]
     if not others:
         return df.select(key).distinct()
@@ -25,6 +31,7 @@ def new_rows(
     key: str = "id",
     dedupe: bool = True,
     key_range: tuple | None = None,
+    written: bool = False,
 ) -> DataFrame:
     """Rows of ``batch`` whose key is not yet in ``existing`` (left anti equi-join).
 
@@ -35,10 +42,11 @@ def new_rows(
     that range; the filter reaches the Parquet scan, and over key-sorted files
     (``write_partitioned(sort_key=...)``) it skips every row group outside it.
     Keys outside the batch's range cannot match, so the result is unchanged.
+    ``written``: the batch is a written table (see ``dedupe_on_key``).
     """
     b = batch.filter(F.col(key).isNotNull())
     if dedupe:
-        b = dedupe_on_key(b, key)
+        b = dedupe_on_key(b, key, written)
     keys = existing.select(key).where(F.col(key).isNotNull())
     if key_range is not None:
         lo, hi = key_range

@@ -66,6 +66,22 @@ def releases_per_year(cleaned: DataFrame) -> DataFrame:
     return cleaned.groupBy("year").agg(F.count(F.lit(1)).alias("releases"))
 
 
+def listings(cleaned: DataFrame, allowed: list[str] = S.GENRE_ALLOW, deny: list[str] = S.COMPANY_DENY) -> dict[str, DataFrame]:
+    """The remaining tables of the exploratory report over a cleaned zone, each in its order (H1, H2)."""
+    genre_rows, companies = tokens.genre_rows(cleaned, allowed), tokens.company_rows(cleaned, deny)
+    growth_rows = company_debut_growth(cleaned, deny)
+    return {
+        "genre_zero_money": metrics.count_both_zero(genre_rows, "budget", "revenue"),
+        "budget_by_year_genre": genre_rows.groupBy("year", "genres").agg(F.sum("budget").alias("total_budget")),
+        "company_frequency": metrics.frequency(companies, "pc").orderBy(F.desc("count"), "pc"),
+        "company_string_debut": entity_debut_counts(cleaned).orderBy(F.desc("pc_count_by_year"), "year"),
+        "company_growth_largest_total_first": growth_rows.orderBy(F.desc("pc_yoy_growth_count"), F.desc("year")),
+        "company_growth_smallest_total_first": growth_rows.orderBy("pc_yoy_growth_count", "year"),
+        "cumulative_budget_latest_first": cumulative_money(cleaned, "budget").orderBy(F.desc("year")),
+        "cumulative_revenue_latest_first": cumulative_money(cleaned, "revenue").orderBy(F.desc("year")),
+    }
+
+
 def quality_report(
     raw: DataFrame,
     status_allow: list[str] = S.STATUS_ALLOW,

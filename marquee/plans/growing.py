@@ -11,14 +11,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marquee import schema as S
+from marquee.functions.stats import to_cents
 from marquee.operators import debut_state, growth, profile, rollups, tokens
 from marquee.operators.cleaning import add_calendar, parse_columns
 from marquee.plans import catalogue as cat
-from marquee.plans.ingest import clean_loads, clean_zone, ingest, read_clean_zone
+from marquee.plans.ingest import clean_loads, clean_zone, ingest, read_clean_zone, staged
 from marquee.plans.jobs import CORRUPT
 from marquee.plans.queries import DISTINCT_COLS, register
 from marquee.session import scratch_path
-from marquee.sources import bucketed, files, sinks
+from marquee.sources import bucketed, catalog, files, sinks
 from marquee.sources import tpch_catalogue as tc
 from marquee.sources.load_log import COUNTS, LOAD_ID, LoadLog
 from marquee.sources.tables import table
@@ -179,3 +180,42 @@ def genre_state(spark, sf_dir):
     text = {k: T.StringType() for k in ("year", "month", "genres")}
     stored = spark.read.schema(rollups.moment_schema(text, S.MONEY)).parquet(path)
     return rollups.merged_moments(stored, ["year", "genres"])
+
+
+@register("partition_refresh")
+def partition_refresh(spark, sf_dir):
+    """An external table of which a second load's partitions alone are registered anew: its rows by month next to the
+    catalogue's own counts, -1 where it holds none (A7)."""
+    zone = cat.cleaned(spark, sf_dir, with_tokens=False)
+    path = scratch_path(spark, "registered")
+    name = "catalogue_parts_" + path.rsplit("-", 1)[-1]
+    first, second = zone.where("month not in ('04', '07') and id % 2 = 0"), zone.where("month in ('04', '07', '12')")
+    sinks.write_partitioned(first, path, "month", mode="overwrite")
+    catalog.create_external_table(spark, name, path)
+    try:
+        sinks.write_partitioned(second, path, "month", mode="dynamic")
+        catalog.refresh_partitions(spark, name, "month", ["04", "07", "12"])
+        counted = spark.table(name).groupBy("month").agg(F.count(F.lit(1)).alias("titles"), F.sum("revenue").cast("double").alias("total_revenue")).collect()
+        told = {r["month"]: -1 if r["rows"] is None else r["rows"] for r in catalog.partition_rows(spark, name, "month").collect()}
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+    return spark.createDataFrame([(r["month"], r["titles"], r["total_revenue"], told[r["month"]]) for r in counted],
+                                 "month string, titles long, total_revenue double, catalogue_rows long")
+
+
+@register("event_cumulative")
+def event_cumulative(spark, sf_dir):
+    """Running number and value of events in time order, to the event: a two-level prefix sum."""
+    path = scratch_path(spark, "event-cents")
+    table(spark, sf_dir, "events").select("event_id", "ts", to_cents("value").alias("cents"), F.lit(1).cast("long").alias("one")).write.parquet(path)
+    rows = spark.read.parquet(path)
+    both = growth.prefix_sums(rows, "ts", {"events_so_far": "one", "cents_so_far": "cents"}, ties=("event_id",), ranges=32)
+    return both.select("event_id", "events_so_far", "cents_so_far")
+
+
+@register("daily_cumulative")
+def daily_cumulative(spark, sf_dir):
+    """Revenue per release day and over all earlier days: a two-level prefix sum."""
+    days = cat.cleaned(spark, sf_dir, with_tokens=False).groupBy("release_date").agg(F.sum("revenue").cast("decimal(28,2)").alias("daily_revenue"))
+    out = growth.prefix_sums(staged(days, "daily"), "release_date", {"earlier_revenue": "daily_revenue"}, ranges=16, inclusive=False)
+    return out.select("release_date", "daily_revenue", "earlier_revenue")

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from marquee import schema as S
 from marquee.operators.cleaning import add_calendar, clean, parse_columns
 from marquee.operators.incremental import batch_counts, new_rows, null_key_rows
+from marquee.session import scratch_path
 from marquee.sources.files import path_exists, read_parquet_or_empty, require_path
 from marquee.sources.load_log import BEGUN, LOAD_ID, LoadLog
 from marquee.sources.sinks import write_partitioned
@@ -23,6 +24,14 @@ def prepare_batch(text_df: DataFrame, types: Mapping[str, T.DataType] = S.RAW_TY
     return add_calendar(parse_columns(text_df, types))
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared scratch folder and read back: for rows that several passes need and that are
+    costly to make (a CSV to parse, a join). Later passes read only their columns."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def ingest(
     spark: SparkSession,
     batch: DataFrame,
@@ -34,6 +43,7 @@ def ingest(
     rejects_path: str | None = None,
     log: LoadLog | None = None,
     load_id: str | None = None,
+    batch_is_written: bool = False,
 ) -> dict:
     """Append the batch's unseen keys to the raw zone, partitioned by ``partition_col`` (L2).
 
@@ -54,7 +64,9 @@ def ingest(
     that cover a part of the sink's keys, ``prune_by_key_range`` limits the sink
     read to the batch's key range (files are written sorted by key, so the
     anti-join reads the row groups that can match); switch it off where every
-    delivery is the whole catalogue, whose range prunes nothing.
+    delivery is the whole catalogue, whose range prunes nothing. Where the batch is
+    a written table (``staged``), say so: its repeated keys are then found from the
+    key column, and only their rows are compared.
     """
     if (log is None) != (load_id is None):
         raise ValueError("log and load_id go together")
@@ -77,7 +89,8 @@ def ingest(
     published = 0
     if replay and sink_exists and bounds[0] is not None:
         published = existing.where((F.col(LOAD_ID) == load_id) & F.col(key).between(F.lit(bounds[0]), F.lit(bounds[1]))).count()
-    new = new_rows(batch, existing, key, key_range=bounds if prune_by_key_range and sink_exists else None)
+    new = new_rows(batch, existing, key, key_range=bounds if prune_by_key_range and sink_exists else None,
+                   written=batch_is_written)
     new = new.select(*sink_schema.fieldNames())
     obs = Observation(f"ingest-{uuid.uuid4().hex[:12]}")
     write_partitioned(new.observe(obs, F.count(F.lit(1)).alias("new_rows")), sink_path, partition_col, mode="append", sort_key=key)

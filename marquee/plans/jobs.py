@@ -18,7 +18,7 @@ from marquee import schema as S
 from marquee.operators import metrics, tokens
 from marquee.operators.cleaning import outlier_counts, remove_outliers
 from marquee.plans import analyses
-from marquee.plans.ingest import clean_zone, ingest, prepare_batch
+from marquee.plans.ingest import clean_loads, clean_zone, ingest, prepare_batch, staged
 from marquee.sources import files, load_log
 
 
@@ -58,17 +58,29 @@ def load_csv_files(
     text = files.read_csv_files(spark, paths, schema, corrupt_column=CORRUPT, multi_line=multi_line)
     # a line that does not fit keeps its text and loses its key, so it is counted and written as a reject
     text = text.withColumn(key, F.when(F.col(CORRUPT).isNull(), F.col(key)))
-    batch = prepare(text, types)
+    batch = staged(prepare(text, types), "csv-batch")  # the files are parsed once; counts, rejects and rows are of the same reading
     known = [c for c in batch.columns if c != CORRUPT]
     named = [c for c in columns.fieldNames()]
     ordered = [*named, *[c for c in known if c not in named]]  # columns that the schema does not name follow
     sink_schema = T.StructType([T.StructField(c, batch.schema[c].dataType, True) for c in ordered])
     log = load_log.LoadLog(spark, state_path) if state_path is not None else None
-    return ingest(spark, batch, raw_output_path, sink_schema, key, partition_col, rejects_path=rejects_path, log=log, load_id=load_id)
+    return ingest(spark, batch, raw_output_path, sink_schema, key, partition_col, rejects_path=rejects_path, log=log, load_id=load_id,
+                  batch_is_written=True)
 
 
-def transform_data(spark: SparkSession, source_path: str, output_path: str, outlier_mode: str = "row") -> None:
-    """Clean the raw zone into the filtered zone, partitioned by month, overwritten (L3)."""
+def transform_data(
+    spark: SparkSession, source_path: str, output_path: str, outlier_mode: str = "row", load_ids: list[str] | None = None
+) -> None:
+    """Clean the raw zone into the filtered zone, partitioned by month, overwritten (L3).
+
+    With ``load_ids`` only the months that these logged loads touched are cleaned
+    and overwritten (row mode, see ``plans.ingest.clean_loads``).
+    """
+    if load_ids is not None:
+        if outlier_mode != "row":
+            raise ValueError("a row's cleaning depends on other rows in key mode: clean the whole zone")
+        clean_loads(spark, source_path, S.raw_typed_schema(), output_path, load_ids)
+        return
     clean_zone(spark, source_path, S.raw_typed_schema(), output_path, outlier_mode=outlier_mode)
 
 

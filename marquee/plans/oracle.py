@@ -363,3 +363,11 @@ SQL["genre_state"] = SQL["genre_year"]
 SQL["sketch_profile"] = w(ORACLE_CTE, " UNION ALL ".join(
     f"""SELECT '{c}' AS column_name, count(*) AS rows, count(*) FILTER (WHERE {c} IS NULL) AS nulls,
        count(DISTINCT {c}) + max(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS exact_values, true AS within_error FROM cat""" for c in DISTINCT_COLS))
+SQL["partition_refresh"] = w(CLEAN_CTE, """SELECT month, count(*) AS titles, CAST(sum(revenue) AS DOUBLE) AS total_revenue,
+       CASE WHEN month IN ('04', '07', '12') THEN count(*) ELSE -1 END AS catalogue_rows
+FROM cleaned WHERE month IN ('04', '07', '12') OR id % 2 = 0 GROUP BY month""")
+SQL["event_cumulative"] = """SELECT event_id, count(*) OVER o AS events_so_far, CAST(sum(CAST(round(value * 100) AS BIGINT)) OVER o AS BIGINT) AS cents_so_far
+FROM events WINDOW o AS (ORDER BY ts NULLS FIRST, event_id ROWS UNBOUNDED PRECEDING)"""
+SQL["daily_cumulative"] = w(CLEAN_CTE, """SELECT CAST(release_date AS VARCHAR) AS release_date, CAST(r AS DOUBLE) AS daily_revenue,
+       CAST(sum(r) OVER (ORDER BY release_date ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS DOUBLE) AS earlier_revenue
+FROM (SELECT release_date, sum(revenue) AS r FROM cleaned GROUP BY release_date)""")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -14,10 +16,12 @@ def _ddl_columns(schema: T.StructType) -> str:
 
 def create_external_table(
     spark: SparkSession, name: str, location: str, schema: T.StructType = S.CLEAN_SCHEMA, partition_col: str = "month",
-    replace: bool = False,
+    replace: bool = False, partitions: list[str] | None = None,
 ) -> DataFrame:
     """Register a Parquet folder partitioned by ``partition_col`` as a table and recover its partitions.
 
+    ``partitions`` names those to register, without listing the folder; by default all are found.
+
     The table is external (``LOCATION``): dropping it leaves the data. A table of
     that name is only replaced on request, and only if it is external. Partitions
     written by another job are only visible after ``MSCK REPAIR TABLE``.
@@ -33,10 +37,40 @@ def create_external_table(
         f"CREATE TABLE {name} ({_ddl_columns(schema)}) USING parquet "
         f"PARTITIONED BY (`{partition_col}`) LOCATION '{place}'"
     )
-    spark.sql(f"MSCK REPAIR TABLE {name}")
+    if partitions is None:
+        spark.sql(f"MSCK REPAIR TABLE {name}")
+    else:
+        refresh_partitions(spark, name, partition_col, partitions)
     return spark.table(name)
 
 
+def refresh_partitions(spark: SparkSession, name: str, partition_col: str, values: list[str]) -> None:
+    """Make the table see partitions that a load wrote, and only those (A7): new ones are added, rewritten ones read anew.
+
+    Each gets its own row count and size in the catalogue. Nothing is listed or
+    read of the other partitions, so the work is that of the load, however old the
+    table is (``MSCK REPAIR`` lists them all).
+    """
+    specs = [f"PARTITION (`{partition_col}` = '" + v.replace("\\", "\\\\").replace("'", "\\'") + "')" for v in values]
+    if specs:
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(specs)}")
+        spark.sql(f"REFRESH TABLE {name}")  # drops cached file names
+    for spec in specs:
+        spark.sql(f"ANALYZE TABLE {name} {spec} COMPUTE STATISTICS")
+
+
+def partition_rows(spark: SparkSession, name: str, partition_col: str) -> DataFrame:
+    """(partition value, rows, bytes) of every registered partition, from the catalogue's statistics; no data is read."""
+    found = []
+    for r in spark.sql(f"SHOW PARTITIONS {name}").collect():
+        value = unquote(r["partition"].split("=", 1)[1])  # told as in the folder's name
+        spec = f"PARTITION (`{partition_col}` = '" + value.replace("'", "\\'") + "')"
+        told = {x["col_name"]: x["data_type"] for x in spark.sql(f"DESCRIBE EXTENDED {name} {spec}").collect()}
+        sizes = dict(part.strip().split(" ")[::-1] for part in (told.get("Partition Statistics") or "").split(",") if part.strip())
+        found.append((value, int(sizes["rows"]) if "rows" in sizes else None, int(sizes["bytes"]) if "bytes" in sizes else None))
+    return spark.createDataFrame(found, f"`{partition_col}` string, rows long, bytes long")
+
+
 # Spark SQL of the three views. ``{src}`` is the table over the cleaned zone.
 # Tokens are normalised and filtered inside the array before ``explode`` (as in
 # ``operators.tokens``): a filter on the generated column cannot be pushed below

@@ -330,3 +330,96 @@ def test_dates_stay_dates_through_the_log(spark, scratch):
     sink = scratch("dates")
     ingest(spark, spark.createDataFrame([(1, dt.date(2020, 1, 2), 2020)], schema), sink, schema, log=LoadLog(spark, scratch("log")), load_id="1")
     assert spark.read.parquet(sink).first()["d"] == dt.date(2020, 1, 2)
+
+
+# -- two-level running sums, partitions of a table, report --------------------
+
+
+@pytest.mark.parametrize("ranges,inclusive", [(1, True), (7, True), (7, False), (500, False)])
+def test_prefix_sums_equal_the_window(spark, ranges, inclusive):
+    from pyspark.sql import Window as W
+
+    rng = random.Random(9)
+    rows = [(i, rng.choice([None, *range(12)]) if i % 3 else 5, rng.choice([None, *range(-4, 9)])) for i in range(200)]  # a hot order value
+    df = spark.createDataFrame(rows, "id int, o int, v int")
+    got = growth.prefix_sums(df, "o", {"s": "v", "n": "id"}, ties=("id",), ranges=ranges, inclusive=inclusive)
+    over = W.orderBy(F.col("o").asc_nulls_first(), "id").rowsBetween(W.unboundedPreceding, W.currentRow if inclusive else -1)
+    want = df.select("*", F.sum("v").over(over).alias("s"), F.sum("id").over(over).alias("n"))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert growth.prefix_sums(df.limit(0), "o", {"s": "v"}).count() == 0
+
+
+def test_prefix_sums_have_no_single_partition_over_the_rows(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    spark.range(0, 5000).select("id", (F.col("id") % 17).alias("v")).write.parquet(path)
+    out = growth.prefix_sums(spark.read.parquet(path), "id", {"s": "v"}, ranges=8)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    # the one window without a partition key stands over the sums of the ranges
+    assert plan.count("SinglePartition") == 1 and plan.index("SinglePartition") < plan.index("partial_sum(v")
+    assert out.agg(F.max("s")).first()[0] == sum(i % 17 for i in range(5000))
+    ts = spark.range(50).select(F.timestamp_seconds(F.col("id") * 3600).alias("ts"), F.lit(1).alias("v"))
+    assert growth.prefix_sums(ts, "ts", {"s": "v"}, ranges=5).agg(F.max("s")).first()[0] == 50
+
+
+def test_only_touched_partitions_are_registered(spark, scratch):
+    from marquee.sources import catalog
+
+    path, name = scratch("parts"), "partition_test_table"
+    schema = T.StructType([T.StructField("v", T.LongType()), T.StructField("month", T.StringType())])
+    write = lambda rows, mode: spark.createDataFrame(rows, schema).write.mode(mode).option(
+        "partitionOverwriteMode", "dynamic").partitionBy("month").parquet(path)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    write([(1, "01"), (2, "02")], "overwrite")
+    catalog.create_external_table(spark, name, path, schema, partitions=["01"])
+    try:
+        assert [r["v"] for r in spark.table(name).collect()] == [1]  # 02 is not registered yet
+        write([(3, "02"), (4, "02"), (5, "it's")], "overwrite")
+        catalog.refresh_partitions(spark, name, "month", ["02", "it's"])
+        assert sorted(r["v"] for r in spark.table(name).collect()) == [1, 3, 4, 5]
+        assert {r["month"]: r["rows"] for r in catalog.partition_rows(spark, name, "month").collect()} == {"01": 1, "02": 2, "it's": 1}
+        catalog.refresh_partitions(spark, name, "month", [])
+        one = spark.table(name).where("month = '02'")
+        size = one._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        whole = spark.table(name)._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        assert int(str(size)) < int(str(whole))  # a plan knows the size of the partition it reads
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+
+
+def test_report_tables(spark, tmp_path, monkeypatch):
+    from marquee import __main__ as cli
+
+    monkeypatch.setattr(cli, "_session", lambda is_local: spark)
+    names = [c.split()[0] for c in RAW_COLS.split(", ")]
+    batch = raw_batch(spark, range(1, 80))
+    for c in S.RAW_COLUMNS:
+        if c not in names:
+            batch = batch.withColumn(c, F.lit(None).cast(S.raw_typed_schema()[c].dataType))
+    ingest(spark, batch, str(tmp_path / "raw"), S.raw_typed_schema())
+    cli.main(["transform", "--raw", str(tmp_path / "raw"), "--filtered", str(tmp_path / "zone")])
+    before = folder_files(str(tmp_path / "zone"))
+    more = batch.where("id in (1, 5, 9)").withColumn("id", F.col("id") + 1000)
+    ingest(spark, more, str(tmp_path / "raw"), S.raw_typed_schema(), log=LoadLog(spark, str(tmp_path / "log")), load_id="more")
+    cli.main(["transform", "--raw", str(tmp_path / "raw"), "--filtered", str(tmp_path / "zone"), "--loads", "more"])
+    after = folder_files(str(tmp_path / "zone"))
+    assert {m for m in after if after[m] != before[m]} == {"month=02"}
+    with pytest.raises(ValueError):
+        jobs.transform_data(spark, str(tmp_path / "raw"), str(tmp_path / "zone"), "key", ["more"])
+    cli.main(["report", "--filtered", str(tmp_path / "zone"), "--out", str(tmp_path / "out"), "--raw", str(tmp_path / "raw")])
+    made = set(os.listdir(tmp_path / "out"))
+    assert {"genre_zero_money", "budget_by_year_genre", "company_frequency", "company_string_debut", "company_growth_largest_total_first",
+            "company_growth_smallest_total_first", "cumulative_budget_latest_first", "outlier_counts", "quality_by_stage"} <= made
+    counts = spark.read.parquet(str(tmp_path / "out" / "outlier_counts")).first()
+    assert counts["rows_in"] == counts["rows_kept"] + counts["runtime_outliers"] and counts["runtime_outliers"] > 0
+
+
+def test_a_written_batch_keeps_the_same_rows(spark, tmp_path):
+    rng = random.Random(11)
+    rows = [(rng.choice([None, 1, 1, 1, *range(2, 40)]), rng.choice(["a", "b", None]), rng.choice([1.5, None, 2.5])) for _ in range(300)]
+    path = str(tmp_path / "batch")
+    spark.createDataFrame(rows, "id long, v string, w double").write.parquet(path)
+    batch, sink = spark.read.parquet(path), spark.range(30, 60)
+    want = new_rows(batch, sink)
+    got = new_rows(batch, sink, written=True)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.count() == len({r[0] for r in rows if r[0] and r[0] < 30})
+    assert new_rows(batch.limit(0), sink, written=True).count() == 0
