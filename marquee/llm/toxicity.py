@@ -124,7 +124,9 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS)
     for c in (0, 1):
         one = lab.where(F.col("label") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
         sample = one if sample is None else sample.unionByName(one)
-    return docs.join(F.broadcast(sample), "doc_id").select(F.col("label").cast("int").alias("label"), "text")
+    rows = docs.join(F.broadcast(sample), "doc_id").select("doc_id", F.col("label").cast("int").alias("label"), "text")
+    # an id that many rows share is one row of the sample: its smallest text, found by partial aggregation
+    return rows.groupBy("doc_id").agg(F.min(F.struct("text", "label")).alias("r")).select("r.label", "r.text")
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> dict:
@@ -216,7 +218,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
     Edges: null and empty texts have no terms and score the bias; without labels
     of both classes every text scores the base rate; labels given twice count
-    once (the highest); ids may repeat; an empty table gives an empty result.
+    once (the highest); ids may repeat (of rows that share a labelled id one is
+    fitted); an empty table gives an empty result.
     """
     lab = labels.select(F.col(f"`{label_id}`").alias("doc_id"), F.col(f"`{label_col}`").alias("label"))
     model = fit(id_and_text(docs, id_col, text_col), lab.where(~held_out(F.col("doc_id"))), max_rows)

@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from marquee.llm import collocations, merkle, preference
+from marquee.llm import collocations, merkle, preference, toxicity
 from marquee.sources.tables import table
 
 SF = "/root/testdata/sf0.001"
@@ -278,3 +278,11 @@ def test_quality_scores_edges(spark):
     assert [r["score"] for r in one] == [1.0]
     assert preference.quality_scores(docs, labels.limit(0)).select("score").distinct().first()["score"] == 0.5
     assert preference.quality_scores(docs.limit(0), labels).count() == 0
+
+
+def test_a_labelled_id_of_very_many_rows_is_one_row_of_the_sample(spark):
+    docs = spark.createDataFrame([(1, f"text {i}") for i in range(500)] + [(2, "other"), (3, None)], "doc_id long, text string").fillna({"text": ""})
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, label int")
+    for module in (preference, toxicity):
+        got = sorted(map(tuple, module.training_rows(docs, labels).collect()))
+        assert got == [(0, ""), (0, "other"), (1, "text 0")]
