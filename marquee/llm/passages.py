@@ -7,8 +7,10 @@ whatever white space stands between them.
 Every window of ``WORDS`` words picks the ``GRAM`` words in it whose hash is lowest,
 so equal windows pick the same gram; about one gram in thirteen words is picked.
 Grams picked in one document only end here. A second scan looks up the others
-in a bitmap of bounded size and hands on the whole windows around them, whose
-hashes decide: a window counts if another document has it too.
+in a bitmap of bounded size and hands on the runs of windows that picked them. A
+run that two documents have is shared as a whole; only where a gram stands in
+different runs are single windows compared, one copy of each run. So the many
+copies of a text cost a row a run, not a row a word.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee.llm import textnum as tn
-from marquee.llm.bitmap import bitmap
+from marquee.llm.bitmap import bitmap, split
 from marquee.llm.ngram_join import GROUP_BYTES, GROUP_ROWS, _pieces
 from marquee.llm.scratch import written
 
@@ -42,8 +44,8 @@ def least(x: np.ndarray, width: int) -> np.ndarray:
 
 
 def picked(word: np.ndarray, bounds: np.ndarray, start: int, words: int, gram: int) -> tuple[np.ndarray, ...]:
-    """(window, its row, hash of the gram it picks, hash of the window) for windows from ``start`` on, ``_WINDOWS`` at most."""
-    none = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    """(window, its row, place and hash of the gram it picks, hash of the window) for windows from ``start`` on, ``_WINDOWS`` at most."""
+    none = *(np.zeros(0, np.int64) for _ in range(3)), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
     part = word[start : start + _WINDOWS + words - 1]
     n = len(part)
     if n < words:
@@ -58,7 +60,7 @@ def picked(word: np.ndarray, bounds: np.ndarray, start: int, words: int, gram: i
     window, row = window[inside], row[inside]
     place = np.arange(len(grams), dtype=np.uint64)
     chosen = (least((grams & ~_PLACE) | place, words - gram + 1)[window] & _PLACE).astype(np.int64)
-    return window + start, row, grams[chosen], tn.mix((p[window + words] - p[window]) * back[window])
+    return window + start, row, chosen, grams[chosen], tn.mix((p[window + words] - p[window]) * back[window])
 
 
 def _groups(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -75,15 +77,15 @@ def _grams(words: int, gram: int):
             k1 = batch.column("k1").to_numpy()
             for lo, word, bounds in _groups(batch):
                 for start in range(0, max(1, len(word)), _WINDOWS):
-                    _, row, g, _ = picked(word, bounds, start, words, gram)
+                    _, row, _, g, _ = picked(word, bounds, start, words, gram)
                     if len(g):
                         new = np.append(True, (g[1:] != g[:-1]) | (row[1:] != row[:-1]))
                         yield pa.RecordBatch.from_arrays([pa.array(g[new].view(np.int64)), pa.array(k1[lo + row[new]])], names=["gram", "k1"])
     return run
 
 
-def _windows(bits, n_bits: int, words: int, gram: int):
-    """(w, k1, k2, at) of the windows whose gram the bitmap may hold."""
+def _runs(bits, n_bits: int, words: int, gram: int):
+    """(gram, run, k1, k2, first, last, w) of the runs of windows whose gram the bitmap may hold; ``w`` are their windows' hashes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         have, mask = bits.value, np.uint64(n_bits - 1)
 
@@ -94,17 +96,29 @@ def _windows(bits, n_bits: int, words: int, gram: int):
             k1, k2 = batch.column("k1").to_numpy(), batch.column("k2").to_numpy()
             for lo, word, bounds in _groups(batch):
                 for start in range(0, max(1, len(word)), _WINDOWS):
-                    at, row, g, w = picked(word, bounds, start, words, gram)
+                    at, row, place, g, w = picked(word, bounds, start, words, gram)
                     hit = np.flatnonzero(held(g & mask))
                     hit = hit[held((g[hit] >> np.uint64(32)) & mask)]
-                    if len(hit):
-                        own = lo + row[hit]
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(w[hit].view(np.int64)), pa.array(k1[own]), pa.array(k2[own]), pa.array((at[hit] - bounds[row[hit]]).astype(np.int32))],
-                            names=["w", "k1", "k2", "at"])
+                    if not len(hit):
+                        continue
+                    at, row, place, g, w = at[hit], row[hit], place[hit], g[hit], w[hit]
+                    new = np.append(True, (place[1:] != place[:-1]) | (row[1:] != row[:-1]) | (at[1:] != at[:-1] + 1))
+                    begin = np.flatnonzero(new)
+                    end = np.append(begin[1:], len(at)) - 1
+                    # a run's hash is that of its first and last window and its length: both hold the gram, so they hold all its words
+                    name = tn.mix(w[begin] + tn.mix(w[end] + (end - begin).astype(np.uint64)))
+                    own, base = lo + row[begin], bounds[row[begin]]
+                    lists = pa.ListArray.from_arrays(pa.array(np.append(begin, len(at)).astype(np.int32)), pa.array(w.view(np.int64)))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(g[begin].view(np.int64)), pa.array(name.view(np.int64)), pa.array(k1[own]), pa.array(k2[own]),
+                         pa.array((at[begin] - base).astype(np.int32)), pa.array((at[end] - base).astype(np.int32)), lists],
+                        names=["gram", "run", "k1", "k2", "first", "last", "w"])
     return run
 
 
+_RUNS = "gram long, run long, k1 long, k2 long, first int, last int, w array<long>"
+
+
 def shared_passages(rows: DataFrame, words: int = WORDS, gram: int = GRAM) -> DataFrame:
     """(k1, k2, n_passage_words): words of a text that a window of ``words`` words covers which another text's row has too.
 
@@ -118,10 +132,24 @@ def shared_passages(rows: DataFrame, words: int = WORDS, gram: int = GRAM) -> Da
     kept, n_bits = bitmap(written(grams.select("gram"), "passage-grams"), "gram")
     values = kept.toArrow().column(0).combine_chunks().flatten().to_numpy().view(np.uint64)
     sent = spark.sparkContext.broadcast(values)  # of the bitmap's fixed size
-    seen = written(texts.mapInArrow(_windows(sent, n_bits, words, gram), "w long, k1 long, k2 long, at int"), "passage-windows")
-    shared = written(seen.groupBy("w").agg(apart).where("apart").select("w"), "passages")
-    at = F.sort_array(F.collect_set("at"))  # places in one text
-    start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("end"))
-    covered = F.aggregate(at, start, lambda s, a: F.struct(
-        (s["n"] + F.lit(words) - F.greatest(F.lit(0), s["end"] - a)).alias("n"), (a + F.lit(words)).alias("end")), lambda s: s["n"])
-    return seen.join(shared, "w").groupBy("k1", "k2").agg(covered.cast("long").alias("n_passage_words"))
+    seen = written(texts.mapInArrow(_runs(sent, n_bits, words, gram), _RUNS), "passage-runs")
+    # every run with the least and greatest of its documents, and one place to read its windows from
+    known = written(seen.groupBy("gram", "run").agg(
+        F.min("k1").alias("lo"), F.max("k1").alias("hi"), F.min(F.struct("k1", "k2", "first")).alias("one")), "passage-known")
+    whole = seen.join(known.where("lo <> hi").select("gram", "run"), ["gram", "run"]).select("k1", "k2", "first", "last")
+    # grams that stand in several runs, of which one is not shared as a whole
+    mixed = written(known.groupBy("gram").agg(F.count(F.lit(1)).alias("m"), F.count_if(F.col("lo") == F.col("hi")).alias("single")).where(
+        "m > 1 and single > 0").select("gram", F.xxhash64("gram").alias("h")), "passage-mixed")
+    possible, _ = split(seen, F.xxhash64("gram"), *bitmap(mixed.select("h")))
+    open_runs = written(possible.join(known.join(mixed.select("gram"), "gram"), ["gram", "run"]), "passage-open")
+    copies = open_runs.where(F.struct("k1", "k2", "first") == F.col("one")).dropDuplicates(["gram", "run"])
+    shared = copies.select(F.explode("w").alias("w"), "lo", "hi").groupBy("w").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo <> hi")
+    alone = open_runs.where("lo = hi").select("k1", "k2", "first", F.posexplode("w").alias("i", "w"))
+    parts = alone.join(shared.select("w"), "w").select("k1", "k2", (F.col("first") + F.col("i")).alias("first"), (F.col("first") + F.col("i")).alias("last"))
+    at = F.sort_array(F.collect_set(F.struct("first", "last")))  # places in one text
+    begin = F.struct(F.lit(0).alias("n"), F.lit(0).alias("end"))
+    stop = lambda x: x["last"] + F.lit(words)
+    covered = F.aggregate(at, begin, lambda s, x: F.struct(
+        (s["n"] + F.greatest(F.lit(0), stop(x) - F.greatest(s["end"], x["first"]))).alias("n"),
+        F.greatest(s["end"], stop(x)).alias("end")), lambda s: s["n"])
+    return whole.unionByName(parts).groupBy("k1", "k2").agg(covered.cast("long").alias("n_passage_words"))

@@ -74,3 +74,14 @@ def test_repeats_tell_of_short_passages(spark):
 def test_least_of_every_run(width):
     x = np.random.default_rng(width).integers(0, 1000, 200).astype(np.uint64)
     assert (passages.least(x, width) == np.lib.stride_tricks.sliding_window_view(x, width).min(1)).all()
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_repetitive_texts_against_hand(spark, seed):
+    """Two letters only: the same grams stand in many runs, in one text and across texts."""
+    rng = random.Random(seed)
+    rows = [(i, " ".join(rng.choice("ab") for _ in range(rng.randrange(0, 70)))) for i in range(12)]
+    rows += [(50, "a " * 90), (51, "a " * 40 + "b " + "a " * 40), (52, "a b " * 30), (53, "c " * 50), (54, rows[3][1] + " c c c " + rows[4][1])]
+    got = counted(spark, rows, 12, 5)
+    for (d, t), n in zip(rows, by_hand(rows, 12), strict=True):
+        assert got[(d, t)] == n, (d, n)
