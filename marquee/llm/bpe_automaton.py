@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from marquee.llm.scratch import documents, id_and_text
 
 #: Memory that a worker's remembered runs may take, about, and the longest run that is remembered (characters).
-MEMO_BYTES = 100 << 20
+MEMO_BYTES = 200 << 20
 MEMO_RUN = 256
 _NOTHING = hashlib.sha256(b"").hexdigest()
 _CONTROLS = regex.compile("[\x1c-\x1f]")
