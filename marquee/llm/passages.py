@@ -71,16 +71,17 @@ def _groups(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray
 
 
 def _grams(words: int, gram: int):
-    """(gram, k1) of every picked gram, once a run of windows."""
+    """The picked grams of every text, once a text (of very long ones, once a piece)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            k1 = batch.column("k1").to_numpy()
-            for lo, word, bounds in _groups(batch):
+            for _, word, bounds in _groups(batch):
                 for start in range(0, max(1, len(word)), _WINDOWS):
                     _, row, _, g, _ = picked(word, bounds, start, words, gram)
                     if len(g):
+                        order = np.lexsort((g, row))
+                        g, row = g[order], row[order]
                         new = np.append(True, (g[1:] != g[:-1]) | (row[1:] != row[:-1]))
-                        yield pa.RecordBatch.from_arrays([pa.array(g[new].view(np.int64)), pa.array(k1[lo + row[new]])], names=["gram", "k1"])
+                        yield pa.RecordBatch.from_arrays([pa.array(g[new].view(np.int64))], names=["gram"])
     return run
 
 
@@ -127,8 +128,8 @@ def shared_passages(rows: DataFrame, words: int = WORDS, gram: int = GRAM) -> Da
     """
     spark = rows.sparkSession
     texts = rows.select("k1", "k2", "text").where(F.octet_length("text") >= 2 * words - 1)
-    apart = (F.min("k1") != F.max("k1")).alias("apart")
-    grams = texts.mapInArrow(_grams(words, gram), "gram long, k1 long").groupBy("gram").agg(apart).where("apart")
+    # of two texts or more, or of two pieces of one: the latter are told apart below
+    grams = texts.select("text").mapInArrow(_grams(words, gram), "gram long").groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     kept, n_bits = bitmap(written(grams.select("gram"), "passage-grams"), "gram")
     values = kept.toArrow().column(0).combine_chunks().flatten().to_numpy().view(np.uint64)
     sent = spark.sparkContext.broadcast(values)  # of the bitmap's fixed size
