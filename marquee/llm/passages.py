@@ -97,17 +97,20 @@ def _runs(bits, n_bits: int, words: int, gram: int):
             k1, k2 = batch.column("k1").to_numpy(), batch.column("k2").to_numpy()
             for lo, word, bounds in _groups(batch):
                 for start in range(0, max(1, len(word)), _WINDOWS):
-                    at, row, place, g, w = picked(word, bounds, start, words, gram)
+                    at, row, _, g, w = picked(word, bounds, start, words, gram)
                     hit = np.flatnonzero(held(g & mask))
                     hit = hit[held((g[hit] >> np.uint64(32)) & mask)]
                     if not len(hit):
                         continue
-                    at, row, place, g, w = at[hit], row[hit], place[hit], g[hit], w[hit]
-                    new = np.append(True, (place[1:] != place[:-1]) | (row[1:] != row[:-1]) | (at[1:] != at[:-1] + 1))
+                    at, row, g, w = at[hit], row[hit], g[hit], w[hit]
+                    # windows one after another that pick equal grams are one run, also where a text repeats itself
+                    new = np.append(True, (g[1:] != g[:-1]) | (row[1:] != row[:-1]) | (at[1:] != at[:-1] + 1))
                     begin = np.flatnonzero(new)
                     end = np.append(begin[1:], len(at)) - 1
-                    # a run's hash is that of its first and last window and its length: both hold the gram, so they hold all its words
-                    name = tn.mix(w[begin] + tn.mix(w[end] + (end - begin).astype(np.uint64)))
+                    # a run's hash is that of the sequence of its windows
+                    p = np.zeros(len(w) + 1, np.uint64)
+                    np.cumsum(w * tn.powers(tn._BASE, len(w)), dtype=np.uint64, out=p[1:])
+                    name = tn.mix((p[end + 1] - p[begin]) * tn.powers(tn._INVERSE, len(w))[begin] + (end - begin).astype(np.uint64))
                     own, base = lo + row[begin], bounds[row[begin]]
                     lists = pa.ListArray.from_arrays(pa.array(np.append(begin, len(at)).astype(np.int32)), pa.array(w.view(np.int64)))
                     yield pa.RecordBatch.from_arrays(
@@ -144,7 +147,7 @@ def shared_passages(rows: DataFrame, words: int = WORDS, gram: int = GRAM) -> Da
     possible, _ = split(seen, F.xxhash64("gram"), *bitmap(mixed.select("h")))
     open_runs = written(possible.join(known.join(mixed.select("gram"), "gram"), ["gram", "run"]), "passage-open")
     copies = open_runs.where(F.struct("k1", "k2", "first") == F.col("one")).dropDuplicates(["gram", "run"])
-    shared = copies.select(F.explode("w").alias("w"), "lo", "hi").groupBy("w").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo <> hi")
+    shared = copies.select(F.explode(F.array_distinct("w")).alias("w"), "lo", "hi").groupBy("w").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo <> hi")
     alone = open_runs.where("lo = hi").select("k1", "k2", "first", F.posexplode("w").alias("i", "w"))
     parts = alone.join(shared.select("w"), "w").select("k1", "k2", (F.col("first") + F.col("i")).alias("first"), (F.col("first") + F.col("i")).alias("last"))
     at = F.sort_array(F.collect_set(F.struct("first", "last")))  # places in one text
