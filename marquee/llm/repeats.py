@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from marquee.llm import textnum as tn
 from marquee.llm.bitmap import bitmap, split
 from marquee.llm.passages import shared_passages
-from marquee.llm.scratch import documents, id_and_text, written
+from marquee.llm.scratch import discard, documents, id_and_text, written
 
 LENGTH = 400
 GRAM = 200
@@ -192,31 +192,40 @@ def batch_salt(batch: pa.RecordBatch, k: int) -> np.uint64:
 _BLOCKS = "k1 long, k2 long, at int, first int, last int, block int, shared long, all long, c1 int, c2 int"
 
 
-def repeated_windows(rows: DataFrame) -> DataFrame:
-    """(k1, k2, start, stop): byte intervals covered by repeated windows. ``rows`` as ``keyed`` gives them."""
+def repeated_windows(rows: DataFrame, made: list[DataFrame] | None = None) -> DataFrame:
+    """(k1, k2, start, stop): byte intervals covered by repeated windows. ``rows`` as ``keyed`` gives them.
+
+    The result reads written tables; they are added to ``made``.
+    """
+    made = [] if made is None else made
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        made.append(written(df, name))
+        return made[-1]
+
     texts = rows.select("k1", "k2", "text").where(F.octet_length("text") >= LENGTH)
-    samples = written(texts.mapInArrow(_sample, _SAMPLES), "samples")
+    samples = kept(texts.mapInArrow(_sample, _SAMPLES), "samples")
     # grams that occur twice or more; all other samples leave here
-    again = written(samples.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram", F.xxhash64("gram").alias("h")), "again")
+    again = kept(samples.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram", F.xxhash64("gram").alias("h")), "again")
     possible, _ = split(samples, F.xxhash64("gram"), *bitmap(again))
-    live = written(possible.join(again.select("gram"), "gram", "left_semi"), "live-samples")
-    runs = written(live.groupBy("gram", "run").agg(
+    live = kept(possible.join(again.select("gram"), "gram", "left_semi"), "live-samples")
+    runs = kept(live.groupBy("gram", "run").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("k1", "k2", "at", "first", "last")).alias("one")), "runs")
-    several = written(runs.groupBy("gram").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("gram"), "several")
+    several = kept(runs.groupBy("gram").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("gram"), "several")
     whole = live.join(runs.where("n > 1").select("gram", "run"), ["gram", "run"]).select(
         "k1", "k2", F.col("first").alias("start"), (F.col("last") + LENGTH).alias("stop"))
     # one of each run of a gram that has several runs: its bytes are cut out of its text once
     left = runs.join(several, "gram").select("one.k1", "one.k2", F.struct("one.at", "one.first", "one.last", "gram", "run").alias("r"))
-    per_text = written(left.groupBy("k1", "k2").agg(F.collect_list("r").alias("runs")).withColumn("h", F.xxhash64("k1")), "runs-by-text")  # bounded by the text's length
+    per_text = kept(left.groupBy("k1", "k2").agg(F.collect_list("r").alias("runs")).withColumn("h", F.xxhash64("k1")), "runs-by-text")  # bounded by the text's length
     possible, _ = split(texts, F.xxhash64("k1"), *bitmap(per_text.select("h")))
     cut = possible.join(per_text.drop("h"), ["k1", "k2"]).dropDuplicates(["k1", "k2"])
-    edges = written(cut.mapInArrow(_cut, _EDGES), "edges")
+    edges = kept(cut.mapInArrow(_cut, _EDGES), "edges")
     found = [whole]
     asked = edges.withColumns({"from": F.lit(0), "to": F.lit(LENGTH)})
     for width in (BLOCK, 1):
-        blocks = written(asked.mapInArrow(_split(width), _BLOCKS), "blocks")
+        blocks = kept(asked.mapInArrow(_split(width), _BLOCKS), "blocks")
         sums = blocks.groupBy("shared", "all").agg(F.count(F.lit(1)).alias("same"), F.min(F.struct("k1", "k2", "at", "first")).alias("one"))
-        sums = written(sums, "block-sums")
+        sums = kept(sums, "block-sums")
         found.append(blocks.join(sums.where("same > 1").select("shared", "all"), ["shared", "all"]).select(
             "k1", "k2", (F.col("at") - F.col("c2")).alias("start"), (F.col("at") - F.col("c1") + LENGTH).alias("stop")))
         if width > 1:
@@ -268,8 +277,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     empty table gives an empty result; other columns are ignored.
     """
     rows = keyed(docs, id_col, text_col)
-    gone = repeated_windows(rows).groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "stop")).alias("gone"))  # bounded by the text's length
+    made: list[DataFrame] = []
+    gone = repeated_windows(rows, made).groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "stop")).alias("gone"))  # bounded by the text's length
     if with_passages:
+        gone = written(gone, "gone-bytes")
+        discard(*made)  # the intervals are written; the samples' tables are the largest of this operator
         gone = gone.join(shared_passages(rows), ["k1", "k2"], "full")
     gone = written(gone.withColumn("h", F.xxhash64("k1")), "gone")
     possible, others = split(rows, F.xxhash64("k1"), *bitmap(gone.select("h")))

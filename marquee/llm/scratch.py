@@ -19,7 +19,17 @@ def written(df: DataFrame, name: str, *folders: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, f"{name}-{uuid.uuid4().hex[:8]}")
     df.write.partitionBy(*folders).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete ``written`` tables that nothing still to be computed reads (what was made of them is written itself)."""
+    for t in tables:
+        sc = t.sparkSession.sparkContext
+        place = sc._jvm.org.apache.hadoop.fs.Path(t.written_at)
+        place.getFileSystem(sc._jsc.hadoopConfiguration()).delete(place, True)
 
 
 #: Rows of one Arrow batch, at most: a row holds a whole text.
