@@ -28,7 +28,9 @@ import hashlib
 import json
 import struct
 import unicodedata
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
+from sys import getsizeof
 
 import numpy as np
 import pyarrow as pa
@@ -36,10 +38,15 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 
 from marquee.llm.scratch import documents, id_and_text
+from marquee.llm.textnum import give_back
 
 #: Memory that a worker's remembered runs may take, about, and the longest run that is remembered (characters).
-MEMO_BYTES = 200 << 20
+MEMO_BYTES = 32 << 20
 MEMO_RUN = 256
+#: Place of a remembered run in the dictionary, beside its two texts (bytes, about).
+MEMO_ENTRY = 56
+#: Rows of the transition table that are kept.
+MOST_ARCS = 1 << 18
 _NOTHING = hashlib.sha256(b"").hexdigest()
 _CONTROLS = regex.compile("[\x1c-\x1f]")
 _RUN = regex.compile(r"\S+")
@@ -58,97 +65,110 @@ def byte_symbols() -> dict[int, str]:
 
 
 class Automaton:
-    """Deterministic automaton over token labels (small integers); see the module's docstring."""
+    """Deterministic automaton over token labels (small integers); see the module's docstring.
 
-    def __init__(self, base: list[str], merges: list[tuple[str, str]]):
-        self.labels = list(dict.fromkeys(base))
-        self.number = {x: i for i, x in enumerate(self.labels)}
-        self.made = [0] * len(self.labels)  # time of a label's gadget, 0 for base symbols
-        self.parts: list[tuple[int, int]] = [(-1, -1)] * len(self.labels)
+    It is kept in flat arrays and in dictionaries of integers, and nothing that
+    only compiling needs stays: every worker holds one.
+    """
+
+    def __init__(self, base: list[str], merges: Iterable[tuple[str, str]]):
+        labels = list(dict.fromkeys(base))
+        number = {x: i for i, x in enumerate(labels)}
+        self.symbol = dict(number)  # numbers of the base symbols
+        self.made = array("i", [0] * len(labels))  # time of a label's gadget, 0 for base symbols
+        self.first, self.second = array("i", [-1] * len(labels)), array("i", [-1] * len(labels))  # a label's two parts
         self.removed: dict[int, int] = {}  # (label followed, arc removed) → time
         self.table: dict[int, bool] = {}  # (label followed, arc) → has it, in the finished automaton
-        for time, (u, v) in enumerate(merges, 1):
-            self.gadget(u, v, time)
-        self.finished = len(merges)
+        self.finished = 0
+        for u, v in merges:
+            self.finished += 1
+            a, b = number.get(u), number.get(v)
+            if a is not None and b is not None and self.gadget(a, b, self.finished) and u + v not in number:
+                number[u + v] = len(labels)
+                labels.append(u + v)
+                self.made.append(self.finished)
+                self.first.append(a)
+                self.second.append(b)
+        self.labels = labels
+        del number
         # labels as a tree of symbols, to find those that begin at a place of a word
-        self.tree: dict[tuple[int, str], int] = {}
-        self.label_at: list[int] = [-1]
-        for i, symbols in enumerate(self.spellings()):
+        self.tree: dict[int, int] = {}
+        self.label_at = array("i", [-1])
+        for i in range(len(labels)):
             node = 0
-            for c in symbols:
-                nxt = self.tree.get((node, c))
+            for c in self.spelling(i):
+                nxt = self.tree.get(node << 10 | c)
                 if nxt is None:
-                    nxt = self.tree[node, c] = len(self.label_at)
+                    nxt = self.tree[node << 10 | c] = len(self.label_at)
                     self.label_at.append(-1)
                 node = nxt
             self.label_at[node] = i
 
-    def gadget(self, u: str, v: str, time: int) -> None:
-        a, b = self.number.get(u), self.number.get(v)
-        if a is None or b is None or not self.arc(a, b, time - 1):
-            return  # u v can never stand side by side: the merge changes nothing
+    def gadget(self, a: int, b: int, time: int) -> bool:
+        """Apply the merge of two labels; False where they can never stand side by side: it changes nothing then."""
+        if not self.arc(a, b, time - 1):
+            return False
         self.removed[a << 20 | b] = time
-        if u + v not in self.number:
-            self.number[u + v] = len(self.labels)
-            self.labels.append(u + v)
-            self.made.append(time)
-            self.parts.append((a, b))
-
-    def spellings(self) -> list[tuple[str, ...]]:
-        """Base symbols of every label."""
-        out: list[tuple[str, ...]] = []
-        for label, (a, b) in zip(self.labels, self.parts, strict=True):
-            out.append((label,) if a < 0 else out[a] + out[b])
+        return True
+
+    def spelling(self, label: int) -> list[int]:
+        """Base symbols of a label."""
+        out, todo = [], [label]
+        while todo:
+            x = todo.pop()
+            if self.first[x] < 0:
+                out.append(x)
+            else:
+                todo += (self.second[x], self.first[x])
         return out
 
     def arc(self, x: int, c: int, time: int) -> bool:
         """Whether the state that ``x`` arcs led to at ``time`` had an arc ``c``."""
+        made = self.made
         while True:
             gone = self.removed.get(x << 20 | c)
             if gone is not None and gone <= time:
                 return False
-            if self.made[c] >= self.made[x]:
-                if not self.made[c]:
+            if made[c] >= made[x]:
+                if not made[c]:
                     return True  # base symbols, never removed
-                c, time = self.parts[c][0], self.made[c]  # the arc was added where its first part had one
+                c, time = self.first[c], made[c]  # the arc was added where its first part had one
             else:
-                x, time = self.parts[x][1], self.made[x] - 1  # copied from the state that x's second part led to
+                x, time = self.second[x], made[x] - 1  # copied from the state that x's second part led to
 
-    def tokens(self, symbols: list[str]) -> list[int]:
-        """The path that spells the symbols. ``came[i]`` is the one last arc of the prefix of i symbols."""
-        n, tree, label_at, table = len(symbols), self.tree, self.label_at, self.table
-        came: list[tuple[int, int] | None] = [None] * (n + 1)
+    def tokens(self, symbols: list[int]) -> list[int]:
+        """The path that spells the symbols. ``last[i]`` is the one last arc of the prefix of i symbols, from ``start[i]``."""
+        n, tree, label_at, table = len(symbols), self.tree.get, self.label_at, self.table
+        last, start = [-1] * (n + 1), [0] * (n + 1)
         for i in range(n):
-            before = came[i]
-            if i and before is None:
+            before = last[i] << 20
+            if i and before < 0:
                 continue
-            node, j = tree.get((0, symbols[i])), i + 1
+            node, j = tree(symbols[i]), i + 1
             while node is not None:
                 label = label_at[node]
-                if label >= 0 and came[j] is None:
+                if label >= 0 and last[j] < 0:
+                    has = True
                     if i:
-                        key = before[1] << 20 | label
-                        has = table.get(key)
+                        has = table.get(before | label)
                         if has is None:
-                            has = self.arc(before[1], label, self.finished)
-                            if len(table) > 2_000_000:
+                            has = self.arc(before >> 20, label, self.finished)
+                            if len(table) >= MOST_ARCS:
                                 table.clear()
-                            table[key] = has
-                    else:
-                        has = True
+                            table[before | label] = has
                     if has:
-                        came[j] = (i, label)
+                        last[j], start[j] = label, i
                 if j >= n:
                     break
-                node = tree.get((node, symbols[j]))
+                node = tree(node << 10 | symbols[j])
                 j += 1
-        if n and came[n] is None:
-            raise ValueError(f"no path spells {''.join(symbols)!r}")
+        if n and last[n] < 0:
+            raise ValueError(f"no path spells the symbols {symbols!r}")
         out: list[int] = []
         at = n
         while at:
-            at, label = came[at]
-            out.append(label)
+            out.append(last[at])
+            at = start[at]
         return out[::-1]
 
 
@@ -159,79 +179,82 @@ class WordTokenizer:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
-        self.vocab: dict[str, int] = model["vocab"]
-        self.suffix = model["end_of_word_suffix"] or ""
-        merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
-        self.bytes = byte_symbols()
-        base = [c + e for c in self.bytes.values() for e in {"", self.suffix}]
-        self.automaton = Automaton(base, merges)
+        vocab: dict[str, int] = model["vocab"]
+        suffix = model["end_of_word_suffix"] or ""
+        symbols = byte_symbols()
+        base = [c + e for c in symbols.values() for e in {"", suffix}]
+        self.automaton = Automaton(base, (m if isinstance(m, list) else m.split(" ") for m in model["merges"]))
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.labels = {i: t for t, i in {**self.vocab, **self.special}.items()}
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")["pattern"]["Regex"]
         self.split = regex.compile(split)
         self.special_split = regex.compile("|".join(map(regex.escape, self.special))) if self.special else None
-        self.label_id = [self.vocab.get(x) for x in self.automaton.labels]
-        self.memo: dict[str, tuple[int, bytes, str]] = {}
+        self.label_id = array("i", [vocab.get(x, -1) for x in self.automaton.labels])
+        self.automaton.labels = []  # from here on labels are their ids
+        self.labels = {i: t for t, i in {**vocab, **self.special}.items()}
+        self.memo: dict[str, bytes] = {}
         self.memo_left = MEMO_BYTES
-        self.symbol_of = [self.bytes[b] for b in range(256)]
-
-    def word(self, word: str) -> tuple[int, bytes, str]:
-        """(number of tokens, ids as little-endian 32-bit integers, labels joined by spaces) of one pre-split word."""
-        symbols = [self.symbol_of[b] for b in word.encode("utf-8")]
-        symbols[-1] += self.suffix
-        path = self.automaton.tokens(symbols)
-        ids = [self.label_id[x] for x in path]
-        return len(ids), struct.pack(f"<{len(ids)}I", *ids), " ".join([self.automaton.labels[x] for x in path])
-
-    def chunk(self, chunk: str) -> tuple[int, bytes, str]:
+        # numbers of every byte's symbol, inside a word and at its end
+        number = self.automaton.symbol
+        self.inside, self.ending = ([number[symbols[b] + e] for b in range(256)] for e in ("", suffix))
+
+    def word(self, word: str) -> bytes:
+        """The ids of one pre-split word as little-endian 32-bit integers."""
+        data, inside = word.encode("utf-8"), self.inside
+        symbols = [inside[b] for b in data]
+        symbols[-1] = self.ending[data[-1]]
+        label_id = self.label_id
+        return _pack([label_id[x] for x in self.automaton.tokens(symbols)])
+
+    def chunk(self, chunk: str) -> bytes:
         """The same for a run without white space, remembered; the split rule never matches across white space."""
         found = self.memo.get(chunk)
         if found is None:
-            parts = [self.word(w) for w in self.split.findall(self.normalise(chunk))]
-            found = parts[0] if len(parts) == 1 else (
-                sum(p[0] for p in parts), b"".join(p[1] for p in parts), " ".join(p[2] for p in parts))
+            found = b"".join([self.word(w) for w in self.split.findall(self.normalise(chunk))])
             if self.memo_left > 0 and len(chunk) <= MEMO_RUN:
                 self.memo[chunk] = found
-                self.memo_left -= 300 + 8 * len(chunk)  # the entry's objects and its texts
+                self.memo_left -= MEMO_ENTRY + getsizeof(chunk) + getsizeof(found)
         return found
 
     def normalise(self, text: str) -> str:
         """Composed form and lower case. White space only separates words here, so its folding is left to the split."""
-        text = unicodedata.normalize("NFC", text)
-        return text.lower() if text.isascii() else "".join(map(_lower_char, text))
+        if text.isascii():
+            return text.lower()
+        return "".join(map(_lower_char, unicodedata.normalize("NFC", text)))
 
-    def encode_parts(self, text: str) -> list[tuple[int, bytes, str]]:
-        """The white-space runs and special tokens of a text, each encoded."""
+    def ids(self, text: str) -> bytes:
+        """Ids of a text as little-endian 32-bit integers: of its white-space runs and special tokens, one after the other."""
         if self.special_split is None or "<|" not in text:
-            return self.plain_parts(text)
+            return self.plain_ids(text)
         out, at = [], 0
         for m in self.special_split.finditer(text):
-            out += self.plain_parts(text[at : m.start()])
-            i = self.special[m.group()]
-            out.append((1, np.array([i], "<u4").tobytes(), self.labels[i]))
+            out += self.plain_ids(text[at : m.start()]), _pack([self.special[m.group()]])
             at = m.end()
-        return out + self.plain_parts(text[at:])
+        return b"".join([*out, self.plain_ids(text[at:])])
 
-    def plain_parts(self, text: str) -> list[tuple[int, bytes, str]]:
-        memo, chunk = self.memo, self.chunk
+    def plain_ids(self, text: str) -> bytes:
+        memo, chunk = self.memo.get, self.chunk
         # str.split also cuts at four control characters that the file's rule does not count as white space
         runs = text.split() if not _CONTROLS.search(text) else _RUN.findall(text)
-        return [p for p in [memo.get(r) or chunk(r) for r in runs] if p[0]]
+        return b"".join([memo(r) or chunk(r) for r in runs])
 
     def encode(self, text: str) -> list[int]:
-        return np.frombuffer(b"".join(p[1] for p in self.encode_parts(text)), "<u4").tolist()
+        return np.frombuffer(self.ids(text), "<u4").tolist()
 
     def decode(self, ids: list[int]) -> str:
         """The arc labels emitted in order; the file names no decoder, so labels are joined by spaces."""
-        return " ".join(self.labels[i] for i in ids if i in self.labels)
+        return " ".join([self.labels[i] for i in ids if i in self.labels])
 
     def digest(self, text: str) -> tuple[int, str, str]:
         """(tokens, digest of ids, digest of the decoded text)."""
-        parts = self.encode_parts(text)
-        if not parts:
+        ids = self.ids(text)
+        if not ids:
             return 0, _NOTHING, _NOTHING
-        n, ids, shown = zip(*parts, strict=True)
-        return sum(n), hashlib.sha256(b"".join(ids)).hexdigest(), hashlib.sha256(" ".join(shown).encode("utf-8")).hexdigest()
+        shown = " ".join(map(self.labels.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+        return len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(shown.encode("utf-8")).hexdigest()
+
+
+def _pack(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 @functools.lru_cache(maxsize=4096)
@@ -256,6 +279,7 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
     every executor (the tokenizer file is part of the installed environment).
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         t = tokenizer(path)
         for batch in batches:
             out = [], [], [], []

@@ -8,6 +8,8 @@ with a table ``T`` of 64-bit values per byte and an odd base ``B``.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -48,6 +50,14 @@ def powers(base: int, n: int) -> np.ndarray:
     return have[:n]
 
 
+def give_back() -> None:
+    """Free what earlier operators' tasks left in a reused Python worker: tables of powers, Arrow's pool, the C heap's free pages."""
+    _POWERS.clear()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # a C library without the call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def prefix(data: np.ndarray) -> np.ndarray:
     """P of the module's docstring, one longer than ``data``."""
     out = np.zeros(len(data) + 1, dtype=U64)

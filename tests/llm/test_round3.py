@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 from fractions import Fraction
@@ -12,7 +13,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from marquee.llm import collocations, merkle, preference, toxicity
+from marquee.llm import bpe_automaton, collocations, merkle, preference, textnum, toxicity
 from marquee.sources.tables import table
 
 SF = "/root/testdata/sf0.001"
@@ -286,3 +287,30 @@ def test_a_labelled_id_of_very_many_rows_is_one_row_of_the_sample(spark):
     for module in (preference, toxicity):
         got = sorted(map(tuple, module.training_rows(docs, labels).collect()))
         assert got == [(0, ""), (0, "other"), (1, "text 0")]
+
+
+# -- memory of an encoding worker -------------------------------------------
+
+
+def test_an_encoding_worker_holds_a_small_tokenizer():
+    """All that a worker keeps, compiled tokenizer and remembered runs, fits beside what earlier stages left on an executor."""
+    tracemalloc.start()
+    try:
+        t = bpe_automaton.WordTokenizer(bpe_automaton.word_bpe_path())
+        compiled = tracemalloc.get_traced_memory()[0]
+        left = t.memo_left
+        t.digest(" ".join(f"w{i * 7919 % 99991}ord{i}" for i in range(20_000)))
+        used, counted = tracemalloc.get_traced_memory()[0] - compiled, left - t.memo_left
+    finally:
+        tracemalloc.stop()
+    assert len(t.memo) == 20_000 and used < 1.5 * counted + (2 << 20)
+    assert compiled + 1.5 * bpe_automaton.MEMO_BYTES < 90 << 20
+
+
+def test_memory_given_back_is_made_again():
+    data = np.frombuffer(b"some words and more words", np.uint8)
+    before = textnum.words(data, np.array([0, len(data)]))
+    textnum.give_back()
+    assert not textnum._POWERS
+    for a, b in zip(before, textnum.words(data, np.array([0, len(data)])), strict=True):
+        assert (a == b).all()
