@@ -25,12 +25,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.llm import textnum as tn
-from marquee.llm.scratch import documents, id_and_text
+from marquee.llm.bitmap import bitmap, split
+from marquee.llm.scratch import documents, id_and_text, written
 from marquee.sources.tables import table
 
-#: Labelled rows used for fitting, of each class at most.
-MAX_ROWS = 4_000
-#: Preference pairs drawn from them.
+#: Labelled rows of a block, about; its pairs are a quarter of the square at most.
+BLOCK_ROWS = 2_048
+#: Pairs that ``train`` uses unless told otherwise; fitting uses all pairs of a block.
 PAIRS = 1 << 18
 STEPS = 300
 SHRINKAGE = 1e-3
@@ -123,18 +124,27 @@ def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         rows = []
         for lo, hi in tn.chunks(offsets):
             rows += [x.tobytes() for x in features(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])]
-        yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(rows, pa.binary())], names=["label", "features"])
+        yield pa.RecordBatch.from_arrays([batch.column("h"), batch.column("label"), pa.array(rows, pa.binary())], names=["h", "label", "features"])
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
-    """(label, text) of at most ``max_rows`` labelled documents a class; at most twice as many ids are broadcast."""
-    sample = None
-    for c in (0, 1):
-        one = labels.where(F.col("label") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
-        sample = one if sample is None else sample.unionByName(one)
-    rows = docs.join(F.broadcast(sample), "doc_id").select("doc_id", F.col("label").cast("int").alias("label"), "text")
-    # an id that many rows share is one row of the sample: its smallest text, found by partial aggregation
-    return rows.groupBy("doc_id").agg(F.min(F.struct("text", "label")).alias("r")).select("r.label", "r.text")
+def _labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(h, label, text) of every labelled document; h is a hash of its id.
+
+    Other texts stay in the scan: only rows that a bitmap of the labelled ids may
+    hold are joined. Ids of another type than the documents' are joined directly.
+    """
+    if docs.schema["doc_id"].dataType == labels.schema["doc_id"].dataType:
+        ids = labels.where("doc_id is not null").select("doc_id").distinct().select(F.xxhash64("doc_id").alias("h"))
+        docs, _ = split(docs, F.xxhash64("doc_id"), *bitmap(written(ids, "preference-ids")))
+    rows = docs.join(labels, "doc_id").select("doc_id", F.col("label").cast("int").alias("label"), "text")
+    # an id that many rows share is fitted as one row: its smallest text, found by partial aggregation
+    one = rows.groupBy("doc_id").agg(F.min(F.struct("text", "label")).alias("r"))
+    return one.select(F.xxhash64("doc_id").alias("h"), "r.label", "r.text")
+
+
+def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(label, text) of every labelled document."""
+    return _labelled(docs, labels).select("label", "text")
 
 
 def train(x: np.ndarray, good: np.ndarray, bad: np.ndarray, pairs: int = PAIRS, steps: int = STEPS, seed: int = 11) -> np.ndarray:
@@ -143,17 +153,19 @@ def train(x: np.ndarray, good: np.ndarray, bad: np.ndarray, pairs: int = PAIRS,
     ``good`` and ``bad`` are row numbers of ``x``. All pairs are used where there
     are at most ``pairs``, else that many are drawn.
     """
-    if len(good) * len(bad) <= pairs:
-        i, j = np.repeat(good, len(bad)), np.tile(bad, len(good))
-    else:
+    every = len(good) * len(bad) <= pairs
+    if not every:
         rng = np.random.default_rng(seed)
         i, j = rng.choice(good, pairs), rng.choice(bad, pairs)
     w, m, v = np.zeros(x.shape[1]), np.zeros(x.shape[1]), np.zeros(x.shape[1])
     for t in range(1, steps + 1):
         s = x @ w
-        pull = 1 / (1 + np.exp(np.clip(s[i] - s[j], -40, 40))) / len(i)  # chance that the worse one is preferred
+        lead = s[good][:, None] - s[bad] if every else s[i] - s[j]
+        pull = 1 / (1 + np.exp(np.clip(lead, -40, 40))) / lead.size  # chance that the worse one is preferred
         # sum over pairs of pull * (x_i - x_j), without the differences themselves
-        g = SHRINKAGE * w - x.T @ (np.bincount(i, pull, len(x)) - np.bincount(j, pull, len(x)))
+        up, down = (pull.sum(1), pull.sum(0)) if every else (pull, pull)
+        total = np.bincount(good if every else i, up, len(x)) - np.bincount(bad if every else j, down, len(x))
+        g = SHRINKAGE * w - x.T @ total
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         w = w - 0.05 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
     return w
@@ -167,32 +179,116 @@ def quantile(score: np.ndarray, weight: np.ndarray, share: float) -> float:
     return float((score[order[k]] + score[order[min(k + 1, len(order) - 1)]]) / 2)
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> dict:
+def moments(parts: list[tuple[float, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and standard deviation of all rows from (rows, mean, squared deviations) of disjoint parts."""
+    n, mean, squares = 0.0, 0.0, 0.0
+    for m, a, b in parts:
+        squares = squares + b + (a - mean) ** 2 * (n * m / (n + m))
+        mean = mean + (a - mean) * (m / (n + m))
+        n += m
+    return mean, np.sqrt(squares / n)
+
+
+def cutoff(scored: DataFrame, weight: dict[int, float], share: float, bins: int = 1 << 12) -> float:
+    """``quantile`` of a table (label, s) of any size, a row weighing by its label.
+
+    Counts in equal bins narrow down the score at which the weight reaches the
+    share, until one is left; its neighbours are then looked up.
+    """
+    counted = [F.count_if(F.col("label") == c).alias(f"n{c}") for c in (0, 1)]
+    weigh = lambda r: r["n0"] * weight[0] + r["n1"] * weight[1]
+    whole = scored.agg(*counted, F.min("s").alias("low"), F.max("s").alias("high")).first()
+    total, below, low, high, here = weigh(whole), 0.0, whole["low"], whole["high"], weigh(whole)
+    while low < high:
+        place = F.least(F.floor((F.col("s") - low) / (high - low) * bins), F.lit(bins - 1))
+        rows = scored.where(F.col("s").between(low, high)).groupBy(place.alias("k")).agg(*counted, F.min("s").alias("low"), F.max("s").alias("high"))
+        rows = sorted(rows.collect(), key=lambda r: r["k"])
+        for r in rows:
+            here, low, high = weigh(r), r["low"], r["high"]
+            if below + here >= share * total or r is rows[-1]:
+                break
+            below += here
+    near = scored.agg(F.max(F.when(F.col("s") < low, F.col("s"))).alias("p"), F.min(F.when(F.col("s") > low, F.col("s"))).alias("q")).first()
+    steps = [(near["p"], below), (low, here), (near["q"], total - below - here)]
+    score, its = zip(*[x for x in steps if x[0] is not None], strict=True)
+    return quantile(np.array(score), np.array(its), share)
+
+
+def _block(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """(features, labels) of a block, its rows in the same order on every run."""
+    table = table.sort_by([("h", "ascending"), ("label", "ascending"), ("features", "ascending")])
+    return np.frombuffer(b"".join(table.column("features").to_pylist())).reshape(-1, N_FEATURES), table.column("label").to_numpy()
+
+
+def _by_block(rows: DataFrame, n_blocks: int, work) -> list[tuple[float, np.ndarray, np.ndarray]]:
+    """``work(features, labels)`` of every block, in order: a weight and two lines of ``N_FEATURES`` values each."""
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        n, a, b = work(*_block(table))
+        return pa.table({"block": pa.array([key[0].as_py()], pa.int64()), "n": [float(n)], "a": [a.tobytes()], "b": [b.tobytes()]})
+
+    dealt = rows.withColumn("block", F.pmod("h", F.lit(n_blocks))).repartition(n_blocks, "block")
+    out = dealt.groupBy("block").applyInArrow(run, "block long, n double, a binary, b binary").collect()
+    return [(r["n"], np.frombuffer(r["a"]), np.frombuffer(r["b"])) for r in sorted(out, key=lambda r: r["block"])]
+
+
+def _moments(x: np.ndarray, y: np.ndarray) -> tuple[int, np.ndarray, np.ndarray]:
+    return len(x), x.mean(0), ((x - x.mean(0)) ** 2).sum(0)
+
+
+def _standard(x: np.ndarray, centre: np.ndarray, spread: np.ndarray) -> np.ndarray:
+    return np.clip((x - centre) / spread, -CUT, CUT)
+
+
+def _learned(centre: np.ndarray, spread: np.ndarray):
+    def work(x: np.ndarray, y: np.ndarray) -> tuple[int, np.ndarray, np.ndarray]:
+        """Pairs of the block, and the weights that they teach (none without both classes)."""
+        good, bad = np.flatnonzero(y == 1), np.flatnonzero(y == 0)
+        pairs = len(good) * len(bad)
+        w = train(_standard(x, centre, spread), good, bad, pairs) if pairs else np.zeros(N_FEATURES)
+        return pairs, w, w[:0]
+    return work
+
+
+def _linear(model: dict):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = np.frombuffer(b"".join(batch.column("features").to_pylist())).reshape(-1, N_FEATURES)
+            s = (_standard(x, model["centre"], model["spread"]) * model["weights"]).sum(1)  # the same for a row in any batch
+            yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(s)], names=["label", "s"])
+    return run
+
+
+def fit(docs: DataFrame, labels: DataFrame) -> dict:
     """The model as plain arrays: centre, spread, weights, cutoff, rate. ``docs``: doc_id, text; ``labels``: doc_id, label (0/1)."""
-    lab = labels.where("doc_id is not null and label is not null").groupBy("doc_id").agg(F.min("label").alias("label"))
-    counts = {r["label"]: r["n"] for r in lab.groupBy("label").agg(F.count(F.lit(1)).alias("n")).where("label in (0, 1)").collect()}
-    rows = training_rows(docs, lab, max_rows).mapInArrow(_feature_rows, "label int, features binary").collect()
-    rows.sort(key=lambda r: (r["label"], r["features"]))  # the same order on every run
-    y = np.array([r["label"] for r in rows], np.int64)
-    good, bad = np.flatnonzero(y == 1), np.flatnonzero(y == 0)
+    lab = labels.where("doc_id is not null and label is not null").groupBy("doc_id").agg(F.min("label").alias("label")).where("label in (0, 1)")
+    counts = {r["label"]: r["n"] for r in lab.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     total = counts.get(0, 0) + counts.get(1, 0)
-    if not len(good) or not len(bad):
-        return {"weights": None, "rate": counts.get(1, 0) / total if total else 0.5}
-    x = np.stack([np.frombuffer(r["features"]) for r in rows])
-    centre, spread = x.mean(0), x.std(0)
+    none = {"weights": None, "rate": counts.get(1, 0) / total if total else 0.5}
+    if len(counts) < 2:
+        return none
+    rows = written(_labelled(docs, lab).mapInArrow(_feature_rows, "h long, label int, features binary"), "preference-features")
+    found = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if len(found) < 2:
+        return none
+    n_blocks = -(-sum(found.values()) // BLOCK_ROWS)
+    centre, spread = moments(_by_block(rows, n_blocks, _moments))
     spread[spread < 1e-9] = np.inf  # constant features say nothing
-    x = np.clip((x - centre) / spread, -CUT, CUT)
-    w = train(x, good, bad)
+    learned = _by_block(rows, n_blocks, _learned(centre, spread))
+    if not any(n for n, _, _ in learned):  # no block has both classes
+        return none
+    w = sum(n * a for n, a, _ in learned) / sum(n for n, _, _ in learned)
+    model = {"weights": w, "centre": centre, "spread": spread, "rate": counts[1] / total}
     share = counts[0] / total
-    weight = np.where(y == 1, (1 - share) / len(good), share / len(bad))  # classes weigh as in all labelled rows
-    return {"weights": w, "centre": centre, "spread": spread, "cutoff": quantile(x @ w, weight, share), "rate": 1 - share}
+    scored = written(rows.mapInArrow(_linear(model), "label int, s double"), "preference-scores")
+    # classes weigh as in all labelled rows
+    return {**model, "cutoff": cutoff(scored, {0: share / found[0], 1: (1 - share) / found[1]}, share)}
 
 
 def scores(model: dict, x: np.ndarray) -> np.ndarray:
     """Chance of every line of features to be preferred to a document at the cutoff."""
     if model["weights"] is None:
         return np.full(len(x), model["rate"])
-    s = np.clip((x - model["centre"]) / model["spread"], -CUT, CUT) @ model["weights"]
+    s = _standard(x, model["centre"], model["spread"]) @ model["weights"]
     return 1 / (1 + np.exp(-np.clip(s - model["cutoff"], -30, 30)))
 
 
@@ -219,7 +315,7 @@ def held_out(doc_id) -> F.Column:
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_id: str = "doc_id",
-                   label_col: str = "quality", max_rows: int = MAX_ROWS) -> DataFrame:
+                   label_col: str = "quality") -> DataFrame:
     """doc_id, held_out, score, predicted: one row per input row.
 
     Edges: null and empty texts have all features zero and a score of their own;
@@ -230,7 +326,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     empty result; other columns are ignored.
     """
     lab = labels.select(F.col(f"`{label_id}`").alias("doc_id"), F.col(f"`{label_col}`").alias("label"))
-    model = fit(id_and_text(docs, id_col, text_col), lab.where(~held_out(F.col("doc_id"))), max_rows)
+    model = fit(id_and_text(docs, id_col, text_col), lab.where(~held_out(F.col("doc_id"))))
     return score(docs, model, id_col, text_col).select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 

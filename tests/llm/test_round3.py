@@ -314,3 +314,31 @@ def test_memory_given_back_is_made_again():
     assert not textnum._POWERS
     for a, b in zip(before, textnum.words(data, np.array([0, len(data)])), strict=True):
         assert (a == b).all()
+
+
+def test_every_labelled_row_is_fitted(spark, monkeypatch):
+    """More labelled rows than a block has: moments, weights and cutoff are those of all of them."""
+    monkeypatch.setattr(preference, "BLOCK_ROWS", 100)
+    good, bad = "Plain words that follow each other here. ", "A!! B!! $$$ ### "
+    rows = [(i, (bad if i % 5 == 0 else good) * (1 + i % 7) + "x" * (i % 11)) for i in range(9_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    labels = spark.createDataFrame([(i, int(i % 5 > 0)) for i, _ in rows], "doc_id long, label int")
+    assert preference.training_rows(docs, labels).count() == 9_000
+    model = preference.fit(docs, labels)
+    x = np.concatenate([preference.features(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t.encode())])) for _, t in rows])
+    assert np.allclose(model["centre"], x.mean(0)) and np.allclose(np.where(np.isinf(model["spread"]), 0, model["spread"]), x.std(0), atol=1e-8)
+    s = preference.scores(model, x)
+    assert ((s >= 0.5) == [i % 5 > 0 for i, _ in rows]).all()
+
+
+def test_cutoff_of_a_table_is_the_quantile_of_its_rows(spark):
+    rng = np.random.default_rng(3)
+    for s in (rng.normal(size=500), np.round(rng.normal(size=500), 1), np.zeros(20), np.array([1.0, 2.0]), rng.normal(size=300) ** 9):
+        y = (rng.random(len(s)) < 0.7).astype(int)
+        scored = spark.createDataFrame([(int(a), float(b)) for a, b in zip(y, s, strict=True)], "label int, s double").repartition(3)
+        for share in (0.01, 0.3, 0.99):
+            got = preference.cutoff(scored, {0: 1.0, 1: 1.0}, share, bins=4)
+            different = np.unique(s)
+            below = np.array([(s <= d).mean() for d in different])
+            k = int(np.argmin(np.abs(below - share)))
+            assert got == (different[k] + different[min(k + 1, len(different) - 1)]) / 2
