@@ -19,13 +19,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee.llm import textnum as tn
 from marquee.llm.bitmap import bitmap, split
 from marquee.llm.ngram_join import GROUP_BYTES, GROUP_ROWS, _pieces
-from marquee.llm.scratch import written
+from marquee.llm.scratch import any_row, written
 
 WORDS = 50
 GRAM = 25
@@ -34,6 +34,11 @@ _WINDOWS = 1 << 20
 _PLACE = np.uint64((1 << 22) - 1)
 
 
+def packed(first: str, last: str) -> Column:
+    """Two places of a text as one long that sorts by the first: sets and sorts of longs are cheaper than those of structs."""
+    return F.shiftleft(F.col(first).cast("long"), 32).bitwiseOR(F.col(last).cast("long"))
+
+
 def least(x: np.ndarray, width: int) -> np.ndarray:
     """Minimum of every ``width`` consecutive values, by doubling."""
     have = 1
@@ -43,8 +48,8 @@ def least(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(x[: len(x) - (width - have)], x[width - have :]) if have < width else x
 
 
-def picked(word: np.ndarray, bounds: np.ndarray, start: int, words: int, gram: int) -> tuple[np.ndarray, ...]:
-    """(window, its row, place and hash of the gram it picks, hash of the window) for windows from ``start`` on, ``_WINDOWS`` at most."""
+def picked(word: np.ndarray, bounds: np.ndarray, start: int, words: int, gram: int, hashed: bool = True) -> tuple[np.ndarray, ...]:
+    """(window, its row, place and hash of the gram it picks, hash of the window where asked for) for windows from ``start`` on, ``_WINDOWS`` at most."""
     none = *(np.zeros(0, np.int64) for _ in range(3)), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
     part = word[start : start + _WINDOWS + words - 1]
     n = len(part)
@@ -55,12 +60,13 @@ def picked(word: np.ndarray, bounds: np.ndarray, start: int, words: int, gram: i
     back = tn.powers(tn._INVERSE, n)
     grams = tn.mix((p[gram:] - p[:-gram]) * back[: n - gram + 1])
     window = np.arange(n - words + 1)
-    row = np.searchsorted(bounds, window + start, side="right") - 1
+    row = np.repeat(np.arange(len(bounds) - 1), np.diff(np.clip(bounds, start, start + len(window))))
     inside = window + start + words <= bounds[row + 1]
     window, row = window[inside], row[inside]
     place = np.arange(len(grams), dtype=np.uint64)
     chosen = (least((grams & ~_PLACE) | place, words - gram + 1)[window] & _PLACE).astype(np.int64)
-    return window + start, row, chosen, grams[chosen], tn.mix((p[window + words] - p[window]) * back[window])
+    hashes = tn.mix((p[window + words] - p[window]) * back[window]) if hashed else None
+    return window + start, row, chosen, grams[chosen], hashes
 
 
 def _groups(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -76,8 +82,11 @@ def _grams(words: int, gram: int):
         for batch in batches:
             for _, word, bounds in _groups(batch):
                 for start in range(0, max(1, len(word)), _WINDOWS):
-                    _, row, _, g, _ = picked(word, bounds, start, words, gram)
+                    _, row, place, g, _ = picked(word, bounds, start, words, gram, hashed=False)
                     if len(g):
+                        # neighbours mostly pick at one place
+                        new = np.append(True, (place[1:] != place[:-1]) | (row[1:] != row[:-1]))
+                        g, row = g[new], row[new]
                         order = np.lexsort((g, row))
                         g, row = g[order], row[order]
                         new = np.append(True, (g[1:] != g[:-1]) | (row[1:] != row[:-1]))
@@ -135,22 +144,24 @@ def shared_passages(rows: DataFrame, words: int = WORDS, gram: int = GRAM) -> Da
     sent = spark.sparkContext.broadcast(values)  # of the bitmap's fixed size
     seen = written(texts.mapInArrow(_runs(sent, n_bits, words, gram), _RUNS), "passage-runs")
     # every run with the least and greatest of its documents, and one place to read its windows from
+    one = ("k1", "k2", "first")
     known = written(seen.groupBy("gram", "run").agg(
-        F.min("k1").alias("lo"), F.max("k1").alias("hi"), F.min(F.struct("k1", "k2", "first")).alias("one")), "passage-known")
+        F.min("k1").alias("lo"), F.max("k1").alias("hi"), *any_row(*one)), "passage-known")
     whole = seen.join(known.where("lo <> hi").select("gram", "run"), ["gram", "run"]).select("k1", "k2", "first", "last")
     # grams that stand in several runs, of which one is not shared as a whole
     mixed = written(known.groupBy("gram").agg(F.count(F.lit(1)).alias("m"), F.count_if(F.col("lo") == F.col("hi")).alias("single")).where(
         "m > 1 and single > 0").select("gram", F.xxhash64("gram").alias("h")), "passage-mixed")
     possible, _ = split(seen, F.xxhash64("gram"), *bitmap(mixed.select("h")))
-    open_runs = written(possible.join(known.join(mixed.select("gram"), "gram"), ["gram", "run"]), "passage-open")
-    copies = open_runs.where(F.struct("k1", "k2", "first") == F.col("one")).dropDuplicates(["gram", "run"])
+    open_known = known.join(mixed.select("gram"), "gram")
+    open_runs = written(possible.join(open_known.select("gram", "run", "lo", "hi", *(F.col(c).alias(f"one_{c}") for c in one)), ["gram", "run"]), "passage-open")
+    copies = open_runs.where(F.struct(*one) == F.struct(*(f"one_{c}" for c in one))).dropDuplicates(["gram", "run"])
     shared = copies.select(F.explode("w").alias("w"), "lo", "hi").groupBy("w").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo <> hi")
     alone = open_runs.where("lo = hi").select("k1", "k2", "first", F.posexplode("w").alias("i", "w"))
     parts = alone.join(shared.select("w"), "w").select("k1", "k2", (F.col("first") + F.col("i")).alias("first"), (F.col("first") + F.col("i")).alias("last"))
-    at = F.sort_array(F.collect_set(F.struct("first", "last")))  # places in one text
-    begin = F.struct(F.lit(0).alias("n"), F.lit(0).alias("end"))
-    stop = lambda x: x["last"] + F.lit(words)
+    at = F.sort_array(F.collect_set(packed("first", "last")))  # places in one text
+    begin = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("end"))
+    stop = lambda x: x.bitwiseAND(F.lit((1 << 32) - 1)) + F.lit(words)
     covered = F.aggregate(at, begin, lambda s, x: F.struct(
-        (s["n"] + F.greatest(F.lit(0), stop(x) - F.greatest(s["end"], x["first"]))).alias("n"),
+        (s["n"] + F.greatest(F.lit(0), stop(x) - F.greatest(s["end"], F.shiftright(x, 32)))).alias("n"),
         F.greatest(s["end"], stop(x)).alias("end")), lambda s: s["n"])
     return whole.unionByName(parts).groupBy("k1", "k2").agg(covered.cast("long").alias("n_passage_words"))

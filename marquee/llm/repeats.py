@@ -39,16 +39,18 @@ from pyspark.sql import functions as F
 
 from marquee.llm import textnum as tn
 from marquee.llm.bitmap import bitmap, split
-from marquee.llm.passages import shared_passages
-from marquee.llm.scratch import discard, documents, id_and_text, written
+from marquee.llm.passages import packed, shared_passages
+from marquee.llm.scratch import any_row, discard, documents, id_and_text, written
 
 LENGTH = 400
 GRAM = 200
 BLOCK = 16
 _SPREAD = LENGTH - GRAM + 1  # samples a window chooses from
 _POSITION = np.uint64((1 << 22) - 1)
-#: Windows handled at once.
+#: Windows of one long text that are handled at once.
 _PIECE = 1 << 20
+#: Bytes of shorter texts that are handled at once: their arrays stay in a core's cache.
+_GROUP = 1 << 16
 
 _SAMPLES = "k1 long, k2 long, first int, last int, at int, gram long, run long"
 _EDGES = "k1 long, k2 long, at int, first int, last int, gram long, run long, bytes binary"
@@ -79,9 +81,9 @@ def samples_of(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
     if n < LENGTH:
         return tuple(np.zeros(0, np.int64) for _ in range(3)) + tuple(np.zeros(0, np.uint64) for _ in range(2))
     p = tn.prefix(data)
-    place = np.arange(n - GRAM + 1)
-    gram = tn.range_hash(p, place, place + GRAM)
-    chosen = (_least((gram & ~_POSITION) | place.astype(np.uint64), _SPREAD) & _POSITION).astype(np.int64)
+    # range_hash of every place
+    gram = tn.mix((p[GRAM:] - p[:-GRAM]) * tn.powers(tn._INVERSE, n + 1)[: n - GRAM + 1] + np.uint64(GRAM))
+    chosen = (_least((gram & ~_POSITION) | np.arange(len(gram), dtype=np.uint64), _SPREAD) & _POSITION).astype(np.int64)
     window = np.flatnonzero(np.arange(n - LENGTH + 1) + LENGTH <= ends[: n - LENGTH + 1])
     if not len(window):
         return samples_of(data[:0], ends)
@@ -96,7 +98,7 @@ def samples_of(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
 
 def _pieces(offsets: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
     """(row range, byte range) pieces; a longer text gives several that overlap by a window less one byte."""
-    for lo, hi in tn.chunks(offsets, _PIECE):
+    for lo, hi in tn.chunks(offsets, _GROUP):
         a, z = int(offsets[lo]), int(offsets[hi])
         if hi - lo == 1:
             for start in range(a, max(a + 1, z - LENGTH + 1), _PIECE):
@@ -108,7 +110,7 @@ def _pieces(offsets: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
 def _sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offsets = tn.texts_of(batch.column("text"))
-        k1, k2 = batch.column("k1").to_numpy(), batch.column("k2").to_numpy()
+        rows, found = [], []
         for _, _, a, z in _pieces(offsets):
             inner = np.clip(offsets, a, z)
             row0 = int(np.searchsorted(offsets, a, side="right")) - 1
@@ -117,9 +119,13 @@ def _sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             first, last, at, gram, run = samples_of(data[a:z], ends)
             row = np.searchsorted(offsets, first + a, side="right") - 1
             base = (offsets[row] - a).astype(np.int64)
+            rows.append(row)
+            found.append([*((x - base).astype(np.int32) for x in (first, last, at)), gram.view(np.int64), run.view(np.int64)])
+        if rows:
+            row = pa.array(np.concatenate(rows))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(k1[row]), pa.array(k2[row]), *[pa.array((x - base).astype(np.int32)) for x in (first, last, at)],
-                 pa.array(gram.view(np.int64)), pa.array(run.view(np.int64))], names=[c.split()[0] for c in _SAMPLES.split(", ")])
+                [batch.column("k1").take(row), batch.column("k2").take(row), *(pa.array(np.concatenate(x)) for x in zip(*found, strict=True))],
+                names=[c.split()[0] for c in _SAMPLES.split(", ")])
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,42 +157,41 @@ def _split(width: int):
             gram = batch.column("gram").to_numpy().view(np.uint64)
             at, first, last = (batch.column(c).to_numpy().astype(np.int64) for c in ("at", "first", "last"))
             lo, hi = (batch.column(c).to_numpy().astype(np.int64) for c in ("from", "to"))  # offsets asked for
-            wide = batch.column("bytes").to_pylist()
-            out = [[], [], [], [], []]
-            for k, raw in enumerate(wide):
-                # offsets of windows to the sample: from the last window's to the first one's
-                a, z = max(lo[k], at[k] - last[k]), min(hi[k], at[k] - first[k])
-                if a > z:
-                    continue
-                p = tn.prefix(np.frombuffer(raw, np.uint8))
-                block = np.arange(a // width, z // width + 1)
+            salt = _salts(batch)
+            # offsets of windows to the sample: from the last window's to the first one's
+            a, z = np.maximum(lo, at - last), np.minimum(hi, at - first)
+            n = np.where(a <= z, z // width - a // width + 1, 0)  # blocks of every run
+            data, offsets = tn.texts_of(batch.column("bytes"))
+            out = [[], [], [], [], [], []]
+            for r0, r1 in tn.chunks(offsets, _GROUP):
+                p = tn.prefix(data[offsets[r0] : offsets[r1]])
+                k = np.repeat(np.arange(r0, r1), n[r0:r1])
+                block = np.arange(len(k)) - np.repeat(np.cumsum(n[r0:r1]) - n[r0:r1], n[r0:r1]) + a[k] // width
                 o1, o2 = block * width, block * width + width - 1
-                c1, c2 = np.maximum(o1, a), np.minimum(o2, z)
+                c1, c2 = np.maximum(o1, a[k]), np.minimum(o2, z[k])
                 # bytes that all windows of the whole block share, and those of all its windows
-                base = at[k] - first[k]
+                base = (at - first)[k] + offsets[k] - offsets[r0]
                 shared = tn.range_hash(p, base - o1, base - o2 + LENGTH)
                 whole = (c1 == o1) & (c2 == o2)
                 full = tn.range_hash(p, base - c2, base - c1 + LENGTH)
-                own = tn.mix(full + np.uint64((int(at[k]) * 2654435761 + k + 1) & ((1 << 63) - 1)) + batch_salt(batch, k))
-                out[0] += [k] * len(block)
-                out[1].append(block)
-                out[2].append(tn.mix(shared ^ tn.mix(gram[k : k + 1] + block.astype(np.uint64))))
-                out[3].append(np.where(whole, full, own))
-                out[4].append(np.stack([c1, c2], 1))
-            rows = np.array(out[0], np.int64)
-            cat = lambda x, kind: np.concatenate(x) if x else np.zeros(0, kind)
-            spans = np.concatenate(out[4]) if out[4] else np.zeros((0, 2), np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(c).take(pa.array(rows)) for c in ("k1", "k2", "at", "first", "last")]
-                + [pa.array(cat(out[1], np.int64).astype(np.int32)), pa.array(cat(out[2], np.uint64).view(np.int64)),
-                   pa.array(cat(out[3], np.uint64).view(np.int64)), pa.array(spans[:, 0].astype(np.int32)), pa.array(spans[:, 1].astype(np.int32))],
-                names=["k1", "k2", "at", "first", "last", "block", "shared", "all", "c1", "c2"])
+                own = tn.mix(full + salt[k])
+                for column, value in zip(out, (k, block.astype(np.int32), tn.mix(shared ^ tn.mix(gram[k] + block.astype(np.uint64))).view(np.int64),
+                                               np.where(whole, full, own).view(np.int64), c1.astype(np.int32), c2.astype(np.int32)), strict=True):
+                    column.append(value)
+            if out[0]:
+                k, *made = (pa.array(np.concatenate(x)) for x in out)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(c).take(k) for c in ("k1", "k2", "at", "first", "last")] + made,
+                    names=["k1", "k2", "at", "first", "last", "block", "shared", "all", "c1", "c2"])
     return run
 
 
-def batch_salt(batch: pa.RecordBatch, k: int) -> np.uint64:
-    """Bits of a run's own name, so that blocks cut short at a run's edge equal no other."""
-    return np.uint64(batch.column("k1")[k].as_py() & ((1 << 63) - 1)) ^ np.uint64(batch.column("k2")[k].as_py() & ((1 << 63) - 1))
+def _salts(batch: pa.RecordBatch) -> np.ndarray:
+    """Bits of every run's own name, so that blocks cut short at a run's edge equal no other."""
+    low = np.uint64((1 << 63) - 1)
+    k1, k2, at = (batch.column(c).to_numpy().astype(np.int64).view(np.uint64) for c in ("k1", "k2", "at"))
+    place = at * np.uint64(2654435761) + np.arange(1, len(at) + 1, dtype=np.uint64)
+    return (place & low) + ((k1 & low) ^ (k2 & low))
 
 
 _BLOCKS = "k1 long, k2 long, at int, first int, last int, block int, shared long, all long, c1 int, c2 int"
@@ -209,59 +214,68 @@ def repeated_windows(rows: DataFrame, made: list[DataFrame] | None = None) -> Da
     again = kept(samples.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram", F.xxhash64("gram").alias("h")), "again")
     possible, _ = split(samples, F.xxhash64("gram"), *bitmap(again))
     live = kept(possible.join(again.select("gram"), "gram", "left_semi"), "live-samples")
-    runs = kept(live.groupBy("gram", "run").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("k1", "k2", "at", "first", "last")).alias("one")), "runs")
+    runs = kept(live.groupBy("gram", "run").agg(F.count(F.lit(1)).alias("n"), *any_row("k1", "k2", "at", "first", "last")), "runs")
     several = kept(runs.groupBy("gram").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("gram"), "several")
     whole = live.join(runs.where("n > 1").select("gram", "run"), ["gram", "run"]).select(
         "k1", "k2", F.col("first").alias("start"), (F.col("last") + LENGTH).alias("stop"))
     # one of each run of a gram that has several runs: its bytes are cut out of its text once
-    left = runs.join(several, "gram").select("one.k1", "one.k2", F.struct("one.at", "one.first", "one.last", "gram", "run").alias("r"))
+    left = runs.join(several, "gram").select("k1", "k2", F.struct("at", "first", "last", "gram", "run").alias("r"))
     per_text = kept(left.groupBy("k1", "k2").agg(F.collect_list("r").alias("runs")).withColumn("h", F.xxhash64("k1")), "runs-by-text")  # bounded by the text's length
     possible, _ = split(texts, F.xxhash64("k1"), *bitmap(per_text.select("h")))
     cut = possible.join(per_text.drop("h"), ["k1", "k2"]).dropDuplicates(["k1", "k2"])
     edges = kept(cut.mapInArrow(_cut, _EDGES), "edges")
     found = [whole]
     asked = edges.withColumns({"from": F.lit(0), "to": F.lit(LENGTH)})
+    one = ("k1", "k2", "at", "first")
     for width in (BLOCK, 1):
         blocks = kept(asked.mapInArrow(_split(width), _BLOCKS), "blocks")
-        sums = blocks.groupBy("shared", "all").agg(F.count(F.lit(1)).alias("same"), F.min(F.struct("k1", "k2", "at", "first")).alias("one"))
-        sums = kept(sums, "block-sums")
+        sums = kept(blocks.groupBy("shared", "all").agg(F.count(F.lit(1)).alias("same"), *(any_row(*one, "c1", "c2") if width > 1 else ())), "block-sums")
         found.append(blocks.join(sums.where("same > 1").select("shared", "all"), ["shared", "all"]).select(
             "k1", "k2", (F.col("at") - F.col("c2")).alias("start"), (F.col("at") - F.col("c1") + LENGTH).alias("stop")))
         if width > 1:
             open_ = sums.groupBy("shared").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("shared")
-            ask = blocks.join(sums.join(open_, "shared").select("shared", "all", "one"), ["shared", "all"]).where(
-                F.struct("k1", "k2", "at", "first") == F.col("one")).select(
-                "k1", "k2", "at", "first", F.col("c1").alias("from"), F.col("c2").alias("to"))
-            asked = edges.join(ask, ["k1", "k2", "at", "first"])
+            ask = sums.join(open_, "shared").select(*one, F.col("c1").alias("from"), F.col("c2").alias("to"))
+            asked = edges.join(ask, list(one))
     out = found[0]
     for f in found[1:]:
         out = out.unionByName(f)
     return out
 
 
+def _joined(gone: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, stop, row) of the maximal intervals of every row's packed ones, by row and place."""
+    n = np.asarray(gone.value_lengths().fill_null(0)).astype(np.int64)
+    both = gone.flatten().to_numpy().astype(np.int64)
+    row = np.repeat(np.arange(len(n)), n)
+    order = np.lexsort((both, row))
+    both, row = both[order], row[order]
+    start, stop = both >> 32, both & 0xFFFFFFFF
+    reach = np.maximum.accumulate((row << 32) + stop) if len(row) else stop  # of all intervals of the row so far
+    new = np.ones(len(row), bool)
+    new[1:] = (row[1:] << 32) + start[1:] > reach[:-1]
+    at = np.flatnonzero(new)
+    return start[at], reach[np.append(at, len(row))[1:] - 1] & 0xFFFFFFFF, row[at]
+
+
 def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        out = [[], [], [], [], []]
-        for text, gone in zip(batch.column("text").to_pylist(), batch.column("gone").to_pylist(), strict=True):
-            raw = text.encode("utf-8")
-            kept, spans, at = hashlib.sha256(), [], 0
-            for a, z in sorted((g["start"], g["stop"]) for g in gone or ()):
-                if spans and a <= spans[-1][1]:
-                    spans[-1][1] = max(spans[-1][1], z)
-                else:
-                    spans.append([a, z])
-            for a, z in spans:
-                kept.update(raw[at:a])
-                at = z
-            kept.update(raw[at:])
-            for column, value in zip(out, (len(raw), sum(z - a for a, z in spans), len(spans), kept.hexdigest(),
-                                           [x for s in spans for x in s]), strict=True):
-                column.append(value)
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.int32())]
+        data, offsets = tn.texts_of(batch.column("text"))
+        start, stop, row = _joined(batch.column("gone"))
+        bounds = np.searchsorted(row, np.arange(batch.num_rows + 1))
+        removed = np.append(0, np.cumsum(stop - start))
+        digests = []
+        for k in range(batch.num_rows):
+            kept, at = hashlib.sha256(), int(offsets[k])
+            for j in range(bounds[k], bounds[k + 1]):
+                kept.update(data[at : offsets[k] + start[j]])
+                at = offsets[k] + stop[j]
+            kept.update(data[at : offsets[k + 1]])
+            digests.append(kept.hexdigest())
+        spans = pa.ListArray.from_arrays(pa.array(2 * bounds, pa.int32()), pa.array(np.stack([start, stop], 1).reshape(-1), pa.int32()))
         also = [c for c in batch.schema.names if c not in ("doc_id", "text", "gone")]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), *[pa.array(c, k) for c, k in zip(out, kinds, strict=True)], *[batch.column(c) for c in also]],
+            [batch.column("doc_id"), pa.array(np.diff(offsets)), pa.array(removed[bounds[1:]] - removed[bounds[:-1]]), pa.array(np.diff(bounds)),
+             pa.array(digests, pa.string()), spans, *[batch.column(c) for c in also]],
             names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", *also])
 
 
@@ -278,7 +292,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     rows = keyed(docs, id_col, text_col)
     made: list[DataFrame] = []
-    gone = repeated_windows(rows, made).groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "stop")).alias("gone"))  # bounded by the text's length
+    # an interval is one long; their number is bounded by the text's length
+    gone = repeated_windows(rows, made).groupBy("k1", "k2").agg(F.collect_set(packed("start", "stop")).alias("gone"))
     if with_passages:
         gone = written(gone, "gone-bytes")
         discard(*made)  # the intervals are written; the samples' tables are the largest of this operator
@@ -291,8 +306,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     none = [F.lit(0).cast("long").alias("n_passage_words")] if with_passages else []
     schema += ", n_passage_words long" if with_passages else ""
     hit = possible.join(gone.drop("h"), ["k1", "k2"], "left").select("doc_id", "text", "gone", *words)
-    whole = others.select("doc_id", "text", F.lit(None).cast(gone.schema["gone"].dataType).alias("gone"), *none)
-    return hit.mapInArrow(_remove, schema).unionByName(whole.mapInArrow(_remove, schema))
+    # texts that lose nothing never leave the scan
+    whole = others.select(
+        "doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"), F.array().cast("array<int>").alias("spans"), *none)
+    return hit.mapInArrow(_remove, schema).unionByName(whole)
 
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

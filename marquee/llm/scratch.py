@@ -7,7 +7,7 @@ import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.session import scratch_path
@@ -32,6 +32,12 @@ def discard(*tables: DataFrame) -> None:
         place.getFileSystem(sc._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def any_row(*columns: str) -> list[Column]:
+    """Columns of one row of a group, whichever comes first, as aggregates that need no sort (a struct's minimum does). Write the result
+    before it is read twice: another run may take another row."""
+    return [F.first(c).alias(c) for c in columns]
+
+
 #: Rows of one Arrow batch, at most: a row holds a whole text.
 BATCH_ROWS = 2_000
 
