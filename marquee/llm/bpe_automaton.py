@@ -15,8 +15,10 @@ automaton therefore keeps, per removed arc, its time, and per label its time and
 two parts; ``arc`` answers from these whether a state has an arc, and answers
 are kept as rows of a transition table.
 
-Every prefix of a word has exactly one tokenization, so encoding is one pass
-over the word that extends prefixes by the arcs that exist; decoding emits the
+Every prefix of a word has exactly one tokenization, so a place of a word is
+reached by one path at most. Encoding walks the automaton along the longest label
+that has an arc, and steps back where no arc goes on; a place left that way is
+never reached again, so a walk is linear in the word whatever it tries. Decoding emits the
 arc labels. Words come from the tokenizer's own normaliser and split rule. Each
 worker keeps the tokens of words already seen, in a table of bounded size.
 """
@@ -47,6 +49,8 @@ MEMO_RUN = 256
 MEMO_ENTRY = 56
 #: Rows of the transition table that are kept.
 MOST_ARCS = 1 << 18
+#: Lengths tried where no longer label begins.
+_SHORT = 3, 2, 1
 _NOTHING = hashlib.sha256(b"").hexdigest()
 _CONTROLS = regex.compile("[\x1c-\x1f]")
 _RUN = regex.compile(r"\S+")
@@ -91,18 +95,19 @@ class Automaton:
                 self.second.append(b)
         self.labels = labels
         del number
-        # labels as a tree of symbols, to find those that begin at a place of a word
-        self.tree: dict[int, int] = {}
-        self.label_at = array("i", [-1])
-        for i in range(len(labels)):
-            node = 0
-            for c in self.spelling(i):
-                nxt = self.tree.get(node << 10 | c)
-                if nxt is None:
-                    nxt = self.tree[node << 10 | c] = len(self.label_at)
-                    self.label_at.append(-1)
-                node = nxt
-            self.label_at[node] = i
+        # labels by the symbols that they spell (a character each, of the symbol's number)
+        self.spelled = {"".join(map(chr, self.spelling(i))): i for i in range(len(labels))}
+        self.sizes = array("H", map(len, self.spelled))
+        # lengths of the labels that can begin at four symbols, longest first; shorter labels are tried anywhere
+        long: dict[str, set[int]] = {}
+        for text in self.spelled:
+            if len(text) >= 4:
+                long.setdefault(text[:4], set()).add(len(text))
+        same: dict[tuple[int, ...], tuple[int, ...]] = {}
+        self.lengths: dict[str, tuple[int, ...]] = {}
+        for c, x in long.items():
+            ways = *sorted(x, reverse=True), *(k for k in _SHORT if c[:k] in self.spelled)
+            self.lengths[c] = same.setdefault(ways, ways)
 
     def gadget(self, a: int, b: int, time: int) -> bool:
         """Apply the merge of two labels; False where they can never stand side by side: it changes nothing then."""
@@ -136,40 +141,37 @@ class Automaton:
             else:
                 x, time = self.second[x], made[x] - 1  # copied from the state that x's second part led to
 
-    def tokens(self, symbols: list[int]) -> list[int]:
-        """The path that spells the symbols. ``last[i]`` is the one last arc of the prefix of i symbols, from ``start[i]``."""
-        n, tree, label_at, table = len(symbols), self.tree.get, self.label_at, self.table
-        last, start = [-1] * (n + 1), [0] * (n + 1)
-        for i in range(n):
-            before = last[i] << 20
-            if i and before < 0:
-                continue
-            node, j = tree(symbols[i]), i + 1
-            while node is not None:
-                label = label_at[node]
-                if label >= 0 and last[j] < 0:
-                    has = True
-                    if i:
-                        has = table.get(before | label)
-                        if has is None:
-                            has = self.arc(before >> 20, label, self.finished)
-                            if len(table) >= MOST_ARCS:
-                                table.clear()
-                            table[before | label] = has
-                    if has:
-                        last[j], start[j] = label, i
-                if j >= n:
-                    break
-                node = tree(node << 10 | symbols[j])
-                j += 1
-        if n and last[n] < 0:
-            raise ValueError(f"no path spells the symbols {symbols!r}")
+    def tokens(self, symbols: str) -> list[int]:
+        """The path that spells the symbols (a character each, of the symbol's number)."""
+        n, spelled, lengths, table, finished = len(symbols), self.spelled.get, self.lengths.get, self.table.get, self.finished
         out: list[int] = []
-        at = n
-        while at:
-            out.append(last[at])
-            at = start[at]
-        return out[::-1]
+        before, at, used = -1, 0, 0
+        while at < n:
+            ways = lengths(symbols[at : at + 4], _SHORT)
+            for size in ways[used:] if used else ways:
+                label = spelled(symbols[at : at + size])  # beyond the end: all that is left
+                if label is None:
+                    continue
+                if before >= 0:
+                    has = table(before | label)
+                    if has is None:
+                        has = self.arc(before >> 20, label, finished)
+                        if len(self.table) >= MOST_ARCS:
+                            self.table.clear()
+                        self.table[before | label] = has
+                    if not has:
+                        continue
+                out.append(label)
+                before, at, used = label << 20, at + size, 0
+                break
+            else:
+                if not out:
+                    raise ValueError(f"no path spells the symbols {symbols!r}")
+                size = self.sizes[out.pop()]
+                at -= size
+                used = lengths(symbols[at : at + 4], _SHORT).index(size) + 1
+                before = out[-1] << 20 if out else -1
+        return out
 
 
 class WordTokenizer:
@@ -182,34 +184,33 @@ class WordTokenizer:
         vocab: dict[str, int] = model["vocab"]
         suffix = model["end_of_word_suffix"] or ""
         symbols = byte_symbols()
-        base = [c + e for c in symbols.values() for e in {"", suffix}]
+        base = [symbols[b] + e for e in ("", suffix) for b in range(256)]  # a byte inside a word has its own number
         self.automaton = Automaton(base, (m if isinstance(m, list) else m.split(" ") for m in model["merges"]))
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")["pattern"]["Regex"]
         self.split = regex.compile(split)
         self.special_split = regex.compile("|".join(map(regex.escape, self.special))) if self.special else None
-        self.label_id = array("i", [vocab.get(x, -1) for x in self.automaton.labels])
+        self.packed = [struct.pack("<i", vocab.get(x, -1)) for x in self.automaton.labels]
         self.automaton.labels = []  # from here on labels are their ids
         self.labels = {i: t for t, i in {**vocab, **self.special}.items()}
         self.memo: dict[str, bytes] = {}
         self.memo_left = MEMO_BYTES
-        # numbers of every byte's symbol, inside a word and at its end
+        # symbol of a byte at the end of a word
         number = self.automaton.symbol
-        self.inside, self.ending = ([number[symbols[b] + e] for b in range(256)] for e in ("", suffix))
+        self.ending = {chr(b): chr(number[symbols[b] + suffix]) for b in range(256)}
 
     def word(self, word: str) -> bytes:
         """The ids of one pre-split word as little-endian 32-bit integers."""
-        data, inside = word.encode("utf-8"), self.inside
-        symbols = [inside[b] for b in data]
-        symbols[-1] = self.ending[data[-1]]
-        label_id = self.label_id
-        return _pack([label_id[x] for x in self.automaton.tokens(symbols)])
+        symbols = word if word.isascii() else word.encode("utf-8").decode("latin-1")
+        packed = self.packed
+        return b"".join([packed[x] for x in self.automaton.tokens(symbols[:-1] + self.ending[symbols[-1]])])
 
     def chunk(self, chunk: str) -> bytes:
         """The same for a run without white space, remembered; the split rule never matches across white space."""
         found = self.memo.get(chunk)
         if found is None:
-            found = b"".join([self.word(w) for w in self.split.findall(self.normalise(chunk))])
+            words = self.split.findall(self.normalise(chunk))
+            found = self.word(words[0]) if len(words) == 1 else b"".join(map(self.word, words))
             if self.memo_left > 0 and len(chunk) <= MEMO_RUN:
                 self.memo[chunk] = found
                 self.memo_left -= MEMO_ENTRY + getsizeof(chunk) + getsizeof(found)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-from marquee.llm import repeats
+from marquee.llm import bpe_automaton, repeats
 from marquee.llm import textnum as tn
 
 
@@ -51,3 +51,25 @@ def test_blocks_of_many_runs_equal_those_of_one_run_at_a_time():
             full = tn.range_hash(p, np.array([base - r["c2"]]), np.array([base - r["c1"] + repeats.LENGTH]))
             if r["c2"] - r["c1"] == width - 1:
                 assert full.view(np.int64)[0] == r["all"]
+
+
+# -- op9 --------------------------------------------------------------------
+def test_a_walk_looks_up_few_labels_and_steps_back_where_it_must():
+    t = bpe_automaton.WordTokenizer(bpe_automaton.word_bpe_path())
+    automaton, looked = t.automaton, []
+
+    class Counted(dict):
+        def get(self, key, default=None):
+            looked.append(key)
+            return dict.get(self, key, default)
+
+    automaton.spelled = Counted(automaton.spelled)
+    words = ["thedoran", "leonier", "byrestthed", "airément", "inthenhaing", "erteälich", "pfschieauen", "日本語", "a" * 3000, "ab" * 1000, "x"]
+    for w in words:
+        ids = t.word(w)
+        assert "".join(t.labels[i] for i in np.frombuffer(ids, "<u4")).endswith("</w>") and len(looked) <= 40 * len(w.encode())
+        looked.clear()
+    # a small automaton: the longest label at the start is a dead end, and nothing but the merges' order decides
+    small = bpe_automaton.Automaton(list("abc"), [("b", "c"), ("a", "b"), ("ab", "c")])
+    shown = lambda text: [small.labels[x] for x in small.tokens("".join(chr("abc".index(c)) for c in text))]
+    assert shown("abc") == ["a", "bc"] and shown("ab") == ["ab"] and shown("ababc") == ["ab", "a", "bc"] and shown("") == []
